@@ -6,12 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .html_text import op4_html_extraction
+from .jaccard_join import op6_jaccard_join
 from .packing import op7_best_fit_packing
+from .quality import op3_quality_classifier
 from .secrets import op8_secret_scan
 from .token_output import op5_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_html_extraction": op4_html_extraction,
     "op5_token_output": op5_token_output,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
 }
