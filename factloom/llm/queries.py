@@ -11,9 +11,11 @@ from .jaccard_join import op6_jaccard_join
 from .packing import op7_best_fit_packing
 from .quality import op3_quality_classifier
 from .secrets import op8_secret_scan
+from .substring_dedup import op2_substring_dedup
 from .token_output import op5_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_html_extraction": op4_html_extraction,
     "op5_token_output": op5_token_output,
