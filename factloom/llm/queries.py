@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op9_decontamination
 from .html_text import op4_html_extraction
 from .jaccard_join import op6_jaccard_join
 from .packing import op7_best_fit_packing
@@ -13,8 +14,10 @@ from .quality import op3_quality_classifier
 from .secrets import op8_secret_scan
 from .substring_dedup import op2_substring_dedup
 from .token_output import op5_token_output
+from .vector_graph import op1_embedding_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_html_extraction": op4_html_extraction,
@@ -22,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
