@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import op9_decontamination
 from .html_text import op4_html_extraction
 from .jaccard_join import op6_jaccard_join
+from .katz import op10_lm_scoring
 from .packing import op7_best_fit_packing
 from .quality import op3_quality_classifier
 from .secrets import op8_secret_scan
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {}
