@@ -1,19 +1,20 @@
 """Exact n-gram Jaccard join: T-occurrence search by DivideSkip over sharded inverted lists.
 
 1. Documents of equal shingle sets become one class, stood for by its smallest doc_id.
-2. Routing. Two sets of similarity 3/4 or more share one of the first n - ceil(3n/4) + 1 shingles of
-   each, in any order common to all documents. Representatives that meet in such a shingle are chained
-   to the smallest one there; the components of these chains never part a link.
-3. Each component (cut into blocks when large) gets inverted lists in one task, where documents are
+2. Two filters leave what can have a link. In any common order, two sets of similarity 3/4 or more share
+   more than 1/16 of a set among the first third of each, so a document stays if so many of these
+   shingles stand in another document. Among those that stay, 3/4 of a set must stand elsewhere.
+3. Routing. With the rarest shingles first, linked sets share one of the first n - ceil(3n/4) + 1 of
+   each. Documents that meet there are chained to the smallest one; the chains' components part no link.
+4. Each component (cut into blocks when large) gets inverted lists in one task, where documents are
    searched: short lists are merged by a heap, long ones probed by binary search.
-The order puts widely shared shingles last. It steers only the cost, never the result.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -27,8 +28,8 @@ from .common import WordHashes, cut, mix, ngram_hashes, read
 from .components import components
 
 WORDS = 5
-#: Most widely shared shingles that the order puts last (8 bytes each are broadcast).
-LATE = 65_536
+#: Ids of documents up to which their texts are found by a broadcast.
+BROADCAST_IDS = 1_000_000
 #: Documents in a block of one task, and smallest documents of a component that every block is searched for.
 BLOCK, HUBS = 4_000, 8
 #: Shingles that a task's blocks hold together, about.
@@ -41,17 +42,9 @@ def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.nda
     return np.unique(ngram_hashes(hashes.of(w), min(words, len(w)))) if w else np.empty(0, np.uint64)
 
 
-def prefix(s: np.ndarray, late: np.ndarray) -> np.ndarray:
-    """The first n - ceil(3n/4) + 1 shingles of a set: those not in `late` by mixed hash, then the late ones."""
-    n = len(s)
-    k = n - -(-3 * n // 4) + 1
-    rank = mix(s)
-    if len(late):
-        at = np.minimum(np.searchsorted(late, s), len(late) - 1)
-        common = late[at] == s
-    else:
-        common = np.zeros(n, bool)
-    return s[np.lexsort((rank, common))[:k]]
+def first_third(s: np.ndarray) -> np.ndarray:
+    """The first floor(n/3) + 1 shingles of a set in the order of a mixed hash."""
+    return s[np.argsort(mix(s), kind="stable")[: len(s) // 3 + 1]]
 
 
 class Lists:
@@ -171,10 +164,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document, and for each shingle that a task meets in the prefixes of several."""
-        hashes, met = WordHashes(), []
-        names = ["kind", "id", "n", "h1", "h2"]
-        none = np.empty(0, np.uint64)
+        hashes = WordHashes()
         for b in batches:
             n, h1, h2 = [], [], []
             for t in b.column(1):
@@ -183,49 +173,51 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                 n.append(len(s))
                 h1.append(int.from_bytes(h[:8], "big", signed=True))
                 h2.append(int.from_bytes(h[8:], "big", signed=True))
-                if len(s):
-                    met.append(prefix(s, none))
-            k = len(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), b.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], names)
-            if sum(map(len, met)) > 4_000_000:
-                yield from shared(met, names)
-                met = []
-        yield from shared(met, names)
-
-    def shared(met: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
-        if met:
-            v, c = np.unique(np.concatenate(met), return_counts=True)
-            v, c = v[c > 1], c[c > 1]
-            zero = pa.array(np.zeros(len(v), np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(v), np.int32)), pa.array(v.view(np.int64)), pa.array(c.astype(np.int64)), zero, zero], names)
-
-    seen = cut(docs.mapInArrow(survey, "kind int, id long, n long, h1 long, h2 long"))
-    info = seen.where("kind = 0").select(F.col("id").alias("doc_id"), "n", "h1", "h2")
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in (n, h1, h2))], ["doc_id", "n", "h1", "h2"])
+
+    def emit(choose: Callable[[np.ndarray], np.ndarray]) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hashes = WordHashes()
+            for b in batches:
+                keys = b.column(0).to_numpy(zero_copy_only=False)
+                parts = [choose(s) if len(s := shingles(t.as_py(), hashes)) else s for t in b.column(1)]
+                size = [len(p) for p in parts]
+                if sum(size):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(keys, size))], ["token", "doc_id"])
+
+        return run
+
+    info = docs.mapInArrow(survey, "doc_id long, n long, h1 long, h2 long")
+    info = cut(info)
     classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     members = info.join(classes, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")
     )
     members = cut(members)
-    late = (
-        seen.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).where("n >= 32").orderBy(F.desc("n"), "id").limit(LATE).toPandas()
-    )
-    late = np.sort(late["id"].to_numpy(np.int64).view(np.uint64))
-    shared_late = docs.sparkSession.sparkContext.broadcast(late)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            keys = b.column(0).to_numpy(zero_copy_only=False)
-            parts = [prefix(s, shared_late.value) if len(s := shingles(t.as_py(), hashes)) else s for t in b.column(1)]
-            size = [len(p) for p in parts]
-            if sum(size):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(keys, size))], ["token", "doc_id"])
-
-    copies = members.where("rep is not null and rep <> doc_id").select("doc_id").distinct()
-    firsts = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti")
+    firsts = members.where("rep = doc_id").groupBy("doc_id").agg(F.max("n_shingles").alias("n"))
+    keyed = docs.where("doc_id is not null")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        ids = ids.select("doc_id")
+        return keyed.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+    met = Window.partitionBy("token")
+    third = keyed.mapInArrow(emit(first_third), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
+    may = third.groupBy("doc_id").agg(F.count("*").alias("met")).join(firsts, "doc_id").where("met > floor(n / 16)").select("doc_id", "n")
+    may = cut(may)
+    common = texts_of(may).mapInArrow(emit(lambda s: s), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
+    # A document's list is no longer than the document.
+    order = F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own")
+    lead = (
+        common.groupBy("doc_id").agg(order)
+        .join(may, "doc_id")
+        .where("size(own) >= ceil(3 * n / 4)")
+        .withColumn("k", F.expr("cast(size(own) - ceil(3 * n / 4) + 1 as int)"))
+        .select("doc_id", F.explode(F.slice("own", F.lit(1), F.col("k"))).alias("x"))
+        .select("doc_id", "x.token")
+    )
     chains = (
-        firsts.mapInArrow(route, "token long, doc_id long")
-        .withColumn("hub", F.min("doc_id").over(Window.partitionBy("token")))
+        lead.withColumn("hub", F.min("doc_id").over(met))
         .where("doc_id <> hub")
         .select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
@@ -246,8 +238,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             names = [*b.schema.names[:at], *b.schema.names[at + 1 :], "shingles"]
             yield pa.RecordBatch.from_arrays([*b.columns[:at], *b.columns[at + 1 :], pa.array(bins, pa.binary())], names)
 
+    place = cut(place)
+    size = place.count()
     with_sets = (
-        docs.join(place, "doc_id")
+        keyed.join(F.broadcast(place) if size <= BROADCAST_IDS else place, "doc_id")
         .select("doc_id", "component", "blocks", "block", "text")
         .mapInArrow(sets, "doc_id long, component long, blocks int, block int, shingles binary")
     )
