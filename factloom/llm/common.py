@@ -6,6 +6,7 @@ import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,3 +74,17 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
         for i in range(n):
             acc = mix(acc * np.uint64(3) + h[i : i + m])
     return acc
+
+
+#: Rows of ids (8 bytes each) up to which they are broadcast; beyond, Spark shuffles both sides.
+BROADCAST_IDS = 1_000_000
+
+
+def bounded(ids: DataFrame) -> DataFrame:
+    """ids with a broadcast hint if they are counted and few; ids should be cheap to count (cut or read)."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is not in ids(doc_id); rows with a null doc_id stay."""
+    return docs.join(bounded(cut(ids.select("doc_id").distinct())), "doc_id", "left_anti").select(*docs.columns)

@@ -178,6 +178,17 @@ def score_quality(docs: DataFrame, net: Net) -> DataFrame:
     )
 
 
+def keep_good(docs: DataFrame, net: Net, least: float = 0.5) -> DataFrame:
+    """The rows of docs whose text scores `least` or more, with all their columns; map only."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(net), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(scores(b.column(at).to_pylist(), shared.value) >= least, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def scores(texts: list[str | None], net: Net) -> np.ndarray:
     """Probability of quality for each text, a bounded number of chunks at a time."""
     out, held, n = [], [], 0
