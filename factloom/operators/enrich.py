@@ -54,7 +54,7 @@ def parse_completions(rows: DataFrame, text: str = "completion") -> DataFrame:
             "entities": filled(j["entities"]),
             "author": F.nullif(j["author"], F.lit("")),
             "document_type": F.nullif(j["document_type"], F.lit("")),
-            "claims": F.coalesce(claims, F.array().cast(claims_type())),
+            "claims": F.coalesce(claims.cast(claims_type()), F.array().cast(claims_type())),
         }
     )
 

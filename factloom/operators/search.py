@@ -1,7 +1,8 @@
 """Full-text search, facets and simple filters."""
 
-from __future__ import annotations
+import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,11 +65,7 @@ def search(docs: DataFrame, queries: DataFrame, fields: dict[str, float], k: int
 
 def highlights(docs: DataFrame, query_terms: list[str], field: str = "content", fragments: int = 2, size: int = 160, key: str = "doc_id") -> DataFrame:
     """I4: the first `fragments` windows of `size` characters around matches, that don't overlap."""
-    import re as _re
-
-    import pandas as pd
-
-    pattern = _re.compile(r"(?i)\b(?:" + "|".join(map(_re.escape, query_terms)) + r")\b")
+    pattern = re.compile(r"(?i)\b(?:" + "|".join(map(re.escape, query_terms)) + r")\b")
 
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series) -> pd.Series:

@@ -85,7 +85,7 @@ def claim_search(spark, sf):
 
 
 @query(
-    f"WITH {V.CLAIMS}, c AS (SELECT doc_id*100+claim_idx AS id, audience, who, list_distinct(list_filter(regexp_extract_all(lower(s || ' ' || o),'[a-z0-9]+'), x -> x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not'))) AS t FROM claims WHERE audience IS NOT NULL AND who IS NOT NULL AND supp%10=3)"
+    f"WITH {V.CLAIMS}, c AS (SELECT doc_id*100+claim_idx AS id, audience, who, list_distinct(list_filter(regexp_extract_all(lower(s || ' ' || o),'[a-z0-9]+'), lambda x: x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not'))) AS t FROM claims WHERE audience IS NOT NULL AND who IS NOT NULL AND supp%10=3)"
     " SELECT l.id AS left_id, r.id AS right_id, round(len(list_intersect(l.t,r.t))/len(list_distinct(list_concat(l.t,r.t))),6) AS similarity FROM c l JOIN c r ON l.who=r.who AND l.id<r.id AND l.audience<>r.audience WHERE len(list_intersect(l.t,r.t))/len(list_distinct(list_concat(l.t,r.t)))>=0.7"
 )
 def seam_pairs(spark, sf):
@@ -114,7 +114,7 @@ def path_functions(spark, sf):
     return d.select("pk", F.lower(T.doc_stem(F.col("raw_path"))).alias("stem"), T.layer_of(F.col("raw_path")).alias("layer"), T.route(F.col("raw_path")).alias("route"), T.doc_id(F.col("raw_path"), F.col("content")).alias("doc_id"))
 
 
-@query(D + " SELECT pk, sha256(trim(regexp_replace(lower(content),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS norm, sha256(trim(regexp_replace(replace(content,'…','...'),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS squeezed, len(list_distinct(list_filter(regexp_extract_all(lower(content),'[a-z0-9]+'), x -> x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not')))) AS tokens FROM docs WHERE NOT regexp_matches(content,'[.][ \\t]*[.][ \\t]*[.]') AND NOT regexp_matches(content,'[“”„‟″«»‘’‚‛′]')")
+@query(D + " SELECT pk, sha256(trim(regexp_replace(lower(content),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS norm, sha256(trim(regexp_replace(replace(content,'…','...'),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS squeezed, len(list_distinct(list_filter(regexp_extract_all(lower(content),'[a-z0-9]+'), lambda x: x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not')))) AS tokens FROM docs WHERE NOT regexp_matches(content,'[.][ \\t]*[.][ \\t]*[.]') AND NOT regexp_matches(content,'[“”„‟″«»‘’‚‛′]')")
 def text_functions(spark, sf):
     """Normal forms of every text that holds no dot runs and smart quotes (the tests cover those)."""
     d = V.docs(spark, sf).where(~F.col("content").rlike(r"[.][ \t]*[.][ \t]*[.]|[“”„‟″«»‘’‚‛′]"))
@@ -127,10 +127,10 @@ def passthrough_text(spark, sf):
     return V.docs(spark, sf).select("pk", F.sha2(T.passthrough(F.col("content")), 256).alias("clean"))
 
 
-@query("SELECT page_id, length(regexp_replace(regexp_replace(regexp_replace(html,'<(script|style)\\b.*?</(script|style)\\s*>',' ','gis'),'<[^>]+>',' ','gs'),'[^a-z]+','','g')) AS letters FROM pages WHERE html NOT LIKE '%&%'")
+@query("SELECT page_id, length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,'<(script|style)\\b.*?</(script|style)\\s*>',' ','gis'),'<[^>]+>',' ','gs'),'&(nbsp|lt|gt|quot|middot|copy|amp);','','g'),'[^a-z]+','','g')) AS letters FROM pages")
 def stripped_tags(spark, sf):
-    """G4 over the pages without entities: lower-case letters that are left."""
-    p = V.table(spark, sf, "pages").where(~F.contains("html", F.lit("&")))
+    """Lower-case letters that are left of each page."""
+    p = V.table(spark, sf, "pages")
     return p.select("page_id", F.length(F.regexp_replace(T.strip_tags(F.col("html")), "[^a-z]+", "")).cast("long").alias("letters"))
 
 
@@ -519,3 +519,299 @@ def annotated_bodies(spark, sf):
     once = d.withColumn("content", L.annotate(F.col("content"), notes))
     _, primary = L.matters_of(F.when(F.col("pk") % 2 == 0, "case"), F.col("matters"), F.lit(None).cast("string"))
     return once.select("pk", F.sha2(L.annotate(F.col("content"), notes), 256).alias("body"), primary.alias("primary_matter"))
+
+
+# --- search, facets and filters
+
+_BM = (
+    "t AS (SELECT doc_id, regexp_extract_all(lower(text),'[\\p{L}\\p{N}]+') t FROM documents), q AS (SELECT * FROM (VALUES (1,'the'),(1,'thereble'),(2,'de'),(2,'la'),(2,'elle')) v(query_id,term)),"
+    " st AS (SELECT count(*) n, avg(len(t)) a FROM t), h AS (SELECT doc_id, len(t) dl, u.term, count(*) tf FROM (SELECT doc_id, t, unnest(t) term FROM t) u WHERE term IN (SELECT term FROM q) GROUP BY 1,2,3),"
+    " df AS (SELECT term, count(*) df FROM h GROUP BY 1), sc AS (SELECT query_id, doc_id, sum(ln(1+(n-df+0.5)/(df+0.5))*tf*2.2/(tf+1.2*(1-0.75+0.75*dl/a))) s FROM h JOIN df USING (term) JOIN q USING (term), st GROUP BY 1,2)"
+)
+
+
+@query(f"WITH {_BM} SELECT query_id, doc_id, round(s,6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) r FROM sc) WHERE r<=10")
+def bm25_search(spark, sf):
+    """Two queries at once, ten best documents each (the top-k is the feature)."""
+    queries = spark.createDataFrame([(1, "the thereble"), (2, "de la elle")], "query_id int, text string")
+    q = R.search(V.table(spark, sf, "documents"), queries, {"text": 1.0})
+    return q.select("query_id", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text),'[\\p{L}\\p{N}]+')) term FROM documents) SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM t GROUP BY 1")
+def inverted_index(spark, sf):
+    """Term and document frequencies of the whole index."""
+    postings, _ = R.build_index(V.table(spark, sf, "documents"), {"text": 1.0})
+    return postings.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
+
+
+@query()
+def search_highlights(spark, sf):
+    """I4: fragments of every document around three words."""
+    h = R.highlights(V.docs(spark, sf), ["that", "with", "les"], key="pk")
+    return h.select("pk", F.size("fragments").alias("n"), F.sha2(F.array_join("fragments", "|"), 256).alias("digest"))
+
+
+@query(D + ", e AS (SELECT 'matters' AS field, source AS value FROM docs UNION ALL SELECT 'author', author FROM docs UNION ALL SELECT 'document_type', document_type FROM docs), c AS (SELECT field, value, count(*) n FROM e GROUP BY 1,2) SELECT field, value, n FROM (SELECT *, row_number() OVER (PARTITION BY field ORDER BY n DESC, value) r FROM c) WHERE r<=20")
+def document_facets(spark, sf):
+    """The 20 most frequent values of each field (a top-k report)."""
+    return R.facets(V.docs(spark, sf), ["matters", "author", "document_type"]).select("field", "value", "n")
+
+
+@query(D + " SELECT pk FROM docs WHERE source IN ('src1','src2','src3') AND document_type='en' AND (starts_with(raw_path,'reports/') OR starts_with(raw_path,'evidence/src1/') OR starts_with(raw_path,'analysis/'))  AND NOT starts_with(raw_path,'analysis/')")
+def filtered_documents(spark, sf):
+    """B3, B4, B10"""
+    d = R.input_role(V.docs(spark, sf).withColumn("role", F.lit("input")))
+    d = R.filter_documents(d, ["src1", "src2", "src3"], document_type="en")
+    return R.filter_paths(d, ["reports/", "evidence/src1/", "analysis/"], exclude_analysis=True).select("pk")
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id=42")
+def one_document(spark, sf):
+    """B6"""
+    return R.get_document(V.table(spark, sf, "documents"), 42).select("doc_id", "n_chars")
+
+
+# --- grounding: benchmark items as quotations, documents as held texts
+
+
+def _grounding(spark, sf):
+    """Files that quote each item beside two citations; each source is one authority, held as all its texts."""
+    b = V.table(spark, sf, "benchmark")
+    i = F.col("item_id")
+    cite = lambda n: F.concat(F.lit("[2001] EWHC "), n.cast("string"), F.lit(" (Admin)"))
+    text = F.concat(F.lit('As '), cite(i % 20), F.lit(' says, "'), F.regexp_replace("text", r"\s+", " "), F.lit('" and so on.\n\n'), F.lit("x" * 300), F.lit(" See s.7 of the Human Rights Act 1998; [2001] Foo."))
+    files = b.select(F.concat(F.lit("reports/f"), i.cast("string"), F.lit(".md")).alias("file"), text.alias("text"), "item_id")
+    d = V.table(spark, sf, "documents")
+    n = F.regexp_replace("source", "src", "").cast("int")
+    primary = d.where(n < 15).select(F.concat(F.lit("authorities_primary_text/"), "source", F.lit("/"), F.lit("2001_x_EWHC_"), n.cast("string"), F.lit("_Admin_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), "text")
+    return files, primary
+
+
+_HELD = "q AS (SELECT item_id, item_id%20 AS n, trim(regexp_replace(text,'[ \\t\\n\\r]+',' ','g')) AS quote FROM benchmark), d AS (SELECT replace(source,'src','')::INT AS n, trim(regexp_replace(text,'[ \\t\\n\\r]+',' ','g')) AS t FROM documents WHERE replace(source,'src','')::INT<15), v AS (SELECT q.item_id, CASE WHEN q.n>=15 THEN 'AMBER' WHEN max(contains(d.t,q.quote)::INT)=1 THEN 'GREEN' ELSE 'RED' END AS verdict FROM q LEFT JOIN d USING (n) GROUP BY q.item_id, q.n)"
+
+
+@query(f"WITH {_HELD} SELECT 'reports/f' || item_id || '.md' AS file, verdict FROM v")
+def quote_verdicts(spark, sf):
+    """C9, C10, C12, F10, G20-G22, J1"""
+    files, primary = _grounding(spark, sf)
+    spans = G.scan(files)
+    v = G.verdicts(G.near_citations(G.quotes(spans), G.references(spans)), G.held_texts(primary))
+    return v.select("file", "verdict")
+
+
+@query(f"WITH {_HELD}, f AS (SELECT 'quote' AS kind, verdict, count(*) AS n FROM v GROUP BY 2 UNION ALL SELECT 'malformed_citation','AMBER',count(*) FROM q UNION ALL SELECT 'citation_without_source','AMBER',1+count(DISTINCT n) FROM q WHERE n>=15) SELECT kind, verdict, n FROM f")
+def grounding_counts(spark, sf):
+    """D12, F9, G18, G19, G23, C11"""
+    files, primary = _grounding(spark, sf)
+    return G.finding_counts(G.findings(files, primary))
+
+
+@query("SELECT 'stat:human rights act 1998 s7' AS key, count(*) AS files FROM benchmark UNION ALL SELECT 'ncit:2001 ewhc ' || (item_id%20) || ' admin', count(*) FROM benchmark WHERE item_id%20>=15 GROUP BY item_id%20")
+def blast_radius(spark, sf):
+    """D11"""
+    files, primary = _grounding(spark, sf)
+    return G.blast_radius(G.references(G.scan(files)), G.held_texts(primary)).select("key", "files")
+
+
+@query("SELECT count(*) AS primary_texts, (SELECT count(*) FROM benchmark) AS files_scanned FROM documents WHERE replace(source,'src','')::INT<15")
+def held_counts(spark, sf):
+    """D13"""
+    files, primary = _grounding(spark, sf)
+    return G.held_counts(G.held_texts(primary), files)
+
+
+@query("SELECT item_id, 'ncit:2001 ewhc ' || (item_id%20) || ' admin' AS keys FROM benchmark")
+def citation_keys(spark, sf):
+    """G18, built-in only"""
+    files, _ = _grounding(spark, sf)
+    return files.select("item_id", F.array_join(G.citation_keys(F.col("text")), ",").alias("keys"))
+
+
+# --- enrichment
+
+
+def _completions(spark, sf):
+    """A completion for each document: full, with a claim lacking an object, with odd types, or cut off."""
+    i = F.col("pk")
+    num = i.cast("string")
+    body = F.concat(
+        F.lit('{"summary": "s'), num, F.lit('", "keywords": ["k1", "", "k'), (i % 5).cast("string"), F.lit('"], "claims": [{"subject": "a", "predicate": "is", "object": '), num,
+        F.lit(', "polarity": '), F.when(i % 3 == 0, '"No"').otherwise("true"), F.lit(', "confidence": '), F.when(i % 4 == 0, "7").otherwise("0.5"),
+        F.lit(', "epistemic_status": "'), F.when(i % 2 == 0, "Quoted").otherwise("guess"), F.lit('"}, {"subject": "b", "predicate": "is", "object": ""}]}'),
+    )
+    return V.docs(spark, sf).withColumn("completion", F.when(i % 10 == 9, F.expr("left(content, 20)")).otherwise(body)).select("pk", "completion", F.col("author").alias("own_author"))
+
+
+@query("SELECT doc_id AS pk, CASE WHEN doc_id%10=9 THEN '' ELSE 's' || doc_id END AS summary, CASE WHEN doc_id%10=9 THEN '' ELSE 'k1,k' || (doc_id%5) END AS keywords, CASE WHEN doc_id%10=9 THEN 0 ELSE 1 END AS claims, CASE WHEN doc_id%10<>9 THEN doc_id%3<>0 END AS polarity, CASE WHEN doc_id%10<>9 AND doc_id%4<>0 THEN 0.5 END AS confidence, CASE WHEN doc_id%10<>9 AND doc_id%2=0 THEN 'quoted' END AS status FROM documents")
+def parsed_completions(spark, sf):
+    """G10"""
+    p = N.parse_completions(_completions(spark, sf))
+    c = F.get("claims", F.lit(0))
+    return p.select("pk", "summary", F.array_join("keywords", ",").alias("keywords"), F.size("claims").alias("claims"), c["polarity"].alias("polarity"), c["confidence"].alias("confidence"), c["epistemic_status"].alias("status"))
+
+
+@query("SELECT doc_id AS pk, CASE WHEN doc_id%10=9 THEN 'base,base' WHEN doc_id%5=1 THEN 'base,base,k1' ELSE 'base,base,k1,k' || (doc_id%5) END AS keywords, CASE WHEN doc_id%10<>9 THEN 'witness' END AS speaker FROM documents")
+def merged_enrichment(spark, sf):
+    """Base keywords keep their repeats; the claim source speaks every claim."""
+    p = N.parse_completions(_completions(spark, sf))
+    base = p.select("pk", F.array(F.lit("base"), F.lit("base")).alias("keywords"), F.array().cast("array<string>").alias("entities"), F.col("own_author").alias("author"), F.lit(None).cast("string").alias("document_type"), F.lit(" witness ").alias("claim_source"))
+    m = N.merge_enrichment(base, p, "pk")
+    return m.select("pk", F.array_join("keywords", ",").alias("keywords"), F.get("claims", F.lit(0))["asserted_by"].alias("speaker"))
+
+
+@query(D + " SELECT pk, CASE WHEN pk%4=0 THEN 'folder' ELSE author END AS author FROM docs")
+def overlaid_fields(spark, sf):
+    """G12"""
+    d = V.docs(spark, sf)
+    r = d.select("raw_path", F.when(F.col("pk") % 4 == 0, "folder").alias("author"))
+    return N.overlay(d, r, ["author"]).select("pk", "author")
+
+
+@query(D + " SELECT pk, author, source AS matter, no_index_category IS NOT NULL AS has_category FROM docs")
+def index_round_trip(spark, sf):
+    """To the stored JSON and back; nulls are dropped on the way and come back as null."""
+    d = V.docs(spark, sf).select("pk", "raw_path", "author", "matters", "no_index_category")
+    stored = N.index_document(d, "pk").withColumn("_id", F.concat(F.lit("gb_"), F.col("pk").cast("string")))
+    back = A.docs_from_source(stored)
+    return stored.join(back, stored["_id"] == back["doc_id"]).select("pk", "author", F.get("matters", F.lit(0)).alias("matter"), F.contains("source", F.lit("no_index_category")).alias("has_category"))
+
+
+@query("SELECT doc_id, sha256(regexp_extract(text,'^((?:\\s*(?:[0-9A-Za-z_]+|[^0-9A-Za-z_\\s])){0,100})',1)) AS lead FROM documents")
+def lead_texts(spark, sf):
+    """G28"""
+    return V.table(spark, sf, "documents").select("doc_id", F.sha2(N.lead_text(F.col("text"), 100), 256).alias("lead"))
+
+
+@query("SELECT doc_id, CASE WHEN n_chars<20 THEN 'too short' WHEN NOT contains(lower(trim(text)),'e') THEN 'text missing' ELSE 'ok' END AS verdict FROM (SELECT doc_id, text, length(trim(text)) n_chars FROM documents)")
+def extraction_expectations(spark, sf):
+    """G27"""
+    d = V.table(spark, sf, "documents")
+    none, no = F.lit(None).cast("string"), F.lit(False)
+    return d.select("doc_id", N.expectation(F.col("text"), none, F.lit(20), no, no, F.lit("E")).alias("verdict"))
+
+
+def _backwards(texts):
+    return [t[::-1] for t in texts]
+
+
+@query("SELECT doc_id, sha256(reverse(text)) AS digest, 'ok' AS status FROM documents WHERE NOT regexp_matches(text,'[^\\x00-\\x{24F}]')")
+def applied_function(spark, sf):
+    """A caller's function in batches."""
+    d = V.table(spark, sf, "documents").where(~F.col("text").rlike(r"[^\x{0}-\x{24F}]"))
+    r = N.apply_to_texts(d, _backwards, "doc_id", "text")
+    return r.select("doc_id", F.sha2("result", 256).alias("digest"), "status")
+
+
+# --- guards, stores and streams
+
+
+@query(DR + " SELECT CASE WHEN excl_kind IS NOT NULL THEN 'registry' WHEN no_index THEN 'no_index' END AS refused, CASE WHEN excl_kind IS NOT NULL THEN 'legally_obligatory' WHEN no_index THEN coalesce(no_index_category,'legally_obligatory') END AS alert_category, count(*) AS n FROM classified GROUP BY 1,2")
+def guarded_writes(spark, sf):
+    """K1, K5"""
+    return K.guarded(V.docs(spark, sf), V.registry(spark, sf), "pk").groupBy("refused", "alert_category").agg(F.count("*").alias("n"))
+
+
+@query(D + " SELECT 'kept' AS part, count(*) AS n FROM docs WHERE NOT (starts_with(raw_path,'telegram/') OR starts_with(raw_path,'exhibits/src0')) UNION ALL SELECT 'removed', count(*) FROM docs WHERE starts_with(raw_path,'telegram/') OR starts_with(raw_path,'exhibits/src0')")
+def deindexed(spark, sf):
+    """K2"""
+    kept, gone = K.deindex(V.docs(spark, sf), ["telegram/", "exhibits/src0"])
+    return kept.select(F.lit("kept").alias("part")).unionByName(gone.select(F.lit("removed").alias("part"))).groupBy("part").agg(F.count("*").alias("n"))
+
+
+@query(D + " SELECT pk FROM docs WHERE in_index AND present")
+def tombstoned(spark, sf):
+    """K3"""
+    d = V.docs(spark, sf)
+    return K.tombstone(d.where("in_index"), d.where("present")).select("pk")
+
+
+@query(D + " SELECT array_to_string(list_filter([CASE WHEN pk%6=0 THEN 'primary_matter' END, CASE WHEN pk%5=0 THEN 'sensitivity' END, CASE WHEN pk%7=0 THEN 'source_channel' END], lambda x: x IS NOT NULL),',') AS errors, count(*) AS n FROM docs GROUP BY 1")
+def validation_errors(spark, sf):
+    """K6"""
+    i = F.col("pk")
+    e = K.validation_errors(F.col("matters"), F.when(i % 6 == 0, "other").otherwise(F.col("source")), F.when(i % 5 == 0, "odd").otherwise(F.col("sensitivity")), F.lit("served"), F.when(i % 7 == 0, "odd").otherwise("unknown"))
+    return V.docs(spark, sf).groupBy(F.array_join(e, ",").alias("errors")).agg(F.count("*").alias("n"))
+
+
+@query(D + " SELECT pk, CASE WHEN pk%2=0 THEN 2 ELSE 1 END AS ingested_at FROM docs")
+def upserted(spark, sf):
+    """Every second document comes again, twice."""
+    d = V.docs(spark, sf).select("pk")
+    new = d.where("pk % 2 = 0").withColumn("ingested_at", F.lit(2))
+    once = K.upsert(d.withColumn("ingested_at", F.lit(1)), new, "pk")
+    return K.upsert(once, new, "pk")
+
+
+@query(D + " SELECT CASE WHEN no_index THEN 'no_index' ELSE 'written' END AS outcome, count(*) AS n FROM docs GROUP BY 1")
+def extracted_outcomes(spark, sf):
+    """A9, A11"""
+    d = V.docs(spark, sf).withColumnRenamed("pk", "doc_id")
+    return K.extracted_rows(d).groupBy(F.coalesce("refused", F.lit("written")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query(D + " SELECT pk AS idx, raw_path, CASE WHEN pk%2=0 THEN 'deindex' ELSE 'manual' END AS source, CASE WHEN pk%3=0 THEN sha256 END AS raw_sha256 FROM docs WHERE pk%10>=3")
+def parsed_exclusions(spark, sf):
+    """A4, A5: registry lines with comments, blanks and broken ones."""
+    i = F.col("pk")
+    rec = F.to_json(F.struct("raw_path", F.lit("r").alias("reason"), F.when(i % 2 == 0, "deindex").alias("source"), F.when(i % 3 == 0, F.upper("sha256")).alias("raw_sha256")))
+    line = F.when(i % 10 == 0, "# note").when(i % 10 == 1, "  ").when(i % 10 == 2, '{"raw_path": ').otherwise(rec)
+    r = A.parse_exclusions(V.docs(spark, sf).select(line.alias("value"), i.alias("pos")))
+    return r.select("idx", "raw_path", "source", "raw_sha256")
+
+
+@query(D + " SELECT pk, 'gb_' || sha256(raw_path || chr(0) || 'body ' || pk) AS doc_id, CASE WHEN pk%8<>0 THEN author END AS author, CASE WHEN pk%8=0 THEN 'no raw_path' END AS error FROM docs WHERE pk%9<>0 AND pk%8<>0 UNION ALL SELECT pk, NULL, NULL, 'no raw_path' FROM docs WHERE pk%9<>0 AND pk%8=0")
+def frontmatter_documents(spark, sf):
+    """A7"""
+    i = F.col("pk")
+    text = F.concat(F.lit("---\nauthor: "), "author", F.lit("\nraw_path: "), "raw_path", F.lit("\n---\nbody "), i.cast("string"))
+    path = F.concat(F.lit("x/"), i.cast("string"), F.when(i % 9 == 0, "/README.md").otherwise(".md"))
+    d = A.docs_from_frontmatter(V.docs(spark, sf).select(path.alias("path"), F.when(i % 8 == 0, F.concat(F.lit("body "), i.cast("string"))).otherwise(text).alias("text")))
+    num = F.regexp_extract("content", r"(\d+)\s*$", 1).cast("long")
+    return d.select(num.alias("pk"), F.col("doc_id"), F.col("meta")["author"].alias("author"), "error")
+
+
+@query("SELECT epoch_us(date_trunc('hour',ts)) AS start, CASE event_id%4 WHEN 0 THEN 'received' WHEN 1 THEN 'extracted' WHEN 2 THEN 'enriched' ELSE 'indexed' END AS stage, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'skipped' ELSE 'ok' END AS status, count(*) AS n FROM events GROUP BY 1,2,3")
+def live_counts(spark, sf):
+    """L7 over the whole table; the tests run the same function as a stream."""
+    return J.live_counts(V.events(spark, sf)).select(F.unix_micros("start").alias("start"), "stage", "status", "n")
+
+
+@query("WITH w AS (SELECT ts, epoch(ts)-epoch(lag(ts) OVER (ORDER BY ts))>=900 AS new FROM events), s AS (SELECT ts, sum(coalesce(new,true)::INT) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING) g FROM w) SELECT epoch_us(min(ts)) AS start, count(*) AS n FROM s GROUP BY g")
+def activity_sessions(spark, sf):
+    """Sessions that a quarter of an hour without events ends."""
+    return J.activity(V.events(spark, sf)).select(F.unix_micros("start").alias("start"), "n")
+
+
+@query("WITH p AS (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) prev FROM events) SELECT event_id FROM p WHERE prev IS NULL OR floor(epoch(ts))-floor(epoch(prev))>120")
+def deduplicated_triggers(spark, sf):
+    """L1, batch twin: users as commits."""
+    t = V.events(spark, sf).select(F.col("user_id").cast("string").alias("sha"), "ts", "event_id")
+    return J.dedup_batch(t).select("event_id")
+
+
+@query("WITH a AS (SELECT user_id, event_id%7 AS attempt, event_type FROM events), l AS (SELECT user_id, max(attempt) m FROM a GROUP BY 1), r AS (SELECT a.user_id, l.m, bool_and(event_type IN ('view','click')) done FROM a JOIN l ON l.user_id=a.user_id AND l.m=a.attempt GROUP BY 1,2) SELECT user_id::VARCHAR AS sha, m::INT AS attempt, CASE WHEN done THEN 'ack' WHEN m>=5 THEN 'dead_letter' ELSE 'retry' END AS action FROM r WHERE m>0")
+def delivery_actions(spark, sf):
+    """L4, batch twin: users as commits, event types as file results."""
+    s = F.when(F.col("event_type").isin("view", "click"), "indexed").otherwise("failed")
+    e = V.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("sha"), (F.col("event_id") % 7).cast("int").alias("attempt"), s.alias("s"))
+    a = e.groupBy("sha", "attempt").agg(F.collect_list("s").alias("statuses"))
+    return J.delivery_state(a).where("attempt > 0").select("sha", "attempt", "action")
+
+
+@query("SELECT event_id AS event_id, event_type='error' AS poison FROM events")
+def parsed_triggers(spark, sf):
+    """L2: messages without a readable commit are set apart."""
+    body = F.to_json(F.struct(F.when(F.col("event_type") != "error", F.col("event_id").cast("string")).alias("sha"), "ts"))
+    e = V.table(spark, sf, "events")
+    good, bad = J.parse_triggers(e.select(F.when(F.col("event_type") == "error", F.concat(F.lit("{x "), F.col("event_id").cast("string"))).otherwise(body).alias("value")))
+    return good.select(F.col("sha").cast("long").alias("event_id"), F.lit(False).alias("poison")).unionByName(bad.select(F.regexp_extract("value", r"(\d+)", 1).cast("long").alias("event_id"), F.lit(True).alias("poison")))
+
+
+@query(D + " SELECT pk, CASE WHEN pk%5=0 THEN false ELSE true END AS resolved, CASE WHEN pk%5<>0 THEN raw_path END AS path FROM docs WHERE pk%5=0 OR (pk%6<>0 AND ext<>'mp4')")
+def resolved_changes(spark, sf):
+    """L3: a commit for each document; some commits are unknown, some changes are deletions."""
+    d = V.docs(spark, sf)
+    i = F.col("pk")
+    changes = d.where("pk % 5 <> 0").select(i.alias("commit"), F.when(i % 6 == 0, "D").otherwise("M").alias("status"), F.col("raw_path").alias("path"))
+    return J.changed_files(d.select(i.alias("sha"), F.lit(0).alias("ts")), changes).select(F.col("sha").alias("pk"), "resolved", "path")

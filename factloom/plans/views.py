@@ -111,7 +111,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     stage = F.get(F.array(*map(F.lit, ("received", "extracted", "enriched", "indexed"))), (i % 4).cast("int"))
     status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "view", "skipped").otherwise("ok")
     return e.select(
-        "event_id", "ts", stage.alias("stage"), status.alias("status"), F.when(i % 11 != 0, F.sha2(F.col("user_id").cast("string"), 256)).alias("sha256"),
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), stage.alias("stage"), status.alias("status"), F.when(i % 11 != 0, F.sha2(F.col("user_id").cast("string"), 256)).alias("sha256"),
         F.concat(F.lit("doc_"), (F.col("user_id") % 40).cast("string")).alias("doc_id"), F.concat(F.lit("raw/"), F.col("user_id").cast("string")).alias("raw_path"),
         F.get_json_object("props", "$.k").alias("reason"), F.lit("worker").alias("component"), "user_id",
     )
