@@ -24,12 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, mix, ngram_hashes, read
+from .common import WordHashes, bounded, cut, mix, ngram_hashes, read
 from .components import components
 
 WORDS = 5
-#: Ids of documents up to which their texts are found by a broadcast.
-BROADCAST_IDS = 1_000_000
 #: Documents in a block of one task, and smallest documents of a component that every block is searched for.
 BLOCK, HUBS = 4_000, 8
 #: Shingles that a task's blocks hold together, about.
@@ -198,8 +196,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     keyed = docs.where("doc_id is not null")
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        ids = ids.select("doc_id")
-        return keyed.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+        return keyed.join(bounded(ids.select("doc_id")), "doc_id", "left_semi")
 
     met = Window.partitionBy("token")
     third = keyed.mapInArrow(emit(first_third), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
@@ -238,10 +235,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             names = [*b.schema.names[:at], *b.schema.names[at + 1 :], "shingles"]
             yield pa.RecordBatch.from_arrays([*b.columns[:at], *b.columns[at + 1 :], pa.array(bins, pa.binary())], names)
 
-    place = cut(place)
-    size = place.count()
     with_sets = (
-        keyed.join(F.broadcast(place) if size <= BROADCAST_IDS else place, "doc_id")
+        keyed.join(bounded(cut(place)), "doc_id")
         .select("doc_id", "component", "blocks", "block", "text")
         .mapInArrow(sets, "doc_id long, component long, blocks int, block int, shingles binary")
     )
