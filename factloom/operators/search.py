@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: Public defaults of BM25.
 K1, B = 1.2, 0.75
+#: Query terms of a batch that are looked up inside rows; more are joined on.
+FEW_TERMS = 200
 
 
 def terms(text: Column) -> Column:
@@ -36,14 +38,18 @@ def search(docs: DataFrame, queries: DataFrame, fields: dict[str, float], k: int
     """
     asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
     wanted = asked.select("term").distinct()
-    want = F.broadcast(wanted.agg(F.collect_set("term").alias("want")))  # the terms of one batch of queries
+    few = wanted.count() <= FEW_TERMS
     own = [F.struct(F.lit(f).alias("field"), F.lit(float(w)).alias("weight"), terms(F.col(f)).alias("t")) for f, w in fields.items()]
     each = docs.select(key, F.explode(F.array(*own)).alias("f")).select(key, "f.field", "f.weight", "f.t")
     stats = each.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg(F.size("t")).alias("avgdl"))
+    if few:  # the filter runs inside each row
+        want = F.broadcast(wanted.agg(F.collect_set("term").alias("want")))
+        own = each.crossJoin(want).withColumn("t2", F.filter("t", lambda x: F.array_contains(F.col("want"), x)))  # one row
+        rows = own.select(key, "field", "weight", F.size("t").alias("dl"), F.explode("t2").alias("term"))
+    else:
+        rows = each.select(key, "field", "weight", F.size("t").alias("dl"), F.explode("t").alias("term")).join(wanted, "term", "left_semi")
     hits = (
-        each.crossJoin(want)  # one row
-        .select(key, "field", "weight", F.size("t").alias("dl"), F.explode(F.filter("t", lambda x: F.array_contains(F.col("want"), x))).alias("term"))
-        .groupBy(key, "field", "weight", "dl", "term")
+        rows.groupBy(key, "field", "weight", "dl", "term")
         .agg(F.count("*").alias("tf"))
     )
     df = hits.groupBy("field", "term").agg(F.count("*").alias("df"))
