@@ -10,6 +10,7 @@ from .decontamination import op9_decontamination
 from .html_text import op4_html_extraction
 from .jaccard_join import op6_jaccard_join
 from .katz import op10_lm_scoring
+from .oracle import EMBEDDINGS, JACCARD, LEAKS, SUBSTRINGS
 from .packing import op7_best_fit_packing
 from .quality import op3_quality_classifier
 from .secrets import op8_secret_scan
@@ -30,4 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others can't be put in SQL: trained or packed results, tokenizers, offsets, floating-point models.
+ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": EMBEDDINGS,
+    "op2_substring_dedup": SUBSTRINGS,
+    "op6_jaccard_join": JACCARD,
+    "op9_decontamination": LEAKS,
+}
