@@ -13,7 +13,7 @@ P(w) = d(c) * c(w) / N for a known word, and the mass that is left for the one u
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +30,7 @@ ROWS, K = 2048, 5
 UNKNOWN, END, START, FIRST = 0, 1, 2, 3
 _PART = "part int, chunk long, kind int, a binary, b binary, c binary, d binary, e binary"
 _NAMES = ["part", "chunk", "kind", "a", "b", "c", "d", "e"]
-WORD_ASK, WORD_GOT, PAIR_ASK, PAIR_GOT, STATS, MODEL = range(6)
+WORD_ASK, WORD_GOT, PAIR_ASK, PAIR_GOT, STATS, TEXTS = range(6)
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -104,19 +104,23 @@ def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
 
 
 class Layout:
-    """One chunk's words as local numbers, in a form that every pass makes alike."""
+    """One chunk's words as numbers of their place among the chunk's sorted words."""
 
-    def __init__(self, texts: list[str | None], learn: list[bool], hashes: WordHashes):
+    def __init__(self, local: np.ndarray, size: np.ndarray, learn: np.ndarray):
+        self.local, self.size, self.learn = local, size, learn
+
+    @staticmethod
+    def read(texts: list[str | None], learn: list[bool], hashes: WordHashes) -> tuple[Layout, np.ndarray]:
         own = [hashes.of(t.encode("utf-8", "surrogatepass").lower().split()) if t else np.empty(0, np.uint64) for t in texts]
-        self.size = np.array([len(h) for h in own], np.int64)
-        self.learn = np.array(learn, bool)
-        flat = np.concatenate(own) if own else np.empty(0, np.uint64)
-        self.words, self.local = np.unique(flat, return_inverse=True)
-        self.counts = np.bincount(self.local[np.repeat(self.learn, self.size)], minlength=len(self.words))
+        words, local = np.unique(np.concatenate(own), return_inverse=True)
+        return Layout(local, np.array([len(h) for h in own], np.int64), np.array(learn, bool)), words
+
+    def counts(self, words: int) -> np.ndarray:
+        return np.bincount(self.local[np.repeat(self.learn, self.size)], minlength=words)
 
     def pairs(self, ids: np.ndarray, counts: np.ndarray, ends: int, parts: int) -> None:
         """Distinct pairs in order of (part, history, word), and each token's pair."""
-        v = len(self.words)
+        v = len(ids)
         known = np.concatenate((ids, [END, START]))  # local numbers v: end, v + 1: start
         seq = np.full(int((self.size + 2).sum()), v, np.int64)
         begin = np.cumsum(self.size + 2) - self.size - 2
@@ -151,14 +155,11 @@ def _blocks(info: pd.DataFrame, kind: int) -> pd.DataFrame:
     return info[info["kind"] == kind].sort_values("part")
 
 
-def _words_of_chunk(lay: Layout, info: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _words_of_chunk(info: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     got = _blocks(info, WORD_GOT)
     empty = np.empty(0, np.int64)
     ids = np.concatenate([empty, *(unpack(b, np.int64) for b in got["a"])])
-    counts = np.concatenate([empty, *(unpack(b, np.int64) for b in got["b"])])
-    if len(ids) != len(lay.words):
-        raise RuntimeError("a chunk's words changed between passes")
-    return ids, counts
+    return ids, np.concatenate([empty, *(unpack(b, np.int64) for b in got["b"])])
 
 
 def _row(part: int, chunk: int, kind: int, *blobs: bytes) -> tuple:
@@ -171,31 +172,51 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], _NAMES)
 
 
-def _count_words(parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, texts, learn, now = WordHashes(), [], [], None
-
-        def flush() -> pa.RecordBatch:
-            lay = Layout(texts, learn, hashes)
-            edge = _bounds(_word_part(lay.words, parts), parts)
-            rows = [_row(p, now, WORD_ASK, pack(lay.words[a:z]), pack(lay.counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
-            ends = np.array([sum(learn), len(texts)], np.int64)
-            return _batch([*rows, _row(0, now, STATS, pack(ends))])
+def _each_chunk(make: Callable[[int, list, list, list, WordHashes], list[tuple]]) -> Callable:
+    """A mapInArrow function over (chunk, doc_id, held_out, text) that calls make for each run of a chunk."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, now = WordHashes(), None
+        ids, held, texts = [], [], []
         for b in batches:
-            for chunk, train, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            for chunk, i, h, text in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3), strict=True):
                 if chunk != now and texts:
-                    yield flush()
-                    texts, learn = [], []
+                    yield _batch(make(now, ids, held, texts, hashes))
+                    ids, held, texts = [], [], []
                 now = chunk
+                ids.append(i)
+                held.append(h)
                 texts.append(text.as_py())
-                learn.append(bool(train))
         if texts:
-            yield flush()
+            yield _batch(make(now, ids, held, texts, hashes))
 
     return run
 
 
+def _ask_words(parts: int) -> Callable:
+    def make(chunk: int, ids: list, held: list, texts: list, hashes: WordHashes) -> list[tuple]:
+        learn = [h is False for h in held]
+        lay, words = Layout.read(texts, learn, hashes)
+        counts, edge = lay.counts(len(words)), _bounds(_word_part(words, parts), parts)
+        rows = [_row(p, chunk, WORD_ASK, pack(words[a:z]), pack(counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
+        return [*rows, _row(0, chunk, STATS, pack(np.array([sum(learn)], np.int64)))]
+
+    return _each_chunk(make)
+
+
+def _lay_out(chunk: int, ids: list, held: list, texts: list, hashes: WordHashes) -> list[tuple]:
+    """A chunk as one row: word numbers, words of each text, held out (2: no id), ids (0 where null)."""
+    lay, _ = Layout.read(texts, [h is False for h in held], hashes)
+    state = np.array([2 if h is None else int(h) for h in held], np.uint8)
+    return [_row(0, chunk, TEXTS, pack(lay.local.astype(np.int32)), pack(lay.size), pack(state), pack(np.array([i or 0 for i in ids], np.int64)))]
+
+
+def _read_layout(docs: pd.DataFrame) -> tuple[Layout, np.ndarray, np.ndarray]:
+    r = docs.iloc[0]
+    state = unpack(r["c"], np.uint8)
+    return Layout(unpack(r["a"], np.int32).astype(np.int64), unpack(r["b"], np.int64), state == 0), state, unpack(r["d"], np.int64)
+
+
 def _merge_words(parts: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
@@ -227,8 +248,8 @@ def _count_pairs(parts: int, words: Words):
     def run(docs: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame([], columns=_NAMES)
-        lay, chunk = _chunk_layout(docs), int(docs["chunk"].iloc[0])
-        lay.pairs(*_words_of_chunk(lay, info), words.ends, parts)
+        lay, chunk = _read_layout(docs)[0], int(docs["chunk"].iloc[0])
+        lay.pairs(*_words_of_chunk(info), words.ends, parts)
         edge, rows = _bounds(lay.part, parts), []
         for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)):
             if z > a:
@@ -269,7 +290,6 @@ def _merge_pairs(words: Words):
             a = z
         nr = np.bincount(np.minimum(total[seen & (tw != UNKNOWN)], K + 2), minlength=K + 3)
         rows.append(_row(part, -1, STATS, pack(nr[1 : K + 2].astype(np.int64))))
-        rows.append(_row(part, -1, MODEL, pack(np.diff(known[th[seen]], prepend=0)), pack(tw[seen]), pack(total[seen])))
         return pd.DataFrame(rows, columns=_NAMES)
 
     return run
@@ -295,9 +315,8 @@ def _score(parts: int, words: Words, d: np.ndarray):
         cols = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         if not len(docs):
             return pd.DataFrame([], columns=cols)
-        docs = docs.sort_values("at")
-        lay = _chunk_layout(docs)
-        lay.pairs(*_words_of_chunk(lay, info), words.ends, parts)
+        lay, state, ids = _read_layout(docs)
+        lay.pairs(*_words_of_chunk(info), words.ends, parts)
         got = _blocks(info, PAIR_GOT)
         empty = np.empty(0, np.int64)
         pair = np.concatenate([empty, *(unpack(b, np.int64) for b in got["a"])])
@@ -317,8 +336,8 @@ def _score(parts: int, words: Words, d: np.ndarray):
             logp = np.log10(p)[lay.pair_of]
         return pd.DataFrame(
             {
-                "doc_id": docs["doc_id"].array,
-                "held_out": docs["held_out"].array,
+                "doc_id": pd.array([None if t == 2 else i for t, i in zip(state, ids.tolist(), strict=True)], "Int64"),
+                "held_out": pd.array([None if t == 2 else bool(t) for t in state], "boolean"),
                 "n_tokens": lay.size + 1,
                 "n_known": np.add.reduceat((count > 0).astype(np.int64), first),
                 "base_score": np.add.reduceat(base, first),
@@ -330,12 +349,6 @@ def _score(parts: int, words: Words, d: np.ndarray):
     return run
 
 
-def _chunk_layout(docs: pd.DataFrame) -> Layout:
-    docs = docs.sort_values("at")
-    held = docs["held_out"]
-    return Layout(docs["text"].tolist(), (held.notna() & (held == False)).tolist(), WordHashes())  # noqa: E712
-
-
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0
 
@@ -346,23 +359,20 @@ def katz_scores(stored: DataFrame, part_words: int = 1_500_000) -> DataFrame:
     stored: a plain read of files with doc_id and text; a chunk is made of rows that stand together in a
     file. Null and empty texts are one end token. A null doc_id has null held_out and teaches nothing.
     Repeated rows count and score again. No training rows: every token is the one unknown word of
-    probability 1 (score 0). Other columns are left out. The model's pairs stay in the checkpointed
-    table as MODEL blocks, one for each part.
+    probability 1 (score 0). Other columns are left out. The counts are kept in checkpointed tables,
+    partitioned by part; each pass lays a chunk out anew, as that moves less than keeping it.
     """
     place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.floor(F.col("_metadata.row_index") / ROWS))
-    docs = stored.select(
-        place.alias("chunk"), F.col("_metadata.row_index").alias("at"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).withColumn("held_out", held_out(F.col("doc_id")))
+    docs = stored.select(place.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, min(1 << 20, math.ceil(chars / 6 / part_words)))
-    asked = docs.select("chunk", ~F.coalesce("held_out", F.lit(True)), "text").mapInArrow(_count_words(parts), _PART)
-    got = cut(asked.groupBy("part").applyInPandas(_merge_words(parts), _PART))
+    got = cut(docs.mapInArrow(_ask_words(parts), _PART).groupBy("part").applyInPandas(_merge_words(parts), _PART))
     sums = np.zeros(K + 4, np.int64)
     for r in got.where(f"kind = {STATS}").select("a").toLocalIterator():  # a few numbers for each part
         sums += unpack(bytes(r[0]), np.int64)
     words = word_stats(int(sums[0]), int(sums[1]), int(sums[2]), np.concatenate(([0], sums[3:])))
     ids = got.where(f"kind = {WORD_GOT}")
-    by_chunk = docs.groupBy("chunk")
+    by_chunk = docs.mapInArrow(_each_chunk(_lay_out), _PART).groupBy("chunk")
     pairs = by_chunk.cogroup(ids.groupBy("chunk")).applyInPandas(_count_pairs(parts, words), _PART)
     back = cut(pairs.groupBy("part").applyInPandas(_merge_pairs(words), _PART))
     n = np.zeros(K + 1, np.int64)
