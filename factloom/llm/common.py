@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +46,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """word -> 64-bit hash, remembered up to a bound; the memory is bounded, the hash isn't affected."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -88,3 +92,30 @@ def bounded(ids: DataFrame) -> DataFrame:
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is not in ids(doc_id); rows with a null doc_id stay."""
     return docs.join(bounded(cut(ids.select("doc_id").distinct())), "doc_id", "left_anti").select(*docs.columns)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on, and the next stage needs the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def sliced(run: Callable, rows: int = 1024) -> Callable:
+    """A mapInArrow function that sees its batches in slices of so many rows, and gives memory back at its end."""
+
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a in range(0, b.num_rows, rows):
+                yield b.slice(a, rows)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(slices(batches))
+        finally:
+            give_back()
+
+    return whole

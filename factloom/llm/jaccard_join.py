@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded, cut, mix, ngram_hashes, read
+from .common import WordHashes, bounded, cut, mix, ngram_hashes, read, sliced
 from .components import components
 
 WORDS = 5
@@ -185,7 +185,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
         return run
 
-    info = docs.mapInArrow(survey, "doc_id long, n long, h1 long, h2 long")
+    info = docs.mapInArrow(sliced(survey), "doc_id long, n long, h1 long, h2 long")
     info = cut(info)
     classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     members = info.join(classes, ["h1", "h2"], "left").select(
@@ -199,10 +199,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         return keyed.join(bounded(ids.select("doc_id")), "doc_id", "left_semi")
 
     met = Window.partitionBy("token")
-    third = keyed.mapInArrow(emit(first_third), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
+    third = keyed.mapInArrow(sliced(emit(first_third)), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
     may = third.groupBy("doc_id").agg(F.count("*").alias("met")).join(firsts, "doc_id").where("met > floor(n / 16)").select("doc_id", "n")
     may = cut(may)
-    common = texts_of(may).mapInArrow(emit(lambda s: s), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
+    common = texts_of(may).mapInArrow(sliced(emit(lambda s: s)), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
     # A document's list is no longer than the document.
     order = F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own")
     lead = (
@@ -238,7 +238,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     with_sets = (
         keyed.join(bounded(cut(place)), "doc_id")
         .select("doc_id", "component", "blocks", "block", "text")
-        .mapInArrow(sets, "doc_id long, component long, blocks int, block int, shingles binary")
+        .mapInArrow(sliced(sets), "doc_id long, component long, blocks int, block int, shingles binary")
     )
     with_sets = cut(with_sets.dropDuplicates(["doc_id"]))
     total = with_sets.agg(F.sum(F.length("shingles") / 8).alias("n"), F.max("blocks").alias("b")).first()

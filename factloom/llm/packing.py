@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, read, sliced
 from .tokens import encoder
 
 Bins = list[tuple[int, list[tuple[int, int]]]]  # (how many equal bins, [(length, copies in each)])
@@ -46,7 +46,7 @@ def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> D
                     )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long"
+        sliced(run, 4096), "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, sliced
 
 CHUNK, OVERLAP = 512, 32
 WIDTH, STRIDE, EMBED, FILTERS = 8, 2, 8, 24
@@ -173,7 +173,7 @@ def score_quality(docs: DataFrame, net: Net) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores(b.column(1).to_pylist(), shared.value), pa.float64())], ["doc_id", "score"])
 
-    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
+    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(sliced(run), "doc_id long, score double")
     return scored.select(
         "doc_id",
         F.expr("crc32(cast(cast(doc_id as string) as binary)) % 3 = 1").alias("held_out"),
@@ -190,7 +190,7 @@ def keep_good(docs: DataFrame, net: Net, least: float = 0.5) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(scores(b.column(at).to_pylist(), shared.value) >= least, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(sliced(run), docs.schema)
 
 
 def scores(texts: list[str | None], net: Net) -> np.ndarray:

@@ -1,18 +1,17 @@
 """Secret scans: fixed patterns, and sliding-window Shannon entropy per character class."""
 
-
+from __future__ import annotations
 
 import hashlib
 import math
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, sliced
 
 KINDS = ("assign", "access", "hex", "entropy")
 _KEYWORDS = ("passw", "secret", "token", "api")
@@ -132,22 +131,25 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     Null and clean texts come back unchanged, no row goes, every column stays.
     """
 
-    @F.pandas_udf("string")
-    def cleaned(texts: pd.Series) -> pd.Series:
-        def one(t: str | None) -> str | None:
-            spans = scan(t)[1]
-            if not spans:
-                return t
-            out, at = [], 0
-            for a, _, z in spans:
-                if a >= at:
-                    out += [t[at:a], mark]
-                at = max(at, z)
-            return "".join([*out, t[at:]])
-
-        return texts.map(one, na_action="ignore")
-
-    out = docs.withColumn("text", cleaned("text"))
+    at = docs.columns.index("text")
+
+    def one(t: str | None) -> str | None:
+        spans = scan(t)[1]
+        if not spans:
+            return t
+        parts, end = [], 0
+        for a, _, z in spans:
+            if a >= end:
+                parts += [t[end:a], mark]
+            end = max(end, z)
+        return "".join([*parts, t[end:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            clean = pa.array([one(t.as_py()) for t in b.column(at)], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], clean, *b.columns[at + 1 :]], b.schema.names)
+
+    out = docs.mapInArrow(sliced(run), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -43,8 +43,8 @@ class Encoder:
     library and remembered, up to a bound. Texts of other shapes take careful or whole encoding.
     """
 
-    LIMIT = 700_000
-    CHUNK = 4 << 20
+    LIMIT = 200_000
+    CHUNK = 2 << 20
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
