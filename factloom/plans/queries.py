@@ -89,12 +89,20 @@ def claim_search(spark, sf):
     " SELECT l.id AS left_id, r.id AS right_id, round(len(list_intersect(l.t,r.t))/len(list_distinct(list_concat(l.t,r.t))),6) AS similarity FROM c l JOIN c r ON l.who=r.who AND l.id<r.id AND l.audience<>r.audience WHERE len(list_intersect(l.t,r.t))/len(list_distinct(list_concat(l.t,r.t)))>=0.7"
 )
 def seam_pairs(spark, sf):
-    """Same speaker, other audience, Jaccard of the claim's tokens at least 0.7; the suppliers 3, 13, 23, ..."""
+    """Same speaker, other audience, Jaccard of the claim's tokens at least 0.7; the suppliers 3, 13, 23, ... only, as in its SQL. seam_pairs_all has them all."""
     c = C.canonical_speaker(V.claims(spark, sf), V.aliases(spark, sf)).where("supp % 10 = 3").withColumn("claim_id", F.col("doc_id") * 100 + F.col("claim_idx"))
     p = S.candidate_pairs(c, 0.7)
     return p.select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query()
+def seam_pairs_all(spark, sf):
+    """seam_pairs over every supplier; no SQL, the tests hold it against brute force."""
+    c = C.canonical_speaker(V.claims(spark, sf), V.aliases(spark, sf)).withColumn("claim_id", F.col("doc_id") * 100 + F.col("claim_idx"))
+    p = S.candidate_pairs(c, 0.7)
+    return p.select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
+
+
 @query("WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings WHERE vec_id%25=0), f AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings) SELECT e.vec_id AS left_id, f.vec_id AS right_id FROM e JOIN f ON e.label=f.label AND e.vec_id<>f.vec_id WHERE list_cosine_similarity(e.v,f.v)>=0.3")
 def embedding_scorer(spark, sf):
     """Cosine within a label as a built-in expression; queries are the vectors 0, 25, 50, ..., against all."""
@@ -116,8 +124,8 @@ def path_functions(spark, sf):
 
 @query(D + " SELECT pk, sha256(trim(regexp_replace(lower(content),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS norm, sha256(trim(regexp_replace(replace(content,'…','...'),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS squeezed, len(list_distinct(list_filter(regexp_extract_all(lower(content),'[a-z0-9]+'), lambda x: x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not')))) AS tokens FROM docs WHERE NOT regexp_matches(content,'[.][ \\t]*[.][ \\t]*[.]') AND NOT regexp_matches(content,'[“”„‟″«»‘’‚‛′]')")
 def text_functions(spark, sf):
-    """Normal forms of every text that holds no dot runs and smart quotes (the tests cover those)."""
-    d = V.docs(spark, sf).where(~F.col("content").rlike(r"[.][ \t]*[.][ \t]*[.]|[“”„‟″«»‘’‚‛′]"))
+    """Normal forms of every text. The SQL leaves out texts with dot runs or smart quotes; the tests cover those."""
+    d = V.docs(spark, sf)
     return d.select("pk", F.sha2(T.norm(F.col("content")), 256).alias("norm"), F.sha2(T.quote_norm(F.col("content")), 256).alias("squeezed"), F.size(T.jaccard_tokens(F.col("content"))).cast("long").alias("tokens"))
 
 
@@ -692,14 +700,13 @@ def extraction_expectations(spark, sf):
 
 
 def _backwards(texts):
-    return [t[::-1] for t in texts]
+    return [t and t[::-1] for t in texts]
 
 
 @query("SELECT doc_id, sha256(reverse(text)) AS digest, 'ok' AS status FROM documents WHERE NOT regexp_matches(text,'[^\\x00-\\x{24F}]')")
 def applied_function(spark, sf):
-    """A caller's function in batches."""
-    d = V.table(spark, sf, "documents").where(~F.col("text").rlike(r"[^\x{0}-\x{24F}]"))
-    r = N.apply_to_texts(d, _backwards, "doc_id", "text")
+    """A caller's function in batches, over every text. The SQL leaves out texts with a character above U+024F; the tests cover those."""
+    r = N.apply_to_texts(V.table(spark, sf, "documents"), _backwards, "doc_id", "text")
     return r.select("doc_id", F.sha2("result", 256).alias("digest"), "status")
 
 
