@@ -8,7 +8,7 @@ are filled consistently, that is, if each value of the item always stands for on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bounded, cut, read, without
@@ -40,8 +40,8 @@ def template(token: Column) -> Column:
     )
 
 
-def _windows(token: Column, step: int) -> Column:
-    """array<struct<pos, literal, w>>: each step-th window's position, literal words and hash.
+def _windows(token: Column, literal: bool = False) -> Column:
+    """array<struct<pos, w>>: each window's position and hash; with literal also its number of literal words.
 
     The one-element transform binds the template tokens once for all windows.
     """
@@ -49,11 +49,11 @@ def _windows(token: Column, step: int) -> Column:
     def of(t: Column) -> Column:
         def window(i: Column) -> Column:
             own = [F.get(t, i + k) for k in range(WORDS)]
-            literal = sum(F.when(F.substring(x, 1, 1) == "#", 0).otherwise(1) for x in own)
-            return F.struct(i.alias("pos"), literal.alias("literal"), F.xxhash64(*own).alias("w"))
+            more = [sum(F.when(F.substring(x, 1, 1) == "#", 0).otherwise(1) for x in own).alias("literal")] if literal else []
+            return F.struct(i.alias("pos"), F.xxhash64(*own).alias("w"), *more)
 
         n = F.size(t) - WORDS
-        return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0)), F.lit(step)), window))
+        return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), window))
 
     return F.get(F.transform(F.array(F.transform(token, template)), of), F.lit(0))
 
@@ -65,20 +65,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
 
     Rows with a null id and null or empty texts match nothing, nor do items of fewer than five tokens.
     Rows that repeat a doc_id count as one document, rows that repeat an item as one item. Other columns
-    are left out. Windows of fewer than two literal words count, but find no document by themselves.
+    are left out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("tok")).where("item_id is not null")
     items = items.dropDuplicates()
-    own = cut(items.select("item_id", "tok", F.explode(_windows(F.col("tok"), 1)).alias("x")).select("item_id", "tok", "x.*"))
+    own = cut(items.select("item_id", "tok", F.explode(_windows(F.col("tok"), literal=True)).alias("x")).select("item_id", "tok", "x.*"))
     head = own.groupBy("item_id").agg(F.countDistinct("pos").alias("n_windows"))
-    size = head.agg(F.min("n_windows").alias("least"), F.sum("n_windows").alias("rows")).first()
-    # A share of 3/4 leaves a run of that many windows unbroken, so one of them starts at a multiple of it.
-    step = max(1, min(8, -(-3 * (size["least"] or 1) // 4))) if share >= 0.75 else 1
-    small = (size["rows"] or 0) <= BROADCAST_ROWS
-    keys = own.where("literal >= 2").select("w", "item_id").distinct()
+    # A document that holds the share lacks at most `spare` positions of the item, so it holds one of any
+    # spare + 1. Those with the most literal words are asked for, as they are the rarest.
+    spare = F.col("n_windows") - F.ceil(F.lit(share) * F.col("n_windows") - 1e-9)
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("literal"), "pos"))
+    lead = own.groupBy("item_id", "pos").agg(F.min("literal").alias("literal")).withColumn("rank", rank)
+    lead = lead.join(head, "item_id").where(F.col("rank") <= spare + 1).select("item_id", "pos")
+    keys = cut(own.join(lead, ["item_id", "pos"]).select("w", "item_id").distinct())
+    small = keys.count() <= BROADCAST_ROWS
     seen = (
-        docs.select("doc_id", F.explode(_windows(tokens(F.col("text")), step)).alias("x"))
+        docs.select("doc_id", F.explode(_windows(tokens(F.col("text")))).alias("x"))
         .select("doc_id", "x.w")
         .join(F.broadcast(keys) if small else keys, "w")
         .select("doc_id", "item_id")
@@ -87,7 +90,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     seen = cut(seen)
     near = docs.join(bounded(seen.select("doc_id").distinct()), "doc_id", "left_semi")
     near = cut(near.select("doc_id", tokens(F.col("text")).alias("dtok")))
-    spots = near.select("doc_id", "dtok", F.explode(_windows(F.col("dtok"), 1)).alias("x")).select(
+    spots = near.select("doc_id", "dtok", F.explode(_windows(F.col("dtok"))).alias("x")).select(
         "doc_id", F.col("x.pos").alias("dpos"), F.col("x.w").alias("w"), F.slice("dtok", F.col("x.pos") + 1, WORDS).alias("dvals")
     )
     asked = own.select("item_id", "w", F.col("pos").alias("ipos"), F.slice("tok", F.col("pos") + 1, WORDS).alias("ivals"))
