@@ -15,12 +15,14 @@ from .common import read
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|[^<]+|<""", re.S)
 _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 
 #: Content that is never shown, or is no text: skipped to its end tag, whatever stands in it.
 RAW = frozenset("script style noscript template textarea title iframe object svg canvas math xmp noframes".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 #: Elements that hold what surrounds an article.
-AROUND = frozenset("head nav header footer aside form menu dialog button select figure audio video".split())
+AROUND = frozenset("head nav header footer aside form menu dialog button select audio video".split())
 #: Words in class, id or role that mark such a container.
 MARKS = frozenset(
     """ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted
@@ -30,7 +32,7 @@ MARKS = frozenset(
     subscribe subscription signup login form search pagination pager copyright contentinfo complementary skip""".split()
 )
 BLOCK = frozenset(
-    """address article blockquote body center dd details div dl dt fieldset figcaption h1 h2 h3 h4 h5 h6 hr html li main
+    """address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main
     ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,22 +49,25 @@ def _marked(attrs: str) -> bool:
     return bool(_HIDDEN.search(attrs))
 
 
+def _marked_inside(name: str, attrs: str) -> bool:
+    """_marked for an element of an article, whose own words say what the article is about: only a whole
+    class of a div, aside or section counts."""
+    if not attrs:
+        return False
+    m = _CLASS.search(attrs) if name in ("div", "aside", "section") else None
+    if m and any(w in MARKS for w in (m.group(1) or m.group(2) or m.group(3) or "").lower().split()):
+        return True
+    return bool(_HIDDEN.search(attrs))
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters outside links, inside article or main) of each block; ('', 0, _) where a
     surrounding container was left out, which parts what stands on its two sides."""
     tokens: list[tuple[str, str, str]] = []  # (kind, name or text, attributes)
-    raw: str | None = None
-    for m in _TOKEN.finditer(page):
+    at, endless = 0, set()
+    while m := _TOKEN.match(page, at):
+        at = m.end()
         name = m.group(2) or m.group(5)
-        if raw:
-            if name and name.lower() == raw and (m.group(1) or m.group(4)):
-                raw = None
-            elif name and (m.group(1) or m.group(4)) is not None:
-                # A tag inside raw text, such as "</p>" in a script: only the own end tag counts.
-                end = re.compile(rf"</{raw}\b", re.I)
-                if not end.search(page, m.start()):
-                    raw = raw if raw in ("script", "style") else None
-            continue
         if not name:
             t = m.group()
             if not t.startswith(("<!", "<?")):
@@ -72,7 +77,15 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if m.group(1) or m.group(4):
             tokens.append(("e", name, ""))
         elif name in RAW:
-            raw = name
+            # Only the own end tag counts, so nothing inside is read as a tag. Without one, a script or
+            # style takes the rest, and of the others just the tag is left out.
+            end = None if name in endless else _RAW_END[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in ("script", "style"):
+                break
+            else:
+                endless.add(name)
         else:
             tokens.append(("s", name, m.group(3) or m.group(6) or ""))
     # Where each container ends, found with a stack that unclosed inner elements don't upset.
@@ -114,7 +127,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 free += len(t.strip())
         elif kind == "s":
             end = ends.get(i, i)
-            if name in AROUND or (end > i and name not in ("html", "body", "main") and _marked(attrs)):
+            if name in AROUND or (end > i and name not in ("html", "body", "main") and (_marked_inside(name, attrs) if inside else _marked(attrs))):
                 # A wrapper that holds the article is no surrounding container.
                 if name == "head" or (name == "header" and inside) or not any(i < c < end for c in cores):
                     keep_title = name == "header" and inside
@@ -148,20 +161,20 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     The length of a line is its text outside links. A window sums `window` lines from its first one; a
     stretch starts where a window with text follows one without, dives where the sum is 0 again, and is
     kept when one of its windows surges. Pages whose largest window is below `surge` take that as limit.
-    Where the page marks an article, only its lines count.
+    Where the page marks an article, all of its lines are kept, and no others.
     """
     lines = lines_of(page or "")
-    if any(inside and text for text, _, inside in lines):
-        lines = [x if x[2] else ("", 0, False) for x in lines]
+    article = [text for text, _, inside in lines if inside and text]
+    if article:
+        return "\n".join(article)
     weight: list[int] = []
     texts: list[str] = []
-    for text, free, inside in lines:
+    for text, free, _ in lines:
         if not text:  # a container that was left out parts its two sides
-            if not any(x[2] for x in lines):
-                weight += [0] * window
-                texts += [""] * window
+            weight += [0] * window
+            texts += [""] * window
             continue
-        weight.append(free if inside or 2 * free >= len(text) else 0)
+        weight.append(free if 2 * free >= len(text) else 0)
         texts.append(text)
     n = len(weight)
     sums = [sum(weight[i : i + window]) for i in range(n)]

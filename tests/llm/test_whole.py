@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from factloom.llm import decontamination
+from factloom.llm import decontamination, html_text
 
 # --- 9 leaks
 
@@ -23,3 +23,39 @@ def test_item_split_by_an_insertion(spark):
     docs = [(8 * k + n, " ".join(["o"] * k + item[:10] + ["in"] * (n + 1) + item[10:])) for k in range(8) for n in range(8)]
     got = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
     assert sorted((r["doc_id"], r["n_matched"]) for r in got) == [(i, 12) for i, _ in docs]
+
+
+# --- 4 pages
+
+BODY = "A paragraph that is long enough to be the body of an article, whatever stands around it on the page."
+
+
+@pytest.mark.parametrize("script", ["for(i=0;i<n;i++){f(i)}", "if(a<b)c()", "x='<p>'+\"<!--\"", "a<b", "</p><script", "", "s='<a href=\"'"])
+@pytest.mark.parametrize("tag", ["script", "style", "textarea", "svg"])
+def test_raw_elements_end_at_their_own_end_tag(tag, script):
+    assert html_text.main_text(f"<html><head><{tag} a='b'>{script}</{tag.upper()} ></head><body><p>{BODY}</p></body></html>") == BODY
+    assert html_text.main_text(f"<body><article><p>one</p><{tag}>{script}</{tag}><p>two</p></article><script>x</script>") == "one\ntwo"
+
+
+def test_raw_elements_without_an_end():
+    assert html_text.main_text(f"<p>{BODY}</p><script>var a = '<p>no</p>'") == BODY
+    assert html_text.main_text(f"<iframe src=x><p>{BODY}</p><iframe src=y>") == BODY
+
+
+@pytest.mark.parametrize(
+    ("inner", "kept"),
+    [
+        ('<h2 id="search">Search</h2>', "Search"), ('<h2 id="social-impact">Impact</h2>', "Impact"), ('<section class="related-work"><p>Work</p></section>', "Work"),
+        ('<div class="post-header"><p>Head</p></div>', "Head"), ("<figure><img src=x><figcaption>Caption</figcaption></figure>", "Caption"),
+        ("<p><a href=x>only a link</a></p>", "only a link"), ('<ul class="menu"><li>x</ul>', "x"),
+        ('<div class="big related"><p>x</p></div>', ""), ('<section class="Share">x</section>', ""), ("<aside>x</aside>", ""), ("<nav>x</nav>", ""), ("<h2 hidden>x</h2>", ""),
+    ],
+)
+def test_blocks_of_a_marked_article(inner, kept):
+    for page in (f"{inner}<p>{BODY}</p>", f"<p>{BODY}</p>{inner}"):
+        lines = html_text.main_text(f"<p>out</p><article>{page}</article><p>out</p>").split("\n")
+        assert sorted(lines) == sorted([BODY, *filter(None, [kept])])
+
+
+def test_figure_outside_of_articles():
+    assert html_text.main_text(f"<div><p>{BODY}</p><figure><figcaption>Caption</figcaption></figure><p>{BODY}</p></div>") == f"{BODY}\nCaption\n{BODY}"
