@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 
-from factloom.llm import decontamination, html_text
+from factloom.llm import decontamination, html_text, secrets
 
 # --- 9 leaks
 
@@ -59,3 +61,32 @@ def test_blocks_of_a_marked_article(inner, kept):
 
 def test_figure_outside_of_articles():
     assert html_text.main_text(f"<div><p>{BODY}</p><figure><figcaption>Caption</figcaption></figure><p>{BODY}</p></div>") == f"{BODY}\nCaption\n{BODY}"
+
+
+# --- 8 secrets
+
+KEY = hashlib.md5(b"key").hexdigest()
+
+
+@pytest.mark.parametrize("n", range(20, 33))
+@pytest.mark.parametrize("upper", [False, True])
+@pytest.mark.parametrize("before", ["", "sig=", "KEY_", "key_", "a+b/", "see-the-x="])
+def test_hex_keys_of_every_length_and_prefix(n, upper, before):
+    key = KEY[:n].upper() if upper else KEY[:n]
+    a = len("x ") + len(before)
+    assert any(z >= a + n and s <= a for s, _, z in secrets.entropy_spans(f"x {before}{key} y")), key
+
+
+def test_upper_case_hex_behind_a_sign():
+    for t in ("sig=9F86D081884C7D659A2FEAA0C55AD015", "KEY_9F86D081884C7D659A2FEAA0C55AD015"):
+        assert secrets.entropy_spans(t) == [(4, 3, len(t))]
+
+
+def test_a_run_of_letters_and_digits_in_a_longer_string():
+    t = "name=/a/a/a/a/aB3dE5gH7jK9mN1pQ3sT5vW7/a/a"
+    assert any(s <= t.index("aB3") and z >= t.index("/a/a", 14) for s, _, z in secrets.entropy_spans(t))
+
+
+@pytest.mark.parametrize("t", ["id=12345678901234567890123", "deadbeefdeadbeefdeadbeef-x1", "AAAABBBBAAAABBBBAAAA1111", "a-ca761232-ed42-11ce-bacd-00aa0057b223-a", "http/incomprehensibilities_of_words/2"])
+def test_strings_that_are_no_keys(t):
+    assert secrets.entropy_spans(t) == []
