@@ -38,6 +38,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def planned_once(df: DataFrame) -> DataFrame:
+    """df with its present splits. A file scan is otherwise planned anew in each job, and then follows the
+    executors alive and the session's settings. Nothing is written or kept."""
+    spark = df.sparkSession
+    rows = df._jdf.queryExecution().toRdd()
+    return type(df)(spark._jsparkSession.internalCreateDataFrame(rows, df._jdf.schema(), False), spark)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs of anything but 0x20 and 0x09-0x0D; bytes.split() cuts at exactly these."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

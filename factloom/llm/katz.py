@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, mix, read
+from .common import WordHashes, cut, mix, planned_once, read
 
 #: Rows of a chunk, at most. Counts up to K are discounted.
 ROWS, K = 2048, 5
@@ -360,10 +360,12 @@ def katz_scores(stored: DataFrame, part_words: int = 1_500_000) -> DataFrame:
     file. Null and empty texts are one end token. A null doc_id has null held_out and teaches nothing.
     Repeated rows count and score again. No training rows: every token is the one unknown word of
     probability 1 (score 0). Other columns are left out. The counts are kept in checkpointed tables,
-    partitioned by part; each pass lays a chunk out anew, as that moves less than keeping it.
+    partitioned by part; each pass lays a chunk out anew, as that moves less than keeping it. All passes
+    read the same splits, as a chunk's answers are paired with its rows by the chunk's place in a split.
     """
     place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.floor(F.col("_metadata.row_index") / ROWS))
     docs = stored.select(place.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    docs = planned_once(docs)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, min(1 << 20, math.ceil(chars / 6 / part_words)))
     got = cut(docs.mapInArrow(_ask_words(parts), _PART).groupBy("part").applyInPandas(_merge_words(parts), _PART))

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 
-from factloom.llm import decontamination, html_text, secrets
+from factloom.llm import decontamination, html_text, katz, secrets
 
 # --- 9 leaks
 
@@ -90,3 +91,34 @@ def test_a_run_of_letters_and_digits_in_a_longer_string():
 @pytest.mark.parametrize("t", ["id=12345678901234567890123", "deadbeefdeadbeefdeadbeef-x1", "AAAABBBBAAAABBBBAAAA1111", "a-ca761232-ed42-11ce-bacd-00aa0057b223-a", "http/incomprehensibilities_of_words/2"])
 def test_strings_that_are_no_keys(t):
     assert secrets.entropy_spans(t) == []
+
+
+# --- 10 Katz
+
+
+def test_katz_when_splits_change_between_passes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(katz, "ROWS", 64)
+    rng, path = random.Random(1), str(tmp_path / "d")
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randint(1, 60)))) for i in range(1000)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 8192).option("parquet.page.size.row.check.min", 10).parquet(path)
+    small = {"spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "1k"}
+
+    def scores():
+        return sorted((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in katz.katz_scores(spark.read.parquet(path), part_words=5000).collect())
+
+    want, plain, parts = scores(), katz.cut, spark.read.parquet(path).rdd.getNumPartitions()
+    assert len(want) == 1000
+
+    def cut(df):
+        out = plain(df)
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        return out
+
+    monkeypatch.setattr(katz, "cut", cut)
+    try:
+        assert scores() == want
+        assert spark.read.parquet(path).rdd.getNumPartitions() > parts
+    finally:
+        for k in small:
+            spark.conf.unset(k)
