@@ -8,6 +8,7 @@ bins at a time; Spark then deals every piece to its place by its rank among the
 from __future__ import annotations
 
 import bisect
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,8 @@ Bins = list[tuple[int, list[tuple[int, int]]]]  # (how many equal bins, [(length
 def pieces_of(docs: DataFrame, vocabulary: str, end_id: int, capacity: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32); the first piece of a cut document may be shorter.
 
-    A null or empty text is one piece, the end id. Repeated rows give their pieces again.
+    A null or empty text is one piece, the end id. Repeated rows give their pieces again. A very long text
+    gives as many pieces as it needs; a batch's texts are encoded a few megabytes at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,12 +160,14 @@ def place(count: dict[int, int], capacity: int) -> tuple[dict[int, np.ndarray],
     return {x: np.array(s, np.int64) for x, s in slots.items()}, sequence
 
 
-def pack(pieces: DataFrame, capacity: int, parts: int = 256) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, group: int = 100_000) -> DataFrame:
     """pieces with sequence_id and offset added. Needs columns length (1..capacity), doc_id and piece.
 
-    Ranks are counted within (length, a hash of the row) and then shifted, so that a length that a
-    third of all pieces share is dealt over `parts` groups. Equal rows take any order among them.
+    Ranks are counted within (length, a hash of the row) and then shifted; there are so many hash parts
+    that even a length that all pieces share is dealt over groups of about `group` rows. Equal rows take
+    any order among them. pieces is read three times and should be stored.
     """
+    parts = max(1, math.ceil(pieces.count() / group))
     parts_of = F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(parts)).cast("int")
     rows = pieces.withColumn("part", parts_of)
     counts = cut(rows.groupBy("length", "part").agg(F.count("*").alias("n")))

@@ -51,12 +51,14 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_i
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int, encoding: str = "dictionary") -> None:
     """Write the ids of docs in ascending doc_id order: part files in order, rows in order within each.
 
-    encoding is "dictionary" or "delta" (for the ids). Rows of equal doc_id stand side by side in no
-    set order; a null doc_id comes first. No rows: a folder with a schema and no ids.
+    encoding is "dictionary" or "delta" (for the ids). Rows of equal doc_id stand side by side, in the
+    order of docs, and may be dealt over several tasks; a null doc_id comes first. No rows: a folder with
+    a schema and no ids.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError("encoding: dictionary or delta")
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("nth"))
+    ordered = rows.repartitionByRange("doc_id", "nth").sortWithinPartitions("doc_id", "nth")
     tokenize(ordered, vocabulary, end_id).write.options(**FORMAT).option(
         "parquet.enable.dictionary#ids.list.element", str(encoding == "dictionary").lower()
     ).mode("errorifexists").parquet(path)

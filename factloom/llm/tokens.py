@@ -52,7 +52,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(name if os.sep in name else public_tokenizers.path(name))
-        self.t.encode_special_tokens = True
+        # Texts that hold one of the vocabulary's own marks are encoded whole, as the library finds it there.
+        self.added = [t.content for t in self.t.get_added_tokens_decoder().values()]
         self.word = os.path.basename(name).startswith("word")
         self.model, self.letters = self.t.model, _byte_letters()
         self._forget()
@@ -61,6 +62,10 @@ class Encoder:
         self.slot: dict[bytes, int] = {}
         self.pool, self.first = array("I"), array("q", [0])
 
+    def _marked(self, text: str) -> bool:
+        low = text.lower()
+        return any(mark.lower() in low for mark in self.added)
+
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -109,6 +114,8 @@ class Encoder:
         edge = np.frombuffer(own.buffers()[1], np.int64, len(own) + 1, own.offset * 8)
         data = np.frombuffer(own.buffers()[2], np.uint8)[: edge[-1]]
         cuts, careful = self._cut(data, edge)
+        for mark in self.added:
+            careful |= pc.match_substring(own, mark, ignore_case=True).to_numpy(zero_copy_only=False)
         n[has] = np.diff(np.append(np.searchsorted(cuts, edge[:-1]), len(cuts)))
         units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(np.append(cuts, len(data)).astype(np.int64)), own.buffers()[2]])
         coded = units.dictionary_encode()
@@ -141,7 +148,7 @@ class Encoder:
         at = {u: i for i, u in enumerate(dictionary)}
         edges, out, last = np.concatenate(([0], np.cumsum(n))), [], 0
         for i, t in zip(rows.tolist(), texts.take(pa.array(rows)).to_pylist(), strict=True):
-            units = [t] if _ODD.search(t) else (_UNITS_WORD if self.word else _UNITS_BYTE).findall(t)
+            units = [t] if _ODD.search(t) or self._marked(t) else (_UNITS_WORD if self.word else _UNITS_BYTE).findall(t)
             out += [index[edges[last] : edges[i]], np.array([at.setdefault(u.encode("utf-8", "surrogatepass"), len(at)) for u in units], np.int64)]
             n[i], last = len(units), i + 1
         return np.concatenate([*out, index[edges[last] :]]), list(at)
