@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,11 +23,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the session has none (tests on one machine) a temporary folder is set.
+    Only a session on one machine may do without: it gets a temporary folder. On a cluster that would be
+    a folder of the driver alone, so there a missing setting is an error.
     """
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="factloom-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(where)
@@ -46,6 +51,76 @@ def planned_once(df: DataFrame) -> DataFrame:
     return type(df)(spark._jsparkSession.internalCreateDataFrame(rows, df._jdf.schema(), False), spark)
 
 
+#: Bytes that part words, as a table; A-Z to a-z, as a table.
+_PARTS = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Bytes hashed at once, and word bytes beyond which a word is hashed by itself.
+_RUN, _LONG = 1 << 18, 64
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    p = np.full(n, base, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+_POWER = _powers(_BASE, _RUN + _LONG + 1)
+_INVERSE = _powers(pow(_BASE, -1, 1 << 64), _RUN + 1)
+
+
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(the bytes of all texts, end to end, and their edges); a null text is empty."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    edge = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
+    data = texts.buffers()[2]
+    return (np.frombuffer(data, np.uint8)[edge[0] : edge[-1]] if data else np.empty(0, np.uint8)), edge - edge[0]
+
+
+def word_spans(data: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begins, ends, edges): the words of text i, as byte ranges of data, are those from edges[i] to edges[i + 1].
+
+    Words are maximal runs of anything but 0x20 and 0x09-0x0D, and no word crosses the edge of a text.
+    """
+    inside = ~_PARTS[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    at = edge[:-1][edge[:-1] < edge[1:]]
+    first[at] = inside[at]
+    at = edge[1:][edge[:-1] < edge[1:]] - 1
+    last[at] = inside[at]
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return begin, end, np.searchsorted(begin, edge)
+
+
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word of texts, edges of the texts among the words); with lower, A-Z count as a-z.
+
+    A polynomial of the word's bytes, taken from running sums over a bounded run of bytes; long words,
+    for which such sums could be made to collide, are hashed by themselves.
+    """
+    data, edge = flat_bytes(texts)
+    if lower:
+        data = _LOWER[data]
+    begin, end, of = word_spans(data, edge)
+    size = end - begin
+    out = np.empty(len(begin), np.uint64)
+    cut = np.searchsorted(begin, np.arange(0, len(data) + _RUN, _RUN))
+    for i, j in zip(cut, cut[1:], strict=False):
+        if i < j:
+            a, z = begin[i], min(begin[j - 1] + _LONG, len(data))
+            sums = np.zeros(z - a + 1, np.uint64)
+            np.cumsum(_VALUE[data[a:z]] * _POWER[: z - a], out=sums[1:])
+            b = begin[i:j] - a
+            out[i:j] = (sums[np.minimum(end[i:j] - a, z - a)] - sums[b]) * _INVERSE[b]
+    out = mix(out + size.astype(np.uint64))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[begin[i] : end[i]].tobytes())
+    return out, of
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Maximal runs of anything but 0x20 and 0x09-0x0D; bytes.split() cuts at exactly these."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
@@ -57,8 +132,6 @@ class WordHashes(dict):
     LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         if len(self) >= self.LIMIT:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -76,6 +149,9 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
+
+
 def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of each run of n consecutive word hashes, in order of position."""
     if len(h) < n:
@@ -102,6 +178,17 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(bounded(cut(ids.select("doc_id").distinct())), "doc_id", "left_anti").select(*docs.columns)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most `most` bytes of the column's texts; a longer text comes alone."""
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        a = 0
+        while a < b.num_rows:
+            n = max(1, int(np.searchsorted(np.cumsum(size[a:]), most, "right")))
+            yield b.slice(a, n)
+            a += n
+
+
 def give_back() -> None:
     """Return freed memory to the system: Python workers live on, and the next stage needs the room."""
     gc.collect()

@@ -1,12 +1,19 @@
-"""Language-model scoring by Katz backoff: Good-Turing discounted bigrams over words, exactly normalised.
-
-The corpus is handled in chunks of neighbouring rows. A chunk counts what it holds, sends its distinct
-words and word pairs, as compressed blocks, to the part of the model that a hash names, and gets back,
-in the same order, the counts over all chunks. So each distinct pair of a chunk is moved once, whatever
-its number of occurrences, and a part merges sorted blocks instead of single rows.
-
-P(w | h) = d(c) * c(h, w) / c(h) for a pair seen in training, else a(h) * P(w), with
-a(h) = (1 - sum of the former) / (1 - sum of P over the words seen after h);
+"""Language-model scoring by Katz backoff: Good-Turing discounted n-grams over words, exactly normalised.
+
+The corpus is handled in chunks, runs of rows of a task that hold about as many words each.
+
+1. A chunk sends its distinct words, as compressed blocks, to the part of the model that a hash names,
+   and gets back each word's number and its count over all chunks.
+2. A chunk sends its n-grams to the part that the last word of their history names. A part so holds every
+   n-gram of a history, and of its shorter histories down to one word: it counts them, and backoff needs
+   nothing from elsewhere. A word too frequent for one part is split over several by the word before it
+   (histories of two words stay whole); its own counts are then partial sums that a grouping adds up.
+3. Each part scores its n-grams, recursively from the shortest history to the longest, and sends a chunk
+   one sum for each text. An n-gram that is frequent in a chunk is asked for once, and its answer added to
+   each text by the chunk, so a passage that many texts share doesn't fill a part.
+
+P(w | h) = d(c) * c(h, w) / c(h) for an n-gram seen in training, else a(h) * P(w | shorter h), with
+a(h) = (1 - sum of the former) / (1 - sum of P(w | shorter h) over the words seen after h);
 P(w) = d(c) * c(w) / N for a known word, and the mass that is left for the one unknown word.
 """
 
@@ -20,17 +27,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, mix, planned_once, read
+from .common import by_bytes, cut, give_back, mix, planned_once, read, word_hashes
 
-#: Rows of a chunk, at most. Counts up to K are discounted.
-ROWS, K = 2048, 5
+#: Longest n-gram; counts up to K are discounted.
+ORDER, K = 3, 5
+#: Words and texts of a chunk, about (a longer text is a chunk of its own), and n-grams of a part.
+CHUNK_WORDS, PART_WORDS = 600_000, 1_500_000
+#: An n-gram that a chunk holds more often is asked for once.
+MANY = 8
 UNKNOWN, END, START, FIRST = 0, 1, 2, 3
-_PART = "part int, chunk long, kind int, a binary, b binary, c binary, d binary, e binary"
-_NAMES = ["part", "chunk", "kind", "a", "b", "c", "d", "e"]
-WORD_ASK, WORD_GOT, PAIR_ASK, PAIR_GOT, STATS, TEXTS = range(6)
+_NAMES = ["part", "chunk", "kind", "a", "b", "c", "d", "e", "f", "stats"]
+_ROW = "part int, chunk long, kind int, a binary, b binary, c binary, d binary, e binary, f binary, stats array<long>"
+WORD_ASK, WORD_GOT, STATS, TEXTS, GRAMS, META, TABLE, SPLIT_TABLE, PAIRS, SUMS = range(10)
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -79,6 +91,11 @@ class Words:
         d = np.where(c <= K, self.d[np.minimum(c, K).astype(int)], 1.0)
         return np.where(c > 0, d * c / max(self.total, 1) * (1.0 if self.exact else 1 - self.unknown), self.unknown)
 
+    def p1(self, count: Column) -> Column:
+        """p as a column expression."""
+        small = F.element_at(F.array(*(F.lit(float(x)) for x in self.p(np.arange(K + 1)))), (count + 1).cast("int"))
+        return F.when(count <= K, small).otherwise(count / float(max(self.total, 1)) * (1.0 if self.exact else 1 - self.unknown))
+
     @property
     def exact(self) -> bool:
         return self.d[1:].min() < 1
@@ -94,130 +111,85 @@ def word_stats(total: int, types: int, ends: int, n: np.ndarray) -> Words:
     return Words(total, types, ends, d, left)
 
 
-def _bounds(part: np.ndarray, parts: int) -> np.ndarray:
-    return np.searchsorted(part, np.arange(parts + 1))
-
-
 def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
     """Ranges of the hash, so that sorted words are sorted by part."""
     return ((words >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
-class Layout:
-    """One chunk's words as numbers of their place among the chunk's sorted words."""
+def _row(part: int, chunk: int, kind: int, *blobs: bytes, stats: np.ndarray | None = None) -> tuple:
+    return (part, chunk, kind, *blobs, *([None] * (6 - len(blobs))), None if stats is None else stats.tolist())
 
-    def __init__(self, local: np.ndarray, size: np.ndarray, learn: np.ndarray):
-        self.local, self.size, self.learn = local, size, learn
 
-    @staticmethod
-    def read(texts: list[str | None], learn: list[bool], hashes: WordHashes) -> tuple[Layout, np.ndarray]:
-        own = [hashes.of(t.encode("utf-8", "surrogatepass").lower().split()) if t else np.empty(0, np.uint64) for t in texts]
-        words, local = np.unique(np.concatenate(own), return_inverse=True)
-        return Layout(local, np.array([len(h) for h in own], np.int64), np.array(learn, bool)), words
-
-    def counts(self, words: int) -> np.ndarray:
-        return np.bincount(self.local[np.repeat(self.learn, self.size)], minlength=words)
-
-    def pairs(self, ids: np.ndarray, counts: np.ndarray, ends: int, parts: int) -> None:
-        """Distinct pairs in order of (part, history, word), and each token's pair."""
-        v = len(ids)
-        known = np.concatenate((ids, [END, START]))  # local numbers v: end, v + 1: start
-        seq = np.full(int((self.size + 2).sum()), v, np.int64)
-        begin = np.cumsum(self.size + 2) - self.size - 2
-        seq[begin] = v + 1
-        inner = np.ones(len(seq), bool)
-        inner[begin] = inner[begin + self.size + 1] = False
-        seq[inner] = self.local
-        token = np.ones(len(seq), bool)
-        token[begin] = False
-        self.token = seq[token]  # every word, and the end
-        hist = seq[np.flatnonzero(token) - 1]
-        self.word_count = np.concatenate((counts, [ends, 0]))
-        # Unknown words are one word; unknown histories say nothing.
-        merged = np.where(known == UNKNOWN, v + 2, np.arange(v + 2))
-        h, w = merged[hist], merged[self.token]
-        key, self.pair_of = np.unique(h * (v + 3) + w, return_inverse=True)
-        learn = np.repeat(self.learn, self.size + 1)
-        n = np.bincount(self.pair_of[learn], minlength=len(key))
-        every = np.concatenate((known, [UNKNOWN]))
-        count = np.concatenate((self.word_count, [0]))
-        h, w = key // (v + 3), key % (v + 3)
-        hid, wid = every[h], every[w]
-        part = (mix(hid.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((wid, hid, part))
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        self.pair_of = back[self.pair_of]
-        self.hid, self.wid, self.n, self.cw, self.part = hid[order], wid[order], n[order], count[w][order], part[order]
-
-
-def _blocks(info: pd.DataFrame, kind: int) -> pd.DataFrame:
-    return info[info["kind"] == kind].sort_values("part")
-
-
-def _words_of_chunk(info: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    got = _blocks(info, WORD_GOT)
-    empty = np.empty(0, np.int64)
-    ids = np.concatenate([empty, *(unpack(b, np.int64) for b in got["a"])])
-    return ids, np.concatenate([empty, *(unpack(b, np.int64) for b in got["b"])])
-
-
-def _row(part: int, chunk: int, kind: int, *blobs: bytes) -> tuple:
-    return (part, chunk, kind, *blobs, *([None] * (5 - len(blobs))))
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=_NAMES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 5
+    types = [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 6 + [pa.list_(pa.int64())]
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in types]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], _NAMES)
 
 
-def _each_chunk(make: Callable[[int, list, list, list, WordHashes], list[tuple]]) -> Callable:
-    """A mapInArrow function over (chunk, doc_id, held_out, text) that calls make for each run of a chunk."""
+@dataclass
+class Chunk:
+    """Some texts: word hashes end to end, words of each text, state (0 learn, 1 held out, 2 no id), ids (0: null)."""
+
+    number: int
+    hashes: np.ndarray
+    size: np.ndarray
+    state: np.ndarray
+    ids: np.ndarray
+
+
+def _each_chunk(make: Callable[[Chunk], list[tuple]]) -> Callable:
+    """A mapInArrow function over (doc_id, held_out, text) that calls make for each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, now = WordHashes(), None
-        ids, held, texts = [], [], []
-        for b in batches:
-            for chunk, i, h, text in zip(*(b.column(k).to_pylist() for k in range(3)), b.column(3), strict=True):
-                if chunk != now and texts:
-                    yield _batch(make(now, ids, held, texts, hashes))
-                    ids, held, texts = [], [], []
-                now = chunk
-                ids.append(i)
-                held.append(h)
-                texts.append(text.as_py())
-        if texts:
-            yield _batch(make(now, ids, held, texts, hashes))
+        task, nth = TaskContext.get().partitionId(), 0
+        held: list[tuple] = []
+        n = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal nth, n
+            chunk = Chunk(task << 32 | nth, *(np.concatenate(c) for c in zip(*held, strict=True)))
+            nth, n = nth + 1, 0
+            held.clear()
+            return _batch(make(chunk))
+
+        try:
+            for b in by_bytes(batches, 2):
+                h, edge = word_hashes(b.column(2), lower=True)
+                state = np.array([2 if x is None else int(x) for x in b.column(1).to_pylist()], np.uint8)
+                held.append((h, np.diff(edge), state, b.column(0).fill_null(0).to_numpy()))
+                n += len(h) + len(state)
+                if n >= CHUNK_WORDS:
+                    yield flush()
+            if held:
+                yield flush()
+        finally:
+            give_back()
 
     return run
 
 
 def _ask_words(parts: int) -> Callable:
-    def make(chunk: int, ids: list, held: list, texts: list, hashes: WordHashes) -> list[tuple]:
-        learn = [h is False for h in held]
-        lay, words = Layout.read(texts, learn, hashes)
-        counts, edge = lay.counts(len(words)), _bounds(_word_part(words, parts), parts)
-        rows = [_row(p, chunk, WORD_ASK, pack(words[a:z]), pack(counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
-        return [*rows, _row(0, chunk, STATS, pack(np.array([sum(learn)], np.int64)))]
+    def make(c: Chunk) -> list[tuple]:
+        words, local = np.unique(c.hashes, return_inverse=True)
+        counts = np.bincount(local[np.repeat(c.state == 0, c.size)], minlength=len(words))
+        edge = np.searchsorted(_word_part(words, parts), np.arange(parts + 1))
+        rows = [_row(p, c.number, WORD_ASK, pack(words[a:z]), pack(counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
+        return [*rows, _row(0, c.number, STATS, stats=np.array([(c.state == 0).sum()]))]
 
     return _each_chunk(make)
 
 
-def _lay_out(chunk: int, ids: list, held: list, texts: list, hashes: WordHashes) -> list[tuple]:
-    """A chunk as one row: word numbers, words of each text, held out (2: no id), ids (0 where null)."""
-    lay, _ = Layout.read(texts, [h is False for h in held], hashes)
-    state = np.array([2 if h is None else int(h) for h in held], np.uint8)
-    return [_row(0, chunk, TEXTS, pack(lay.local.astype(np.int32)), pack(lay.size), pack(state), pack(np.array([i or 0 for i in ids], np.int64)))]
-
+def _lay_out(c: Chunk) -> list[tuple]:
+    """A chunk as one row: place of each word among its sorted words, words of each text, states, ids."""
+    local = np.unique(c.hashes, return_inverse=True)[1].astype(np.int32)
+    return [_row(0, c.number, TEXTS, pack(local), pack(c.size), pack(c.state), pack(c.ids))]
 
-def _read_layout(docs: pd.DataFrame) -> tuple[Layout, np.ndarray, np.ndarray]:
-    r = docs.iloc[0]
-    state = unpack(r["c"], np.uint8)
-    return Layout(unpack(r["a"], np.int32).astype(np.int64), unpack(r["b"], np.int64), state == 0), state, unpack(r["d"], np.int64)
 
-
-def _merge_words(parts: int):
+def _merge_words(parts: int) -> Callable:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
         rows, ask = [], pdf[pdf["kind"] == WORD_ASK].sort_values("chunk")
@@ -232,65 +204,163 @@ def _merge_words(parts: int):
             for c, a, z in zip(ask["chunk"], edge, edge[1:], strict=False):
                 rows.append(_row(part, int(c), WORD_GOT, pack(ids[at[a:z]]), pack(total[at[a:z]])))
             n = np.bincount(np.minimum(total, K + 2), minlength=K + 3)
-            rows.append(_row(part, -1, STATS, pack(np.array([total.sum(), (total > 0).sum(), 0, *n[1 : K + 2]], np.int64))))
-        ends = sum(int(unpack(b, np.int64)[0]) for b in pdf.loc[pdf["kind"] == STATS, "a"])
+            rows.append(_row(part, -1, STATS, stats=np.array([total.sum(), (total > 0).sum(), 0, *n[1 : K + 2]], np.int64)))
+        ends = sum(int(s[0]) for s in pdf.loc[pdf["kind"] == STATS, "stats"])
         if ends:
             n = np.zeros(K + 2, np.int64)
             if ends <= K + 1:
                 n[ends] = 1
-            rows.append(_row(part, -1, STATS, pack(np.array([ends, 1, ends, *n[1 : K + 2]], np.int64))))
-        return pd.DataFrame(rows, columns=_NAMES)
+            rows.append(_row(part, -1, STATS, stats=np.array([ends, 1, ends, *n[1:]], np.int64)))
+        return _frame(rows)
 
     return run
 
 
-def _count_pairs(parts: int, words: Words):
+def _rising(x: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Differences to the value before, whole values where new."""
+    return np.where(new, x, np.diff(x, prepend=0))
+
+
+def _risen(d: np.ndarray, new: np.ndarray) -> np.ndarray:
+    total = np.cumsum(d)
+    at = np.maximum.accumulate(np.where(new, np.arange(len(d)), 0))
+    return total - (total - d)[at] if len(d) else d
+
+
+def _pack_grams(history: list[np.ndarray], w: np.ndarray, cw: np.ndarray) -> list[bytes]:
+    """n-grams in order of their history as (v, other history, words, [word numbers and counts])."""
+    v = history[0]
+    new = np.concatenate(([True], v[1:] != v[:-1]))[: len(v)]
+    words, at, index = np.unique(w, return_index=True, return_inverse=True)
+    rest = [_rising(history[1], new), *history[2:]] if len(history) > 1 else [np.empty(0, np.int64)]
+    return [pack(np.diff(v, prepend=0)), pack(np.concatenate(rest)), pack(index.astype(np.int32)), pack(np.concatenate((np.diff(words, prepend=0), cw[at])))]
+
+
+def _unpack_grams(a: bytes, b: bytes, c: bytes, d: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    v = np.cumsum(unpack(a, np.int64))
+    new = np.concatenate(([True], v[1:] != v[:-1]))[: len(v)]
+    rest = unpack(b, np.int64)
+    rest = np.split(rest, len(rest) // len(v)) if len(rest) else []
+    words, cw = np.split(unpack(d, np.int64), 2)
+    index = unpack(c, np.int32)
+    if rest:
+        rest[0] = _risen(rest[0], new)
+    return [v, *rest], np.cumsum(words)[index], cw[index]
+
+
+def _send_grams(parts: int, words: Words, order: int, part_words: int) -> Callable:
+    """A chunk's n-grams to the parts; what it can tell of its texts by itself goes along as META."""
+
     def run(docs: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
-            return pd.DataFrame([], columns=_NAMES)
-        lay, chunk = _read_layout(docs)[0], int(docs["chunk"].iloc[0])
-        lay.pairs(*_words_of_chunk(info), words.ends, parts)
-        edge, rows = _bounds(lay.part, parts), []
+            return _frame([])
+        r = docs.iloc[0]
+        local, size, state, ids = (unpack(r[c], t) for c, t in zip("abcd", (np.int32, np.int64, np.uint8, np.int64), strict=True))
+        got, none = info.sort_values("part"), np.empty(0, np.int64)
+        known = np.concatenate([none, *(unpack(b, np.int64) for b in got["a"]), [END, START]])
+        count = np.concatenate([none, *(unpack(b, np.int64) for b in got["b"]), [words.ends, words.ends]])
+        # Every text as a row of local numbers: order - 1 starts, the words, the end.
+        v, pad = len(known) - 2, order - 1
+        begin = np.cumsum(size + pad + 1) - size - pad - 1
+        seq = np.full(int((size + pad + 1).sum()), v, np.int64)
+        front = (begin[:, None] + np.arange(pad)).ravel()
+        seq[front] = v + 1
+        token = np.ones(len(seq), bool)
+        token[front] = False
+        inner = token.copy()
+        inner[begin + size + pad] = False
+        seq[inner] = local
+        at = np.flatnonzero(token)
+        doc = np.repeat(np.arange(len(size)), size + 1)
+        own = count[seq[at]]
+        first = np.cumsum(size + 1) - size - 1
+        base = np.add.reduceat(np.log10((own + 0.1) / (words.total + 0.1 * (words.types + 1))), first)
+        n_known = np.add.reduceat((own > 0).astype(np.int64), first)
+        # After an unknown word only the word's own probability is left.
+        alone = count[seq[at - 1]] == 0
+        score = np.bincount(doc[alone], np.log10(words.p(own[alone])), len(size))
+        at, doc = at[~alone], doc[~alone]
+        history = [known[seq[at - 1 - k]] for k in range(pad)]
+        w, cw, cv = known[seq[at]], count[seq[at]], count[seq[at - 1]]
+        n = (state == 0)[doc].astype(np.int64)
+        split = cv > part_words
+        pieces = np.where(split, -(-cv // part_words), 1).astype(np.uint64)
+        other = mix((history[1] if pad > 1 else w).astype(np.uint64)) % pieces
+        part = (mix(history[0].astype(np.uint64) + mix(other) * split) % np.uint64(parts)).astype(np.int64)
+        order_ = np.lexsort((doc, w, *reversed(history), part))
+        history, w, cw, doc, n, split, part = [h[order_] for h in history], *(x[order_] for x in (w, cw, doc, n, split, part))
+        change = np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in (*history, w)])))[: len(w)]
+        gram = np.cumsum(change) - 1
+        often = np.bincount(gram, minlength=0) if len(gram) else none
+        many = often > MANY
+        slot = np.cumsum(many) - 1
+        hot = many[gram] if len(gram) else np.empty(0, bool)
+        hot_doc, hot_slot = doc[hot], slot[gram[hot]] if len(gram) else none
+        keep = ~hot | change
+        total = np.bincount(gram, n).astype(np.int64) if len(gram) else none
+        n = np.where(hot, total[gram], n)[keep] if len(gram) else none
+        doc = np.where(hot, len(size) + slot[gram], doc)[keep] if len(gram) else none
+        history, w, cw, split, part = [h[keep] for h in history], w[keep], cw[keep], split[keep], part[keep]
+        edge, rows, chunk = np.searchsorted(part, np.arange(parts + 1)), [], int(r["chunk"])
         for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)):
             if z > a:
-                new = np.concatenate(([0], np.flatnonzero(np.diff(lay.hid[a:z])) + 1))
-                each = np.diff(np.append(new, z - a))
-                rows.append(_row(p, chunk, PAIR_ASK, pack(np.diff(lay.hid[a:z][new], prepend=0)), pack(each), pack(lay.wid[a:z]), pack(lay.n[a:z]), pack(lay.cw[a:z])))
-        return pd.DataFrame(rows, columns=_NAMES)
+                rest = np.concatenate((doc[a:z].astype(np.int32), n[a:z].astype(np.int32), split[a:z].astype(np.int32)))
+                rows.append(_row(p, chunk, GRAMS, *_pack_grams([h[a:z] for h in history], w[a:z], cw[a:z]), pack(rest)))
+        meta = [pack(ids), pack(np.concatenate((state.astype(np.int64), size, n_known))), pack(base), pack(score), pack(hot_doc.astype(np.int32)), pack(hot_slot.astype(np.int32))]
+        return _frame([*rows, _row(chunk % parts, chunk, META, *meta)])
 
     return run
 
 
-def _merge_pairs(words: Words):
+def _levels(history: list[np.ndarray], w: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For n-grams sorted by history, per length 2, 3, ...: (history number, pair number, first n-gram of each pair)."""
+    words, wi = np.unique(w, return_inverse=True)
+    new = np.zeros(len(w), bool)
+    new[:1] = True
+    out = []
+    for h in history:
+        new[1:] |= h[1:] != h[:-1]
+        g = np.cumsum(new) - 1
+        _, first, pair = np.unique(g * len(words) + wi, return_index=True, return_inverse=True)
+        out.append((g, pair, first))
+    return out
+
+
+def _merge_grams(order: int) -> Callable:
+    """One part: its n-grams with their counts and who asks for them, as one row; META goes through."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        part, ask = int(pdf["part"].iloc[0]), pdf.sort_values("chunk")
-        hist = [np.cumsum(unpack(b, np.int64)) for b in ask["a"]]
-        each = [unpack(b, np.int64) for b in ask["b"]]
-        h = np.concatenate([np.repeat(i, n) for i, n in zip(hist, each, strict=True)])
-        w, n, cw = (np.concatenate([unpack(b, np.int64) for b in ask[c]]) for c in "cde")
-        known, hl = np.unique(h, return_inverse=True)
-        order = np.lexsort((w, hl))
-        new = np.concatenate(([True], (np.diff(hl[order]) != 0) | (np.diff(w[order]) != 0)))
+        part = int(pdf["part"].iloc[0])
+        through = [tuple(x) for x in pdf[pdf["kind"] == META][_NAMES].itertuples(index=False)]
+        pdf = pdf[pdf["kind"] == GRAMS].sort_values("chunk")
+        if not len(pdf):
+            return _frame(through)
+        blocks = [_unpack_grams(*(r[c] for c in "abcd")) for _, r in pdf.iterrows()]
+        history = [np.concatenate([b[0][k] for b in blocks]) for k in range(order - 1)]
+        w, cw = (np.concatenate([b[i] for b in blocks]) for i in (1, 2))
+        rest = [np.split(unpack(b, np.int32), 3) for b in pdf["e"]]
+        doc, n, split = (np.concatenate([x[i] for x in rest]) for i in range(3))
+        chunk = np.repeat(np.arange(len(pdf)), [len(b[1]) for b in blocks])
+        o = np.lexsort((w, *reversed(history)))
+        history, w, cw, doc, n, split, chunk = [h[o] for h in history], *(x[o] for x in (w, cw, doc, n, split, chunk))
+        new = np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in (*history, w)])))
         first = np.flatnonzero(new)
-        total = np.add.reduceat(n[order], first)
-        at = np.empty(len(order), np.int64)
-        at[order] = np.cumsum(new) - 1
-        seen = total > 0
-        th, tw = hl[order][first], w[order][first]
-        low = np.bincount(th[seen], words.p(cw[order][first][seen]), len(known))
-        rare = np.zeros((len(known), K + 1), np.int64)
-        small = seen & (total <= K)
-        np.add.at(rare, (th[small], total[small]), 1)
-        all_ = np.bincount(th[seen], total[seen], len(known)).astype(np.int64)
-        rows, a, b = [], 0, 0
-        for c, i, e in zip(ask["chunk"], hist, each, strict=True):
-            z = a + int(e.sum())
-            k = np.searchsorted(known, i)
-            rows.append(_row(part, int(c), PAIR_GOT, pack(total[at[a:z]]), pack(all_[k]), pack(low[k]), pack(rare[k, 1:].ravel())))
-            a = z
-        nr = np.bincount(np.minimum(total[seen & (tw != UNKNOWN)], K + 2), minlength=K + 3)
-        rows.append(_row(part, -1, STATS, pack(nr[1 : K + 2].astype(np.int64))))
-        return pd.DataFrame(rows, columns=_NAMES)
+        asked = np.diff(np.append(first, len(w)))
+        c = np.add.reduceat(n.astype(np.int64), first)
+        history, w, cw, split = [h[first] for h in history], w[first], cw[first], split[first] > 0
+        stats, rows = [int(split.any())], []
+        for k, (_, pair, at) in enumerate(_levels(history, w)):
+            total = np.bincount(pair, c).astype(np.int64)
+            if k == 0 and split.any():  # what is split is counted when its sums are known
+                s = split[at]
+                rows.append(_row(part, -1, PAIRS, pack(history[0][at[s]]), pack(w[at[s]]), pack(total[s]), pack(cw[at[s]])))
+                total = total[~s]
+            stats += np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2].tolist()
+        who = np.concatenate((chunk.astype(np.int32), doc))
+        chunks = pdf["chunk"].to_numpy(np.int64)
+        more = pack(np.concatenate((asked, c, split.astype(np.int64)))), pack(np.concatenate((who, chunks.view(np.int32))))
+        rows.append(_row(part, len(pdf), SPLIT_TABLE if split.any() else TABLE, *_pack_grams(history, w, cw), *more))
+        return _frame([*through, *rows, _row(part, -1, STATS, stats=np.array(stats, np.int64))])
 
     return run
 
@@ -310,83 +380,151 @@ def history_weights(total: np.ndarray, low: np.ndarray, rare: np.ndarray, d: np.
     return scale, mass / np.maximum(1 - low, 1e-300)
 
 
-def _score(parts: int, words: Words, d: np.ndarray):
-    def run(docs: pd.DataFrame, info: pd.DataFrame) -> pd.DataFrame:
-        cols = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-        if not len(docs):
-            return pd.DataFrame([], columns=cols)
-        lay, state, ids = _read_layout(docs)
-        lay.pairs(*_words_of_chunk(info), words.ends, parts)
-        got = _blocks(info, PAIR_GOT)
-        empty = np.empty(0, np.int64)
-        pair = np.concatenate([empty, *(unpack(b, np.int64) for b in got["a"])])
-        total = np.concatenate([empty, *(unpack(b, np.int64) for b in got["b"])])
-        low = np.concatenate([np.empty(0), *(unpack(b, np.float64) for b in got["c"])])
-        rare = np.concatenate([empty, *(unpack(b, np.int64) for b in got["d"])]).reshape(-1, K)
-        scale, back = history_weights(total, low, rare, d)
-        hist = np.cumsum(np.concatenate(([0], (np.diff(lay.hid) != 0) | (np.diff(lay.part) != 0)))) if len(lay.hid) else empty
-        own = np.where(lay.wid == UNKNOWN, 0, pair)
-        seen = np.where(own <= K, d[np.minimum(own, K)], 1.0) * own * scale[hist]
-        strange = lay.hid == UNKNOWN
-        p = np.where(own > 0, seen, np.where(strange, 1.0, back[hist]) * words.p(lay.cw))
-        first = np.cumsum(lay.size + 1) - lay.size - 1
-        count = lay.word_count[lay.token]
-        base = np.log10((count + 0.1) / (words.total + 0.1 * (words.types + 1)))
-        with np.errstate(divide="ignore"):
-            logp = np.log10(p)[lay.pair_of]
-        return pd.DataFrame(
-            {
-                "doc_id": pd.array([None if t == 2 else i for t, i in zip(state, ids.tolist(), strict=True)], "Int64"),
-                "held_out": pd.array([None if t == 2 else bool(t) for t in state], "boolean"),
-                "n_tokens": lay.size + 1,
-                "n_known": np.add.reduceat((count > 0).astype(np.int64), first),
-                "base_score": np.add.reduceat(base, first),
-                "score": np.add.reduceat(logp, first),
-            },
-            columns=cols,
-        )
+def _score_table(r: dict, words: Words, d: list[np.ndarray], split_facts: pd.DataFrame | None) -> list[tuple]:
+    """A part's sums for the texts of each chunk: the probabilities of its n-grams, from short to long."""
+    history, w, cw = _unpack_grams(*(r[c] for c in "abcd"))
+    asked, c, split = np.split(unpack(r["e"], np.int64), 3)
+    who, n_chunks = unpack(r["f"], np.int32), int(r["chunk"])
+    chunks = who[len(who) - 2 * n_chunks :].view(np.int64)
+    chunk, doc = np.split(who[: len(who) - 2 * n_chunks], 2)
+    p = words.p(cw)
+    for k, (g, pair, at) in enumerate(_levels(history, w)):
+        count = np.bincount(pair, c).astype(np.int64)
+        hist, low = g[at], p[at]
+        n = int(hist[-1]) + 1
+        seen = count > 0
+        total = np.bincount(hist, count, n).astype(np.int64)
+        under = np.bincount(hist[seen], low[seen], n)
+        rare = np.zeros((n, K), np.int64)
+        for t in range(1, K + 1):
+            rare[:, t - 1] = np.bincount(hist[count == t], minlength=n)
+        if k == 0 and split_facts is not None and len(split_facts):
+            f = split_facts.sort_values(["v", "w"])
+            s = np.flatnonzero(split[at] > 0)
+            # Both sides are in order of history and word and hold the same pairs.
+            s = s[np.lexsort((w[at[s]], history[0][at[s]]))]
+            count[s] = f["c"].to_numpy(np.int64)
+            total[hist[s]], under[hist[s]] = f["total"].to_numpy(np.int64), f["low"].to_numpy()
+            for t in range(1, K + 1):
+                rare[hist[s], t - 1] = f[f"r{t}"].to_numpy(np.int64)
+        scale, back = history_weights(total, under, rare, d[k])
+        own = np.where(count <= K, d[k][np.minimum(count, K)], 1.0) * count * scale[hist]
+        p = np.where(count > 0, own, back[hist] * low)[pair]
+    logp = np.repeat(np.log10(p), asked)
+    o = np.lexsort((doc, chunk))
+    new = np.concatenate(([True], (chunk[o][1:] != chunk[o][:-1]) | (doc[o][1:] != doc[o][:-1])))
+    first = np.flatnonzero(new)
+    sums, chunk, doc = np.add.reduceat(logp[o], first), chunk[o][first], doc[o][first]
+    edge = np.searchsorted(chunk, np.arange(n_chunks + 1))
+    return [_row(0, int(i), SUMS, pack(doc[a:z]), pack(sums[a:z])) for i, a, z in zip(chunks, edge, edge[1:], strict=False)]
+
+
+def _answer(words: Words, d: list[np.ndarray]) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                yield _batch(_score_table(b.slice(i, 1).to_pylist()[0], words, d, None))
 
     return run
 
 
+def _answer_split(words: Words, d: list[np.ndarray]) -> Callable:
+    def run(table: pd.DataFrame, facts: pd.DataFrame) -> pd.DataFrame:
+        return _frame([row for _, r in table.iterrows() for row in _score_table(r, words, d, facts)])
+
+    return run
+
+
+def _list_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for part, *blobs in zip(b.column(0).to_pylist(), *(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            cols = [unpack(x, np.int64) for x in blobs]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), part, np.int32)), *map(pa.array, cols)], ["part", "v", "w", "n", "cw"])
+
+
+_OUT = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+
+
+def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
+    meta = pdf[pdf["kind"] == META].iloc[0]
+    ids = unpack(meta["a"], np.int64)
+    state, size, n_known = np.split(unpack(meta["b"], np.int64), 3)
+    base, score = (unpack(meta[c], np.float64) for c in "cd")
+    hot_doc, hot_slot = (unpack(meta[c], np.int32) for c in "ef")
+    total = np.zeros(len(ids) + (int(hot_slot.max()) + 1 if len(hot_slot) else 0))
+    for _, r in pdf[pdf["kind"] == SUMS].sort_values("part").iterrows():
+        total[unpack(r["a"], np.int32)] += unpack(r["b"], np.float64)
+    score = score + total[: len(ids)]
+    np.add.at(score, hot_doc, total[len(ids) + hot_slot])
+    return pd.DataFrame(
+        {
+            "doc_id": pd.array([None if t == 2 else i for t, i in zip(state, ids.tolist(), strict=True)], "Int64"),
+            "held_out": pd.array([None if t == 2 else bool(t) for t in state], "boolean"),
+            "n_tokens": size + 1,
+            "n_known": n_known,
+            "base_score": base,
+            "score": score,
+        },
+        columns=_OUT,
+    )
+
+
+def _sums(rows: DataFrame, width: int) -> np.ndarray:
+    """Sums of the stats arrays of rows, added up by Spark."""
+    got = rows.where(f"kind = {STATS}").select(F.posexplode("stats").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
+    out = np.zeros(width, np.int64)
+    for r in got:
+        out[r["i"]] = r["x"]
+    return out
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0
 
 
-def katz_scores(stored: DataFrame, part_words: int = 1_500_000) -> DataFrame:
+def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_words: int = PART_WORDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per row.
 
-    stored: a plain read of files with doc_id and text; a chunk is made of rows that stand together in a
-    file. Null and empty texts are one end token. A null doc_id has null held_out and teaches nothing.
-    Repeated rows count and score again. No training rows: every token is the one unknown word of
-    probability 1 (score 0). Other columns are left out. The counts are kept in checkpointed tables,
-    partitioned by part; each pass lays a chunk out anew, as that moves less than keeping it. All passes
-    read the same splits, as a chunk's answers are paired with its rows by the chunk's place in a split.
+    docs: any DataFrame with doc_id and text. Two passes must see the same rows in the same places, as a
+    chunk's answers are paired with its rows; so docs is written once to the shared folder, unless stored
+    says that it is a plain read of files, whose splits are then planned once.
+
+    Null and empty texts are one end token. A null doc_id has null held_out and teaches nothing. Repeated
+    rows count and score again. A text longer than a chunk is a chunk of its own. No training rows: every
+    token is the one unknown word of probability 1 (score 0). Other columns are left out.
     """
-    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.floor(F.col("_metadata.row_index") / ROWS))
-    docs = stored.select(place.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    docs = planned_once(docs)
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, min(1 << 20, math.ceil(chars / 6 / part_words)))
-    got = cut(docs.mapInArrow(_ask_words(parts), _PART).groupBy("part").applyInPandas(_merge_words(parts), _PART))
-    sums = np.zeros(K + 4, np.int64)
-    for r in got.where(f"kind = {STATS}").select("a").toLocalIterator():  # a few numbers for each part
-        sums += unpack(bytes(r[0]), np.int64)
+    if order < 2:
+        raise ValueError("order: 2 or more")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    docs = planned_once(docs) if stored else cut(docs)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, min(1 << 20, math.ceil(size / 6 / part_words)))
+    got = cut(docs.mapInArrow(_ask_words(parts), _ROW).groupBy("part").applyInPandas(_merge_words(parts), _ROW))
+    sums = _sums(got, K + 4)
     words = word_stats(int(sums[0]), int(sums[1]), int(sums[2]), np.concatenate(([0], sums[3:])))
-    ids = got.where(f"kind = {WORD_GOT}")
-    by_chunk = docs.mapInArrow(_each_chunk(_lay_out), _PART).groupBy("chunk")
-    pairs = by_chunk.cogroup(ids.groupBy("chunk")).applyInPandas(_count_pairs(parts, words), _PART)
-    back = cut(pairs.groupBy("part").applyInPandas(_merge_pairs(words), _PART))
-    n = np.zeros(K + 1, np.int64)
-    for r in back.where(f"kind = {STATS}").select("a").toLocalIterator():
-        n += unpack(bytes(r[0]), np.int64)
-    d = discounts(np.concatenate(([0], n)))
-    info = ids.unionByName(back.where(f"kind = {PAIR_GOT}"))
-    out = by_chunk.cogroup(info.groupBy("chunk")).applyInPandas(
-        _score(parts, words, d), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    )
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.total).cast("long").alias("train_tokens"), "base_score", "score")
+    chunks = docs.mapInArrow(_each_chunk(_lay_out), _ROW).groupBy("chunk").cogroup(got.where(f"kind = {WORD_GOT}").groupBy("chunk"))
+    sent = chunks.applyInPandas(_send_grams(parts, words, order, part_words), _ROW)
+    table = cut(sent.groupBy("part").applyInPandas(_merge_grams(order), _ROW))
+    sums = _sums(table, 1 + (order - 1) * (K + 1))
+    rare = sums[1:].reshape(order - 1, K + 1)
+    out = table.where(f"kind = {META}")
+    if sums[0]:
+        # Histories that are split over parts: their pairs are added up, and each part gets back those it holds.
+        held = cut(table.where(f"kind = {PAIRS}").select("part", "a", "b", "c", "d").mapInArrow(_list_pairs, "part int, v long, w long, n long, cw long"))
+        pairs = cut(held.groupBy("v", "w").agg(F.sum("n").alias("c"), F.first("cw").alias("cw")))
+        for r in pairs.where(f"c between 1 and {K + 1}").groupBy("c").count().collect():
+            rare[0, r["c"] - 1] += r["count"]
+        each = [F.count_if(F.col("c") == t).alias(f"r{t}") for t in range(1, K + 1)]
+        whole = pairs.where("c > 0").groupBy("v").agg(F.sum("c").alias("total"), F.sum(words.p1(F.col("cw"))).alias("low"), *each)
+        facts = held.select("part", "v", "w").join(pairs.select("v", "w", "c"), ["v", "w"]).join(whole, "v")
+    d = [discounts(np.concatenate(([0], n))) for n in rare]
+    out = out.unionByName(table.where(f"kind = {TABLE}").mapInArrow(_answer(words, d), _ROW))
+    if sums[0]:
+        both = table.where(f"kind = {SPLIT_TABLE}").groupBy("part").cogroup(facts.groupBy("part"))
+        out = out.unionByName(both.applyInPandas(_answer_split(words, d), _ROW))
+    scored = out.groupBy("chunk").applyInPandas(_finish, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz_scores(read(spark, sf_dir, "documents"))
+    return katz_scores(read(spark, sf_dir, "documents"), stored=True)

@@ -99,13 +99,25 @@ def test_fm_index_backward_search():
 HARD = ["a  b\n\n c ", "\n x\n", "  ", "", "it's  \n don't <|endoftext|> x", "a\tb   c", "Á é ́x", "ABC's 12345 ..!! \n\n\n", " \n a", "x \n", "x\x00y z", "a b c d​e", "x×y ÷ Ã z", "Ünï, ÄÖ!!", "日本語 text", "ab12 cd", "'s a", "é́ b", "🙂 ok"]
 
 
+MARKED = ["<|endoftext|>", "one <|endoftext|> two", "x<|startoftext|>y <|ENDOFTEXT|> z", "a  <|endoftext|>\n\n", "<|endoftext|"]
+
+
+def library(name):
+    """A fresh tokenizer, with nothing of the code under test."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_tokens_equal_the_library(name):
     import pyarrow as pa
 
-    enc = encoder(name)
-    texts = HARD + [t for _, t in corpus()]
-    want = enc.whole([t or "" for t in texts])
+    enc, ids_of = encoder(name), library(name)
+    texts = HARD + MARKED + [t for _, t in corpus()]
+    want = [ids_of(t or "") for t in texts]
     seen = 0
     for at, ids, edge in enc.encode(pa.array(texts)):
         for k in range(len(edge) - 1):
@@ -278,18 +290,18 @@ def test_pages_table(spark):
 
 @pytest.mark.parametrize("encoding", ["dictionary", "delta"])
 def test_token_files(spark, tmp_path, encoding):
-    rows = [*corpus(), (None, "null id"), (1000, HARD[4])]
+    rows = [*corpus(), (None, "null id"), (1000, HARD[4]), *((1100 + i, t) for i, t in enumerate(MARKED))]
     path = str(tmp_path / encoding)
     token_output.write_tokens(frame(spark, rows), path, "word_bpe_49k.json", 2, encoding)
-    enc, start, want = encoder("word_bpe_49k.json"), 0, []
+    ids_of, start, want = library("word_bpe_49k.json"), 0, []
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        ids = np.array([*enc.whole([t or ""])[0], 2], "<u4")
+        ids = np.array([*ids_of(t or ""), 2], "<u4")
         want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     got = token_output.token_starts(spark, path).collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
     few = token_output.read_tokens(spark, path, ["doc_id", "ids"], [1000]).collect()
-    assert [r["ids"] for r in few] == [[*enc.whole([HARD[4]])[0], 2]]
+    assert [r["ids"] for r in few] == [[*ids_of(HARD[4]), 2]]
 
 
 def test_token_files_empty(spark, tmp_path):
@@ -299,12 +311,12 @@ def test_token_files_empty(spark, tmp_path):
 
 def test_packing_is_whole_and_tight(spark):
     rng = random.Random(6)
-    rows = [*corpus(), *[(200 + i, text(rng, rng.choice([3, 30, 300, 900]))) for i in range(60)], (None, "x"), (5000, "same"), (5000, "same")]
+    rows = [*corpus(), *[(200 + i, text(rng, rng.choice([3, 30, 300, 900]))) for i in range(60)], (None, "x"), (5000, "same"), (5000, "same"), *((6000 + i, t) for i, t in enumerate(MARKED))]
     got = packing.pack_documents(frame(spark, rows), capacity=512).collect()
-    enc = encoder("byte_bpe_50k.json")
+    ids_of = library("byte_bpe_50k.json")
     want = collections.Counter()
     for i, t in rows:
-        ids = np.array([*enc.whole([t or ""])[0], 0], "<u4")
+        ids = np.array([*ids_of(t or ""), 0], "<u4")
         n = -(-len(ids) // 512)
         edge = [0] + [len(ids) - 512 * k for k in range(n - 1, -1, -1)]
         want.update((i, p, a, z - a, zlib.crc32(ids[a:z].tobytes())) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)))
@@ -481,72 +493,77 @@ def test_leaks_edge_tables(spark):
 # --- 10 Katz
 
 
-def brute_katz(rows):
-    uni, big, seqs, ends = collections.Counter(), collections.defaultdict(collections.Counter), [], "</s>"
+def brute_katz(rows, order):
+    """P by the definition, with counters of whole histories."""
+    grams = [collections.defaultdict(collections.Counter) for _ in range(order)]
+    seqs, end = [], "</s>"
     for i, t in rows:
-        w = [x.lower() for x in words(t)] + [ends]
+        w = [x.lower() for x in words(t)] + [end]
         held = None if i is None else zlib.crc32(str(i).encode()) % 10 == 0
         seqs.append((i, held, w))
         if held is False:
-            uni.update(w)
-            h = "<s>"
-            for x in w:
-                big[h][x] += 1
-                h = x
-    n, k = sum(uni.values()), katz.K
-
-    def disc(counts):
-        c = collections.Counter(counts)
-        return katz.discounts(np.array([0, *[c[r] for r in range(1, k + 2)]]))
-
-    d1, d2 = disc(uni.values()), disc(c for b in big.values() for c in b.values())
-    part = lambda d, c: (d[c] if c <= k else 1.0) * c
-    unk = 1 - sum(part(d1, c) for c in uni.values()) / n
+            h = ("<s>",) * (order - 1) + tuple(w)
+            for at in range(order - 1, len(h)):
+                for k in range(order):
+                    grams[k][h[at - k : at]][h[at]] += 1
+    uni, k_max = grams[0][()], katz.K
+    n = sum(uni.values())
+
+    def disc(table):
+        c = collections.Counter(x for b in table.values() for x in b.values())
+        return katz.discounts(np.array([0, *[c[r] for r in range(1, k_max + 2)]]))
+
+    d = [disc(t) for t in grams]
+    part = lambda d, c: (d[c] if c <= k_max else 1.0) * c
+    unk = 1 - sum(part(d[0], c) for c in uni.values()) / n
     bare = unk <= 1e-12  # no rare word: one more unseen event
     unk = 1 / (n + 1) if bare else unk
-    p1 = lambda w: (part(d1, uni[w]) / n * (1 - unk if bare else 1)) if uni[w] else unk
-
-    def weights(h):
-        b = big[h]
-        total = sum(b.values())
-        left = total - sum(part(d2, c) for c in b.values())
-        scale, mass = (1 / (total + 1), 1 / (total + 1)) if left <= 1e-9 else (1 / total, left / total)
-        return scale, mass / (1 - sum(p1(w) for w in b))
+    weights = {}
 
     def p(h, w):
-        if h not in big:
-            return p1(w)
-        scale, back = weights(h)
-        return part(d2, big[h][w]) * scale if w in big[h] else back * p1(w)
-
-    for h in list(big)[:40]:
-        assert abs(sum(p(h, w) for w in uni) + p(h, object()) - 1) < 1e-9
+        if not h:
+            return (part(d[0], uni[w]) / n * (1 - unk if bare else 1)) if uni[w] else unk
+        b = grams[len(h)].get(h)
+        if not b:
+            return p(h[1:], w)
+        if h not in weights:
+            total = sum(b.values())
+            left = total - sum(part(d[len(h)], c) for c in b.values())
+            scale, mass = (1 / (total + 1), 1 / (total + 1)) if left <= 1e-9 else (1 / total, left / total)
+            weights[h] = scale, mass / (1 - sum(p(h[1:], x) for x in b))
+        scale, back = weights[h]
+        return part(d[len(h)], b[w]) * scale if w in b else back * p(h[1:], w)
+
+    for table in grams[1:]:
+        for h in list(table)[:25]:
+            assert abs(sum(p(h, w) for w in uni) + p(h, object()) - 1) < 1e-9
     out = []
     for i, held, w in seqs:
-        h, s, b = "<s>", 0.0, 0.0
-        for x in w:
-            s += math.log10(p(h, x))
-            b += math.log10((uni[x] + 0.1) / (n + 0.1 * (len(uni) + 1)))
-            h = x
+        h = ("<s>",) * (order - 1) + tuple(w)
+        s = sum(math.log10(p(h[at - order + 1 : at], h[at])) for at in range(order - 1, len(h)))
+        b = sum(math.log10((uni[x] + 0.1) / (n + 0.1 * (len(uni) + 1))) for x in w)
         out.append((i, held, len(w), sum(uni[x] > 0 for x in w), n, b, s))
     return out
 
 
-def test_katz_equals_brute_force(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(katz, "ROWS", 7)
+@pytest.mark.parametrize(("order", "part_words", "stored"), [(3, 500, True), (3, 60, False), (2, 60, True), (4, 200, False), (3, 10**6, True)])
+def test_katz_equals_brute_force(spark, tmp_path, monkeypatch, order, part_words, stored):
+    """Small parts split the frequent words; small chunks pair many answers."""
+    monkeypatch.setattr(katz, "CHUNK_WORDS", 300)
     rng = random.Random(12)
     rows = [*corpus(), (None, "one two three"), (7, "the cat The CAT"), (7, "the cat The CAT")]
-    rows += [(300 + i, text(rng, rng.randint(1, 60), WORDS[:30])) for i in range(80)]
+    rows += [(300 + i, text(rng, rng.randint(1, 60), WORDS[:30])) for i in range(80)] + [(500 + i, "a b c " * 20) for i in range(12)]
     frame(spark, rows).write.parquet(str(tmp_path / "d"))
-    got = katz.katz_scores(spark.read.parquet(str(tmp_path / "d")), part_words=500).collect()
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = katz.katz_scores(docs if stored else docs.repartition(5).where("true"), stored, order, part_words).collect()
     key = lambda r: (r[0] or -1, r[2], round(r[6], 6))
-    for a, b in zip(sorted(map(tuple, got), key=key), sorted(brute_katz(rows), key=key), strict=True):
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(brute_katz(rows, order), key=key), strict=True):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
 
 
 def test_katz_edge_tables(spark, tmp_path):
     empty(spark).write.parquet(str(tmp_path / "e"))
-    assert katz.katz_scores(spark.read.parquet(str(tmp_path / "e"))).count() == 0
+    assert katz.katz_scores(spark.read.parquet(str(tmp_path / "e")), stored=True).count() == 0
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     frame(spark, [(held, "a b")]).write.parquet(str(tmp_path / "h"))
     r = katz.katz_scores(spark.read.parquet(str(tmp_path / "h"))).first()

@@ -7,11 +7,10 @@ import random
 import zlib
 
 import numpy as np
-from test_llm import ITEM, brute_jaccard, text
+from test_llm import ITEM, brute_jaccard, library, text
 
 import corpus_pipeline
 from factloom.llm import quality, secrets
-from factloom.llm.tokens import encoder
 
 
 def tables(spark, d):
@@ -74,9 +73,9 @@ def test_stages(spark, tmp_path):
     assert all(tuple(x.columns) == corpus_pipeline.COLUMNS for x in (a, b, c, e))
 
     got = corpus_pipeline.STAGES[4][1](spark, e, d).collect()
-    enc, want = encoder("byte_bpe_50k.json"), collections.Counter()
+    ids_of, want = library("byte_bpe_50k.json"), collections.Counter()
     for (i, t), n in at.items():
-        ids = np.array([*enc.whole([t or ""])[0], 0], "<u4")
+        ids = np.array([*ids_of(t or ""), 0], "<u4")
         k = -(-len(ids) // 2048)
         edge = [0] + [len(ids) - 2048 * j for j in range(k - 1, -1, -1)]
         for p, (s, z) in enumerate(zip(edge, edge[1:], strict=False)):

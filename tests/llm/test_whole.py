@@ -97,14 +97,14 @@ def test_strings_that_are_no_keys(t):
 
 
 def test_katz_when_splits_change_between_passes(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(katz, "ROWS", 64)
+    monkeypatch.setattr(katz, "CHUNK_WORDS", 2000)
     rng, path = random.Random(1), str(tmp_path / "d")
     rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.randint(1, 60)))) for i in range(1000)]
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 8192).option("parquet.page.size.row.check.min", 10).parquet(path)
     small = {"spark.sql.files.maxPartitionBytes": "20k", "spark.sql.files.openCostInBytes": "1k"}
 
     def scores():
-        return sorted((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in katz.katz_scores(spark.read.parquet(path), part_words=5000).collect())
+        return sorted((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in katz.katz_scores(spark.read.parquet(path), stored=True, part_words=5000).collect())
 
     want, plain, parts = scores(), katz.cut, spark.read.parquet(path).rdd.getNumPartitions()
     assert len(want) == 1000
