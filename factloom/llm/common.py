@@ -43,12 +43,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def planned_once(df: DataFrame) -> DataFrame:
-    """df with its present splits. A file scan is otherwise planned anew in each job, and then follows the
-    executors alive and the session's settings. Nothing is written or kept."""
-    spark = df.sparkSession
-    rows = df._jdf.queryExecution().toRdd()
-    return type(df)(spark._jsparkSession.internalCreateDataFrame(rows, df._jdf.schema(), False), spark)
+class SameSplits:
+    """Within `with`, a file scan is planned as it was when this was made. Otherwise the splits of a table follow
+    the executors alive and the session's settings of the moment."""
+
+    NAMES = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.own = {n: spark.conf.get(n, None) for n in self.NAMES}
+        self.own[self.NAMES[2]] = self.own[self.NAMES[2]] or str(spark.sparkContext.defaultParallelism)
+
+    def __enter__(self) -> None:
+        self.before = {n: self.spark.conf.get(n, None) for n in self.NAMES}
+        self._set(self.own)
+
+    def __exit__(self, *_: object) -> None:
+        self._set(self.before)
+
+    def _set(self, values: dict[str, str | None]) -> None:
+        for n, v in values.items():
+            if v is None:
+                self.spark.conf.unset(n)
+            else:
+                self.spark.conf.set(n, v)
 
 
 #: Bytes that part words, as a table; A-Z to a-z, as a table.

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, cut, give_back, mix, planned_once, read, word_hashes
+from .common import SameSplits, by_bytes, cut, give_back, mix, read, word_hashes
 
 #: Longest n-gram; counts up to K are discounted.
 ORDER, K = 3, 5
@@ -487,7 +487,7 @@ def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_
 
     docs: any DataFrame with doc_id and text. Two passes must see the same rows in the same places, as a
     chunk's answers are paired with its rows; so docs is written once to the shared folder, unless stored
-    says that it is a plain read of files, whose splits are then planned once.
+    says that it is a plain read of files, whose splits are then kept the same.
 
     Null and empty texts are one end token. A null doc_id has null held_out and teaches nothing. Repeated
     rows count and score again. A text longer than a chunk is a chunk of its own. No training rows: every
@@ -496,15 +496,17 @@ def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_
     if order < 2:
         raise ValueError("order: 2 or more")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    docs = planned_once(docs) if stored else cut(docs)
+    docs, splits = docs if stored else cut(docs), SameSplits(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, min(1 << 20, math.ceil(size / 6 / part_words)))
-    got = cut(docs.mapInArrow(_ask_words(parts), _ROW).groupBy("part").applyInPandas(_merge_words(parts), _ROW))
+    with splits:
+        got = cut(docs.mapInArrow(_ask_words(parts), _ROW).groupBy("part").applyInPandas(_merge_words(parts), _ROW))
     sums = _sums(got, K + 4)
     words = word_stats(int(sums[0]), int(sums[1]), int(sums[2]), np.concatenate(([0], sums[3:])))
     chunks = docs.mapInArrow(_each_chunk(_lay_out), _ROW).groupBy("chunk").cogroup(got.where(f"kind = {WORD_GOT}").groupBy("chunk"))
     sent = chunks.applyInPandas(_send_grams(parts, words, order, part_words), _ROW)
-    table = cut(sent.groupBy("part").applyInPandas(_merge_grams(order), _ROW))
+    with splits:
+        table = cut(sent.groupBy("part").applyInPandas(_merge_grams(order), _ROW))
     sums = _sums(table, 1 + (order - 1) * (K + 1))
     rare = sums[1:].reshape(order - 1, K + 1)
     out = table.where(f"kind = {META}")
