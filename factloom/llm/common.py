@@ -54,12 +54,17 @@ class SameSplits:
         self.own = {n: spark.conf.get(n, None) for n in self.NAMES}
         self.own[self.NAMES[2]] = self.own[self.NAMES[2]] or str(spark.sparkContext.defaultParallelism)
 
+    def _now(self) -> dict[str, str | None]:
+        return {n: self.spark.conf.get(n, None) for n in self.NAMES}
+
     def __enter__(self) -> None:
-        self.before = {n: self.spark.conf.get(n, None) for n in self.NAMES}
+        self.before = self._now()
         self._set(self.own)
+        self.set = self._now()
 
     def __exit__(self, *_: object) -> None:
-        self._set(self.before)
+        """What was changed meanwhile stays."""
+        self._set({n: self.before[n] for n, v in self._now().items() if v == self.set[n]})
 
     def _set(self, values: dict[str, str | None]) -> None:
         for n, v in values.items():

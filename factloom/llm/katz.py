@@ -40,6 +40,8 @@ CHUNK_WORDS, PART_WORDS = 600_000, 1_500_000
 #: An n-gram that a chunk holds more often is asked for once.
 MANY = 8
 UNKNOWN, END, START, FIRST = 0, 1, 2, 3
+#: In place of a word: the facts of a history as a whole.
+WHOLE = -1
 _NAMES = ["part", "chunk", "kind", "a", "b", "c", "d", "e", "f", "stats"]
 _ROW = "part int, chunk long, kind int, a binary, b binary, c binary, d binary, e binary, f binary, stats array<long>"
 WORD_ASK, WORD_GOT, STATS, TEXTS, GRAMS, META, TABLE, SPLIT_TABLE, PAIRS, SUMS = range(10)
@@ -399,14 +401,16 @@ def _score_table(r: dict, words: Words, d: list[np.ndarray], split_facts: pd.Dat
         for t in range(1, K + 1):
             rare[:, t - 1] = np.bincount(hist[count == t], minlength=n)
         if k == 0 and split_facts is not None and len(split_facts):
-            f = split_facts.sort_values(["v", "w"])
+            f, whole = split_facts[split_facts["w"] != WHOLE].sort_values(["v", "w"]), split_facts[split_facts["w"] == WHOLE].sort_values("v")
             s = np.flatnonzero(split[at] > 0)
             # Both sides are in order of history and word and hold the same pairs.
             s = s[np.lexsort((w[at[s]], history[0][at[s]]))]
             count[s] = f["c"].to_numpy(np.int64)
-            total[hist[s]], under[hist[s]] = f["total"].to_numpy(np.int64), f["low"].to_numpy()
-            for t in range(1, K + 1):
-                rare[hist[s], t - 1] = f[f"r{t}"].to_numpy(np.int64)
+            own = np.unique(hist[s])
+            known = np.isin(np.unique(history[0][at[s]]), whole["v"].to_numpy(np.int64))
+            own = own[known]
+            total[own], under[own] = whole["c"].to_numpy(np.int64), whole["low"].to_numpy()
+            rare[own] = np.array(whole["r"].tolist(), np.int64).reshape(-1, K + 1)[:, :K]
         scale, back = history_weights(total, under, rare, d[k])
         own = np.where(count <= K, d[k][np.minimum(count, K)], 1.0) * count * scale[hist]
         p = np.where(count > 0, own, back[hist] * low)[pair]
@@ -512,13 +516,14 @@ def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_
     out = table.where(f"kind = {META}")
     if sums[0]:
         # Histories that are split over parts: their pairs are added up, and each part gets back those it holds.
-        held = cut(table.where(f"kind = {PAIRS}").select("part", "a", "b", "c", "d").mapInArrow(_list_pairs, "part int, v long, w long, n long, cw long"))
-        pairs = cut(held.groupBy("v", "w").agg(F.sum("n").alias("c"), F.first("cw").alias("cw")))
-        for r in pairs.where(f"c between 1 and {K + 1}").groupBy("c").count().collect():
-            rare[0, r["c"] - 1] += r["count"]
-        each = [F.count_if(F.col("c") == t).alias(f"r{t}") for t in range(1, K + 1)]
-        whole = pairs.where("c > 0").groupBy("v").agg(F.sum("c").alias("total"), F.sum(words.p1(F.col("cw"))).alias("low"), *each)
-        facts = held.select("part", "v", "w").join(pairs.select("v", "w", "c"), ["v", "w"]).join(whole, "v")
+        held = table.where(f"kind = {PAIRS}").select("part", "a", "b", "c", "d").mapInArrow(_list_pairs, "part int, v long, w long, n long, cw long")
+        pairs = held.groupBy("v", "w").agg(F.sum("n").alias("c"), F.first("cw").alias("cw"))
+        each = F.array(*(F.count_if(F.col("c") == t) for t in range(1, K + 2))).alias("r")
+        whole = cut(pairs.where("c > 0").groupBy("v").agg(F.sum("c").alias("c"), F.sum(words.p1(F.col("cw"))).alias("low"), each))
+        for r in whole.select(F.posexplode("r").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():
+            rare[0, r["i"]] += r["x"]
+        facts = held.select("part", "v", "w").join(pairs.select("v", "w", "c"), ["v", "w"]).select("part", "v", "w", "c", F.lit(None).cast("double").alias("low"), F.lit(None).cast("array<long>").alias("r"))
+        facts = facts.unionByName(held.select("part", "v").distinct().join(whole, "v").select("part", "v", F.lit(WHOLE).alias("w"), "c", "low", "r"))
     d = [discounts(np.concatenate(([0], n))) for n in rare]
     out = out.unionByName(table.where(f"kind = {TABLE}").mapInArrow(_answer(words, d), _ROW))
     if sums[0]:
