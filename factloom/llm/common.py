@@ -89,6 +89,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(p)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base of word_hashes, and of its inverse."""
+    if n <= len(_INVERSE):
+        return _POWER[:n], _INVERSE[:n]
+    return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+
+
 _POWER = _powers(_BASE, _RUN + _LONG + 1)
 _INVERSE = _powers(pow(_BASE, -1, 1 << 64), _RUN + 1)
 
@@ -149,21 +156,6 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-class WordHashes(dict):
-    """word -> 64-bit hash, remembered up to a bound; the memory is bounded, the hash isn't affected."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values (the finalizer of splitmix64)."""
     with np.errstate(over="ignore"):

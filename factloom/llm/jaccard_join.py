@@ -24,20 +24,27 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded, cut, mix, ngram_hashes, read, sliced
+from .common import bounded, by_bytes, cut, give_back, mix, ngram_hashes, read, word_hashes
 from .components import components
 
 WORDS = 5
-#: Documents in a block of one task, and smallest documents of a component that every block is searched for.
-BLOCK, HUBS = 4_000, 8
+#: Documents and shingles in a block of one task, about, and smallest documents of a component that every block
+#: is searched for.
+BLOCK, BLOCK_SHINGLES, HUBS = 4_000, 2_000_000, 8
+#: Of every SHARE-th document (fewer, so that there are TELLING at most), shingles in TOLD or more are taken for
+#: so frequent that their rows are dealt over SALTS groups. There are few such shingles, whatever the corpus.
+SHARE, TELLING, TOLD, SALTS = 64, 200_000, 32, 64
 #: Shingles that a task's blocks hold together, about.
 TASK_SHINGLES = 4_000_000
 
 
-def shingles(text: str | None, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
-    """Distinct shingles as sorted 64-bit hashes; a shorter text is one shingle, an empty one none."""
-    w = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    return np.unique(ngram_hashes(hashes.of(w), min(words, len(w)))) if w else np.empty(0, np.uint64)
+def sets_of(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
+    """Each text's distinct shingles as sorted 64-bit hashes; a shorter text is one shingle, an empty one none."""
+    h, edge = word_hashes(texts, lower=True)
+    runs, out = ngram_hashes(h, words), []
+    for a, z in zip(edge.tolist(), edge[1:].tolist(), strict=False):
+        out.append(np.unique(runs[a : z - words + 1]) if z - a >= words else ngram_hashes(h[a:z], z - a)[: z - a])
+    return out
 
 
 def first_third(s: np.ndarray) -> np.ndarray:
@@ -97,43 +104,24 @@ def link_group(ids: np.ndarray, sets: list[np.ndarray], known: np.ndarray, ask:
     largest component are. A link between two components has an end there, so none is lost.
     """
     n = len(ids)
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    first: dict[int, int] = {}
-    for i, k in enumerate(known.tolist()):
-        if (j := first.setdefault(k, i)) != i:
-            parent[root(i)] = root(j)
+    _, part = np.unique(known, return_inverse=True)
     lists, links = Lists(sets), []
 
     def search(q: int) -> None:
-        mine = root(q)
-        skip = np.fromiter((root(i) == mine for i in range(n)), bool, n) if n > 64 else None
-        for y in lists.search(q, skip):
-            a, b = root(q), root(y)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
+        for y in lists.search(q, part == part[q] if n > 64 else None):
+            if part[q] != part[y]:
+                part[part == part[y]] = part[q]
                 links.append((int(ids[q]), int(ids[y])))
 
     done = np.zeros(n, bool)
     if ask.all():
-        size = np.bincount([root(i) for i in range(n)], minlength=n)
         for q in range(n):
-            if size[root(q)] == 1 and parent[q] == q:
-                before = len(links)
+            if (part == part[q]).sum() == 1:
                 search(q)
                 done[q] = True
-                if len(links) > before:
-                    size = np.bincount([root(i) for i in range(n)], minlength=n)
-    roots = np.array([root(i) for i in range(n)])
-    if len(np.unique(roots)) > 1:
-        largest = np.bincount(roots).argmax() if ask.all() else -1
-        for q in np.flatnonzero(ask & ~done & (roots != largest)):
+    if len(np.unique(part)) > 1:
+        largest = np.bincount(part).argmax() if ask.all() else -1
+        for q in np.flatnonzero(ask & ~done & (part != largest)):
             search(int(q))
     return links
 
@@ -157,36 +145,31 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of docs.
 
     Null and empty texts have no shingles and are alone; a null doc_id links with nothing and has a
-    null component_id. Rows that repeat a doc_id share its component. Other columns are left out.
+    null component_id. Rows that repeat a doc_id share its component; if their texts differ, the least of
+    those sets that may have a link stands for the id, the others only link with equal sets. A very long
+    text is one set, and alone in its block. Other columns are left out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            n, h1, h2 = [], [], []
-            for t in b.column(1):
-                s = shingles(t.as_py(), hashes)
-                h = xxhash.xxh3_128_digest(s.tobytes())
-                n.append(len(s))
-                h1.append(int.from_bytes(h[:8], "big", signed=True))
-                h2.append(int.from_bytes(h[8:], "big", signed=True))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in (n, h1, h2))], ["doc_id", "n", "h1", "h2"])
+        for b in by_bytes(batches, 1):
+            own = sets_of(b.column(1))
+            h = [xxhash.xxh3_128_digest(s.tobytes()) for s in own]
+            cols = [len(s) for s in own], *([int.from_bytes(x[i : i + 8], "big", signed=True) for x in h] for i in (0, 8))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "n", "h1", "h2"])
+        give_back()
 
     def emit(choose: Callable[[np.ndarray], np.ndarray]) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = WordHashes()
-            for b in batches:
-                keys = b.column(0).to_numpy(zero_copy_only=False)
-                parts = [choose(s) if len(s := shingles(t.as_py(), hashes)) else s for t in b.column(1)]
-                size = [len(p) for p in parts]
-                if sum(size):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(keys, size))], ["token", "doc_id"])
+            for b in by_bytes(batches, 1):
+                parts = [choose(s) if len(s) else s for s in sets_of(b.column(1))]
+                keys = np.repeat(b.column(0).to_numpy(zero_copy_only=False), [len(p) for p in parts])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(keys)], ["token", "doc_id"])
+            give_back()
 
         return run
 
-    info = docs.mapInArrow(sliced(survey), "doc_id long, n long, h1 long, h2 long")
-    info = cut(info)
+    info = cut(docs.mapInArrow(survey, "doc_id long, n long, h1 long, h2 long"))
     classes = info.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     members = info.join(classes, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")
@@ -198,11 +181,30 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     def texts_of(ids: DataFrame) -> DataFrame:
         return keyed.join(bounded(ids.select("doc_id")), "doc_id", "left_semi")
 
-    met = Window.partitionBy("token")
-    third = keyed.mapInArrow(sliced(emit(first_third)), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
+    def counted(rows: DataFrame, choose: Callable[[np.ndarray], np.ndarray], share: int) -> DataFrame:
+        """(token, doc_id, df) of rows for the tokens that stand in several of its documents.
+
+        Tokens are counted in a window, but for those so frequent that one task could not hold their rows: they
+        show in every share-th document. They are dealt over salts, and their df is what those documents tell; as
+        it only sets one order for all documents, and is above 1, nothing depends on its exactness.
+        """
+        tell = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(emit(choose), "token long, doc_id long")
+        tell = cut(tell.groupBy("token").agg(F.count("*").alias("told")).where(F.col("told") >= TOLD))
+        each = rows.mapInArrow(emit(choose), "token long, doc_id long")
+        if tell.isEmpty():
+            return each.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+        each = each.join(bounded(tell), "token", "left").withColumn("salt", F.when(F.col("told").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0))
+        there = F.count("*").over(Window.partitionBy("token", "salt"))
+        return each.withColumn("df", F.coalesce(F.col("told") * share, there)).where("df > 1").select("token", "doc_id", "df")
+
+    # Equal sets are one document from here on, so that copies make no token frequent.
+    copies = members.where("rep <> doc_id").select("doc_id").distinct().join(firsts.select("doc_id"), "doc_id", "left_anti")
+    single = keyed.join(bounded(cut(copies)), "doc_id", "left_anti")
+    share = max(SHARE, math.ceil(firsts.count() / TELLING))
+    third = counted(single, first_third, share)
     may = third.groupBy("doc_id").agg(F.count("*").alias("met")).join(firsts, "doc_id").where("met > floor(n / 16)").select("doc_id", "n")
     may = cut(may)
-    common = texts_of(may).mapInArrow(sliced(emit(lambda s: s)), "token long, doc_id long").withColumn("df", F.count("*").over(met)).where("df > 1")
+    common = counted(texts_of(may), lambda s: s, share)
     # A document's list is no longer than the document.
     order = F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own")
     lead = (
@@ -213,14 +215,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .select("doc_id", F.explode(F.slice("own", F.lit(1), F.col("k"))).alias("x"))
         .select("doc_id", "x.token")
     )
-    chains = (
-        lead.withColumn("hub", F.min("doc_id").over(met))
-        .where("doc_id <> hub")
-        .select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-        .distinct()
-    )
+    lead = cut(lead)
+    hubs = lead.groupBy("token").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select("token", "hub")
+    chains = lead.join(hubs, "token").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     routed = components(chains)  # (node, component)
-    size = routed.groupBy("component").agg(F.count("*").alias("docs")).withColumn("blocks", F.ceil(F.col("docs") / BLOCK).cast("int"))
+    routed = routed.join(may, F.col("node") == F.col("doc_id")).select("node", "component", "n")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    size = routed.groupBy("component").agg(blocks.alias("blocks"))
     place = (
         routed.join(size, "component")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -228,19 +229,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            bins = [shingles(t.as_py(), hashes).tobytes() for t in b.column("text")]
-            at = b.schema.get_field_index("text")
+        for b in by_bytes(batches, 4):
+            at = 4
+            bins = [x.tobytes() for x in sets_of(b.column(at))]
             names = [*b.schema.names[:at], *b.schema.names[at + 1 :], "shingles"]
             yield pa.RecordBatch.from_arrays([*b.columns[:at], *b.columns[at + 1 :], pa.array(bins, pa.binary())], names)
+        give_back()
 
     with_sets = (
         keyed.join(bounded(cut(place)), "doc_id")
         .select("doc_id", "component", "blocks", "block", "text")
-        .mapInArrow(sliced(sets), "doc_id long, component long, blocks int, block int, shingles binary")
+        .mapInArrow(sets, "doc_id long, component long, blocks int, block int, shingles binary")
     )
-    with_sets = cut(with_sets.dropDuplicates(["doc_id"]))
+    with_sets = cut(with_sets.groupBy("doc_id", "component", "blocks", "block").agg(F.min("shingles").alias("shingles")))
     total = with_sets.agg(F.sum(F.length("shingles") / 8).alias("n"), F.max("blocks").alias("b")).first()
     shards = max(1, math.ceil((total["n"] or 0) / TASK_SHINGLES), docs.sparkSession.sparkContext.defaultParallelism * 4)
     one = with_sets.where("blocks = 1").select(

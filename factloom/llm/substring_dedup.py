@@ -22,69 +22,83 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, ngram_hashes, read, words_of
+from .common import bounded, by_bytes, cut, give_back, mix, ngram_hashes, powers, read, word_hashes, words_of
 from .fm_index import FMIndex
 
 WINDOW, ANCHOR = 50, 8
 #: Words in the index of one shard, about; an anchor with more goes on by single windows instead.
 SHARD_WORDS, ANCHOR_WORDS = 400_000, 3_000_000
+#: Of every SHARE-th document (fewer, so that there are TELLING at most), anchors that stand in TOLD or more are
+#: taken for so frequent that their segments are dealt over SALTS groups.
+SHARE, TELLING, TOLD, SALTS = 64, 200_000, 32, 64
 
 
-def segments(h: np.ndarray, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first word, words) of each segment; empty below `window` words.
+def segments(texts: pa.Array, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """(text, anchor hash, content hash, first word, words) of each segment; none in texts below `window` words.
 
     A segment has window - anchor + 1 windows at most, so that its length is bounded.
     """
-    if len(h) < window:
-        e = np.empty(0, np.int64)
-        return e.astype(np.uint64), e, e
-    most = window - anchor + 1
-    least = np.lib.stride_tricks.sliding_window_view(ngram_hashes(h, anchor), most).min(1)
-    new = np.concatenate(([True], least[1:] != least[:-1]))
-    at = np.arange(len(least))
-    run = np.maximum.accumulate(np.where(new, at, 0))
-    first = np.flatnonzero(new | ((at - run) % most == 0))
-    size = np.diff(np.append(first, len(least))) + window - 1
-    return least[first], first, size
+    h, edge = word_hashes(texts)
+    most, n = window - anchor + 1, len(h) - window + 1
+    if n < 1:
+        none = np.empty(0, np.int64)
+        return none, none.view(np.uint64), none.view(np.uint64), none, none
+    least, k = ngram_hashes(h, anchor), 1
+    while 2 * k <= most:
+        least, k = np.minimum(least[:-k], least[k:]), 2 * k
+    least = np.minimum(least[:n], least[most - k : most - k + n])
+    text = np.repeat(np.arange(len(edge) - 1), np.diff(edge))[:n]
+    at = np.flatnonzero(np.arange(window, window + n) <= edge[1:][text])
+    text, least = text[at], least[at]
+    new = np.concatenate(([True], (least[1:] != least[:-1]) | (text[1:] != text[:-1])))[: len(at)]
+    nth = np.arange(len(at))
+    run = np.maximum.accumulate(np.where(new, nth, 0))
+    first = np.flatnonzero(new | ((nth - run) % most == 0))
+    size = np.diff(np.append(first, len(at))) + window - 1
+    begin = at[first]
+    power, inverse = powers(len(h))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power)))
+    content = mix((sums[begin + size] - sums[begin]) * inverse[begin] + size.astype(np.uint64))
+    return text[first], least[first], content, begin - edge[text[first]], size
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs(doc_id, th, text) -> (doc_id, th, spans array<struct<a, z>>): words under repeated windows."""
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
-            doc, th = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            cols: list[list] = [[] for _ in range(4)]
-            n = []
-            for t in b.column(2):
-                h = hashes.of(words_of(t.as_py()))
-                anchor, first, size = segments(h, window)
-                n.append(len(anchor))
-                if len(anchor):
-                    raw = h.data.cast("B")
-                    whole = np.array([xxhash.xxh3_64_intdigest(raw[8 * a : 8 * z]) for a, z in zip(first.tolist(), (first + size).tolist(), strict=True)], np.uint64)
-                    for c, v in zip(cols, (anchor.view(np.int64), whole.view(np.int64), first, size), strict=True):
-                        c.append(v)
-            if cols[0]:
-                a, w, s, z = (np.concatenate(c) for c in cols)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(w), pa.array(np.repeat(doc, n)), pa.array(np.repeat(th, n)), pa.array(s.astype(np.int32)), pa.array(z.astype(np.int32))],
-                    ["anchor", "content", "doc_id", "th", "start", "size"],
-                )
-
-    by_anchor = Window.partitionBy("anchor")
-    segs = docs.where("doc_id is not null").mapInArrow(cut_up, "anchor long, content long, doc_id long, th long, start int, size int")
+        for b in by_bytes(batches, 2):
+            text, anchor, content, first, size = segments(b.column(2), window)
+            ids = [b.column(i).to_numpy(zero_copy_only=False)[text] for i in (0, 1)]
+            cols = (anchor.view(np.int64), content.view(np.int64), *ids, first.astype(np.int32), size.astype(np.int32))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), ["anchor", "content", "doc_id", "th", "start", "size"])
+        give_back()
+
+    kept = docs.where("doc_id is not null")
+    form = "anchor long, content long, doc_id long, th long, start int, size int"
+    # Anchors so frequent that one task could not hold their segments show in every share-th document. Those are
+    # dealt over salts; several documents hold them, so only the smallest document of each segment is looked for.
+    share = max(SHARE, math.ceil(kept.count() / TELLING))
+    tell = kept.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(cut_up, form)
+    tell = cut(tell.groupBy("anchor").agg(F.count_distinct("doc_id").alias("told")).where(F.col("told") >= TOLD))
+    dealt = not tell.isEmpty()
+    segs = kept.mapInArrow(cut_up, form)
+    if dealt:
+        salt = F.when(F.col("told").isNotNull(), 1 + F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
+        segs = segs.join(bounded(tell), "anchor", "left").withColumn("salt", salt.cast("int")).drop("told")
+    else:
+        segs = segs.withColumn("salt", F.lit(0))
+    place = Window.partitionBy("anchor", "salt")
     segs = (
-        segs.withColumn("lo", F.min("doc_id").over(by_anchor))
-        .withColumn("hi", F.max("doc_id").over(by_anchor))
-        .where("lo < hi")
-        .withColumn("first", F.min("doc_id").over(Window.partitionBy("anchor", "content")))
+        segs.withColumn("lo", F.min("doc_id").over(place))
+        .withColumn("hi", F.max("doc_id").over(place))
+        .where("salt > 0 or lo < hi")
+        .withColumn("first", F.min("doc_id").over(Window.partitionBy("anchor", "salt", "content")))
         .drop("lo", "hi")
     )
     segs = cut(segs)
     # Every different segment is indexed once, under the smallest document that holds it.
-    distinct = segs.where("doc_id = first").groupBy("anchor", "content", "doc_id").agg(F.min(F.struct("th", "start", "size")).alias("at"))
+    least = segs.where("doc_id = first").groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "th", "start", "size")).alias("at"))
+    distinct = least.select("anchor", "content", "at.doc_id", "at")
     load = distinct.groupBy("anchor").agg(F.sum("at.size").alias("words"))
     wanted = (
         distinct.join(load, "anchor")
@@ -93,13 +107,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in batches:
+        types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+        for b in by_bytes(batches, 1):
+            h, edge = word_hashes(b.column(1))
             rows = []
-            for doc, text, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                h = hashes.of(words_of(text.as_py()))
+            for doc, at, wanted in zip(b.column(0).to_pylist(), edge.tolist(), b.column(2).to_pylist(), strict=False):
                 for w in wanted:
-                    own = h[w["start"] : w["start"] + w["size"]]
+                    own = h[at + w["start"] : at + w["start"] + w["size"]]
                     if not w["hot"]:
                         rows.append((w["anchor"], w["anchor"], w["content"], doc, 0, own.tobytes()))
                     else:
@@ -109,8 +123,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                             rows.append((int(to), w["anchor"], w["content"], doc, i, x))
             if rows:
                 c = list(zip(*rows, strict=True))
-                types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(c, types, strict=True)], ["route", "anchor", "content", "doc_id", "offset", "words"])
+        give_back()
 
     rows = (
         docs.join(wanted, ["doc_id", "th"])
@@ -144,10 +158,14 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     matches = rows.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInPandas(search, "anchor long, content long, a long, z long")
     # A later copy of an indexed segment lies in a larger document than the index's own entry, so it is covered whole.
     later = segs.where("doc_id > first").select("doc_id", "th", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("z"))
-    own = (
-        segs.where("doc_id = first")
-        .join(matches, ["anchor", "content"])
-        .select("doc_id", "th", (F.col("start") + F.col("a")).cast("int").alias("a"), (F.col("start") + F.col("z")).cast("int").alias("z"))
+    ahead = segs.where("doc_id = first")
+    if dealt:
+        entry = distinct.select("anchor", "content", F.col("doc_id").alias("entry"))
+        ahead = segs.where("doc_id = first and salt > 0").join(entry, ["anchor", "content"])
+        later = later.unionByName(ahead.where("doc_id > entry").select("doc_id", "th", F.col("start").alias("a"), (F.col("start") + F.col("size")).alias("z")))
+        ahead = ahead.where("doc_id = entry").drop("entry").unionByName(segs.where("doc_id = first and salt = 0"), allowMissingColumns=True)
+    own = ahead.join(matches, ["anchor", "content"]).select(
+        "doc_id", "th", (F.col("start") + F.col("a")).cast("int").alias("a"), (F.col("start") + F.col("z")).cast("int").alias("z")
     )
     return later.unionByName(own).groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "z")).alias("spans"))
 
@@ -166,7 +184,9 @@ def _keep(words: list[bytes], spans: list[dict] | None) -> tuple[list[bytes], in
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept), one row per row of docs.
 
-    Null and empty texts have no words. Rows with a null doc_id keep everything and are no source.
+    Null and empty texts have no words; a very long one is cut into segments like any other, and an anchor of
+    more than ANCHOR_WORDS words in different segments goes on by single windows, which moves each of its
+    words up to 50 times. Rows with a null doc_id keep everything and are no source.
     Rows of one doc_id never remove from each other. Other columns are left out. kept holds the kept
     words joined by one space.
     """

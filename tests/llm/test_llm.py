@@ -196,15 +196,37 @@ def brute_repeats(rows, k=50):
     return sorted(out)
 
 
-@pytest.mark.parametrize("limits", [(400_000, 3_000_000), (300, 100)])
+@pytest.mark.parametrize("limits", [(400_000, 3_000_000, 64, 32), (300, 100, 64, 32), (400_000, 3_000_000, 1, 2), (300, 100, 1, 2)])
 def test_repeated_windows(spark, monkeypatch, limits):
-    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", limits[0])
-    monkeypatch.setattr(substring_dedup, "ANCHOR_WORDS", limits[1])
-    rows = corpus()
+    """Small shards, anchors by single windows, anchors dealt over salts."""
+    for name, value in zip(("SHARD_WORDS", "ANCHOR_WORDS", "SHARE", "TOLD"), limits, strict=True):
+        monkeypatch.setattr(substring_dedup, name, value)
+    rows = [*corpus(), *[(3000 + i, text(random.Random(i), 20) + " " + corpus()[8][1] + " " + text(random.Random(i), i)) for i in range(12)]]
     got = substring_dedup.remove_repeats(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == brute_repeats(rows)
 
 
+def test_segments_equal_a_loop():
+    rng = random.Random(3)
+    texts = [text(rng, n, WORDS[:9] if n % 2 else WORDS) for n in (0, 1, 49, 50, 51, 120, 333, 8, 700)]
+    import pyarrow as pa
+
+    at, anchor, content, first, size = substring_dedup.segments(pa.array(texts))
+    seen = {}
+    for i, t in enumerate(texts):
+        w = t.split()
+        own = [(a, f, n) for k, a, f, n in zip(at, anchor, first, size, strict=True) if k == i]
+        covered = [s for _, f, n in own for s in range(f, f + n - 49)]
+        assert covered == list(range(len(w) - 49)) and all(n <= 92 for *_, n in own)
+        for s in range(len(w) - 49):
+            a = next(a for a, f, n in own if f <= s < f + n - 49)
+            assert seen.setdefault(tuple(w[s : s + 50]), a) == a
+    for c, k, f, n in zip(content, at, first, size, strict=True):
+        key = tuple(texts[k].split()[f : f + n])
+        assert seen.setdefault(key + ("segment",), c) == c
+    assert len({c for c in content}) == len({tuple(texts[k].split()[f : f + n]) for k, f, n in zip(at, first, size, strict=True)})
+
+
 def test_repeats_edge_tables(spark):
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
     t = text(random.Random(5), 90)
@@ -397,9 +419,11 @@ def near_copies(seed=8):
     return rows
 
 
-@pytest.mark.parametrize("block", [4000, 12])
-def test_jaccard_components(spark, monkeypatch, block):
-    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+@pytest.mark.parametrize(("block", "shingled", "share", "told"), [(4000, 2_000_000, 64, 32), (12, 2_000_000, 1, 2), (4000, 900, 2, 3)])
+def test_jaccard_components(spark, monkeypatch, block, shingled, share, told):
+    """Small blocks; shingles that are dealt over salts."""
+    for name, value in (("BLOCK", block), ("BLOCK_SHINGLES", shingled), ("SHARE", share), ("TOLD", told), ("SALTS", 3)):
+        monkeypatch.setattr(jaccard_join, name, value)
     rows = near_copies()
     got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
     assert sorted(map(tuple, got)) == brute_jaccard(rows)
