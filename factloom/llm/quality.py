@@ -19,9 +19,12 @@ from .common import read, sliced
 
 CHUNK, OVERLAP = 512, 32
 WIDTH, STRIDE, EMBED, FILTERS = 8, 2, 8, 24
-#: The network is fitted on so many labelled rows at most, and on so many chunks, evenly spread, of each.
-TRAIN_ROWS, TRAIN_CHUNKS = 4000, 4
+#: The network is fitted on so many labelled rows at most, whose texts hold so many bytes together at most. A row
+#: is taken with its whole text or not at all.
+TRAIN_ROWS, TRAIN_BYTES = 4000, 24 << 20
 STEPS = 300
+#: Chunks that are worked on at once.
+SLICE = 512
 
 
 def chunks_of(data: bytes) -> np.ndarray:
@@ -48,12 +51,16 @@ class Net:
 
     def pooled(self, x: np.ndarray) -> np.ndarray:
         """(chunks, FILTERS): each filter's largest answer, at least 0."""
-        out = np.empty((len(x), FILTERS), np.float32)
-        for a in range(0, len(x), 256):
-            w, _ = self._windows(x[a : a + 256])
-            r = w.reshape(-1, WIDTH * EMBED) @ self.conv
-            out[a : a + 256] = np.maximum(r.reshape(len(w), -1, FILTERS).max(1) + self.bias, 0)
-        return out
+        return np.maximum(self.best(x)[1] + self.bias, 0)
+
+    def best(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(chunks, FILTERS) each: the window of each filter's largest answer, and that answer before its bias."""
+        top, out = np.empty((len(x), FILTERS), np.int64), np.empty((len(x), FILTERS), np.float32)
+        for a in range(0, len(x), SLICE):
+            w, _ = self._windows(x[a : a + SLICE])
+            r = (w.reshape(-1, WIDTH * EMBED) @ self.conv).reshape(len(w), -1, FILTERS)
+            top[a : a + SLICE], out[a : a + SLICE] = r.argmax(1), r.max(1)
+        return top, out
 
     def combine(self, pooled: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Probability for each document; starts: index of its first chunk."""
@@ -94,11 +101,8 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 9, batch: int = 48, ra
             starts = np.cumsum(size) - size
             x, y = np.concatenate([c for c, _ in some]), np.array([t for _, t in some], np.float32)
             net = Net(p["embed"], p["conv"], p["bias"], p["out"], float(p["ob"][0]))
-            w, _ = net._windows(x)
-            flat = w.reshape(-1, WIDTH * EMBED)
-            r = (flat @ p["conv"]).reshape(len(x), -1, FILTERS)
-            top = r.argmax(1)
-            best = np.take_along_axis(r, top[:, None], 1)[:, 0] + p["bias"]
+            top, best = net.best(x)
+            best += p["bias"]
             pool = np.maximum(best, 0)
             hi, mean, lo = np.maximum.reduceat(pool, starts), np.add.reduceat(pool, starts) / size[:, None], np.minimum.reduceat(pool, starts)
             z = np.hstack([hi, mean, lo]) @ p["out"] + p["ob"]
@@ -111,16 +115,15 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 9, batch: int = 48, ra
             d *= best > 0
             g["bias"] = d.sum(0)
             # Only the winning window of each (chunk, filter) has a gradient.
-            c, k = np.nonzero(d)
-            at = top[c, k]
-            win = flat.reshape(len(x), -1, WIDTH * EMBED)[c, at]
-            gc = np.zeros((FILTERS, WIDTH * EMBED), np.float32)
-            np.add.at(gc, k, win * d[c, k][:, None])
-            g["conv"] = gc.T
-            de = (d[c, k][:, None] * p["conv"].T[k]).reshape(-1, WIDTH, EMBED)
-            g["embed"] = np.zeros_like(p["embed"])
-            bytes_ = x[c[:, None], at[:, None] * STRIDE + np.arange(WIDTH)]
-            np.add.at(g["embed"], bytes_, de)
+            g["conv"], de = np.empty_like(p["conv"]), np.zeros((256, EMBED))
+            for k in range(FILTERS):
+                c = np.flatnonzero(d[:, k])
+                seen = x[c[:, None], top[c, k][:, None] * STRIDE + np.arange(WIDTH)]
+                g["conv"][:, k] = d[c, k] @ p["embed"][seen].reshape(len(c), WIDTH * EMBED)
+                # What each byte at each place of the window gets.
+                at = np.bincount((seen + 256 * np.arange(WIDTH)).ravel(), np.repeat(d[c, k], WIDTH), 256 * WIDTH)
+                de += at.reshape(WIDTH, 256).T @ p["conv"][:, k].reshape(WIDTH, EMBED)
+            g["embed"] = de.astype(np.float32)
             g["embed"][0] = 0
             step += 1
             lr = rate * 0.5 * (1 + np.cos(np.pi * step / (total + 1)))
@@ -132,34 +135,25 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 9, batch: int = 48, ra
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") -> list[tuple[np.ndarray, int]]:
-    """At most TRAIN_ROWS labelled rows, first by a hash of their id, cut to TRAIN_CHUNKS chunks on the executors.
+    """Labelled rows, first by a hash of their id, up to TRAIN_ROWS and TRAIN_BYTES, each with all chunks of its text.
 
     Rows whose crc32(doc_id as text) mod 3 is 1 are held out; so are null ids and labels that aren't 0 or 1.
+    Labels of one id that contradict each other: the largest counts. Of the texts of one id the largest counts.
     """
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data = []
-            for t in b.column(0):
-                c = chunks_of((t.as_py() or "").encode("utf-8", "surrogatepass"))
-                data.append(c[np.unique(np.linspace(0, len(c) - 1, min(len(c), TRAIN_CHUNKS)).round().astype(int))].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary()), b.column(1)], ["data", "y"])
-
     marks = labels.select("doc_id", F.col(label).cast("int").alias("y")).where("y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
     chosen = (
         marks.where("crc32(cast(cast(doc_id as string) as binary)) % 3 <> 1")
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(TRAIN_ROWS)
+        .withColumn("nth", F.xxhash64("doc_id"))
     )
-    got = (
-        docs.select("doc_id", F.col("text").cast("string").alias("text"))
-        .join(F.broadcast(chosen), "doc_id")
-        .select("text", "y", "doc_id")
-        .mapInArrow(sample, "data binary, y int")
-        .toPandas()
-    )
-    got = got.sort_values(["y", "data"])
-    return [(np.frombuffer(d, np.uint8).reshape(-1, CHUNK), int(y)) for d, y in zip(got["data"], got["y"], strict=True)]
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    size = rows.groupBy("doc_id", "nth", "y").agg(F.max(F.octet_length("text")).alias("size")).toPandas().sort_values(["nth", "doc_id"])
+    size = size[size["size"].cumsum() <= TRAIN_BYTES]
+    some = docs.sparkSession.createDataFrame(size[["doc_id", "y"]].astype("int64").values.tolist(), "doc_id long, y int")
+    got = rows.drop("y").join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.max("text").alias("text")).toPandas()
+    texts = sorted(zip(got["y"].tolist(), (t.encode("utf-8", "surrogatepass") for t in got["text"]), strict=True))
+    return [(chunks_of(t), y) for y, t in texts]
 
 
 def score_quality(docs: DataFrame, net: Net) -> DataFrame:

@@ -262,6 +262,48 @@ def test_quality(spark):
     assert kept == {i for i, r in got.items() if r["predicted"]}
 
 
+def test_scores_equal_a_plain_loop():
+    """The network by its definition: filters at every stride of every chunk, largest, then mean and least of chunks."""
+    rng = np.random.default_rng(3)
+    rows = [(quality.chunks_of(bytes(rng.integers(97, 110, n).astype(np.uint8))), int(n % 2)) for n in (5, 600, 3000, 41, 900, 2)]
+    net = quality.fit(rows)
+    texts = ["", None, "abc", "hello " * 300, "é" * 700]
+    for t, got in zip(texts, quality.scores(texts, net), strict=True):
+        data, step = (t or "").encode(), quality.CHUNK - quality.OVERLAP
+        pooled = []
+        for a in range(0, max(1, len(data) - quality.OVERLAP), step):
+            c = data[a : a + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+            ans = [net.embed[list(c[i : i + quality.WIDTH])].ravel() @ net.conv for i in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE)]
+            pooled.append(np.maximum(np.max(ans, 0) + net.bias, 0))
+        f = np.concatenate([np.max(pooled, 0), np.mean(pooled, 0), np.min(pooled, 0)])
+        assert abs(got - 1 / (1 + np.exp(-(f @ net.out + net.out_bias)))) < 1e-4
+
+
+def test_gradients_follow_the_loss(monkeypatch):
+    """One step from the start lowers the loss of the rows it saw."""
+    rng = np.random.default_rng(5)
+    rows = [(quality.chunks_of(bytes(rng.integers(97 + 5 * (i % 2), 105 + 5 * (i % 2), 40 * i + 9).astype(np.uint8))), i % 2) for i in range(40)]
+    monkeypatch.setattr(quality, "STEPS", 1)
+    loss = []
+    for epochs in (1, 4, 16):
+        net = quality.fit(rows, epochs=epochs)
+        p = np.array([net.combine(net.pooled(x), np.array([0]))[0] for x, _ in rows])
+        loss.append(-np.mean(np.log(np.where([y for _, y in rows], p, 1 - p))))
+    assert loss[0] > loss[1] > loss[2] and loss[2] < 0.4
+
+
+def test_training_takes_whole_rows(spark, monkeypatch):
+    rng = random.Random(1)
+    rows = [(i, text(rng, 200 if i % 9 else 5000)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 0), (None, 1)], "doc_id long, quality int")
+    docs, by = frame(spark, [*rows, rows[0]]), {quality.chunks_of(t.encode()).tobytes() for _, t in rows}
+    got = quality.training_rows(docs, labels)
+    assert len(got) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(60)) and all(c.tobytes() in by for c, _ in got)
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 20_000)
+    some = quality.training_rows(docs, labels)
+    assert 0 < len(some) < len(got) and sum(len(c) for c, _ in some) * quality.CHUNK < 40_000
+
+
 def test_quality_edge_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     net = quality.quality_net(empty(spark), none)
