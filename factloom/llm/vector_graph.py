@@ -1,18 +1,22 @@
 """Embedding near-dedup over a robust-pruned flat graph.
 
 1. Equal vectors become one class, stood for by its smallest vec_id.
-2. Cluster shards overlap: every vector goes to its nearest OVERLAP centroids. Each shard builds a graph
-   of its vectors by robust pruning; the adjacency lists of all shards are united by vector.
+2. Cluster shards overlap: every vector goes to its nearest OVERLAP centroids. A cluster above SHARD vectors is
+   clustered again by itself, and so on, so a shard's size is bounded whatever the corpus; only a cluster that
+   its own centroids can't part, of nearly equal vectors, is cut into blocks that meet two by two.
+   Each shard builds a graph of its vectors by robust pruning; the adjacency lists of all shards are united.
 3. Each shard is searched over the united lists: greedy from its medoids, then range-expanding, every
    hit inside the range leading on. Hits are verified by their cosine in double precision.
 4. Recall is audited against brute force for a fixed set of vectors; below the floor, the shards are
-   built anew with twice the overlap.
+   built anew with twice the overlap and audited again; in the end all vectors are compared.
+Vectors of different lengths go through one pass; a length of few vectors is a shard of its own.
 Pairs are counted in the smallest shard that holds both ends, so no list of pairs is ever shuffled; only
 the links of a spanning forest of each shard are.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Iterator
 
@@ -22,18 +26,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import bounded, cut, mix, read
 from .components import components
 
-#: Centroids are fitted on so many vectors at most; there are that many centroids at most.
+log = logging.getLogger(__name__)
+#: First centroids are fitted on so many vectors at most; there are that many at most.
 SAMPLE, CENTROIDS = 16_000, 1024
-#: Vectors a centroid stands for, about; a cluster above SHARD is cut into blocks that meet two by two.
+#: Vectors a centroid stands for, about, and vectors of a shard.
 CLUSTER, SHARD = 600, 4_000
-OVERLAP = 3
+#: Clusters that a vector goes to at first and in clusters of clusters; overlap from which all are compared.
+OVERLAP, INNER, MOST = 3, 2, 24
+#: Vectors that a large cluster's centroids are fitted on, vectors that are assigned at once, and levels.
+INNER_SAMPLE, GROUP, LEVELS = 8_000, 20_000, 8
 #: Out-degree, candidates and slack of robust pruning; pool of the greedy search.
 DEGREE, NEAR, FAR, ALPHA, POOL, MEDOIDS = 24, 48, 16, 1.2, 24, 8
-#: Vectors that the audit compares with all, and the recall it asks for.
-AUDIT, FLOOR = 256, 0.95
+#: Vectors that the audit compares with all (half of them among those with links), and the recall it asks for.
+AUDIT, FLOOR = 1024, 0.95
 
 
 def unit_rows(vectors: list) -> np.ndarray:
@@ -159,27 +167,102 @@ def _padded(lists: list, slot: dict[int, int]) -> np.ndarray:
     return np.array([r + [-1] * (width - len(r)) for r in own], np.int64).reshape(len(own), width)
 
 
-def _search(classes: DataFrame, overlap: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """classes(rep, mult, v) -> (rep, links) and forest links (a, b)."""
-    n = classes.count()
-    k = max(1, min(CENTROIDS, n // CLUSTER))
+def by_length(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, unit vectors) for each length of the lists of a column."""
+    size = column.value_lengths().to_numpy(zero_copy_only=False)
+    for dim in np.unique(size):
+        at = np.flatnonzero(size == dim)
+        x = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), dim)
+        yield at, x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray, take: int) -> np.ndarray:
+    take = min(take, len(centroids))
+    return np.concatenate([np.argpartition(-(x[a : a + 4096] @ centroids.T), take - 1, axis=1)[:, :take] for a in range(0, len(x), 4096)])
+
+
+def _leaf(parent: np.ndarray | int, cell: np.ndarray) -> np.ndarray:
+    """Number of a cluster inside a cluster (or of a length)."""
+    return (mix(mix(np.asarray(parent).astype(np.int64).view(np.uint64) + np.uint64(1)) + cell.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+
+
+_VECTOR = "rep long, mult long, v array<float>"
+
+
+def _place(classes: DataFrame, overlap: int) -> DataFrame:
+    """classes(rep, mult, v) -> (rep, mult, v, cell, cells): a row for each shard of a vector, with all of them."""
+    dims = classes.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"))
+    large = {r["dim"]: r["n"] for r in dims.where(F.col("n") > SHARD).collect()}
+    n = sum(large.values())
+    own = classes.where(F.size("v").isin(*large)) if large else classes.limit(0)
     part = min(1.0, 1.2 * SAMPLE / max(n, 1))
-    sample = classes.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < F.lit(int(part * 1_000_000) + 1)).select("v").limit(SAMPLE).toPandas()
-    sample = sample["v"].tolist() or classes.select("v").limit(k).toPandas()["v"].tolist()
-    centroids = fit_centroids(unit_rows(sample), k)
+    sample = own.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < F.lit(int(part * 1_000_000) + 1)).select("v").limit(SAMPLE).toPandas()["v"]
+    centroids = {}
+    for dim, count in large.items():
+        x = [v for v in sample if len(v) == dim]
+        if x:
+            centroids[dim] = fit_centroids(unit_rows(x), max(1, min(count // CLUSTER, CENTROIDS * count // n)))
     shared = classes.sparkSession.sparkContext.broadcast(centroids)
-    take = min(overlap, len(centroids))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = unit_rows(b.column(2).to_pylist()) if b.num_rows else np.empty((0, 1))
-            cells = np.sort(np.argpartition(-(x @ shared.value.T), take - 1, axis=1)[:, :take], axis=1) if len(x) else np.empty((0, take))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells.astype(np.int32).tolist(), pa.list_(pa.int32()))], ["rep", "mult", "v", "cells"])
-
-    placed = cut(classes.select("rep", "mult", "v").mapInArrow(assign, "rep long, mult long, v array<float>, cells array<int>"))
-    each = placed.select("rep", "mult", "v", "cells", F.explode("cells").alias("cell"))
+            for at, x in by_length(b.column(2)):
+                dim = x.shape[1]
+                cells = _nearest(x, shared.value[dim], overlap) if dim in shared.value else np.zeros((len(x), 1), np.int64)
+                some = b.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(list(_leaf(dim, cells)), pa.list_(pa.int64()))], ["rep", "mult", "v", "cells"])
+
+    placed = cut(classes.select("rep", "mult", "v").mapInArrow(assign, f"{_VECTOR}, cells array<long>"))
+    rows = placed.select("rep", "mult", "v", F.explode("cells").alias("cell"), F.lit(None).cast("long").alias("above"))
+    deep = False
+    for _ in range(LEVELS):
+        size = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("above").alias("above"))
+        # A cluster that hardly shrank can't be parted.
+        open_ = cut(size.where((F.col("n") > SHARD) & (F.col("above").isNull() | (F.col("n") < 0.7 * F.col("above")))).select("cell", "n"))
+        if open_.isEmpty():
+            break
+        deep = True
+        rows = cut(rows.join(bounded(open_), "cell", "left_anti").unionByName(_split(rows.drop("above").join(bounded(open_), "cell"), open_)))
+    if not deep:
+        return placed.select("rep", "mult", "v", "cells", F.explode("cells").alias("cell"))
+    every = rows.groupBy("rep").agg(F.collect_set("cell").alias("cells"))
+    return rows.dropDuplicates(["rep", "cell"]).drop("above").join(every, "rep")
+
+
+def _split(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """rows(rep, mult, v, cell, n) of large clusters -> the same vectors in clusters inside them."""
+    few = F.pmod(F.xxhash64("rep", F.lit(3)), F.greatest(F.lit(1), F.floor(F.col("n") / INNER_SAMPLE))) == 0
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rep")
+        c = fit_centroids(unit_rows(pdf["v"].tolist()), int(min(CENTROIDS, max(2, pdf["n"].iloc[0] // CLUSTER))))
+        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "centroids": [c.tobytes()]})
+
+    fitted = cut(rows.where(few).groupBy("cell").applyInPandas(fit, "cell long, centroids binary"))
+    groups = F.ceil(F.col("n") / GROUP).cast("int")
+    each = fitted.join(sizes, "cell").select("cell", "centroids", F.explode(F.sequence(F.lit(0), groups - 1)).alias("group"))
+
+    def assign(pdf: pd.DataFrame, centroids: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame([], columns=["rep", "mult", "v", "cell", "above"])
+        x = unit_rows(pdf["v"].tolist())
+        cells = _nearest(x, np.frombuffer(centroids["centroids"].iloc[0]).reshape(-1, x.shape[1]), INNER)
+        at = np.repeat(np.arange(len(x)), cells.shape[1])
+        out = pdf[["rep", "mult", "v"]].iloc[at].reset_index(drop=True)
+        return out.assign(cell=_leaf(int(pdf["cell"].iloc[0]), cells.ravel()), above=int(pdf["n"].iloc[0]))
+
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("rep"), groups).cast("int"))
+    return rows.groupBy("cell", "group").cogroup(each.groupBy("cell", "group")).applyInPandas(assign, f"{_VECTOR}, cell long, above long")
+
+
+def _search(classes: DataFrame, overlap: int, least: float, all_: bool = False) -> tuple[DataFrame, DataFrame]:
+    """classes(rep, mult, v) -> (rep, links) and forest links (a, b); all_: compare all vectors of a length, in blocks."""
+    if all_:
+        each = classes.select("rep", "mult", "v", F.size("v").cast("long").alias("cell")).withColumn("cells", F.array("cell"))
+    else:
+        each = _place(classes, overlap)
     size = each.groupBy("cell").agg(F.count("*").alias("n")).withColumn("blocks", F.when(F.col("n") <= SHARD, 1).otherwise(F.ceil(F.col("n") * 2 / SHARD)).cast("int"))
-    each = each.join(F.broadcast(size.select("cell", "blocks")), "cell")  # one row a centroid: CENTROIDS at most
+    each = each.join(bounded(cut(size.where("blocks > 1").select("cell", "blocks"))), "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     rows = each.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("rep", "mult", "v", "cells", "cell", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
@@ -189,19 +272,21 @@ def _search(classes: DataFrame, overlap: int, least: float) -> tuple[DataFrame,
         graph, ids = robust_prune(unit_rows(pdf["v"].tolist())), pdf["rep"].to_numpy()
         return pd.DataFrame({"rep": ids, "near": [ids[g[g >= 0]] for g in graph]})
 
-    lists = rows.groupBy("cell", "lo", "hi").applyInPandas(build, "rep long, near array<long>")
-    united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")
         ids, x = pdf["rep"].to_numpy(), unit_rows(pdf["v"].tolist())
-        hit = range_search(x, _padded(pdf["near"].tolist(), {int(i): k for k, i in enumerate(ids)}), least)
+        if all_:
+            hit = np.concatenate([x[a : a + 512] @ x.T >= least for a in range(0, len(x), 512)])
+            np.fill_diagonal(hit, False)
+            hit |= hit.T
+        else:
+            hit = range_search(x, _padded(pdf["near"].tolist(), {int(i): k for k, i in enumerate(ids)}), least)
         # A pair counts here if this is the smallest cell, and in it the block pair, that both ends share.
         cell, lo, hi = (int(pdf[c].iloc[0]) for c in ("cell", "lo", "hi"))
-        member = np.zeros((len(ids), cell + 1), bool)
-        for i, cells in enumerate(pdf["cells"]):
-            member[i, [c for c in cells if c <= cell]] = True
-        earlier = member[:, :cell].astype(np.float32)
+        own = [[c for c in cells if c < cell] for cells in pdf["cells"]]
+        other, number = np.unique(np.array([c for cells in own for c in cells], np.int64), return_inverse=True)
+        earlier = np.zeros((len(ids), len(other)), np.float32)
+        earlier[np.repeat(np.arange(len(ids)), [len(c) for c in own]), number] = 1
         hit &= ~((earlier @ earlier.T) > 0)
         if lo != hi:
             side = pdf["block"].to_numpy()
@@ -233,32 +318,47 @@ def _search(classes: DataFrame, overlap: int, least: float) -> tuple[DataFrame,
             }
         )
 
-    found = rows.join(united, "rep").groupBy("cell", "lo", "hi").applyInPandas(search, "rep long, other long, is_link boolean, links long")
-    found = cut(found)
+    if not all_:
+        lists = rows.groupBy("cell", "lo", "hi").applyInPandas(build, "rep long, near array<long>")
+        united = lists.groupBy("rep").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        rows = rows.join(united, "rep")
+    found = cut(rows.groupBy("cell", "lo", "hi").applyInPandas(search, "rep long, other long, is_link boolean, links long"))
     links = found.where("not is_link").groupBy("rep").agg(F.sum("links").alias("links"))
     return links, found.where("is_link").select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
 
 def audit(classes: DataFrame, links: DataFrame, least: float, queries: int = AUDIT) -> float:
-    """Recall of links(rep, links) for the classes first by a hash of their id, against all classes."""
-    asked = classes.orderBy(F.xxhash64("rep"), "rep").limit(queries).select("rep", "v").toPandas()
+    """Mean recall of links(rep, links) over asked classes that have links at all, against all classes.
+
+    Asked are those first by a hash of their id, half of them among all, half among those with found links.
+    """
+    first = classes.select("rep", "v").orderBy(F.xxhash64("rep"), "rep").limit(queries // 2)
+    linked = classes.select("rep", "v").join(links.select("rep"), "rep", "left_semi").orderBy(F.xxhash64("rep"), "rep").limit(queries // 2)
+    asked = first.unionByName(linked).toPandas().drop_duplicates("rep")
     if not len(asked):
         return 1.0
-    shared = classes.sparkSession.sparkContext.broadcast((asked["rep"].to_numpy(), unit_rows(asked["v"].tolist())))
+    own = {}
+    for dim, g in asked.groupby(asked["v"].map(len)):
+        own[dim] = g["rep"].to_numpy(np.int64), unit_rows(g["v"].tolist())
+    shared = classes.sparkSession.sparkContext.broadcast(own)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, q = shared.value
-        total = np.zeros(len(ids))
+        total = {dim: np.zeros(len(ids)) for dim, (ids, _) in shared.value.items()}
         for b in batches:
-            if b.num_rows:
-                near = unit_rows(b.column(2).to_pylist()) @ q.T >= least
-                near &= b.column(0).to_numpy()[:, None] != ids[None, :]
-                total += b.column(1).to_numpy() @ near
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total.astype(np.int64))], ["rep", "want"])
+            for at, x in by_length(b.column(2)):
+                if x.shape[1] in total:
+                    ids, q = shared.value[x.shape[1]]
+                    rep, mult = (b.column(i).to_numpy()[at] for i in (0, 1))
+                    for a in range(0, len(x), 2048):
+                        near = (x[a : a + 2048] @ q.T >= least) & (rep[a : a + 2048, None] != ids)
+                        total[x.shape[1]] += mult[a : a + 2048] @ near
+        for dim, want in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value[dim][0]), pa.array(want.astype(np.int64))], ["rep", "want"])
 
     want = classes.select("rep", "mult", "v").mapInArrow(compare, "rep long, want long").groupBy("rep").agg(F.sum("want").alias("want"))
-    both = want.join(links, "rep", "left").agg(F.sum("want").alias("want"), F.sum(F.least("want", F.coalesce("links", F.lit(0)))).alias("got")).first()
-    return both["got"] / both["want"] if both["want"] else 1.0
+    share = F.least(F.col("want"), F.coalesce("links", F.lit(0))) / F.col("want")
+    recall = want.where("want > 0").join(links, "rep", "left").agg(F.avg(share)).first()[0]
+    return 1.0 if recall is None else recall
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
@@ -266,7 +366,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
 
     Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing, nor
     do vectors of different lengths. A null vec_id links with nothing and has null component_id and kept.
-    Repeated rows of one vec_id count as one vector. Other columns are left out.
+    Repeated rows of one vec_id count as one vector. Other columns are left out. Recall is measured in each
+    run, logged, and FLOOR at least: where overlapping clusters don't reach it, all vectors are compared.
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) <= F.lit(3.5e38)) & ~F.isnan(x))
@@ -279,16 +380,17 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95) -> DataFrame:
         .agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("mult"), F.first("v").alias("v"))
     )
     classes = cut(classes)
-    links = forest = None
-    for dim in sorted(r[0] for r in classes.select(F.size("v")).distinct().collect()):
-        own = classes.where(F.size("v") == dim)
-        overlap = OVERLAP
-        got, tree = _search(own, overlap, least)
-        if audit(own, got, least) < FLOOR:
-            got, tree = _search(own, 2 * overlap, least)
-        links, forest = (got, tree) if links is None else (links.unionByName(got), forest.unionByName(tree))
-    if links is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.when(F.col("vec_id").isNotNull(), True).alias("kept"))
+    overlap = OVERLAP
+    while True:
+        links, forest = _search(classes, overlap, least, all_=overlap > MOST)
+        if overlap > MOST:
+            log.warning("near_duplicates: all vectors of a length compared")
+            break
+        recall = audit(classes, links, least)
+        log.info("near_duplicates: overlap %d, recall %.5f", overlap, recall)
+        if recall >= FLOOR:
+            break
+        overlap *= 2
     found = components(forest).withColumnRenamed("node", "rep")
     state = classes.select("h1", "h2", "rep", "mult").join(links, "rep", "left").join(found, "rep", "left")
     out = rows.join(state, ["h1", "h2"], "left").select(

@@ -150,10 +150,14 @@ def brute_links(vectors):
     return deg, {i: root(i) for i in parent}
 
 
-@pytest.mark.parametrize("shard", [4000, 40])
-def test_near_vectors(spark, monkeypatch, shard):
-    monkeypatch.setattr(vector_graph, "SHARD", shard)
-    monkeypatch.setattr(vector_graph, "CLUSTER", 60)
+@pytest.mark.parametrize(("shard", "centroids", "most"), [(4000, 1024, 24), (40, 1024, 24), (60, 2, 24), (60, 2, 1)])
+def test_near_vectors(spark, monkeypatch, shard, centroids, most):
+    """One shard; several; clusters of clusters; all compared."""
+    for name, value in (("SHARD", shard), ("CLUSTER", 30), ("CENTROIDS", max(centroids, 8)), ("GROUP", 50), ("MOST", most)):
+        monkeypatch.setattr(vector_graph, name, value)
+    if centroids == 2:
+        fit = vector_graph.fit_centroids
+        monkeypatch.setattr(vector_graph, "fit_centroids", lambda x, k, *a: fit(x, min(k, 8), *a))
     rng = np.random.default_rng(2)
     base = rng.normal(size=(40, 16))
     v = [(i, (base[i % 40] + 0.07 * rng.normal(size=16) * (i % 3)).astype(np.float32).tolist()) for i in range(400)]
@@ -169,6 +173,27 @@ def test_near_vectors(spark, monkeypatch, shard):
     assert got[505]["n_links"] == 1 and got[506]["component_id"] == 505
 
 
+def test_vectors_of_many_lengths(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "SHARD", 30)
+    monkeypatch.setattr(vector_graph, "CLUSTER", 10)
+    rng = np.random.default_rng(4)
+    v = [(i, rng.choice([-1.0, 1.0], 2 + i % 60).tolist()) for i in range(600)] + [(600 + i, (rng.normal(size=4) + 9).tolist()) for i in range(90)]
+    got = {r["vec_id"]: r for r in vector_graph.near_duplicates(spark.createDataFrame(v, "vec_id long, embedding array<float>")).collect()}
+    deg, comp = brute_links(v)
+    assert sum(r["n_links"] for r in got.values()) >= 0.97 * sum(deg.values()) and all(got[i]["n_links"] <= deg[i] for i in deg)
+    assert sum(got[i]["component_id"] == comp[i] for i in comp) >= 0.97 * len(comp)
+
+
+def test_lost_links_are_audited(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(50, 8))
+    rows = [(i, 1, (base[i % 50] + 0.01 * rng.normal(size=8)).tolist()) for i in range(200)]
+    classes = spark.createDataFrame(rows, "rep long, mult long, v array<float>")
+    full, _ = vector_graph._search(classes, 3, 0.95, all_=True)
+    assert vector_graph.audit(classes, full, 0.95) == 1.0
+    assert vector_graph.audit(classes, full.where("rep >= 100"), 0.95) < 0.9
+
+
 def test_vectors_edge_tables(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_graph.near_duplicates(none).count() == 0
