@@ -64,8 +64,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     value than the benchmark's.
 
     Rows with a null id and null or empty texts match nothing, nor do items of fewer than five tokens.
-    Rows that repeat a doc_id count as one document, rows that repeat an item as one item. Other columns
-    are left out.
+    Rows that repeat a doc_id count as one document, rows that repeat an item as one item; where the texts of
+    one item_id differ, a document may hold any of their windows at a position. Of alignments that match
+    equally many windows, the one with most slots, then most changed ones, gives n_slots and n_changed. A very
+    long text is one row of windows, exploded as it is read. Other columns are left out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("tok")).where("item_id is not null")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ _CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 
 #: Content that is never shown, or is no text: skipped to its end tag, whatever stands in it.
-RAW = frozenset("script style noscript template textarea title iframe object svg canvas math xmp noframes".split())
+RAW = frozenset("script style template textarea title iframe svg canvas noframes".split())
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 #: Elements that hold what surrounds an article.
 AROUND = frozenset("head nav header footer aside form menu dialog button select audio video".split())
@@ -36,7 +37,9 @@ BLOCK = frozenset(
     ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Lines in a window, and characters that a window needs for a surge.
+#: Elements that are no containers, whatever their class.
+INLINE = frozenset("b i a em strong u s small big code font sub sup".split())
+#: Lines in a window, and characters that a window needs for a surge: the values that the method was published with.
 WINDOW, SURGE = 3, 86
 
 
@@ -51,15 +54,53 @@ def _marked(attrs: str) -> bool:
 
 def _marked_inside(name: str, attrs: str) -> bool:
     """_marked for an element of an article, whose own words say what the article is about: only a whole
-    class of a div, aside or section counts."""
+    class of a div, aside, section, paragraph or list item counts."""
     if not attrs:
         return False
-    m = _CLASS.search(attrs) if name in ("div", "aside", "section") else None
+    m = _CLASS.search(attrs) if name in ("div", "aside", "section", "p", "li") else None
     if m and any(w in MARKS for w in (m.group(1) or m.group(2) or m.group(3) or "").lower().split()):
         return True
     return bool(_HIDDEN.search(attrs))
 
 
+def _ends(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
+    """Where each container ends, found with a stack that unclosed inner elements don't upset; linear, as an end
+    tag without an open element is told by the places of the open ones.
+
+    A paragraph ends where a block starts, a list item where the next one of its list does.
+    """
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}
+
+    def close(depth: int, at: int) -> None:
+        while len(stack) > depth:
+            name, i = stack.pop()
+            places[name].pop()
+            ends[i] = at
+
+    def last(*names: str) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    for i, (kind, name, _) in enumerate(tokens):
+        if kind == "s" and name not in VOID and name not in INLINE:
+            if name in BLOCK and stack and stack[-1][0] == "p":
+                close(len(stack) - 1, i)
+            if name == "li" and (k := last("li")) > last("ul", "ol", "menu"):
+                close(k, i)
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, i))
+        elif kind == "e" and places.get(name):
+            close(places[name][-1], i)
+    close(0, len(tokens))
+    return ends
+
+
+def _holds(cores: list[int], start: int, end: int) -> bool:
+    k = bisect.bisect_right(cores, start)
+    return k < len(cores) and cores[k] < end
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters outside links, inside article or main) of each block; ('', 0, _) where a
     surrounding container was left out, which parts what stands on its two sides."""
@@ -88,21 +129,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 endless.add(name)
         else:
             tokens.append(("s", name, m.group(3) or m.group(6) or ""))
-    # Where each container ends, found with a stack that unclosed inner elements don't upset.
-    ends: dict[int, int] = {}
-    stack: list[tuple[str, int]] = []
-    for i, (kind, name, _) in enumerate(tokens):
-        if kind == "s" and name not in VOID and name not in ("p", "li", "b", "i", "a", "br"):
-            stack.append((name, i))
-        elif kind == "e":
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    for _, at in stack[k:]:
-                        ends.setdefault(at, i)
-                    del stack[k:]
-                    break
-    for _, at in stack:
-        ends[at] = len(tokens)
+    ends = _ends(tokens)
     cores = [i for i, (kind, name, attrs) in enumerate(tokens) if kind == "s" and name in ("article", "main") and not _marked(attrs)]
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
@@ -129,12 +156,13 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             end = ends.get(i, i)
             if name in AROUND or (end > i and name not in ("html", "body", "main") and (_marked_inside(name, attrs) if inside else _marked(attrs))):
                 # A wrapper that holds the article is no surrounding container.
-                if name == "head" or (name == "header" and inside) or not any(i < c < end for c in cores):
+                if name == "head" or (name == "header" and inside) or not _holds(cores, i, end):
                     keep_title = name == "header" and inside
                     close(inside)
                     if not keep_title:
                         out.append(("", 0, inside))
-                        i = max(end, i) + 1 if end > i else i + 1
+                        # An element that the start of the next one ends leaves that to be read.
+                        i = i + 1 if end <= i else end if end < len(tokens) and tokens[end][0] == "s" else end + 1
                         continue
             if name in ("article", "main") and end > i:
                 close(inside)

@@ -60,6 +60,46 @@ def test_blocks_of_a_marked_article(inner, kept):
         assert sorted(lines) == sorted([BODY, *filter(None, [kept])])
 
 
+@pytest.mark.parametrize("inner", ['<p class="notice">x</p>', '<p class="notice">x', '<ul><li class="ad">x<li class="big ad">x</ul>', '<ul><li class="ad">x</li></ul>'])
+def test_marked_paragraphs_and_items_go(inner):
+    assert html_text.main_text(f"<article><p>{BODY}</p>{inner}<p>{BODY}</article>") == f"{BODY}\n{BODY}"
+    assert html_text.main_text(f"<div><p>{BODY}</p>{inner}<p>{BODY}</div>") == f"{BODY}\n{BODY}"
+
+
+@pytest.mark.parametrize("inner", ["<math><mi>x</mi></math>", "<object>x</object>", "<noscript>x</noscript>", '<div class="search-results"><p>x</p></div>', '<li class="item">x'])
+def test_what_is_no_surrounding_stays(inner):
+    assert html_text.main_text(f"<article><p>{BODY}</p><div>{inner}</div></article>") == f"{BODY}\nx"
+
+
+def test_bad_pages_take_linear_time():
+    import time
+
+    for bad in ("<div>" * 60_000, "</div>" * 60_000, "<article>" * 20_000, "<li>x" * 60_000, "<ul><li>" * 30_000, "<textarea>" * 60_000, "<p class='" * 60_000, "<b>x</i>" * 60_000, "<!" * 60_000, "<div><p>" * 30_000 + "</div>" * 30_000):
+        began = time.time()
+        html_text.main_text(bad + f"<p>{BODY}")
+        assert time.time() - began < 5, bad[:20]
+
+
+def test_line_blocks_equal_the_definition():
+    """Lines of random lengths; a line is kept if a stretch of windows with text around it surges somewhere."""
+    rng = random.Random(5)
+    for _ in range(200):
+        n = rng.randint(1, 14)
+        sizes = [rng.choice([0, 0, 0, 3, 20, 40, 90]) for _ in range(n)]
+        page = "".join(f"<p>{'w' * k}</p>" if k else "<nav>menu</nav>" for k in sizes)
+        rows = [k for size in sizes for k in ([size] if size else [0, 0, 0])]  # what was left out is an empty window
+        sums = [sum(rows[i : i + 3]) for i in range(len(rows))]
+        limit, kept, i = min(86, max(sums)), [], 0
+        while i < len(rows):
+            z = i
+            while z < len(rows) and sums[z] > 0:
+                z += 1
+            if z > i and limit and max(sums[i:z]) >= limit:
+                kept += ["w" * k for k in rows[i:z] if k]
+            i = max(z, i + 1)
+        assert html_text.main_text(page) == "\n".join(kept)
+
+
 def test_figure_outside_of_articles():
     assert html_text.main_text(f"<div><p>{BODY}</p><figure><figcaption>Caption</figcaption></figure><p>{BODY}</p></div>") == f"{BODY}\nCaption\n{BODY}"
 
