@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -130,12 +132,34 @@ def transcript(text: Column) -> Column:
     return F.array_join(F.transform(kept, lambda s: s["x"]), "\n")
 
 
+def unescape(text: Column) -> Column:
+    """Named and numbered character references, each read once: what a reference stands for is no part of another.
+
+    The text is cut before each reference; a piece's head is looked up in Python's table of the HTML names, or
+    counted out. Unknown names, and numbers of no character, stay as they stand; &nbsp; is a plain blank.
+    """
+    names = F.create_map(*(F.lit(x) for n, c in html5.items() if n.endswith(";") for x in (n, " " if n == "nbsp;" else c)))
+    pieces = F.split(text, "(?=&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});)")
+
+    def one(piece: Column) -> Column:
+        head = F.regexp_extract(piece, r"^&((?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});)", 1)
+        rest = F.substr(piece, F.length(head) + 2)
+        digits = F.regexp_extract(head, "^#[xX]?([0-9a-fA-F]+);$", 1)
+        code = F.conv(digits, 10, 10).cast("int")
+        code = F.when(F.lower(head).startswith("#x"), F.conv(digits, 16, 10).cast("int")).otherwise(code)
+        good = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        value = F.when(head.startswith("#"), char).otherwise(F.try_element_at(names, head))
+        return F.when((head != "") & value.isNotNull(), F.concat(value, rest)).otherwise(piece)
+
+    return F.array_join(F.transform(pieces, one), "")
+
+
 def strip_tags(html: Column) -> Column:
-    """Tags to spaces, the commonest entities decoded, blanks squeezed, lines trimmed."""
+    """Tags to spaces, character references decoded, blanks squeezed, lines trimmed."""
     t = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     t = F.regexp_replace(t, r"(?s)<[^>]+>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(char))
+    t = unescape(t)
     t = F.regexp_replace(t, r"[ \t]+", " ")
     t = F.regexp_replace(t, r" ?\n ?", "\n")
     return F.trim(F.regexp_replace(t, r"\n{3,}", "\n\n"))

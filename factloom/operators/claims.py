@@ -64,7 +64,7 @@ def find_claims(
     return q
 
 
-def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None = None, max_claims_per_doc: int | None = None) -> DataFrame:
+def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None = None, max_claims_per_doc: int | None = None, one_speaker: bool = False) -> DataFrame:
     """Pairs of claims of one (subject, predicate) that conflict.
 
     claims(doc_id, claim_idx, raw_path, subject, predicate, object, polarity, asserted_by, source_span).
@@ -72,7 +72,8 @@ def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None =
     under a negating predicate with different objects, are no conflict. tier: CONTRADICTION or LEAD for
     one speaker, contested otherwise (also without a speaker). Groups that can hold no conflict are cut
     before the self-join; both sides keep the partitioning by (subject, predicate), which Spark splits
-    where a group is large. Uncapped unless caps are given.
+    where a group is large. Uncapped unless caps are given. one_speaker: only pairs of
+    one speaker, who is then part of the join's key.
     """
     if max_docs is not None:
         claims = claims.join(claims.select("doc_id").distinct().orderBy("doc_id").limit(max_docs), "doc_id", "left_semi")
@@ -110,6 +111,8 @@ def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None =
         & ~((lc("span") != "") & (lc("span") == rc("span")))
         & ~(opposite & (lc("o") != rc("o")) & T.is_negation(lc("p")))
     )
+    if one_speaker:
+        on = on & (lc("who") == rc("who"))
     within = F.coalesce(lc("who") == rc("who"), F.lit(False))
     kind = F.when(opposite, "opposite_polarity").otherwise("conflicting_object")
     return left.join(right, on).select(

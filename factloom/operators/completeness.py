@@ -206,22 +206,26 @@ def dry_run(files: DataFrame, include: dict[str, str], exclude_globs: list[str]
     )
 
 
-def retracted(docs: DataFrame, seeds: DataFrame, max_depth: int = 50) -> DataFrame:
+def retracted(docs: DataFrame, seeds: DataFrame, max_depth: int | None = None) -> DataFrame:
     """C20: (doc_id, depth): what derives, over any number of steps, from the retracted seeds(doc_id).
 
     docs(doc_id, derived_from array<string>). Breadth first; each step is written to the shared folder.
+    Goes on until nothing new is found; where max_depth is given and more than that is left, it raises.
     """
     edges = docs.select("doc_id", F.explode("derived_from").alias("source")).distinct()
     found = seeds.select("doc_id", F.lit(0).alias("depth")).distinct()
     front = found
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while True:
+        depth += 1
         front = edges.join(front.select(F.col("doc_id").alias("source")), "source").select("doc_id").distinct()
         front = front.join(found, "doc_id", "left_anti").select("doc_id", F.lit(depth).alias("depth"))
         front = _cut(front)
         if front.isEmpty():
             return found
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"retraction spreads over more than {max_depth} steps")
         found = _cut(found.unionByName(front))
-    return found
 
 
 def _cut(df: DataFrame) -> DataFrame:

@@ -108,6 +108,22 @@ def lead_text(text: Column, budget: int) -> Column:
     return F.regexp_extract(text, rf"^(?s:(?:\s*(?:\w+|[^\w\s])){{0,{int(budget)}}})", 0)
 
 
+def lead_by(docs: DataFrame, tokens_of: Callable[[str], list[tuple[int, int]]], budget: int, key: str = "doc_id", column: str = "content") -> DataFrame:
+    """G28 by a caller's tokenizer: (key, lead, n_tokens), the text up to the end of its budget-th token.
+
+    tokens_of gives the (start, end) of each token in code points; a null text has no tokens.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            spans = [tokens_of(t) if isinstance(t, str) else [] for t in b[column]]
+            lead = [(t if len(s) <= budget else t[: s[budget - 1][1]] if budget else "") if isinstance(t, str) else None for t, s in zip(b[column], spans, strict=True)]
+            yield pd.DataFrame({key: b[key], "lead": lead, "n_tokens": [len(s) for s in spans]})
+
+    kind = dict(docs.dtypes)[key]
+    return docs.select(key, column).mapInPandas(run, f"{key} {kind}, lead string, n_tokens long")
+
+
 def budget_plan(tokens: Column, first: int = 100_000, steps: int = 3) -> Column:
     """The budget that holds a text: the first, halved up to steps - 1 times, that is at least needed."""
     sizes = [first >> i for i in range(steps)]
@@ -177,7 +193,10 @@ def parse_emails(raw: DataFrame) -> DataFrame:
             for file, content in zip(b["file"], b["content"], strict=True):
                 m = email.message_from_bytes(content or b"", policy=policy.default)
                 part = m.get_body(preferencelist=("plain", "html"))
-                body = "" if part is None else part.get_content()
+                try:
+                    body = "" if part is None else part.get_content()
+                except (LookupError, ValueError):  # a charset that nobody knows
+                    body = ""
                 if part is not None and part.get_content_type() == "text/html":
                     body = re.sub(r"[ \t]+", " ", html.unescape(re.sub(r"<[^>]+>", " ", body))).strip()
                 files = [

@@ -135,18 +135,26 @@ def exposure_summary(exposed: DataFrame, first: int = 5) -> DataFrame:
     return exposed.groupBy("severity").agg(F.count("*").alias("n")).join(listed, "severity")
 
 
-def system_status(failed: int, missing: int, incidents: int, skipped: int, stale: bool, max_failures: int = 0) -> dict:
-    """Checks, status, alerts and exit level (0 clear, 1 warnings, 2 critical) from one-row figures."""
-    checks = {"pipeline": failed <= max_failures, "restricted": incidents == 0, "fresh": not stale}
-    alerts = []
-    if missing:
-        alerts.append(("critical", "missing_documents"))
-    if failed > max_failures:
-        alerts.append(("critical", "pipeline_failures"))
-    if not all(checks.values()):
-        alerts.append(("warning", "health_degraded"))
-    level = 2 if any(a[0] == "critical" for a in alerts) else 1 if alerts else 0
-    return {"status": "ok" if all(checks.values()) else "degraded", "checks": checks, "alerts": alerts, "exit": level, "skipped": skipped}
+def system_status(figures: DataFrame, max_failures: int = 0) -> DataFrame:
+    """One row figures(failed, missing, incidents, skipped, stale) -> the same with status, checks, alerts and
+    exit level (0 clear, 1 warnings, 2 critical)."""
+    checks = F.struct((F.col("failed") <= max_failures).alias("pipeline"), (F.col("incidents") == 0).alias("restricted"), (~F.col("stale")).alias("fresh"))
+    good = F.col("checks.pipeline") & F.col("checks.restricted") & F.col("checks.fresh")
+    alert = lambda level, name: F.struct(F.lit(level).alias("level"), F.lit(name).alias("name"))
+    alerts = F.array_compact(
+        F.array(
+            F.when(F.col("missing") > 0, alert("critical", "missing_documents")),
+            F.when(~F.col("checks.pipeline"), alert("critical", "pipeline_failures")),
+            F.when(~good, alert("warning", "health_degraded")),
+        )
+    )
+    level = F.when(F.exists("alerts", lambda a: a["level"] == "critical"), 2).when(F.size("alerts") > 0, 1).otherwise(0)
+    return (
+        figures.withColumn("checks", checks)
+        .withColumn("status", F.when(good, "ok").otherwise("degraded"))
+        .withColumn("alerts", alerts)
+        .withColumn("exit", level)
+    )
 
 
 def name_status(lines: DataFrame) -> DataFrame:

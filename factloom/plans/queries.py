@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -20,6 +21,7 @@ from factloom.operators import seam as S
 from factloom.operators import search as R
 from factloom.plans import views as V
 from factloom.sources import tables as A
+from factloom.sources.shared import shared_folder
 from factloom.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +59,7 @@ def contradiction_tiers(spark, sf):
 
 @query(V.PAIRS + " SELECT subject, predicate, left_doc, left_idx, right_doc, right_idx, kind FROM pairs WHERE same")
 def contradictions_within_speaker(spark, sf):
-    p = C.contradictions(V.claims(spark, sf), V.aliases(spark, sf)).where("scope = 'within_speaker'")
+    p = C.contradictions(V.claims(spark, sf), V.aliases(spark, sf), one_speaker=True)
     return p.select("subject", "predicate", "left_doc", "left_idx", "right_doc", "right_idx", "kind")
 
 
@@ -84,25 +86,40 @@ def claim_search(spark, sf):
 
 
 
-@query(
-    f"WITH {V.CLAIMS}, c AS (SELECT doc_id*100+claim_idx AS id, audience, who, list_distinct(list_filter(regexp_extract_all(lower(s || ' ' || o),'[a-z0-9]+'), lambda x: x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not'))) AS t FROM claims WHERE audience IS NOT NULL AND who IS NOT NULL AND supp%10=3)"
-    " SELECT l.id AS left_id, r.id AS right_id, round(len(list_intersect(l.t,r.t))/len(list_distinct(list_concat(l.t,r.t))),6) AS similarity FROM c l JOIN c r ON l.who=r.who AND l.id<r.id AND l.audience<>r.audience WHERE len(list_intersect(l.t,r.t))/len(list_distinct(list_concat(l.t,r.t)))>=0.7"
+_STOP = ",".join(f"'{w}'" for w in T.STOPWORDS)
+_SEAM = (
+    f"WITH {V.CLAIMS}, c AS (SELECT doc_id*100+claim_idx AS id, audience, who, list_distinct(list_filter(regexp_extract_all(lower(s || ' ' || o),'[a-z0-9]+'), lambda x: x NOT IN ({_STOP}))) AS t FROM claims WHERE audience IS NOT NULL AND who IS NOT NULL),"
+    " e AS (SELECT id, unnest(t) AS x, len(t) AS n FROM c), f AS (SELECT x, count(*) AS df FROM e GROUP BY 1),"
+    " k AS (SELECT id, x FROM (SELECT id, e.x, n, row_number() OVER (PARTITION BY id ORDER BY df, e.x) AS r FROM e JOIN f USING (x)) WHERE r<=n-ceil(0.7*n-1e-9)+1),"
+    " g AS (SELECT k.x, c.* FROM k JOIN c USING (id)), p AS (SELECT DISTINCT l.id AS left_id, r.id AS right_id, len(list_intersect(l.t,r.t)) AS b, len(l.t)+len(r.t) AS n FROM g l JOIN g r ON l.who=r.who AND l.x=r.x AND l.id<r.id AND l.audience<>r.audience)"
+    " SELECT left_id, right_id, round(b/(n-b),6) AS similarity FROM p WHERE b/(n-b)>=0.7"
 )
-def seam_pairs(spark, sf):
-    """Same speaker, other audience, Jaccard of the claim's tokens at least 0.7; the suppliers 3, 13, 23, ... only, as in its SQL. seam_pairs_all has them all."""
-    c = C.canonical_speaker(V.claims(spark, sf), V.aliases(spark, sf)).where("supp % 10 = 3").withColumn("claim_id", F.col("doc_id") * 100 + F.col("claim_idx"))
-    p = S.candidate_pairs(c, 0.7)
-    return p.select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
 
 
-@query()
-def seam_pairs_all(spark, sf):
-    """seam_pairs over every supplier; no SQL, the tests hold it against brute force."""
+@query(_SEAM)
+def seam_pairs(spark, sf):
+    """Same speaker, other audience, Jaccard of the claim's tokens at least 0.7, over every supplier."""
     c = C.canonical_speaker(V.claims(spark, sf), V.aliases(spark, sf)).withColumn("claim_id", F.col("doc_id") * 100 + F.col("claim_idx"))
     p = S.candidate_pairs(c, 0.7)
     return p.select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
 
 
+# The name under which the pairs of all suppliers were first registered.
+QUERIES["seam_pairs_all"], ORACLE_SQL["seam_pairs_all"] = seam_pairs, _SEAM
+
+
+_SCORED = "WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings) SELECT l.vec_id AS left_id, r.vec_id AS right_id FROM e l JOIN e r ON l.label=r.label AND l.vec_id<r.vec_id AND l.vec_id%3<>r.vec_id%3"
+
+
+@query(_SCORED + " WHERE list_cosine_similarity(l.v,r.v)>=0.3 ORDER BY round(list_cosine_similarity(l.v,r.v),9) DESC, 1, 2 LIMIT 100")
+def ranked_pairs(spark, sf):
+    """The hundred best pairs (the cap is the feature) by a caller's scorer, the cosine; labels as speakers."""
+    e = V.table(spark, sf, "embeddings")
+    claims = e.select(F.col("vec_id").alias("claim_id"), (F.col("vec_id") % 3).alias("audience"), F.col("label").alias("canonical_speaker"), F.lit("").alias("subject"), F.lit("").alias("object"), "embedding")
+    p = S.candidate_pairs(claims, 0.3, 100, lambda a, b: F.round(S.cosine(a["embedding"], b["embedding"]), 9), ("embedding",))
+    return p.select("left_id", "right_id")
+
+
 @query("WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings WHERE vec_id%25=0), f AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings) SELECT e.vec_id AS left_id, f.vec_id AS right_id FROM e JOIN f ON e.label=f.label AND e.vec_id<>f.vec_id WHERE list_cosine_similarity(e.v,f.v)>=0.3")
 def embedding_scorer(spark, sf):
     """Cosine within a label as a built-in expression; queries are the vectors 0, 25, 50, ..., against all."""
@@ -122,13 +139,28 @@ def path_functions(spark, sf):
     return d.select("pk", F.lower(T.doc_stem(F.col("raw_path"))).alias("stem"), T.layer_of(F.col("raw_path")).alias("layer"), T.route(F.col("raw_path")).alias("route"), T.doc_id(F.col("raw_path"), F.col("content")).alias("doc_id"))
 
 
-@query(D + " SELECT pk, sha256(trim(regexp_replace(lower(content),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS norm, sha256(trim(regexp_replace(replace(content,'…','...'),'[ \\t\\n\\r\\f\\v]+',' ','g'))) AS squeezed, len(list_distinct(list_filter(regexp_extract_all(lower(content),'[a-z0-9]+'), lambda x: x NOT IN ('the','a','an','of','to','in','on','and','or','for','by','with','is','was','are','were','be','been','that','this','it','as','at','from','his','her','their','any','no','not')))) AS tokens FROM docs WHERE NOT regexp_matches(content,'[.][ \\t]*[.][ \\t]*[.]') AND NOT regexp_matches(content,'[“”„‟″«»‘’‚‛′]')")
+_WS = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_FOLD = "replace(translate(TEXT," + "'" + T.DOUBLE_QUOTES + T.SINGLE_QUOTES + "','" + '"' * len(T.DOUBLE_QUOTES) + "''" * len(T.SINGLE_QUOTES) + "'),'…','...')"
+_QUOTED = "sha256(trim(regexp_replace(regexp_replace(" + _FOLD + r",'\.[ \t]*\.[ \t]*\.(?:[ \t]*\.)*','...','g')" + f",'{_WS}',' ','g')))"
+
+
+@query(D + f" SELECT pk, sha256(trim(regexp_replace(lower(content),'{_WS}',' ','g'))) AS norm, {_QUOTED.replace('TEXT', 'content')} AS squeezed, len(list_distinct(list_filter(regexp_extract_all(lower(content),'[a-z0-9]+'), lambda x: x NOT IN ({_STOP})))) AS tokens FROM docs")
 def text_functions(spark, sf):
-    """Normal forms of every text. The SQL leaves out texts with dot runs or smart quotes; the tests cover those."""
+    """Normal forms of every text."""
     d = V.docs(spark, sf)
     return d.select("pk", F.sha2(T.norm(F.col("content")), 256).alias("norm"), F.sha2(T.quote_norm(F.col("content")), 256).alias("squeezed"), F.size(T.jaccard_tokens(F.col("content"))).cast("long").alias("tokens"))
 
 
+_SMART = "replace(replace(replace(content,' the ',' “the” '),' de ',' ‚de’ '),'. ',' . . .  . ') || '…'"
+
+
+@query(D + f" SELECT pk, {_QUOTED.replace('TEXT', _SMART)} AS squeezed FROM docs")
+def quoted_texts(spark, sf):
+    """Every text with smart quotes and dot runs put into it."""
+    t = F.replace(F.replace(F.replace("content", F.lit(" the "), F.lit(" “the” ")), F.lit(" de "), F.lit(" ‚de’ ")), F.lit(". "), F.lit(" . . .  . "))
+    return V.docs(spark, sf).select("pk", F.sha2(T.quote_norm(F.concat(t, F.lit("…"))), 256).alias("squeezed"))
+
+
 @query(D + " SELECT pk, sha256(regexp_replace(regexp_replace(content || chr(10),'[ \\t]+\\n',chr(10),'g'),'^\\s+|\\s+$','','g') || chr(10)) AS clean FROM docs")
 def passthrough_text(spark, sf):
     """G1"""
@@ -152,7 +184,7 @@ def audience_and_caution(spark, sf):
 
 @query("SELECT conv_id, turn, coalesce(text<>lag(text) OVER (PARTITION BY conv_id ORDER BY turn), true) AS new_text, CASE WHEN turn%3=0 THEN turn%2=0 WHEN role='user' THEN true WHEN role='assistant' THEN false END AS uncertain FROM conversations")
 def conversation_lines(spark, sf):
-    """Turns that repeat the one before, and the date rule over role as basis."""
+    """Turns that repeat the one before, and the date rule over role as basis."""
     from pyspark.sql import Window
 
     c = V.table(spark, sf, "conversations")
@@ -163,6 +195,36 @@ def conversation_lines(spark, sf):
     return c.select("conv_id", "turn", F.coalesce(F.col("text") != prev, F.lit(True)).alias("new_text"), T.date_uncertain(explicit, date, basis).alias("uncertain"))
 
 
+_LINES = "WITH l AS (SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(text,'[ \\t\\n\\r]+',' ','g'),'<[^>]*>','','g'),'[ ]+',' ','g')) AS t FROM conversations)"
+
+
+@query(_LINES + ", k AS (SELECT conv_id, turn, t FROM l WHERE t<>'' AND NOT regexp_matches(t,'^[0-9]+$') AND NOT contains(t,'-->') AND NOT starts_with(t,'WEBVTT')) SELECT conv_id, sha256(string_agg(t,chr(10) ORDER BY turn)) AS digest FROM k GROUP BY 1")
+def captions(spark, sf):
+    """Each conversation as captions with header, note, cue numbers, times and tags; every line comes twice."""
+    c = V.table(spark, sf, "conversations").select("conv_id", "turn", F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")).alias("t"))
+    n = F.col("turn").cast("string")
+    cue = F.concat(n, F.lit("\n00:00:01.000 --> 00:00:02.000\n<v a>"), "t", F.lit("</v>\n"), "t", F.lit("\n\n"))
+    body = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", cue.alias("x")))), lambda s: s["x"]), "").alias("b"))
+    text = F.concat(F.lit("WEBVTT\n\nNOTE made up\nof two lines\n\n"), "b")
+    return body.select("conv_id", T.transcript(text).alias("x")).where("x <> ''").select("conv_id", F.sha2("x", 256).alias("digest"))
+
+
+@query("SELECT conv_id, turn, 'Re: ' || conv_id AS subject, role || '@x.org' AS sender, 2::INT AS receivers, sha256(trim(regexp_replace(text,'[ \\t\\n\\r]+',' ','g'))) AS body, CASE WHEN turn%2=0 THEN 1 ELSE 0 END AS files FROM conversations")
+def mails(spark, sf):
+    """Each turn as a mail, every second one in parts with a file."""
+    c = V.table(spark, sf, "conversations").withColumn("t", F.trim(F.regexp_replace("text", r"[ \t\n\r]+", " ")))
+    head = F.concat(F.lit("Subject: Re: "), F.col("conv_id").cast("string"), F.lit("\r\nFrom: "), "role", F.lit("@x.org\r\nTo: B <b@x.org>, c@x.org\r\n"))
+    plain = F.concat(F.lit("Content-Type: text/plain; charset=utf-8\r\nContent-Transfer-Encoding: base64\r\n\r\n"), F.base64("t"), F.lit("\r\n"))
+    parts = F.concat(F.lit("Content-Type: multipart/mixed; boundary=b0\r\n\r\n--b0\r\n"), plain, F.lit("--b0\r\nContent-Type: text/csv\r\nContent-Disposition: attachment; filename=a.csv\r\n\r\n1,2\r\n--b0--\r\n"))
+    name = F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    m = N.parse_emails(c.select(name.alias("file"), F.concat(head, F.when(F.col("turn") % 2 == 0, parts).otherwise(plain)).cast("binary").alias("content")))
+    at = F.split("file", "/")
+    return m.select(
+        F.get(at, F.lit(0)).cast("long").alias("conv_id"), F.get(at, F.lit(1)).cast("long").alias("turn"), "subject", F.col("from_addr").alias("sender"),
+        F.size("to_addrs").alias("receivers"), F.sha2(F.trim("body"), 256).alias("body"), F.size("attachments").alias("files"),
+    )
+
+
 # --- completeness
 
 
@@ -388,10 +450,10 @@ def worst_component(spark, sf):
 
 @query(EV + ", t AS (SELECT count(*) FILTER (status='failed') f, count(*) FILTER (status='skipped') s FROM ev) SELECT 'degraded' AS status, 2 AS exit, s AS skipped FROM t")
 def system_status(spark, sf):
-    """The verdict over one row of figures."""
-    r = E.failure_totals(V.events(spark, sf), AS_OF).first()
-    s = E.system_status(int(r["failed"]), 0, 0, int(r["skipped"]), False)
-    return spark.createDataFrame([(s["status"], s["exit"], s["skipped"])], "status string, exit int, skipped long")
+    """The verdict over one row of figures, as expressions on that row."""
+    zero, no = F.lit(0).cast("long"), F.lit(False)
+    r = E.failure_totals(V.events(spark, sf), AS_OF).select("failed", zero.alias("missing"), zero.alias("incidents"), "skipped", no.alias("stale"))
+    return E.system_status(r).select("status", "exit", "skipped")
 
 
 _LADDER = "lad AS (SELECT raw_path, CASE WHEN in_index THEN 'skipped-indexed' WHEN no_index THEN 'skipped-no-index' WHEN ext='mp4' THEN 'skipped-media' WHEN NOT present THEN 'missing-file' WHEN pk%19=1 THEN 'extract-failed' WHEN pk%23=1 THEN 'skipped-empty' WHEN pk%29=1 THEN 'error' WHEN pk%31=1 THEN 'sink-failed' ELSE 'indexed' END AS status FROM docs)"
@@ -417,6 +479,12 @@ def ingest_events(spark, sf):
     return E.ladder_events(_run(spark, sf)).groupBy("status").agg(F.count("*").alias("events"))
 
 
+@query(f"{D}, {_LADDER} SELECT CASE WHEN status='extract-failed' THEN 'extracted' WHEN status='error' THEN 'enriched' WHEN status='sink-failed' THEN 'indexed' ELSE 'received' END AS stage, count(*) AS n FROM lad GROUP BY 1")
+def failure_stages(spark, sf):
+    """The stage that each status of the run points to."""
+    return _run(spark, sf).withColumn("status", E.status_ladder()).groupBy(T.failure_stage(F.col("status")).alias("stage")).agg(F.count("*").alias("n"))
+
+
 @query("SELECT o_custkey AS commit, o_orderkey AS path, min(o_orderkey) AS pos FROM orders WHERE o_orderstatus<>'P' GROUP BY 1,2")
 def changed_paths(spark, sf):
     """Name-status lines made of orders."""
@@ -553,7 +621,11 @@ def inverted_index(spark, sf):
     return postings.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
-@query()
+_HIT = r"'(?is)^(|.*?[^\p{L}\p{N}_])(?:that|with|les)(?:[^\p{L}\p{N}_]|$)'"
+_NEXT = _HIT.replace("(|", "(")
+
+
+@query(D + f", a AS (SELECT pk, content, CASE WHEN regexp_matches(content,{_HIT}) THEN greatest(0,length(regexp_extract(content,{_HIT},1))-40) END AS s FROM docs), b AS (SELECT pk, content, s, s+160 AS e, substr(content,s+160) AS rest FROM a), c AS (SELECT *, CASE WHEN length(rest)>1 AND regexp_matches(rest,{_NEXT}) THEN greatest(e,e-1+length(regexp_extract(rest,{_NEXT},1))-40) END AS z FROM b), d AS (SELECT pk, CASE WHEN s IS NULL THEN [] WHEN z IS NULL THEN [substr(content,s+1,160)] ELSE [substr(content,s+1,160),substr(content,z+1,160)] END AS f FROM c) SELECT pk, len(f)::INT AS n, sha256(array_to_string(f,'|')) AS digest FROM d")
 def search_highlights(spark, sf):
     """I4: fragments of every document around three words."""
     h = R.highlights(V.docs(spark, sf), ["that", "with", "les"], key="pk")
@@ -703,9 +775,9 @@ def _backwards(texts):
     return [t and t[::-1] for t in texts]
 
 
-@query("SELECT doc_id, sha256(reverse(text)) AS digest, 'ok' AS status FROM documents WHERE NOT regexp_matches(text,'[^\\x00-\\x{24F}]')")
+@query("SELECT doc_id, sha256(array_to_string(list_reverse(string_split(text,'')),'')) AS digest, CASE WHEN text='' OR text IS NULL THEN 'empty' ELSE 'ok' END AS status FROM documents")
 def applied_function(spark, sf):
-    """A caller's function in batches, over every text. The SQL leaves out texts with a character above U+024F; the tests cover those."""
+    """A caller's function in batches, over every text."""
     r = N.apply_to_texts(V.table(spark, sf, "documents"), _backwards, "doc_id", "text")
     return r.select("doc_id", F.sha2("result", 256).alias("digest"), "status")
 
@@ -715,7 +787,7 @@ def applied_function(spark, sf):
 
 @query(DR + " SELECT CASE WHEN excl_kind IS NOT NULL THEN 'registry' WHEN no_index THEN 'no_index' END AS refused, CASE WHEN excl_kind IS NOT NULL THEN 'legally_obligatory' WHEN no_index THEN coalesce(no_index_category,'legally_obligatory') END AS alert_category, count(*) AS n FROM classified GROUP BY 1,2")
 def guarded_writes(spark, sf):
-    """K1, K5"""
+    """K1"""
     return K.guarded(V.docs(spark, sf), V.registry(spark, sf), "pk").groupBy("refused", "alert_category").agg(F.count("*").alias("n"))
 
 
@@ -743,7 +815,7 @@ def validation_errors(spark, sf):
 
 @query(D + " SELECT pk, CASE WHEN pk%2=0 THEN 2 ELSE 1 END AS ingested_at FROM docs")
 def upserted(spark, sf):
-    """Every second document comes again, twice."""
+    """Every second document comes again, twice."""
     d = V.docs(spark, sf).select("pk")
     new = d.where("pk % 2 = 0").withColumn("ingested_at", F.lit(2))
     once = K.upsert(d.withColumn("ingested_at", F.lit(1)), new, "pk")
@@ -759,7 +831,7 @@ def extracted_outcomes(spark, sf):
 
 @query(D + " SELECT pk AS idx, raw_path, CASE WHEN pk%2=0 THEN 'deindex' ELSE 'manual' END AS source, CASE WHEN pk%3=0 THEN sha256 END AS raw_sha256 FROM docs WHERE pk%10>=3")
 def parsed_exclusions(spark, sf):
-    """A4, A5: registry lines with comments, blanks and broken ones."""
+    """A4: registry lines with comments, blanks and broken ones."""
     i = F.col("pk")
     rec = F.to_json(F.struct("raw_path", F.lit("r").alias("reason"), F.when(i % 2 == 0, "deindex").alias("source"), F.when(i % 3 == 0, F.upper("sha256")).alias("raw_sha256")))
     line = F.when(i % 10 == 0, "# note").when(i % 10 == 1, "  ").when(i % 10 == 2, '{"raw_path": ').otherwise(rec)
@@ -790,11 +862,11 @@ def activity_sessions(spark, sf):
     return J.activity(V.events(spark, sf)).select(F.unix_micros("start").alias("start"), "n")
 
 
-@query("WITH p AS (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) prev FROM events) SELECT event_id FROM p WHERE prev IS NULL OR floor(epoch(ts))-floor(epoch(prev))>120")
+@query("WITH l AS (SELECT user_id, list([epoch(date_trunc('second',ts))::BIGINT, event_id] ORDER BY ts, event_id::VARCHAR) AS l FROM events GROUP BY 1), k AS (SELECT list_reduce(list_transform(l, lambda x: [x]), lambda a, x: CASE WHEN x[1][1]-a[len(a)][1]>120 THEN list_concat(a,x) ELSE a END) AS k FROM l) SELECT unnest(list_transform(k, lambda x: x[2])) AS event_id FROM k")
 def deduplicated_triggers(spark, sf):
-    """L1, batch twin: users as commits."""
+    """L1, batch twin: users as commits; the window runs from the trigger that was kept."""
     t = V.events(spark, sf).select(F.col("user_id").cast("string").alias("sha"), "ts", "event_id")
-    return J.dedup_batch(t).select("event_id")
+    return J.dedup_batch(t, "event_id").select("event_id")
 
 
 @query("WITH a AS (SELECT user_id, event_id%7 AS attempt, event_type FROM events), l AS (SELECT user_id, max(attempt) m FROM a GROUP BY 1), r AS (SELECT a.user_id, l.m, bool_and(event_type IN ('view','click')) done FROM a JOIN l ON l.user_id=a.user_id AND l.m=a.attempt GROUP BY 1,2) SELECT user_id::VARCHAR AS sha, m::INT AS attempt, CASE WHEN done THEN 'ack' WHEN m>=5 THEN 'dead_letter' ELSE 'retry' END AS action FROM r WHERE m>0")
@@ -806,6 +878,92 @@ def delivery_actions(spark, sf):
     return J.delivery_state(a).where("attempt > 0").select("sha", "attempt", "action")
 
 
+def _new(spark, name):
+    """A folder of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(D + ", f AS (SELECT split_part(raw_path,'/',1) AS a, source, string_agg(sha256 || chr(10), '' ORDER BY pk) AS t FROM docs GROUP BY 1,2) SELECT a AS tree, source, length(t)::BIGINT AS size, sha256(t) AS sha256 FROM f")
+def raw_tree(spark, sf):
+    """A1: a tree with a file for each folder of the documents, written and walked."""
+    path = _new(spark, "raw")
+    d = V.docs(spark, sf).select(F.get(F.split("raw_path", "/"), F.lit(0)).alias("tree"), "source", "pk", "sha256")
+    one = d.groupBy("tree", "source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pk", "sha256"))), lambda x: x["sha256"]), "\n").alias("value"))
+    one.write.partitionBy("tree", "source").text(path)
+    t = A.read_raw_tree(spark, path)
+    return t.select(F.regexp_extract("tree", "tree=(.*)", 1).alias("tree"), F.regexp_extract("raw_path", "/source=([^/]*)/", 1).alias("source"), "size", "sha256")
+
+
+@query(D + " SELECT sha256, min(raw_path) AS raw_path, count(DISTINCT raw_path) AS paths FROM docs WHERE in_manifest GROUP BY 1")
+def manifest_round_trip(spark, sf):
+    """A2, A3: entries with upper-case hashes as JSON objects, one a file, read, written with one entry a hash, read back."""
+    d = V.docs(spark, sf).where("in_manifest")
+    files = d.groupBy((F.col("pk") % 64).alias("f")).agg(F.collect_list(F.struct(F.upper("sha256").alias("k"), "raw_path")).alias("e"))
+    body = F.concat(F.lit("{"), F.array_join(F.transform("e", lambda e: F.concat(F.lit('"'), e["k"], F.lit('": '), F.to_json(F.struct(e["raw_path"].alias("raw_path"))))), ","), F.lit("}"))
+    source, target = _new(spark, "manifest"), _new(spark, "manifest")
+    files.repartition("f").select("f", body.alias("value")).write.partitionBy("f").option("maxRecordsPerFile", 1).text(source)
+    entries = A.read_manifest(spark, f"{source}/*")
+    A.write_manifest(entries, target)
+    paths = entries.groupBy("sha256").agg(F.count_distinct("raw_path").alias("paths"))
+    return spark.read.parquet(target).select("sha256", "raw_path").join(paths, "sha256")
+
+
+@query(D + " SELECT raw_path, CASE WHEN pk%3=0 THEN 'deindex' ELSE 'manual' END AS source, CASE WHEN pk%2=0 THEN sha256 END AS raw_sha256, NULL::VARCHAR AS error FROM docs WHERE pk%5<>0 AND pk%7<>0 UNION ALL SELECT raw_path, CASE WHEN pk%7=0 THEN 'robot' WHEN pk%3=0 THEN 'deindex' ELSE 'manual' END, NULL, CASE WHEN pk%5=0 THEN 'reason' ELSE 'source' END FROM docs WHERE pk%5=0 OR pk%7=0")
+def appended_exclusions(spark, sf):
+    """A5: entries without reason or of unknown source are rejected; the others are appended in two runs and read back."""
+    i, path = F.col("pk"), _new(spark, "registry")
+    e = V.docs(spark, sf).select(
+        "raw_path", F.when(i % 5 == 0, " ").otherwise("why").alias("reason"), F.lit("t").alias("timestamp"),
+        F.when(i % 7 == 0, "robot").when(i % 3 == 0, "deindex").otherwise("manual").alias("source"), F.when(i % 2 == 0, F.upper("sha256")).alias("raw_sha256"), "pk",
+    )
+    bad = [A.append_exclusions(e.where(f"pk % 2 = {k}").drop("pk"), path) for k in (0, 1)]
+    out = A.read_exclusions(spark, path).select("raw_path", "source", "raw_sha256", F.lit(None).cast("string").alias("error"))
+    for b in bad:
+        out = out.unionByName(b.select("raw_path", "source", F.lit(None).cast("string").alias("raw_sha256"), "error"))
+    return out
+
+
+@query(EV + " SELECT strftime(ts,'%Y-%m-%d') AS day, count(*)*2 AS events, count(DISTINCT event_id) AS ids, 0::BIGINT AS files FROM ev GROUP BY 1")
+def appended_events(spark, sf):
+    """A10: the log, appended twice; its partitions are days."""
+    path = _new(spark, "events")
+    for _ in range(2):
+        A.append_events(V.events(spark, sf), path)
+    e = spark.read.parquet(path)
+    return e.groupBy(F.date_format("date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("events"), F.count_distinct("event_id").alias("ids"), F.sum((F.to_date("ts") != F.col("date")).cast("long")).alias("files"))
+
+
+@query(DR + " SELECT CASE WHEN excl_kind IS NULL AND no_index_category='housekeeping' THEN 'noise' ELSE 'incident' END AS severity, count(*) AS n, min(pk) AS first FROM classified WHERE excl_kind IS NOT NULL OR no_index GROUP BY 1")
+def appended_alerts(spark, sf):
+    """K5: an alert for each refused document, stored by severity."""
+    path = _new(spark, "alerts")
+    g = K.guarded(V.docs(spark, sf), V.registry(spark, sf), "pk").where("refused is not null")
+    A.append_alerts(g.select(F.lit(AS_OF).alias("ts"), "pk", T.severity(F.col("alert_category")).alias("severity")), path)
+    return spark.read.parquet(path).groupBy("severity").agg(F.count("*").alias("n"), F.min("pk").alias("first"))
+
+
+@query("SELECT 'part ' || p_partkey || x AS alias, 'part no. ' || p_partkey AS canonical FROM part, (VALUES ('a'),(' b')) v(x)")
+def alias_map(spark, sf):
+    """Names of parts as JSON objects, one a file; both sides are normalized."""
+    k, path = F.col("p_partkey").cast("string"), _new(spark, "aliases")
+    entry = F.concat(F.lit('"  Part No. '), k, F.lit('": ["PART '), k, F.lit('a", "part   '), k, F.lit(' B "]'))
+    files = V.table(spark, sf, "part").groupBy((F.col("p_partkey") % 16).alias("f")).agg(F.concat(F.lit("{"), F.array_join(F.collect_list(entry), ","), F.lit("}")).alias("value"))
+    files.repartition("f").write.partitionBy("f").option("maxRecordsPerFile", 1).text(path)
+    return A.read_aliases(spark, f"{path}/*")
+
+
+@query(EV + " SELECT event_id, stage, status FROM ev")
+def projected_events(spark, sf):
+    """The log as a stream of files, in bounded passes, delivered twice; each event is stored once."""
+    source, store = _new(spark, "stream"), _new(spark, "store")
+    e = V.events(spark, sf).select("event_id", "stage", "status")
+    e.repartition(4).write.parquet(source)
+    for run in ("first", "again"):
+        s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        J.project_idempotently(s, store, "event_id", f"{store}-{run}", buckets=8).awaitTermination()
+    return spark.read.parquet(store).select("event_id", "stage", "status")
+
+
 @query("SELECT event_id AS event_id, event_type='error' AS poison FROM events")
 def parsed_triggers(spark, sf):
     """L2: messages without a readable commit are set apart."""

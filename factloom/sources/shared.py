@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder only where none is set, as in tests."""
+    """spark.checkpoint.dir of the session. A session on one machine may do without, as in tests, and gets a
+    temporary folder; on a cluster that would be the driver's alone, so there it is an error."""
     sc = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="factloom-")
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="factloom-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(where)
     return where

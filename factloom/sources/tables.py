@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,7 +22,10 @@ ENTRY = (
 def read_raw_tree(spark: SparkSession, root: str, skip_media: bool = True) -> DataFrame:
     """A1: (raw_path, tree, size, sha256, content); media are dropped by their path before any byte is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    rel = F.regexp_replace("path", rf"^.*?{root.rstrip('/')}/", "")
+    # The scheme and host that Spark puts before a path say nothing; the root is taken literally, at the front.
+    plain = F.regexp_replace("path", "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?(?=/)", "")
+    front = re.sub("^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?(?=/)", "", root).rstrip("/") + "/"
+    rel = F.when(plain.startswith(front), F.substr(plain, F.lit(len(front) + 1))).otherwise(plain)
     q = files.withColumn("raw_path", rel)
     q = q.where(~T.is_media(F.col("raw_path"))) if skip_media else q
     return q.select("raw_path", T.tree_of(F.col("raw_path")).alias("tree"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), "content")
@@ -112,14 +116,19 @@ def append_events(events: DataFrame, path: str) -> None:
     events.withColumn("date", F.to_date("ts")).write.mode("append").partitionBy("date").parquet(path)
 
 
+def append_alerts(alerts: DataFrame, path: str) -> None:
+    """K5: append alerts(ts, severity, ...), partitioned by severity, then date."""
+    alerts.withColumn("date", F.to_date("ts")).write.mode("append").partitionBy("severity", "date").parquet(path)
+
+
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     """(alias, canonical) from a JSON object of canonical name -> list of aliases; no file, no rows."""
     schema = "alias string, canonical string"
     try:
         one = spark.read.text(path, wholetext=True)
         return one.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("canonical", "names")).select(
-            T.norm(F.explode("names")).alias("alias"), T.norm(F.col("canonical")).alias("canonical")
-        )
+            "canonical", F.explode("names").alias("alias")
+        ).select(T.norm(F.col("alias")).alias("alias"), T.norm(F.col("canonical")).alias("canonical"))
     except Exception as e:
         if "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], schema)

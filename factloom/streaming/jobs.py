@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 #: Seconds of backoff by attempt, and the last attempt.
 BACKOFF, MAX_ATTEMPTS = (30, 60, 120, 300), 5
@@ -56,17 +57,24 @@ def delivery_state(attempts: DataFrame) -> DataFrame:
 def delivery_stream(outcomes: DataFrame, timeout_ms: int = 3_600_000) -> DataFrame:
     """L4: outcomes(sha, statuses) as they come -> the same decisions, the attempt kept as state per sha.
 
-    The state ends with an ack or a dead letter, or after the timeout without any outcome.
+    The state ends with an ack or a dead letter. Where outcomes has a ts, it also ends after the timeout, in event
+    time, without any outcome; so the job needs no batches without data, and ends when all is read.
     """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+    timed = "ts" in outcomes.columns
+    if timed:
+        outcomes = outcomes.withWatermark("ts", "10 minutes")
+
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         attempt = state.get[0] if state.exists else 0
-        rows, over = [], False
+        rows, over, latest = [], False, 0
         for b in batches:
+            if timed:
+                latest = max(latest, int(b["ts"].max().timestamp() * 1000))
             for statuses in b["statuses"]:
                 attempt += 1
                 done = all(s in TERMINAL for s in statuses)
@@ -78,28 +86,33 @@ def delivery_stream(outcomes: DataFrame, timeout_ms: int = 3_600_000) -> DataFra
             state.remove()
         else:
             state.update((attempt,))
-            state.setTimeoutDuration(timeout_ms)
+            if timed:
+                state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + timeout_ms)
         out = pd.DataFrame(rows, columns=["sha", "attempt", "action", "retry_after"])
         yield out.astype({"attempt": "int32", "retry_after": "Int32"})
 
     return outcomes.groupBy("sha").applyInPandasWithState(
-        step, "sha string, attempt int, action string, retry_after int", "attempt int", "append", GroupStateTimeout.ProcessingTimeTimeout
+        step, "sha string, attempt int, action string, retry_after int", "attempt int", "append", GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout
     )
 
 
-def project_idempotently(stream: DataFrame, path: str, key: str, checkpoint: str, write: Callable[[DataFrame, str], None] | None = None) -> StreamingQuery:
+def project_idempotently(stream: DataFrame, path: str, key: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
     """Each batch's new keys are appended once; a batch that comes again adds nothing. Runs all that
-    is available, then ends; bound a pass by the source's maxFilesPerTrigger."""
+    is available, then ends; bound a pass by the source's maxFilesPerTrigger.
+
+    The store is partitioned by a hash of the key, and a batch is only compared with the partitions that its
+    keys fall in, of which only the keys are read.
+    """
+    schema = StructType([*stream.schema.fields, StructField("bucket", IntegerType())])
 
     def put(batch: DataFrame, _: int) -> None:
-        rows = batch.dropDuplicates([key])
-        try:
-            have = batch.sparkSession.read.parquet(path).select(key)
-            rows = rows.join(have, key, "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        (write or (lambda d, p: d.write.mode("append").parquet(p)))(rows, path)
+        spark = batch.sparkSession
+        rows = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
+        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # buckets of them at most
+        rows.limit(0).write.mode("append").partitionBy("bucket").parquet(path)  # there is a store to compare with
+        have = spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(touched)).select(key)
+        rows.join(have, key, "left_anti").write.mode("append").partitionBy("bucket").parquet(path)
+        rows.unpersist()
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -112,13 +125,40 @@ def live_counts(events: DataFrame, window: str = "1 hour", slide: str | None = N
 
 
 def activity(events: DataFrame, minutes: int = 15, watermark: str = "24 hours") -> DataFrame:
-    """Sessions of events; where one ends, nothing came for `minutes`."""
-    late = events.withWatermark("ts", watermark) if events.isStreaming else events
+    """Sessions of events; where one ends, nothing came for `minutes`.
+
+    As a batch, the sessions of each hour are made first and then joined over the hours, so that a component
+    with most of the events meets in one task with a few rows an hour only.
+    """
     s = F.session_window("ts", f"{minutes} minutes")
+    if not events.isStreaming:
+        hours = events.groupBy(s.alias("s"), "component", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"))
+        hours = hours.select("component", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
+        order = Window.partitionBy("component").orderBy("start", "end")
+        seen = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        new = F.when(F.col("start") < seen, 0).otherwise(1)
+        parts = hours.withColumn("new", new).withColumn("nth", F.sum("new").over(order))
+        return parts.groupBy("component", "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("nth")
+    late = events.withWatermark("ts", watermark)
     return late.groupBy(s.alias("s"), "component").agg(F.count("*").alias("n")).select("component", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
 
 
-def dedup_batch(triggers: DataFrame, seconds: int = 120) -> DataFrame:
-    """L1, batch twin: a trigger stays if its sha was not kept within the seconds before it, taken pairwise."""
-    prev = F.lag("ts").over(Window.partitionBy("sha").orderBy("ts"))
-    return triggers.withColumn("prev", prev).where(F.col("prev").isNull() | (F.unix_timestamp("ts") - F.unix_timestamp("prev") > seconds)).drop("prev")
+def dedup_batch(triggers: DataFrame, key: str, seconds: int = 120) -> DataFrame:
+    """L1, batch twin: a trigger stays if none of its sha was kept within the `seconds` before it; one that is
+    left out doesn't prolong the window. Ties of ts go by key, which is unique.
+
+    A pause of more than `seconds` always starts anew, so only the triggers between two pauses are gone through
+    one after another.
+    """
+    order = Window.partitionBy("sha").orderBy("ts", key)
+    at = F.unix_timestamp("ts")
+    pause = F.coalesce(at - F.lag(at).over(order) > seconds, F.lit(True)).cast("int")
+    runs = triggers.withColumn("_at", at).withColumn("_pause", pause).withColumn("_run", F.sum("_pause").over(order))
+    listed = runs.groupBy("sha", "_run").agg(F.array_sort(F.collect_list(F.struct("ts", F.col(key).alias("k"), F.col("_at").alias("at")))).alias("l"))
+    none = F.array().cast("array<struct<at:bigint,k:string>>")
+    step = lambda kept, x: F.when(
+        (F.size(kept) == 0) | (x["at"] - F.element_at(kept, -1)["at"] > seconds),
+        F.concat(kept, F.array(F.struct(x["at"].alias("at"), x["k"].cast("string").alias("k")))),
+    ).otherwise(kept)
+    kept = listed.select("sha", F.explode(F.aggregate("l", none, step)).alias("x")).select("sha", F.col("x.k").alias("_k"))
+    return triggers.join(kept, (triggers["sha"].eqNullSafe(kept["sha"])) & (triggers[key].cast("string") == kept["_k"]), "left_semi")

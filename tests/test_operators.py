@@ -182,7 +182,8 @@ def test_grounding(spark):
     got = {(r["kind"], r["verdict"], r["file"][-4:], r["key"]) for r in found}
     assert ("quote", "GREEN", "a.md", "ncit:2008 ewhc 148 admin") in got
     assert ("quote", "RED", "b.md", "ncit:2008 ewhc 148 admin") in got
-    assert ("quote", "AMBER", "c.md", "stat:human rights act 1998 s7") in got
+    # 8 characters from the quote to the rule, 10 from the HRA to the quote: the rule is nearest.
+    assert ("quote", "AMBER", "c.md", "rule:criminal procedure rules 3.4") in got
     assert ("quote", "RED", "d.md", "ncit:2001 ewca civ 12") in got
     assert ("repealed_citation", "RED", "d.md", "ncit:2001 ewca civ 12") in got
     assert ("malformed_citation", "AMBER", "c.md", None) in got
@@ -264,10 +265,59 @@ def test_trace_without_hash(spark):
     assert got == {("d", 1), ("d", 2), ("e", 3)}
 
 
-def test_status_levels():
-    assert E.system_status(0, 0, 0, 0, False)["exit"] == 0
-    assert E.system_status(0, 0, 1, 0, False)["exit"] == 1
-    assert E.system_status(0, 3, 0, 0, False)["exit"] == 2
+def test_status_levels(spark):
+    rows = [(0, 0, 0, 0, False), (0, 0, 1, 0, False), (0, 3, 0, 0, False), (2, 0, 0, 5, True)]
+    got = E.system_status(spark.createDataFrame(rows, "failed long, missing long, incidents long, skipped long, stale boolean").coalesce(1)).collect()
+    assert [(r["exit"], r["status"]) for r in got] == [(0, "ok"), (1, "degraded"), (2, "ok"), (2, "degraded")]
+    assert [a["name"] for a in got[3]["alerts"]] == ["pipeline_failures", "health_degraded"]
+
+
+def test_triggers_from_the_kept_one(spark):
+    at = [("a", s, f"k{s}") for s in (0, 100, 200, 290, 321, 1000)] + [("b", 0, "x"), ("b", 0, "y"), (None, 5, "n")]
+    t = spark.createDataFrame(at, "sha string, s long, id string").withColumn("ts", F.timestamp_seconds("s"))
+    assert sorted(r["id"] for r in J.dedup_batch(t, "id").collect()) == ["k0", "k1000", "k200", "k321", "n", "x"]
+
+
+def test_retraction_runs_to_the_end(spark):
+    docs = spark.createDataFrame([(str(i), [str(i - 1)]) for i in range(1, 60)], "doc_id string, derived_from array<string>")
+    seed = spark.createDataFrame([("0",)], "doc_id string")
+    assert M.retracted(docs.where("int(doc_id) < 56"), seed).count() == 56
+    with pytest.raises(ValueError):
+        M.retracted(docs, seed, max_depth=3)
+
+
+def test_character_references(spark):
+    for t, want in (("a&amp;lt;b", "a&lt;b"), ("&eacute;&#233;&#xE9;&#x1F642;", "ééé🙂"), ("&nosuch; &#0; &am", "&nosuch; &#0; &am"), ("x&nbsp;y &hellip;", "x y …"), (None, None)):
+        assert spark.createDataFrame([(t,)], "t string").select(T.strip_tags(F.col("t"))).first()[0] == want
+
+
+def test_mail_of_unknown_charset(spark):
+    raw = b"Subject: Hi\r\nContent-Type: text/plain; charset=nobody-knows\r\n\r\nx"
+    assert N.parse_emails(spark.createDataFrame([("f", raw)], "file string, content binary")).first()["subject"] == "Hi"
+
+
+def test_lead_by_a_callers_tokenizer(spark):
+    import re
+
+    d = spark.createDataFrame([("1", "ab cd  ef"), ("2", None), ("3", "x")], "doc_id string, content string")
+    got = {r["doc_id"]: (r["lead"], r["n_tokens"]) for r in N.lead_by(d, lambda t: [m.span() for m in re.finditer(r"\S+", t)], 2).collect()}
+    assert got == {"1": ("ab cd", 3), "2": (None, 0), "3": ("x", 1)}
+
+
+def test_raw_tree_of_an_odd_root(spark, tmp_path):
+    root = tmp_path / "a.b+c" / "x" / "a.b+c"
+    (root / "x").mkdir(parents=True)
+    (root / "x" / "f.txt").write_bytes(b"1")
+    assert [r["raw_path"] for r in A.read_raw_tree(spark, str(root)).collect()] == ["x/f.txt"]
+
+
+def test_spans_far_and_near(spark):
+    rows = [("f", a, a + 9) for a in range(0, 20_000, 97)]
+    l = spark.createDataFrame(rows, "file string, l0 int, l1 int")
+    r = spark.createDataFrame([("f", a, a + 500) for a in range(0, 20_000, 701)], "file string, r0 int, r1 int")
+    got = sorted((x["l0"], x["r0"], x["gap"]) for x in G._within(l, r, "l0", "l1", "r0", "r1", 60).collect())
+    gap = lambda a, b, c, d: max(c - b, a - d, 0)
+    assert got == sorted((a, c, gap(a, a + 9, c, c + 500)) for a in range(0, 20_000, 97) for c in range(0, 20_000, 701) if gap(a, a + 9, c, c + 500) <= 60)
 
 
 def test_highlights_against_brute_force(spark):
