@@ -28,7 +28,7 @@ from .fm_index import FMIndex
 WINDOW, ANCHOR = 50, 8
 #: Words in the index of one shard, about; an anchor with more goes on by single windows instead.
 SHARD_WORDS, ANCHOR_WORDS = 400_000, 3_000_000
-#: Of every SHARE-th document (fewer, so that there are TELLING at most), anchors that stand in TOLD or more are
+#: Of every SHARE-th document (fewer, so that there are TELLING at most), anchors of TOLD segments or more are
 #: taken for so frequent that their segments are dealt over SALTS groups.
 SHARE, TELLING, TOLD, SALTS = 64, 200_000, 32, 64
 
@@ -76,10 +76,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     kept = docs.where("doc_id is not null")
     form = "anchor long, content long, doc_id long, th long, start int, size int"
     # Anchors so frequent that one task could not hold their segments show in every share-th document. Those are
-    # dealt over salts; several documents hold them, so only the smallest document of each segment is looked for.
+    # dealt over salts, where only the smallest document of each segment is looked for.
     share = max(SHARE, math.ceil(kept.count() / TELLING))
     tell = kept.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(cut_up, form)
-    tell = cut(tell.groupBy("anchor").agg(F.count_distinct("doc_id").alias("told")).where(F.col("told") >= TOLD))
+    tell = cut(tell.groupBy("anchor").agg(F.count("*").alias("told")).where(F.col("told") >= TOLD))
     dealt = not tell.isEmpty()
     segs = kept.mapInArrow(cut_up, form)
     if dealt:
