@@ -179,16 +179,20 @@ def _ask_words(parts: int) -> Callable:
         words, local = np.unique(c.hashes, return_inverse=True)
         counts = np.bincount(local[np.repeat(c.state == 0, c.size)], minlength=len(words))
         edge = np.searchsorted(_word_part(words, parts), np.arange(parts + 1))
-        rows = [_row(p, c.number, WORD_ASK, pack(words[a:z]), pack(counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
+        rows = [_row(p, c.number, WORD_ASK, pack(np.diff(words[a:z], prepend=np.uint64(0))), pack(counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
         return [*rows, _row(0, c.number, STATS, stats=np.array([(c.state == 0).sum()]))]
 
     return _each_chunk(make)
 
 
 def _lay_out(c: Chunk) -> list[tuple]:
-    """A chunk as one row: place of each word among its sorted words, words of each text, states, ids."""
-    local = np.unique(c.hashes, return_inverse=True)[1].astype(np.int32)
-    return [_row(0, c.number, TEXTS, pack(local), pack(c.size), pack(c.state), pack(c.ids))]
+    """A chunk as one row: its words as ranks by frequency, words of each text, states, ids, and for each rank the
+    place among the chunk's sorted words."""
+    _, local, n = np.unique(c.hashes, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(n), np.int32)
+    rank[order] = np.arange(len(n))
+    return [_row(0, c.number, TEXTS, pack(rank[local]), pack(c.size), pack(c.state), pack(c.ids), pack(order.astype(np.int32)))]
 
 
 def _merge_words(parts: int) -> Callable:
@@ -196,7 +200,7 @@ def _merge_words(parts: int) -> Callable:
         part = int(pdf["part"].iloc[0])
         rows, ask = [], pdf[pdf["kind"] == WORD_ASK].sort_values("chunk")
         if len(ask):
-            own = [unpack(b, np.uint64) for b in ask["a"]]
+            own = [np.cumsum(unpack(b, np.uint64)) for b in ask["a"]]
             words, at = np.unique(np.concatenate(own), return_inverse=True)
             total = np.bincount(at, np.concatenate([unpack(b, np.int64) for b in ask["b"]]).astype(np.float64), len(words)).astype(np.int64)
             rank = np.empty(len(words), np.int64)
@@ -257,7 +261,8 @@ def _send_grams(parts: int, words: Words, order: int, part_words: int) -> Callab
         if not len(docs):
             return _frame([])
         r = docs.iloc[0]
-        local, size, state, ids = (unpack(r[c], t) for c, t in zip("abcd", (np.int32, np.int64, np.uint8, np.int64), strict=True))
+        local, size, state, ids, place = (unpack(r[c], t) for c, t in zip("abcde", (np.int32, np.int64, np.uint8, np.int64, np.int32), strict=True))
+        local = place[local]
         got, none = info.sort_values("part"), np.empty(0, np.int64)
         known = np.concatenate([none, *(unpack(b, np.int64) for b in got["a"]), [END, START]])
         count = np.concatenate([none, *(unpack(b, np.int64) for b in got["b"]), [words.ends, words.ends]])
