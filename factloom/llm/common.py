@@ -214,6 +214,21 @@ def give_back() -> None:
         pass
 
 
+def giving_back(run: Callable) -> Callable:
+    """A function on the rows of a group (or of two) that gives memory back at its end."""
+
+    def one(*frames: object) -> object:
+        try:
+            return run(*frames)
+        finally:
+            give_back()
+
+    def two(left: object, right: object) -> object:
+        return one(left, right)
+
+    return two if run.__code__.co_argcount == 2 else lambda frame: one(frame)
+
+
 def sliced(run: Callable, rows: int = 1024) -> Callable:
     """A mapInArrow function that sees its batches in slices of so many rows, and gives memory back at its end."""
 

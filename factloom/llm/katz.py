@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SameSplits, by_bytes, cut, give_back, mix, read, word_hashes
+from .common import SameSplits, by_bytes, cut, give_back, giving_back, mix, read, word_hashes
 
 #: Longest n-gram; counts up to K are discounted.
 ORDER, K = 3, 5
@@ -347,7 +347,9 @@ def _merge_grams(order: int) -> Callable:
         w, cw = (np.concatenate([b[i] for b in blocks]) for i in (1, 2))
         rest = [np.split(unpack(b, np.int32), 3) for b in pdf["e"]]
         doc, n, split = (np.concatenate([x[i] for x in rest]) for i in range(3))
-        chunk = np.repeat(np.arange(len(pdf)), [len(b[1]) for b in blocks])
+        held = [len(b[1]) for b in blocks]
+        del blocks, rest
+        chunk = np.repeat(np.arange(len(pdf), dtype=np.int32), held)
         o = np.lexsort((w, *reversed(history)))
         history, w, cw, doc, n, split, chunk = [h[o] for h in history], *(x[o] for x in (w, cw, doc, n, split, chunk))
         new = np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in (*history, w)])))
@@ -433,6 +435,7 @@ def _answer(words: Words, d: list[np.ndarray]) -> Callable:
         for b in batches:
             for i in range(b.num_rows):
                 yield _batch(_score_table(b.slice(i, 1).to_pylist()[0], words, d, None))
+                give_back()
 
     return run
 
@@ -509,13 +512,13 @@ def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, min(1 << 20, math.ceil(size / 6 / part_words)))
     with splits:
-        got = cut(docs.mapInArrow(_ask_words(parts), _ROW).groupBy("part").applyInPandas(_merge_words(parts), _ROW))
+        got = cut(docs.mapInArrow(_ask_words(parts), _ROW).groupBy("part").applyInPandas(giving_back(_merge_words(parts)), _ROW))
     sums = _sums(got, K + 4)
     words = word_stats(int(sums[0]), int(sums[1]), int(sums[2]), np.concatenate(([0], sums[3:])))
     chunks = docs.mapInArrow(_each_chunk(_lay_out), _ROW).groupBy("chunk").cogroup(got.where(f"kind = {WORD_GOT}").groupBy("chunk"))
-    sent = chunks.applyInPandas(_send_grams(parts, words, order, part_words), _ROW)
+    sent = chunks.applyInPandas(giving_back(_send_grams(parts, words, order, part_words)), _ROW)
     with splits:
-        table = cut(sent.groupBy("part").applyInPandas(_merge_grams(order), _ROW))
+        table = cut(sent.groupBy("part").applyInPandas(giving_back(_merge_grams(order)), _ROW))
     sums = _sums(table, 1 + (order - 1) * (K + 1))
     rare = sums[1:].reshape(order - 1, K + 1)
     out = table.where(f"kind = {META}")
