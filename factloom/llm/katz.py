@@ -36,10 +36,12 @@ from .common import SameSplits, by_bytes, cut, give_back, giving_back, mix, read
 #: Longest n-gram; counts up to K are discounted.
 ORDER, K = 3, 5
 #: Words and texts of a chunk, about (a longer text is a chunk of its own), and n-grams of a part.
-CHUNK_WORDS, PART_WORDS = 600_000, 1_500_000
+CHUNK_WORDS, PART_WORDS = 1_000_000, 1_250_000
 #: An n-gram that a chunk holds more often is asked for once.
 MANY = 8
 UNKNOWN, END, START, FIRST = 0, 1, 2, 3
+#: Sums of log probabilities move as multiples of 1 / UNIT.
+UNIT = 2.0**30
 #: In place of a word: the facts of a history as a whole.
 WHOLE = -1
 _NAMES = ["part", "chunk", "kind", "a", "b", "c", "d", "e", "f", "stats"]
@@ -187,12 +189,12 @@ def _ask_words(parts: int) -> Callable:
 
 def _lay_out(c: Chunk) -> list[tuple]:
     """A chunk as one row: its words as ranks by frequency, words of each text, states, ids, and for each rank the
-    place among the chunk's sorted words."""
+    place among the chunk's sorted words, as differences (equally frequent words are in order)."""
     _, local, n = np.unique(c.hashes, return_inverse=True, return_counts=True)
     order = np.argsort(-n, kind="stable")
     rank = np.empty(len(n), np.int32)
     rank[order] = np.arange(len(n))
-    return [_row(0, c.number, TEXTS, pack(rank[local]), pack(c.size), pack(c.state), pack(c.ids), pack(order.astype(np.int32)))]
+    return [_row(0, c.number, TEXTS, pack(rank[local]), pack(c.size), pack(c.state), pack(c.ids), pack(np.diff(order, prepend=0).astype(np.int32)))]
 
 
 def _merge_words(parts: int) -> Callable:
@@ -262,7 +264,7 @@ def _send_grams(parts: int, words: Words, order: int, part_words: int) -> Callab
             return _frame([])
         r = docs.iloc[0]
         local, size, state, ids, place = (unpack(r[c], t) for c, t in zip("abcde", (np.int32, np.int64, np.uint8, np.int64, np.int32), strict=True))
-        local = place[local]
+        local = np.cumsum(place)[local]
         got, none = info.sort_values("part"), np.empty(0, np.int64)
         known = np.concatenate([none, *(unpack(b, np.int64) for b in got["a"]), [END, START]])
         count = np.concatenate([none, *(unpack(b, np.int64) for b in got["b"]), [words.ends, words.ends]])
@@ -345,18 +347,29 @@ def _merge_grams(order: int) -> Callable:
         blocks = [_unpack_grams(*(r[c] for c in "abcd")) for _, r in pdf.iterrows()]
         history = [np.concatenate([b[0][k] for b in blocks]) for k in range(order - 1)]
         w, cw = (np.concatenate([b[i] for b in blocks]) for i in (1, 2))
-        rest = [np.split(unpack(b, np.int32), 3) for b in pdf["e"]]
-        doc, n, split = (np.concatenate([x[i] for x in rest]) for i in range(3))
         held = [len(b[1]) for b in blocks]
-        del blocks, rest
+        del blocks
+        rest = [np.split(unpack(b, np.int32), 3) for b in pdf["e"]]
+        doc, n = (np.concatenate([x[i] for x in rest]) for i in range(2))
+        split = np.concatenate([x[2].astype(bool) for x in rest])
+        del rest
         chunk = np.repeat(np.arange(len(pdf), dtype=np.int32), held)
         o = np.lexsort((w, *reversed(history)))
-        history, w, cw, doc, n, split, chunk = [h[o] for h in history], *(x[o] for x in (w, cw, doc, n, split, chunk))
+        # One column after another, so that old and new ones don't stand side by side.
+        for k in range(order - 1):
+            history[k] = history[k][o]
+        w = w[o]
+        cw = cw[o]
+        doc = doc[o]
+        n = n[o]
+        split = split[o]
+        chunk = chunk[o]
+        del o
         new = np.concatenate(([True], np.logical_or.reduce([x[1:] != x[:-1] for x in (*history, w)])))
         first = np.flatnonzero(new)
         asked = np.diff(np.append(first, len(w)))
         c = np.add.reduceat(n.astype(np.int64), first)
-        history, w, cw, split = [h[first] for h in history], w[first], cw[first], split[first] > 0
+        history, w, cw, split = [h[first] for h in history], w[first], cw[first], split[first]
         stats, rows = [int(split.any())], []
         for k, (_, pair, at) in enumerate(_levels(history, w)):
             total = np.bincount(pair, c).astype(np.int64)
@@ -365,7 +378,7 @@ def _merge_grams(order: int) -> Callable:
                 rows.append(_row(part, -1, PAIRS, pack(history[0][at[s]]), pack(w[at[s]]), pack(total[s]), pack(cw[at[s]])))
                 total = total[~s]
             stats += np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2].tolist()
-        who = np.concatenate((chunk.astype(np.int32), doc))
+        who = np.concatenate((chunk, doc))
         chunks = pdf["chunk"].to_numpy(np.int64)
         more = pack(np.concatenate((asked, c, split.astype(np.int64)))), pack(np.concatenate((who, chunks.view(np.int32))))
         rows.append(_row(part, len(pdf), SPLIT_TABLE if split.any() else TABLE, *_pack_grams(history, w, cw), *more))
@@ -421,11 +434,15 @@ def _score_table(r: dict, words: Words, d: list[np.ndarray], split_facts: pd.Dat
         scale, back = history_weights(total, under, rare, d[k])
         own = np.where(count <= K, d[k][np.minimum(count, K)], 1.0) * count * scale[hist]
         p = np.where(count > 0, own, back[hist] * low)[pair]
+    del history, w, cw, c, split
     logp = np.repeat(np.log10(p), asked)
     o = np.lexsort((doc, chunk))
-    new = np.concatenate(([True], (chunk[o][1:] != chunk[o][:-1]) | (doc[o][1:] != doc[o][:-1])))
-    first = np.flatnonzero(new)
-    sums, chunk, doc = np.add.reduceat(logp[o], first), chunk[o][first], doc[o][first]
+    logp = logp[o]
+    chunk = chunk[o]
+    doc = doc[o]
+    del o
+    first = np.flatnonzero(np.concatenate(([True], (chunk[1:] != chunk[:-1]) | (doc[1:] != doc[:-1]))))
+    sums, chunk, doc = np.rint(np.add.reduceat(logp, first) * UNIT).astype(np.int64), chunk[first], doc[first]
     edge = np.searchsorted(chunk, np.arange(n_chunks + 1))
     return [_row(0, int(i), SUMS, pack(doc[a:z]), pack(sums[a:z])) for i, a, z in zip(chunks, edge, edge[1:], strict=False)]
 
@@ -463,9 +480,10 @@ def _finish(pdf: pd.DataFrame) -> pd.DataFrame:
     state, size, n_known = np.split(unpack(meta["b"], np.int64), 3)
     base, score = (unpack(meta[c], np.float64) for c in "cd")
     hot_doc, hot_slot = (unpack(meta[c], np.int32) for c in "ef")
-    total = np.zeros(len(ids) + (int(hot_slot.max()) + 1 if len(hot_slot) else 0))
+    total = np.zeros(len(ids) + (int(hot_slot.max()) + 1 if len(hot_slot) else 0), np.int64)
     for _, r in pdf[pdf["kind"] == SUMS].sort_values("part").iterrows():
-        total[unpack(r["a"], np.int32)] += unpack(r["b"], np.float64)
+        total[unpack(r["a"], np.int32)] += unpack(r["b"], np.int64)
+    total = total / UNIT
     score = score + total[: len(ids)]
     np.add.at(score, hot_doc, total[len(ids) + hot_slot])
     return pd.DataFrame(
