@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from factloom.functions import text as T
 
+#: Claims of a subject and predicate up to which pairs are made where only their number is asked for.
+PAIRED = 2_000
+
 
 def explode_claims(docs: DataFrame) -> DataFrame:
     """One row per claim with claim_idx; documents without claims give none. Keeps doc_id, raw_path, matters."""
@@ -64,6 +67,21 @@ def find_claims(
     return q
 
 
+def _narrow(claims: DataFrame, aliases: DataFrame) -> DataFrame:
+    return canonical_speaker(claims, aliases).select(
+        T.norm(F.col("subject")).alias("s"),
+        T.norm(F.col("predicate")).alias("p"),
+        T.norm(F.col("object")).alias("o"),
+        F.coalesce("polarity", F.lit(True)).alias("pol"),
+        "doc_id",
+        "claim_idx",
+        F.coalesce(T.doc_stem(F.col("raw_path")), F.lit("")).alias("stem"),
+        T.norm(F.col("source_span")).alias("span"),
+        F.col("canonical_speaker").alias("who"),
+        "asserted_by",
+    )
+
+
 def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None = None, max_claims_per_doc: int | None = None, one_speaker: bool = False) -> DataFrame:
     """Pairs of claims of one (subject, predicate) that conflict.
 
@@ -80,25 +98,21 @@ def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None =
     if max_claims_per_doc is not None:
         nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("claim_idx"))
         claims = claims.withColumn("_nth", nth).where(F.col("_nth") <= max_claims_per_doc).drop("_nth")
-    narrow = canonical_speaker(claims, aliases).select(
-        T.norm(F.col("subject")).alias("s"),
-        T.norm(F.col("predicate")).alias("p"),
-        T.norm(F.col("object")).alias("o"),
-        F.coalesce("polarity", F.lit(True)).alias("pol"),
-        "doc_id",
-        "claim_idx",
-        T.doc_stem(F.col("raw_path")).alias("stem"),
-        T.norm(F.col("source_span")).alias("span"),
-        F.col("canonical_speaker").alias("who"),
-        "asserted_by",
-    )
+    return _pairs(_open(_narrow(claims, aliases)), one_speaker)
+
+
+def _open(narrow: DataFrame) -> DataFrame:
+    """The claims of groups (s, p) that can hold a conflict, with the claims of their group as n."""
     open_ = (
         narrow.groupBy("s", "p")
-        .agg(F.min("pol").alias("a"), F.max("pol").alias("b"), F.min("o").alias("c"), F.max("o").alias("d"))
+        .agg(F.min("pol").alias("a"), F.max("pol").alias("b"), F.min("o").alias("c"), F.max("o").alias("d"), F.count("*").alias("n"))
         .where("a <> b or c <> d")
-        .select("s", "p")
+        .select("s", "p", "n")
     )
-    side = narrow.join(open_, ["s", "p"], "left_semi")
+    return narrow.join(open_, ["s", "p"])
+
+
+def _pairs(side: DataFrame, one_speaker: bool = False) -> DataFrame:
     left, right = side.alias("l"), side.alias("r")
     lc, rc = (lambda n: F.col(f"l.{n}")), (lambda n: F.col(f"r.{n}"))
     opposite = lc("pol") != rc("pol")
@@ -123,3 +137,54 @@ def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None =
         F.when(within, lc("asserted_by")).alias("asserted_by"),
         F.when(~within, "contested").when(opposite, "CONTRADICTION").otherwise("LEAD").alias("tier"),
     )
+
+
+def contradiction_counts(claims: DataFrame, aliases: DataFrame, most: int = PAIRED) -> DataFrame:
+    """(subject, predicate, tier, kind, pairs): what contradictions() has of each, for pairs > 0.
+
+    Only groups of at most `most` claims are paired. In larger ones the pairs are counted without being made, which
+    takes eight rows a claim; so the work grows with the claims, also where a subject has very many.
+    """
+    side = _open(_narrow(claims, aliases))
+    few = _pairs(side.where(F.col("n") <= most)).groupBy("subject", "predicate", "tier", "kind").agg(F.count("*").alias("pairs"))
+    return few.unionByName(_count(side.where(F.col("n") > most)))
+
+
+def _count(narrow: DataFrame) -> DataFrame:
+    """Counts of pairs by inclusion and exclusion: pairs of one representation share the document, the stem or the
+    span, and pairs that share a set of these are counted by squares of group sizes. Every grouping is combined
+    before its shuffle."""
+    same = ("doc_id", "stem", "span")
+    sets = []
+    for mask in range(1 << len(same)):
+        own = [c for i, c in enumerate(same) if mask >> i & 1]
+        told = F.lit(True)
+        for c in own:
+            told = told & (F.col(c) != "") if c != "doc_id" else told
+        keys = [F.when(F.lit(c in own), F.col(c)).alias(c) for c in same]
+        sets.append(F.when(told, F.struct(F.lit(mask).alias("mask"), F.lit((-1) ** len(own)).alias("sign"), *keys)))
+    by = ["s", "p", "mask", "sign", *same]
+    rows = narrow.where("doc_id is not null").select("s", "p", "o", "pol", "who", F.explode(F.array_compact(F.array(*sets))).alias("x"))
+    cells = rows.select("s", "p", "o", "pol", "who", "x.*").groupBy(*by, "who", "o").agg(F.count_if("pol").alias("t"), F.count_if(~F.col("pol")).alias("f"))
+
+    def pairs(cells: DataFrame, *more: str) -> DataFrame:
+        t, f = F.sum("t"), F.sum("f")
+        groups = cells.groupBy(*by, *more).agg(
+            (t * f).alias("opposite"),
+            F.sum(F.col("t") * F.col("f")).alias("same_object"),
+            F.expr("(sum(t) * sum(t) - sum(t * t) + sum(f) * sum(f) - sum(f * f)) div 2").alias("other"),
+        )
+        kinds = F.when(T.is_negation(F.col("p")), F.col("same_object")).otherwise(F.col("opposite"))
+        return groups.groupBy("s", "p").agg(F.sum(F.col("sign") * kinds).alias("opposite"), F.sum(F.col("sign") * F.col("other")).alias("other"))
+
+    every = pairs(cells.groupBy(*by, "o").agg(F.sum("t").alias("t"), F.sum("f").alias("f")))
+    within = pairs(cells.where("who is not null"), "who").select("s", "p", F.col("opposite").alias("own_opposite"), F.col("other").alias("own_other"))
+    both = every.join(within, ["s", "p"], "left").na.fill(0, ["own_opposite", "own_other"])
+    row = lambda tier, kind, n: F.struct(F.lit(tier).alias("tier"), F.lit(kind).alias("kind"), n.alias("pairs"))
+    tiers = F.array(
+        row("CONTRADICTION", "opposite_polarity", F.col("own_opposite")),
+        row("LEAD", "conflicting_object", F.col("own_other")),
+        row("contested", "opposite_polarity", F.col("opposite") - F.col("own_opposite")),
+        row("contested", "conflicting_object", F.col("other") - F.col("own_other")),
+    )
+    return both.select(F.col("s").alias("subject"), F.col("p").alias("predicate"), F.inline(tiers)).where("pairs > 0")

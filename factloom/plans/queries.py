@@ -53,8 +53,9 @@ def _classified(spark: SparkSession, sf: str) -> DataFrame:
 @query(V.PAIRS + " SELECT CASE WHEN NOT same THEN 'contested' WHEN kind='opposite_polarity' THEN 'CONTRADICTION' ELSE 'LEAD' END AS tier, kind, count(*) AS pairs, count(DISTINCT subject) AS subjects FROM pairs GROUP BY 1,2")
 def contradiction_tiers(spark, sf):
     """The flagship: tiers of contradictions over all claims."""
-    p = C.contradictions(V.claims(spark, sf), V.aliases(spark, sf))
-    return p.groupBy("tier", "kind").agg(F.count("*").alias("pairs"), F.countDistinct("subject").alias("subjects"))
+    n = C.contradiction_counts(V.claims(spark, sf), V.aliases(spark, sf))
+    n = n.groupBy("tier", "kind", "subject").agg(F.sum("pairs").alias("pairs"))
+    return n.groupBy("tier", "kind").agg(F.sum("pairs").alias("pairs"), F.count("*").alias("subjects"))
 
 
 @query(V.PAIRS + " SELECT subject, predicate, left_doc, left_idx, right_doc, right_idx, kind FROM pairs WHERE same")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,25 @@ def tiers(spark, rows, aliases=()):
     return [(r["tier"], r["kind"]) for r in C.contradictions(claims(spark, *rows), al).collect()]
 
 
+@pytest.mark.parametrize("most", [0, 8, 1000])
+def test_contradiction_counts(spark, most):
+    rng = random.Random(3)
+    pick = lambda *x: rng.choice(x)
+    rows = [
+        (pick("d1", "d2", "d3", "d4", None), pick("x/a.md", "x/A_ocr.pdf", "y/b.md", "y/c.md", "", None), pick("He", "he ", "She"), pick("saw", "does not name"), pick("x", "y", None), pick(True, False, None), pick("Ann", "ann", "Bob", None), pick("s1", "s2", "s3", "", None))
+        for _ in range(90)
+    ] + [("d9", "z.md", "They", "saw", "x", True, "Ann", "s")]
+    al = spark.createDataFrame([("bob", "Ann")], "alias string, canonical string")
+    c = claims(spark, *rows)
+    want = C.contradictions(c, al).groupBy("subject", "predicate", "tier", "kind").count().collect()
+    assert want and sorted(map(tuple, C.contradiction_counts(c, al, most).collect())) == sorted(map(tuple, want))
+
+
+def test_no_claims_count_nothing(spark):
+    al = spark.createDataFrame([], "alias string, canonical string")
+    assert C.contradiction_counts(spark.createDataFrame([], CLAIM), al, 0).collect() == []
+
+
 A1, A2 = ("d1", "x/a.md"), ("d2", "x/b.md")
 
 
