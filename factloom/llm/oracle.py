@@ -45,3 +45,16 @@ fair AS (SELECT DISTINCT h.doc_id, h.item_id, h.shift, h.ipos, st.n_slots, st.n_
 m AS (SELECT doc_id, item_id, count(DISTINCT ipos) AS n_matched FROM fair GROUP BY 1,2),
 b AS (SELECT doc_id, item_id, max((n, n_slots, n_changed)) AS b FROM (SELECT doc_id, item_id, shift, count(*) AS n, any_value(n_slots) AS n_slots, any_value(n_changed) AS n_changed FROM fair GROUP BY 1,2,3) GROUP BY 1,2)
 SELECT doc_id, item_id, n_windows, n_matched, coalesce(b[2],0) AS n_slots, coalesce(b[3],0) AS n_changed FROM m JOIN b USING (doc_id, item_id) JOIN n USING (item_id) WHERE n_matched>=0.75*n_windows"""
+
+_SHARE = "(1+({}+1)::HUGEINT*1000000000//({}+k.v))"
+_APART = "(({p}-{q})*({p}-{q})//{q})"
+
+DIVERGENCE = f"""WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang,'') AS lang, coalesce(source,'') AS source, regexp_extract_all({_LOW},'[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d), w AS (SELECT id, lang, source, unnest(t) AS term FROM d),
+l AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1,2 HAVING count(DISTINCT id)>=3), k AS (SELECT lang, count(*) AS v, sum(n) AS n FROM l GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN l USING (lang, term) GROUP BY 1,2,3), s AS (SELECT g.lang, g.source, coalesce(sum(n),0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY 1,2),
+p AS (SELECT s.lang, s.source, l.term, coalesce(c.n,0) AS n, {_SHARE.format("coalesce(c.n,0)", "s.n")} AS p, {_SHARE.format("l.n", "k.n")} AS q FROM s JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang=s.lang AND c.source=s.source AND c.term=l.term),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum({_APART.format(p="a.p", q="b.p")}) AS value FROM p a JOIN p b ON a.lang=b.lang AND a.term=b.term AND a.source<>b.source GROUP BY 1,2,3),
+pr AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pv.value,0)::BIGINT AS value FROM g a JOIN g b ON a.lang=b.lang AND a.source<>b.source LEFT JOIN pv ON pv.lang=a.lang AND pv.source=a.source AND pv.item=b.source),
+tr AS (SELECT lang, source, 'term' AS part, term AS item, {_APART.format(p="p", q="q")}::BIGINT AS value FROM p WHERE n>0 AND p>q)
+SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM (FROM pr UNION ALL FROM tr)) WHERE part='pair' OR rank<=200"""
