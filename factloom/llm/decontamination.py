@@ -41,7 +41,8 @@ def template(token: Column) -> Column:
 
 
 def _windows(token: Column, literal: bool = False) -> Column:
-    """array<struct<pos, w>>: each window's position and hash; with literal also its number of literal words.
+    """array<struct<pos, w>>: each window's position and hash; with literal also its number of literal words. A text of
+    fewer than five tokens is one window, a text without tokens has none.
 
     The one-element transform binds the template tokens once for all windows.
     """
@@ -49,13 +50,15 @@ def _windows(token: Column, literal: bool = False) -> Column:
     def of(t: Column) -> Column:
         def window(i: Column) -> Column:
             own = [F.get(t, i + k) for k in range(WORDS)]
-            more = [sum(F.when(F.substring(x, 1, 1) == "#", 0).otherwise(1) for x in own).alias("literal")] if literal else []
+            more = [sum(F.when(F.substring(x, 1, 1) != "#", 1).otherwise(0) for x in own).alias("literal")] if literal else []
             return F.struct(i.alias("pos"), F.xxhash64(*own).alias("w"), *more)
 
-        n = F.size(t) - WORDS
-        return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), window))
+        # Fewer tokens are one window of all of them; what is missing is null, which the hash passes over.
+        return F.when(F.size(t) > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - WORDS, F.lit(0))), window))
 
-    return F.get(F.transform(F.array(F.transform(token, template)), of), F.lit(0))
+    # A short text of placeholders alone would be like any other of their kinds, so there the tokens stand for themselves.
+    bare = (F.size(token) < WORDS) & F.forall(token, lambda x: F.substring(template(x), 1, 1) == "#")
+    return F.get(F.transform(F.array(F.when(bare, token).otherwise(F.transform(token, template))), of), F.lit(0))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
@@ -63,7 +66,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     of an item's windows or more, in consistent alignments; n_changed of its n_slots slots have another
     value than the benchmark's.
 
-    Rows with a null id and null or empty texts match nothing, nor do items of fewer than five tokens.
+    Rows with a null id and null or empty texts match nothing. An item of fewer than five tokens is one window, held by the
+    documents that consist of it alone, as templates, or to the letter where it has nothing but placeholders. Before any alignment is made, the item's positions whose window a document
+    has anywhere are counted, and only pairs that reach the share go on.
     Rows that repeat a doc_id count as one document, rows that repeat an item as one item; where the texts of
     one item_id differ, a document may hold any of their windows at a position. Of alignments that match
     equally many windows, the one with most slots, then most changed ones, gives n_slots and n_changed. A very
@@ -95,6 +100,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     spots = near.select("doc_id", "dtok", F.explode(_windows(F.col("dtok"))).alias("x")).select(
         "doc_id", F.col("x.pos").alias("dpos"), F.col("x.w").alias("w"), F.slice("dtok", F.col("x.pos") + 1, WORDS).alias("dvals")
     )
+    there = spots.select("doc_id", "w").distinct()
+    pairs = own.select("item_id", "w", "pos").distinct().join(bounded(seen), "item_id").join(there, ["doc_id", "w"])
+    enough = pairs.groupBy("doc_id", "item_id").agg(F.countDistinct("pos").alias("n")).join(bounded(head), "item_id").where(F.col("n") >= share * F.col("n_windows"))
+    seen = cut(enough.select("doc_id", "item_id"))
+    spots = spots.join(bounded(seen.select("doc_id").distinct()), "doc_id", "left_semi")
     asked = own.select("item_id", "w", F.col("pos").alias("ipos"), F.slice("tok", F.col("pos") + 1, WORDS).alias("ivals"))
     asked = asked.join(bounded(seen), "item_id").distinct()
     hits = spots.join(asked, ["doc_id", "w"]).select("doc_id", "item_id", "ipos", (F.col("dpos") - F.col("ipos")).alias("shift"), "ivals", "dvals")

@@ -31,15 +31,17 @@ SELECT d.doc_id, coalesce(n.n,0) AS n_shingles, (SELECT min(root) FROM r WHERE n
 
 _TEMPLATE = f"CASE WHEN x BETWEEN '0' AND '9~' THEN '#n' WHEN list_contains({list(UNITS)!r}, lower(x)) THEN '#u' WHEN x=lower(x) OR length(x)=1 OR x=upper(x) THEN lower(x) ELSE '#p' END"
 
+_TEMPLATES = f"CASE WHEN len(t)<5 AND len(list_filter(list_transform(t, lambda x: {_TEMPLATE}), lambda y: NOT starts_with(y,'#')))=0 THEN t ELSE list_transform(t, lambda x: {_TEMPLATE}) END"
+
 LEAKS = f"""WITH i AS (SELECT item_id, regexp_extract_all(text,'\\p{{L}}+|[0-9][0-9.,:/]*') AS t FROM benchmark),
 d AS (SELECT doc_id, regexp_extract_all(text,'\\p{{L}}+|[0-9][0-9.,:/]*') AS t FROM documents),
-it AS (SELECT item_id, t, list_transform(t, lambda x: {_TEMPLATE}) AS c FROM i), dt AS (SELECT doc_id, t, list_transform(t, lambda x: {_TEMPLATE}) AS c FROM d),
-iw AS (SELECT item_id, p AS ipos, t[p:p+4] AS iv, array_to_string(c[p:p+4],' ') AS w FROM (SELECT *, unnest(range(1,len(c)-3)) AS p FROM it WHERE len(c)>=5)),
-dw AS (SELECT doc_id, p AS dpos, t[p:p+4] AS dv, array_to_string(c[p:p+4],' ') AS w FROM (SELECT *, unnest(range(1,len(c)-3)) AS p FROM dt WHERE len(c)>=5)),
+it AS (SELECT item_id, t, {_TEMPLATES} AS c FROM i), dt AS (SELECT doc_id, t, {_TEMPLATES} AS c FROM d),
+iw AS (SELECT item_id, p AS ipos, t[p:p+4] AS iv, array_to_string(c[p:p+4],' ') AS w FROM (SELECT *, unnest(range(1,greatest(len(c)-3,2))) AS p FROM it WHERE len(c)>0)),
+dw AS (SELECT doc_id, p AS dpos, t[p:p+4] AS dv, array_to_string(c[p:p+4],' ') AS w FROM (SELECT *, unnest(range(1,greatest(len(c)-3,2))) AS p FROM dt WHERE len(c)>0)),
 n AS (SELECT item_id, count(*) AS n_windows FROM iw GROUP BY 1),
 h AS (SELECT doc_id, item_id, ipos, dpos-ipos AS shift, iv, dv FROM iw JOIN dw USING (w)),
 sv AS (SELECT doc_id, item_id, shift, ipos, unnest(iv) AS x, unnest(dv) AS y, unnest(range(0,5)) AS k FROM h),
-sl AS (SELECT doc_id, item_id, shift, x AS value, min(y) AS lo, max(y) AS hi, count(DISTINCT ipos+k) AS n FROM sv WHERE starts_with({_TEMPLATE},'#') GROUP BY 1,2,3,4),
+sl AS (SELECT doc_id, item_id, shift, x AS value, min(y) AS lo, max(y) AS hi, count(DISTINCT ipos+k) AS n FROM sv WHERE x IS NOT NULL AND starts_with({_TEMPLATE},'#') GROUP BY 1,2,3,4),
 st AS (SELECT doc_id, item_id, shift, bool_or(lo<>hi) AS torn, sum(n)::BIGINT AS n_slots, sum(CASE WHEN lo<>value THEN n ELSE 0 END)::BIGINT AS n_changed FROM sl GROUP BY 1,2,3),
 fair AS (SELECT DISTINCT h.doc_id, h.item_id, h.shift, h.ipos, st.n_slots, st.n_changed FROM h LEFT JOIN st USING (doc_id, item_id, shift) WHERE NOT coalesce(st.torn,false)),
 m AS (SELECT doc_id, item_id, count(DISTINCT ipos) AS n_matched FROM fair GROUP BY 1,2),

@@ -137,6 +137,8 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 9, batch: int = 48, ra
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") -> list[tuple[np.ndarray, int]]:
     """Labelled rows, first by a hash of their id, up to TRAIN_ROWS and TRAIN_BYTES, each with all chunks of its text.
 
+    A row whose text doesn't fit in what is left of TRAIN_BYTES is passed over, and those after it are still looked at.
+
     Rows whose crc32(doc_id as text) mod 3 is 1 are held out; so are null ids and labels that aren't 0 or 1.
     Labels of one id that contradict each other: the largest counts. Of the texts of one id the largest counts.
     """
@@ -149,7 +151,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") ->
     )
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     size = rows.groupBy("doc_id", "nth", "y").agg(F.max(F.octet_length("text")).alias("size")).toPandas().sort_values(["nth", "doc_id"])
-    size = size[size["size"].cumsum() <= TRAIN_BYTES]
+    room, fits = TRAIN_BYTES, []
+    for n in size["size"].tolist():
+        fits.append(n <= room)
+        room -= n if fits[-1] else 0
+    size = size[fits]
     some = docs.sparkSession.createDataFrame(size[["doc_id", "y"]].astype("int64").values.tolist(), "doc_id long, y int")
     got = rows.drop("y").join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.max("text").alias("text")).toPandas()
     texts = sorted(zip(got["y"].tolist(), (t.encode("utf-8", "surrogatepass") for t in got["text"]), strict=True))

@@ -329,6 +329,16 @@ def test_training_takes_whole_rows(spark, monkeypatch):
     assert 0 < len(some) < len(got) and sum(len(c) for c, _ in some) * quality.CHUNK < 40_000
 
 
+def test_a_long_labelled_text_costs_only_its_own_row(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 20_000)
+    short = [(i, f"text {i} " * 5) for i in range(300)]
+    for at in range(0, 300, 37):  # wherever the long one stands in the order
+        docs = [(i, "long " * 6000 if i == at else t) for i, t in short]
+        d, marks = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int")
+        rows = quality.training_rows(d, marks)
+        assert len(rows) >= 180 and all(len(c) == 1 for c, _ in rows)
+
+
 def test_quality_edge_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     net = quality.quality_net(empty(spark), none)
@@ -574,6 +584,17 @@ def test_leaks(spark, doc, hit, changed):
         assert (got[0]["n_changed"] > 0) == changed
 
 
+def test_short_items_and_hot_windows(spark):
+    """Items of one to four tokens are held by documents of just those; a window that everything has brings no pair by itself."""
+    numbers, tail = " ".join(str(i) for i in range(40)), " and these are the other words of the item that no text has"
+    bench = spark.createDataFrame([(1, "What is 7 + 5?"), (2, "Yes."), (3, numbers[:30] + tail), (4, "7 8 9"), (5, "?!")], "item_id long, text string")
+    docs = [(1, "what is 7 + 5"), (2, "What is 90 + 12 !"), (3, "What is 7 + 5 today"), (4, "yes"), (5, "Yes no"), (6, "1 2 1"), (7, ""), (8, None), (9, "??"), (10, "Yes"), (11, "No"), (12, "7, 8 & 9")]
+    docs += [(20 + i, numbers + " ") for i in range(30)]
+    got = {(r["doc_id"], r["item_id"], r["n_windows"], r["n_matched"], r["n_slots"], r["n_changed"]) for r in decontamination.find_leaks(frame(spark, docs), bench).collect()}
+    # "What" is a name as a template. Items 2 and 4 are placeholders alone and are found to the letter.
+    assert got == {(2, 1, 1, 1, 3, 2), (10, 2, 1, 1, 1, 0), (12, 4, 1, 1, 3, 0)}
+
+
 def test_leaks_edge_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_leaks(frame(spark, corpus()), none).count() == 0
