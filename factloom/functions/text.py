@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 # Fixed values.
 FORMAT_EXTENSIONS = "pdf md txt ocr tsv eml docx doc pptx json vtt srt html htm rtf csv".split()
 FORMAT_FOLDERS = "pdf_original ocr_output markdown md text txt tsv ocr images img original".split()
-NEGATION = r"\b(not|no|never|none|refus\w*|den(y|ies|ied)|declin\w*|without|lack\w*|fail(s|ed)?)\b"
+#: Words that negate, and stems that do with any ending.
+NEGATIONS = "not no never none without deny denies denied fail fails failed".split()
+NEGATION_STEMS = "refus declin lack".split()
 STOPWORDS = (
     "the a an of to in on and or for by with is was are were be been that this it as at from his her their any no not"
 ).split()
@@ -68,7 +70,8 @@ def doc_stem(path: Column) -> Column:
 
 def is_negation(predicate: Column) -> Column:
     """E5: the negation stands in the predicate."""
-    return norm(predicate).rlike(NEGATION)
+    stem = lambda w: F.array_contains(F.array(*(w.startswith(x) for x in NEGATION_STEMS)), True)
+    return F.exists(F.split(norm(predicate), r"[^\p{L}\p{N}_]+"), lambda w: w.isin(NEGATIONS) | stem(w))
 
 
 def layer_of(path: Column) -> Column:

@@ -168,14 +168,19 @@ def _count(narrow: DataFrame) -> DataFrame:
     cells = rows.select("s", "p", "o", "pol", "who", "x.*").groupBy(*by, "who", "o").agg(F.count_if("pol").alias("t"), F.count_if(~F.col("pol")).alias("f"))
 
     def pairs(cells: DataFrame, *more: str) -> DataFrame:
-        t, f = F.sum("t"), F.sum("f")
+        # Squares of counts pass 64 bits beyond three billion claims; the numbers of pairs that come out are long again.
+        cells = cells.withColumns({c: F.col(c).cast("decimal(18,0)") for c in ("t", "f")})
+        big = lambda x: x.cast("decimal(38,0)")
+        t, f = (F.sum(c).cast("decimal(18,0)") for c in ("t", "f"))
+        square = lambda c: big(F.sum(F.col(c)).cast("decimal(18,0)") * F.sum(F.col(c)).cast("decimal(18,0)")) - big(F.sum(F.col(c) * F.col(c)))
         groups = cells.groupBy(*by, *more).agg(
-            (t * f).alias("opposite"),
-            F.sum(F.col("t") * F.col("f")).alias("same_object"),
-            F.expr("(sum(t) * sum(t) - sum(t * t) + sum(f) * sum(f) - sum(f * f)) div 2").alias("other"),
+            big(t * f).alias("opposite"),
+            big(F.sum(F.col("t") * F.col("f"))).alias("same_object"),
+            F.call_function("div", square("t") + square("f"), F.lit(2)).alias("other"),
         )
         kinds = F.when(T.is_negation(F.col("p")), F.col("same_object")).otherwise(F.col("opposite"))
-        return groups.groupBy("s", "p").agg(F.sum(F.col("sign") * kinds).alias("opposite"), F.sum(F.col("sign") * F.col("other")).alias("other"))
+        signed = lambda x: F.sum(F.when(F.col("sign") > 0, x).otherwise(-x)).cast("long")
+        return groups.groupBy("s", "p").agg(signed(kinds).alias("opposite"), signed(F.col("other")).alias("other"))
 
     every = pairs(cells.groupBy(*by, "o").agg(F.sum("t").alias("t"), F.sum("f").alias("f")))
     within = pairs(cells.where("who is not null"), "who").select("s", "p", F.col("opposite").alias("own_opposite"), F.col("other").alias("own_other"))

@@ -123,6 +123,20 @@ def catchup_report(classified: DataFrame, batch: int = 50) -> DataFrame:
     )
 
 
+#: Results of an attempted entry that leave it to the dead letters.
+DEAD = ("error", "sink-failed", "extract-failed", "missing-file")
+
+
+def catchup_pass(classified: DataFrame, known: DataFrame, results: DataFrame, batch: int = 50) -> DataFrame:
+    """The counters of one bounded pass: those of catchup_report, and `new` entries (their hash isn't in known.sha256), `skipped`
+    ones (indexed before), `ingested` and `dead_lettered` ones by results(sha256, status), and `degraded`, whether a backlog is left.
+    """
+    report = catchup_report(classified, batch)
+    new = classified.select(F.lower("sha256").alias("sha256")).join(known.select(F.lower("sha256").alias("sha256")).distinct(), "sha256", "left_anti").agg(F.count("*").alias("new"))
+    done = results.agg(F.count(F.when(F.col("status") == "indexed", 1)).alias("ingested"), F.count(F.when(F.col("status").isin(*DEAD), 1)).alias("dead_lettered"))
+    return report.crossJoin(new).crossJoin(done).withColumns({"skipped": F.col("indexed"), "degraded": F.col("remaining") > 0})  # one row each
+
+
 def pending_batch(classified: DataFrame, batch: int = 50) -> DataFrame:
     """the next entries to ingest, by hash, at most `batch` (the batch is the feature)."""
     return classified.where(F.col("skip_reason").isNull() & ~F.col("indexed") & F.col("present")).orderBy("sha256", "raw_path").limit(batch)

@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.sources.shared import checkpoint
+
 #: Public defaults of BM25.
 K1, B = 1.2, 0.75
 #: Query terms of a batch that are looked up inside rows; more are joined on.
@@ -41,12 +43,14 @@ def search(docs: DataFrame, queries: DataFrame, fields: dict[str, float], k: int
     few = wanted.count() <= FEW_TERMS
     own = [F.struct(F.lit(f).alias("field"), F.lit(float(w)).alias("weight"), terms(F.col(f)).alias("t")) for f, w in fields.items()]
     each = docs.select(key, F.explode(F.array(*own)).alias("f")).select(key, "f.field", "f.weight", "f.t")
-    stats = each.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg(F.size("t")).alias("avgdl"))
     if few:  # the filter runs inside each row
         want = F.broadcast(wanted.agg(F.collect_set("term").alias("want")))
-        own = each.crossJoin(want).withColumn("t2", F.filter("t", lambda x: F.array_contains(F.col("want"), x)))  # one row
-        rows = own.select(key, "field", "weight", F.size("t").alias("dl"), F.explode("t2").alias("term"))
+        own = each.crossJoin(want).select(key, "field", "weight", F.size("t").alias("dl"), F.filter("t", lambda x: F.array_contains(F.col("want"), x)).alias("t"))  # one row
+        own = checkpoint(own)  # lengths and found terms, so that the texts are read once for both
+        stats = own.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
+        rows = own.select(key, "field", "weight", "dl", F.explode("t").alias("term"))
     else:
+        stats = each.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg(F.size("t")).alias("avgdl"))
         rows = each.select(key, "field", "weight", F.size("t").alias("dl"), F.explode("t").alias("term")).join(wanted, "term", "left_semi")
     hits = (
         rows.groupBy(key, "field", "weight", "dl", "term")
@@ -63,7 +67,9 @@ def search(docs: DataFrame, queries: DataFrame, fields: dict[str, float], k: int
         scores = scores.unionByName(values.join(queries.select("query_id", "text"), "text").select("query_id", key, F.lit(float(w)).alias("score")))
     scores = scores.groupBy("query_id", key).agg(F.max("score").alias("score"))
     empty = queries.where(F.size(terms(F.col("text"))) == 0).select("query_id")
-    scores = scores.unionByName(empty.crossJoin(docs.select(key)).select("query_id", key, F.lit(0.0).alias("score")))  # queries without text list all
+    if not empty.isEmpty():  # queries without text list all, of which k are asked for
+        every = docs.select(key) if k is None else docs.select(key).orderBy(key).limit(k)
+        scores = scores.unionByName(empty.crossJoin(every).select("query_id", key, F.lit(0.0).alias("score")))
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), key))
     out = scores.withColumn("rank", nth)
     return out if k is None else out.where(F.col("rank") <= k)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from factloom.functions import text as T
 from factloom.operators import claims as C
 from factloom.operators import completeness as M
+from factloom.operators import containment as W
 from factloom.operators import enrich as N
 from factloom.operators import events as E
 from factloom.operators import grounding as G
@@ -19,10 +20,14 @@ from factloom.operators import guards as K
 from factloom.operators import layers as L
 from factloom.operators import seam as S
 from factloom.operators import search as R
+from factloom.operators import text_index as X
 from factloom.plans import views as V
+from factloom.sources import rawtree as B
 from factloom.sources import tables as A
 from factloom.sources.shared import shared_folder
+from factloom.sources.store import Store
 from factloom.streaming import jobs as J
+from factloom.streaming import projection as P
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,6 +69,16 @@ def contradictions_within_speaker(spark, sf):
     return p.select("subject", "predicate", "left_doc", "left_idx", "right_doc", "right_idx", "kind")
 
 
+_CAPPED = V.CLAIMS + ", first AS (SELECT doc_id FROM claims GROUP BY 1 ORDER BY 1 LIMIT 2000), few AS (SELECT claims.* FROM claims JOIN first USING (doc_id) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY claim_idx)<=3)"
+
+
+@query(V.PAIRS.replace(V.CLAIMS, _CAPPED).replace("FROM claims l JOIN claims r", "FROM few l JOIN few r") + " SELECT left_doc, left_idx, right_doc, right_idx, CASE WHEN NOT same THEN 'contested' WHEN kind='opposite_polarity' THEN 'CONTRADICTION' ELSE 'LEAD' END AS tier FROM pairs")
+def capped_contradictions(spark, sf):
+    """The caps of retrieval are the feature: the first 2000 documents, three claims of each."""
+    p = C.contradictions(V.claims(spark, sf), V.aliases(spark, sf), max_docs=2000, max_claims_per_doc=3)
+    return p.select("left_doc", "left_idx", "right_doc", "right_idx", "tier")
+
+
 @query(f"WITH {V.CLAIMS} SELECT who AS canonical_speaker, count(*) AS claims, count(DISTINCT asserted_by) AS labels FROM claims GROUP BY 1")
 def speaker_canonicalisation(spark, sf):
     q = C.canonical_speaker(V.claims(spark, sf), V.aliases(spark, sf))
@@ -130,6 +145,18 @@ def embedding_scorer(spark, sf):
     return p.where(S.cosine(F.col("q.embedding"), F.col("a.embedding")) >= 0.3).select(F.col("q.vec_id").alias("left_id"), F.col("a.vec_id").alias("right_id"))
 
 
+@query("WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] v FROM embeddings) SELECT l.vec_id AS left_id, r.vec_id AS right_id FROM e l JOIN e r ON l.label=r.label AND l.vec_id<r.vec_id AND l.vec_id%3<>r.vec_id%3 WHERE list_cosine_similarity(l.v,r.v)>=0.35")
+def near_claims(spark, sf):
+    """All pairs of a caller's scorer whose cells say which claims can be alike; labels as speakers."""
+    e = V.table(spark, sf, "embeddings")
+    n = F.size("embedding")
+    width = e.agg(F.max(n)).first()[0] or 1
+    pivots = [[1.0 if i % 2 == k else 0.25 for i in range(width)] for k in (0, 1)]
+    claims = e.select(F.col("vec_id").alias("claim_id"), (F.col("vec_id") % 3).alias("audience"), F.col("label").alias("canonical_speaker"), F.lit("").alias("subject"), F.lit("").alias("object"), "embedding")
+    p = S.candidate_pairs(claims, 0.35, None, lambda a, b: S.cosine(a["embedding"], b["embedding"]), ("embedding",), S.angle_cells(pivots, 0.35, "embedding"))
+    return p.select("left_id", "right_id")
+
+
 # --- scalar functions over every path and text
 
 
@@ -287,6 +314,23 @@ def catchup_report(spark, sf):
     return M.catchup_report(_classified(spark, sf).where("in_manifest").withColumn("indexed", F.col("in_index")))
 
 
+_PASS = (
+    DR + ", m AS (SELECT *, skip_reason IS NULL AND NOT in_index AND present AS open FROM classified WHERE in_manifest), b AS (SELECT pk FROM m WHERE open ORDER BY sha256, raw_path LIMIT 50)"
+    " SELECT count(*) AS scanned, count(*) FILTER (in_index) AS indexed, count(*) FILTER (open) AS pending, greatest(count(*) FILTER (open)-50,0) AS remaining, count(*) FILTER (skip_reason='no_index') AS no_index_skipped,"
+    " count(*) FILTER (skip_reason='deliberately_excluded') AS deliberately_excluded, count(*) FILTER (skip_reason IS NULL AND NOT in_index AND NOT present) AS missing_source,"
+    " count(*) FILTER (sha256 NOT IN (SELECT sha256 FROM docs WHERE in_manifest AND pk%5<>0)) AS new, count(*) FILTER (in_index) AS skipped,"
+    " (SELECT count(*) FROM b WHERE pk%4<>1) AS ingested, (SELECT count(*) FROM b WHERE pk%4=1) AS dead_lettered, count(*) FILTER (open)>50 AS degraded FROM m"
+)
+
+
+@query(_PASS)
+def catchup_pass(spark, sf):
+    """All counters of a pass; every fourth document of the batch fails, every fifth entry is new."""
+    c = _classified(spark, sf).where("in_manifest").withColumn("indexed", F.col("in_index"))
+    done = M.pending_batch(c).select("sha256", F.when(F.col("pk") % 4 == 1, "extract-failed").otherwise("indexed").alias("status"))
+    return M.catchup_pass(c, c.where("pk % 5 <> 0"), done)
+
+
 @query(DR + " SELECT pk FROM (SELECT pk, sha256, raw_path FROM classified WHERE skip_reason IS NULL AND NOT in_index AND present ORDER BY sha256, raw_path LIMIT 50)")
 def pending_batch(spark, sf):
     """the batch is the feature."""
@@ -615,6 +659,18 @@ def bm25_search(spark, sf):
     return q.select("query_id", "doc_id", F.round("score", 6).alias("score"))
 
 
+_ASKED = "(1,'the'),(1,'thereble'),(2,'de'),(2,'la'),(2,'elle'),(3,'license'),(4,'question'),(4,'number'),(4,'of'),(4,'the')"
+
+
+@query(f"WITH {_BM} SELECT query_id, doc_id, round(s,6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, doc_id) r FROM sc) WHERE r<=10".replace("(1,'the'),(1,'thereble'),(2,'de'),(2,'la'),(2,'elle')", _ASKED))
+def stored_search(spark, sf):
+    """The documents' index is written, and four queries read their terms' folders of it, ten best each (a top-k)."""
+    path = _new(spark, "index")
+    X.write_index(V.table(spark, sf, "documents"), path, ["text"])
+    queries = spark.createDataFrame([(1, "the thereble"), (2, "de la elle"), (3, "license"), (4, "number of the question")], "query_id int, text string")
+    return X.search_index(spark, path, queries, {"text": 1.0}).select("query_id", "doc_id", F.round("score", 6).alias("score"))
+
+
 @query("WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text),'[\\p{L}\\p{N}]+')) term FROM documents) SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df FROM t GROUP BY 1")
 def inverted_index(spark, sf):
     """Term and document frequencies of the whole index."""
@@ -677,7 +733,7 @@ def quote_verdicts(spark, sf):
     """C9, C10, C12, F10, G20-G22, J1"""
     files, primary = _grounding(spark, sf)
     spans = G.scan(files)
-    v = G.verdicts(G.near_citations(G.quotes(spans), G.references(spans)), G.held_texts(primary))
+    v = G.verdicts(G.near_citations(G.quotes(spans), G.references(spans)), G.hold(primary, _new(spark, "held")))
     return v.select("file", "verdict")
 
 
@@ -685,7 +741,17 @@ def quote_verdicts(spark, sf):
 def grounding_counts(spark, sf):
     """D12, F9, G18, G19, G23, C11"""
     files, primary = _grounding(spark, sf)
-    return G.finding_counts(G.findings(files, primary))
+    return G.finding_counts(G.findings(files, primary, held=G.hold(primary, _new(spark, "held"))))
+
+
+@query("WITH q AS (SELECT item_id, trim(regexp_replace(text,'[ \\t\\n\\r]+',' ','g')) AS quote FROM benchmark), d AS (SELECT trim(regexp_replace(text,'[ \\t\\n\\r]+',' ','g')) AS t FROM documents) SELECT item_id FROM q WHERE EXISTS (SELECT 1 FROM d WHERE contains(d.t, substr(q.quote, 3, greatest(length(q.quote)-4,1))))")
+def contained_passages(spark, sf):
+    """Items, without their first and last letters, in any text of one authority that has all documents."""
+    b = V.table(spark, sf, "benchmark").select("item_id", T.quote_norm(F.col("text")).alias("q"))
+    cut = b.select("item_id", F.expr("substr(q, 3, greatest(length(q) - 4, 1))").alias("quote"))
+    texts = V.table(spark, sf, "documents").select(F.lit("all").alias("key"), F.col("doc_id").alias("path"), T.quote_norm(F.col("text")).alias("text"))
+    found = W.contained(cut.select(F.lit("all").alias("key"), "quote"), texts)
+    return cut.join(found, "quote").select("item_id")
 
 
 @query("SELECT 'stat:human rights act 1998 s7' AS key, count(*) AS files FROM benchmark UNION ALL SELECT 'ncit:2001 ewhc ' || (item_id%20) || ' admin', count(*) FROM benchmark WHERE item_id%20>=15 GROUP BY item_id%20")
@@ -825,9 +891,53 @@ def upserted(spark, sf):
 
 @query(D + " SELECT CASE WHEN no_index THEN 'no_index' ELSE 'written' END AS outcome, count(*) AS n FROM docs GROUP BY 1")
 def extracted_outcomes(spark, sf):
-    """A9, A11"""
-    d = V.docs(spark, sf).withColumnRenamed("pk", "doc_id")
-    return K.extracted_rows(d).groupBy(F.coalesce("refused", F.lit("written")).alias("outcome")).agg(F.count("*").alias("n"))
+    """The store of extracted texts is written; what became of each document."""
+    return A.write_extracted(V.docs(spark, sf).withColumnRenamed("pk", "doc_id"), _new(spark, "extracted"))
+
+
+@query(D + " SELECT tree, raw_path || '.md' AS target, sha256('---' || chr(10) || 'raw_path: {\"raw_path\":\"' || raw_path || '\"}' || chr(10) || '---' || chr(10) || content) AS digest FROM docs WHERE NOT no_index")
+def extracted_store(spark, sf):
+    """The texts that were written, read back by tree."""
+    path = _new(spark, "extracted")
+    A.write_extracted(V.docs(spark, sf).withColumnRenamed("pk", "doc_id"), path)
+    return spark.read.parquet(path).select("tree", "target", F.sha2("text", 256).alias("digest"))
+
+
+def _docs_store(spark, sf, buckets=64):
+    """A store of all documents' paths, as they were ingested first."""
+    d = V.docs(spark, sf).select("pk", "raw_path", "author", F.lit(1).alias("ingested_at"))
+    store = Store.create(d.limit(0), _new(spark, "store"), "pk", "ingested_at", buckets)
+    store.upsert(d)
+    return store
+
+
+@query(D + " SELECT pk, CASE WHEN pk%100=7 THEN 'new' ELSE author END AS author, CASE WHEN pk%100=7 THEN 2 ELSE 1 END AS ingested_at FROM docs")
+def stored_upserts(spark, sf):
+    """A stored table; every hundredth document comes again, newer, then again as it is, then older."""
+    store = _docs_store(spark, sf)
+    new = V.docs(spark, sf).where("pk % 100 = 7").select("pk", "raw_path", F.lit("new").alias("author"), F.lit(2).alias("ingested_at"))
+    for rows in (new, new, new.withColumns({"ingested_at": F.lit(0), "author": F.lit("old")})):
+        store.upsert(rows)
+    return store.read().select("pk", "author", "ingested_at")
+
+
+@query(D + " SELECT 'stored' AS part, split_part(raw_path,'/',1) || '/' || source AS name, count(*) AS n FROM docs WHERE NOT (starts_with(raw_path,'telegram/') OR starts_with(raw_path,'exhibits/src0')) GROUP BY 2 UNION ALL SELECT * FROM (VALUES ('registry','telegram/',1),('registry','exhibits/src0',1)) v(part,name,n)")
+def stored_deindexing(spark, sf):
+    """K2: a dry run, the run, and a second run on the store; what is left, and the prefixes that were recorded."""
+    store, registry = _docs_store(spark, sf), _new(spark, "registry")
+    for dry in (True, False, False):
+        store.deindex(["telegram/", "exhibits/src0"], "undertaking", registry, dry_run=dry)
+    at = F.split("raw_path", "/")
+    left = store.read().groupBy(F.lit("stored").alias("part"), F.concat_ws("/", F.get(at, F.lit(0)), F.get(at, F.lit(1))).alias("name")).agg(F.count("*").alias("n"))
+    return left.unionByName(A.read_exclusions(spark, registry).groupBy(F.lit("registry").alias("part"), F.col("raw_path").alias("name")).agg(F.count("*").alias("n")))
+
+
+@query(D + " SELECT pk FROM docs WHERE present")
+def stored_tombstones(spark, sf):
+    """K3 on the store."""
+    store = _docs_store(spark, sf)
+    store.tombstone(V.docs(spark, sf).where("present"))
+    return store.read().select("pk")
 
 
 @query(D + " SELECT pk AS idx, raw_path, CASE WHEN pk%2=0 THEN 'deindex' ELSE 'manual' END AS source, CASE WHEN pk%3=0 THEN sha256 END AS raw_sha256 FROM docs WHERE pk%10>=3")
@@ -870,13 +980,23 @@ def deduplicated_triggers(spark, sf):
     return J.dedup_batch(t, "event_id").select("event_id")
 
 
-@query("WITH a AS (SELECT user_id, event_id%7 AS attempt, event_type FROM events), l AS (SELECT user_id, max(attempt) m FROM a GROUP BY 1), r AS (SELECT a.user_id, l.m, bool_and(event_type IN ('view','click')) done FROM a JOIN l ON l.user_id=a.user_id AND l.m=a.attempt GROUP BY 1,2) SELECT user_id::VARCHAR AS sha, m::INT AS attempt, CASE WHEN done THEN 'ack' WHEN m>=5 THEN 'dead_letter' ELSE 'retry' END AS action FROM r WHERE m>0")
+@query("WITH a AS (SELECT user_id, event_id%7 AS attempt, event_type FROM events), l AS (SELECT user_id, max(attempt) m FROM a GROUP BY 1), r AS (SELECT a.user_id, l.m, bool_and(event_type IN ('view','click')) done FROM a JOIN l ON l.user_id=a.user_id AND l.m=a.attempt GROUP BY 1,2), x AS (SELECT user_id::VARCHAR AS sha, m::INT AS attempt, CASE WHEN done THEN 'ack' WHEN m>=5 THEN 'dead_letter' ELSE 'retry' END AS action FROM r) SELECT *, CASE WHEN action='retry' THEN [30,60,120,300][greatest(least(attempt,4),1)] END::INT AS retry_after FROM x")
 def delivery_actions(spark, sf):
-    """L4, batch twin: users as commits, event types as file results."""
+    """L4, batch twin: users as commits, event types as file results; attempt 0 waits as the first."""
     s = F.when(F.col("event_type").isin("view", "click"), "indexed").otherwise("failed")
     e = V.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("sha"), (F.col("event_id") % 7).cast("int").alias("attempt"), s.alias("s"))
     a = e.groupBy("sha", "attempt").agg(F.collect_list("s").alias("statuses"))
-    return J.delivery_state(a).where("attempt > 0").select("sha", "attempt", "action")
+    return J.delivery_state(a).select("sha", "attempt", "action", "retry_after")
+
+
+@query("SELECT user_id AS commit, event_id AS path, CASE WHEN event_id%5<3 THEN 'indexed' ELSE 'missing' END AS result FROM events")
+def awaited_outcomes(spark, sf):
+    """Each event is a changed file; of five, three have an outcome in time, one too late, one never. The tests run it as streams."""
+    e, i = V.events(spark, sf), F.col("event_id")
+    commits = e.select(F.col("user_id").alias("commit"), i.alias("path"), "ts")
+    late = F.when(i % 5 < 3, F.expr("interval 30 minutes")).otherwise(F.expr("interval 2 hours"))
+    outcomes = e.where("event_id % 5 < 4").select(F.col("user_id").alias("commit"), i.alias("path"), F.lit("indexed").alias("result"), (F.col("ts") + late).alias("done_at"))
+    return J.awaited_results(commits, outcomes).select("commit", "path", "result")
 
 
 def _new(spark, name):
@@ -884,22 +1004,40 @@ def _new(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query(D + ", f AS (SELECT split_part(raw_path,'/',1) AS a, source, string_agg(sha256 || chr(10), '' ORDER BY pk) AS t FROM docs GROUP BY 1,2) SELECT a AS tree, source, length(t)::BIGINT AS size, sha256(t) AS sha256 FROM f")
-def raw_tree(spark, sf):
-    """A1: a tree with a file for each folder of the documents, written and walked."""
+_TREE = D + ", f AS (SELECT split_part(raw_path,'/',1) AS tree, source, pk//6400 AS part, string_agg(content || chr(10), '' ORDER BY pk) AS t FROM docs GROUP BY 1,2,3) SELECT tree, source, part, octet_length(encode(t))::BIGINT AS size, sha256(t) AS sha256 FROM f"
+
+
+def _written_tree(spark, sf):
+    """A tree of files, each with the texts of at most 1,280 documents of one folder."""
     path = _new(spark, "raw")
-    d = V.docs(spark, sf).select(F.get(F.split("raw_path", "/"), F.lit(0)).alias("tree"), "source", "pk", "sha256")
-    one = d.groupBy("tree", "source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pk", "sha256"))), lambda x: x["sha256"]), "\n").alias("value"))
-    one.write.partitionBy("tree", "source").text(path)
-    t = A.read_raw_tree(spark, path)
-    return t.select(F.regexp_extract("tree", "tree=(.*)", 1).alias("tree"), F.regexp_extract("raw_path", "/source=([^/]*)/", 1).alias("source"), "size", "sha256")
+    d = V.docs(spark, sf).select(F.get(F.split("raw_path", "/"), F.lit(0)).alias("tree"), "source", F.floor(F.col("pk") / 6400).alias("part"), "pk", "content")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("pk", "content"))), lambda x: x["content"])
+    d.groupBy("tree", "source", "part").agg(F.array_join(texts, "\n").alias("value")).write.partitionBy("tree", "source", "part").text(path)
+    return path
+
+
+def _named(t):
+    name = lambda k: F.regexp_extract("raw_path", f"(?:^|/){k}=([^/]*)/", 1)
+    return t.select(name("tree").alias("tree"), name("source").alias("source"), name("part").cast("long").alias("part"), "size", "sha256")
+
+
+@query(_TREE)
+def raw_tree(spark, sf):
+    """A1: files with the documents' texts, written and walked."""
+    return _named(A.read_raw_tree(spark, _written_tree(spark, sf)))
+
+
+@query(_TREE)
+def hashed_tree(spark, sf):
+    """A1: the same tree by the source that reads files of any size in chunks."""
+    return _named(B.hash_raw_tree(spark, _written_tree(spark, sf)))
 
 
 @query(D + " SELECT sha256, min(raw_path) AS raw_path, count(DISTINCT raw_path) AS paths FROM docs WHERE in_manifest GROUP BY 1")
 def manifest_round_trip(spark, sf):
-    """A2, A3: entries with upper-case hashes as JSON objects, one a file, read, written with one entry a hash, read back."""
+    """A2, A3: entries with upper-case hashes as JSON objects of at most 2,000, one a file, read, written with one entry a hash, read back."""
     d = V.docs(spark, sf).where("in_manifest")
-    files = d.groupBy((F.col("pk") % 64).alias("f")).agg(F.collect_list(F.struct(F.upper("sha256").alias("k"), "raw_path")).alias("e"))
+    files = d.groupBy(F.floor(F.col("pk") / 2000).alias("f")).agg(F.collect_list(F.struct(F.upper("sha256").alias("k"), "raw_path")).alias("e"))
     body = F.concat(F.lit("{"), F.array_join(F.transform("e", lambda e: F.concat(F.lit('"'), e["k"], F.lit('": '), F.to_json(F.struct(e["raw_path"].alias("raw_path"))))), ","), F.lit("}"))
     source, target = _new(spark, "manifest"), _new(spark, "manifest")
     files.repartition("f").select("f", body.alias("value")).write.partitionBy("f").option("maxRecordsPerFile", 1).text(source)
@@ -961,8 +1099,8 @@ def projected_events(spark, sf):
     e.repartition(4).write.parquet(source)
     for run in ("first", "again"):
         s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(source)
-        J.project_idempotently(s, store, "event_id", f"{store}-{run}", buckets=8).awaitTermination()
-    return spark.read.parquet(store).select("event_id", "stage", "status")
+        P.project_idempotently(s, store, "event_id", f"{store}-{run}").awaitTermination()
+    return P.read_projection(spark, store, e.schema)
 
 
 @query("SELECT event_id AS event_id, event_type='error' AS poison FROM events")

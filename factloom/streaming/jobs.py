@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-#: Seconds of backoff by attempt, and the last attempt.
-BACKOFF, MAX_ATTEMPTS = (30, 60, 120, 300), 5
-TERMINAL = ("indexed", "skipped-empty", "skipped-media", "skipped-indexed", "skipped-no-index")
+from factloom.streaming.delivery import BACKOFF, MAX_ATTEMPTS, TERMINAL
 
 
 def parse_triggers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -41,11 +38,13 @@ def changed_files(triggers: DataFrame, changes: DataFrame) -> DataFrame:
 
 def delivery_state(attempts: DataFrame) -> DataFrame:
     """L4, batch twin: attempts(sha, attempt, statuses array) -> (sha, attempt, action, retry_after): ack when
-    every file of the last attempt is terminal, else retry by backoff, dead letter from the fifth on."""
+    every file of the last attempt is terminal, else retry by backoff, dead letter from the fifth on. A delivery
+    without an attempt so far (0) is retried as after the first."""
     last = attempts.groupBy("sha").agg(F.max(F.struct("attempt", "statuses")).alias("a"))
     done = F.forall("a.statuses", lambda s: s.isin(*TERMINAL))
     dead = F.col("a.attempt") >= MAX_ATTEMPTS
-    wait = F.get(F.array(*map(F.lit, BACKOFF)), F.least(F.col("a.attempt"), F.lit(len(BACKOFF))) - 1)
+    # No attempt yet (0) waits as long as the first.
+    wait = F.get(F.array(*map(F.lit, BACKOFF)), F.greatest(F.least(F.col("a.attempt"), F.lit(len(BACKOFF))) - 1, F.lit(0)))
     return last.select(
         "sha",
         F.col("a.attempt").alias("attempt"),
@@ -54,67 +53,15 @@ def delivery_state(attempts: DataFrame) -> DataFrame:
     )
 
 
-def delivery_stream(outcomes: DataFrame, timeout_ms: int = 3_600_000) -> DataFrame:
-    """L4: outcomes(sha, statuses) as they come -> the same decisions, the attempt kept as state per sha.
-
-    The state ends with an ack or a dead letter. Where outcomes has a ts, it also ends after the timeout, in event
-    time, without any outcome; so the job needs no batches without data, and ends when all is read.
-    """
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    timed = "ts" in outcomes.columns
-    if timed:
-        outcomes = outcomes.withWatermark("ts", "10 minutes")
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        attempt = state.get[0] if state.exists else 0
-        rows, over, latest = [], False, 0
-        for b in batches:
-            if timed:
-                latest = max(latest, int(b["ts"].max().timestamp() * 1000))
-            for statuses in b["statuses"]:
-                attempt += 1
-                done = all(s in TERMINAL for s in statuses)
-                dead = not done and attempt >= MAX_ATTEMPTS
-                wait = None if done or dead else BACKOFF[min(attempt, len(BACKOFF)) - 1]
-                rows.append((key[0], attempt, "ack" if done else "dead_letter" if dead else "retry", wait))
-                over = done or dead
-        if over:
-            state.remove()
-        else:
-            state.update((attempt,))
-            if timed:
-                state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + timeout_ms)
-        out = pd.DataFrame(rows, columns=["sha", "attempt", "action", "retry_after"])
-        yield out.astype({"attempt": "int32", "retry_after": "Int32"})
-
-    return outcomes.groupBy("sha").applyInPandasWithState(
-        step, "sha string, attempt int, action string, retry_after int", "attempt int", "append", GroupStateTimeout.EventTimeTimeout if timed else GroupStateTimeout.NoTimeout
-    )
-
-
-def project_idempotently(stream: DataFrame, path: str, key: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
-    """Each batch's new keys are appended once; a batch that comes again adds nothing. Runs all that
-    is available, then ends; bound a pass by the source's maxFilesPerTrigger.
-
-    The store is partitioned by a hash of the key, and a batch is only compared with the partitions that its
-    keys fall in, of which only the keys are read.
+def awaited_results(commits: DataFrame, outcomes: DataFrame, within: str = "1 hour", lateness: str = "10 minutes") -> DataFrame:
+    """commits(commit, path, ts) with outcomes(commit, path, result, done_at) that came within the bound; `missing` where
+    none did. As streams, a row without outcome comes out once both have moved past the bound; state ends with it.
     """
-    schema = StructType([*stream.schema.fields, StructField("bucket", IntegerType())])
-
-    def put(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).persist()
-        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # buckets of them at most
-        rows.limit(0).write.mode("append").partitionBy("bucket").parquet(path)  # there is a store to compare with
-        have = spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(touched)).select(key)
-        rows.join(have, key, "left_anti").write.mode("append").partitionBy("bucket").parquet(path)
-        rows.unpersist()
-
-    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    c = commits.withWatermark("ts", lateness).alias("c")
+    o = outcomes.withWatermark("done_at", lateness).alias("o")
+    same = (F.col("c.commit") == F.col("o.commit")) & (F.col("c.path") == F.col("o.path"))
+    soon = (F.col("o.done_at") >= F.col("c.ts")) & (F.col("o.done_at") <= F.col("c.ts") + F.expr(f"interval {within}"))
+    return c.join(o, same & soon, "left").select("c.commit", "c.path", "c.ts", F.coalesce("o.result", F.lit("missing")).alias("result"), "o.done_at")
 
 
 def live_counts(events: DataFrame, window: str = "1 hour", slide: str | None = None, watermark: str = "24 hours") -> DataFrame:
@@ -147,18 +94,33 @@ def dedup_batch(triggers: DataFrame, key: str, seconds: int = 120) -> DataFrame:
     """L1, batch twin: a trigger stays if none of its sha was kept within the `seconds` before it; one that is
     left out doesn't prolong the window. Ties of ts go by key, which is unique.
 
-    A pause of more than `seconds` always starts anew, so only the triggers between two pauses are gone through
-    one after another.
+    A pause of more than `seconds` always starts anew, so the runs between two pauses are dealt over tasks. Each task goes
+    through its sorted rows once and holds no run; the next trigger that stays is found by bisection in the batch at hand.
     """
     order = Window.partitionBy("sha").orderBy("ts", key)
     at = F.unix_timestamp("ts")
     pause = F.coalesce(at - F.lag(at).over(order) > seconds, F.lit(True)).cast("int")
-    runs = triggers.withColumn("_at", at).withColumn("_pause", pause).withColumn("_run", F.sum("_pause").over(order))
-    listed = runs.groupBy("sha", "_run").agg(F.array_sort(F.collect_list(F.struct("ts", F.col(key).alias("k"), F.col("_at").alias("at")))).alias("l"))
-    none = F.array().cast("array<struct<at:bigint,k:string>>")
-    step = lambda kept, x: F.when(
-        (F.size(kept) == 0) | (x["at"] - F.element_at(kept, -1)["at"] > seconds),
-        F.concat(kept, F.array(F.struct(x["at"].alias("at"), x["k"].cast("string").alias("k")))),
-    ).otherwise(kept)
-    kept = listed.select("sha", F.explode(F.aggregate("l", none, step)).alias("x")).select("sha", F.col("x.k").alias("_k"))
-    return triggers.join(kept, (triggers["sha"].eqNullSafe(kept["sha"])) & (triggers[key].cast("string") == kept["_k"]), "left_semi")
+    runs = triggers.select("sha", "ts", F.col(key).cast("string").alias("_k"), key, at.alias("_at"), pause.alias("_pause")).withColumn("_run", F.sum("_pause").over(order))
+    rows = runs.repartition("sha", "_run").sortWithinPartitions("sha", "_run", "ts", key).select("sha", "_run", "_at", "_k")
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, kept = None, None
+        for f in frames:
+            if f.empty:
+                continue
+            at, sha, run = (f[c].to_numpy() for c in ("_at", "sha", "_run"))
+            new = np.append(last != (sha[0], run[0]), (sha[1:] != sha[:-1]) | (run[1:] != run[:-1]))
+            edges, stay = np.unique([0, *np.flatnonzero(new), len(f)]), []
+            for a, z in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+                kept = None if new[a] else kept
+                while a < z:
+                    a += 0 if kept is None else int(np.searchsorted(at[a:z], kept + seconds, "right"))
+                    if a < z:
+                        stay.append(a)
+                        kept = at[a]
+                        a += 1
+            last = (sha[-1], run[-1])
+            yield f.iloc[stay][["sha", "_k"]]
+
+    kept = rows.mapInPandas(walk, "sha string, _k string").withColumnRenamed("sha", "_sha")
+    return triggers.join(kept, triggers["sha"].eqNullSafe(kept["_sha"]) & (triggers[key].cast("string") == kept["_k"]), "left_semi")
