@@ -588,7 +588,7 @@ def test_short_items_and_hot_windows(spark):
     """Items of one to four tokens are held by documents of just those; a window that everything has brings no pair by itself."""
     numbers, tail = " ".join(str(i) for i in range(40)), " and these are the other words of the item that no text has"
     bench = spark.createDataFrame([(1, "What is 7 + 5?"), (2, "Yes."), (3, numbers[:30] + tail), (4, "7 8 9"), (5, "?!")], "item_id long, text string")
-    docs = [(1, "what is 7 + 5"), (2, "What is 90 + 12 !"), (3, "What is 7 + 5 today"), (4, "yes"), (5, "Yes no"), (6, "1 2 1"), (7, ""), (8, None), (9, "??"), (10, "Yes"), (11, "No"), (12, "7, 8 & 9")]
+    docs = [(1, "what is 7 + 5"), (2, "What is 90 + 12 !"), (3, "What is 7 + 5 today"), (4, "yes"), (5, "Yes no"), (6, "1 2 1"), (7, ""), (8, None), (9, "??"), (10, "Yes"), (11, "No"), (12, "7 (8) & 9")]
     docs += [(20 + i, numbers + " ") for i in range(30)]
     got = {(r["doc_id"], r["item_id"], r["n_windows"], r["n_matched"], r["n_slots"], r["n_changed"]) for r in decontamination.find_leaks(frame(spark, docs), bench).collect()}
     # "What" is a name as a template. Items 2 and 4 are placeholders alone and are found to the letter.
