@@ -16,7 +16,6 @@ from .common import read
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|[^<]+|<""", re.S)
 _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-_CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none", re.I)
 
 #: Content that is never shown, or is no text: skipped to its end tag, whatever stands in it.
@@ -52,15 +51,38 @@ def _marked(attrs: str) -> bool:
     return bool(_HIDDEN.search(attrs))
 
 
-def _marked_inside(name: str, attrs: str) -> bool:
-    """_marked for an element of an article, whose own words say what the article is about: only a whole
-    class of a div, aside, section, paragraph or list item counts."""
-    if not attrs:
-        return False
-    m = _CLASS.search(attrs) if name in ("div", "aside", "section", "p", "li") else None
-    if m and any(w in MARKS for w in (m.group(1) or m.group(2) or m.group(3) or "").lower().split()):
-        return True
-    return bool(_HIDDEN.search(attrs))
+#: Of MARKS, words that an article's own parts may well have: they count only where links make up half of the text.
+WEAK = frozenset("masthead topbar header aside rail widget widgets form search skip contentinfo complementary".split())
+
+
+def _marks(attrs: str) -> set[str]:
+    """The words of class, id and role that mark surroundings."""
+    return {w.lower() for m in _NAMED.finditer(attrs) for w in _PART.findall(m.group(1) or m.group(2) or m.group(3) or "")} & MARKS
+
+
+class _Amounts:
+    """Characters of text, and of those in links, before each token."""
+
+    def __init__(self, tokens: list[tuple[str, str, str]]):
+        self.text, self.linked = [0], [0]
+        links = 0
+        for kind, name, _ in tokens:
+            n = len("".join(name.split())) if kind == "t" else 0
+            links += (kind == "s" and name == "a") - (kind == "e" and name == "a" and links > 0)
+            self.text.append(self.text[-1] + n)
+            self.linked.append(self.linked[-1] + (n if links else 0))
+
+    def surrounds(self, attrs: str, start: int, end: int, core: tuple[int, int]) -> bool:
+        """Is a container inside an article none of its parts? Hidden ones are; marked ones are unless they hold most of
+        the article's text; by a weak mark only those that are links for the most part."""
+        if not attrs:
+            return False
+        if _HIDDEN.search(attrs):
+            return True
+        words = _marks(attrs)
+        own, linked = self.text[end] - self.text[start], self.linked[end] - self.linked[start]
+        most = 2 * own > self.text[core[1]] - self.text[core[0]]
+        return bool(words) and not most and (bool(words - WEAK) or 2 * linked >= own)
 
 
 def _ends(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
@@ -134,6 +156,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
     free = links = core_end = 0
+    core, amounts = (0, 0), _Amounts(tokens)
 
     def close(inside: bool) -> None:
         nonlocal free
@@ -154,7 +177,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 free += len(t.strip())
         elif kind == "s":
             end = ends.get(i, i)
-            if name in AROUND or (end > i and name not in ("html", "body", "main") and (_marked_inside(name, attrs) if inside else _marked(attrs))):
+            if name in AROUND or (end > i and name not in ("html", "body", "main") and (amounts.surrounds(attrs, i, end, core) if inside else _marked(attrs))):
                 # A wrapper that holds the article is no surrounding container.
                 if name == "head" or (name == "header" and inside) or not _holds(cores, i, end):
                     keep_title = name == "header" and inside
@@ -166,6 +189,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                         continue
             if name in ("article", "main") and end > i:
                 close(inside)
+                core = core if inside else (i, end)
                 core_end = max(core_end, end)
             elif name in BLOCK:
                 close(inside)
@@ -183,18 +207,33 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _between_marks(lines: list[tuple[str, int]], window: int) -> list[str]:
+    """The lines that no window without text covers; all of them where none has text."""
+    weight = [free if 2 * free >= len(text) else 0 for text, free in lines]
+    if not any(weight):
+        return [text for text, _ in lines]
+    kept = [True] * len(lines)
+    empty = 0
+    for i, w in enumerate(weight):
+        empty = 0 if w else empty + 1
+        if empty >= window:
+            kept[i - window + 1 : i + 1] = [False] * window
+    return [text for (text, _), k in zip(lines, kept, strict=True) if k]
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """Blocks between surge and dive points, joined by one line end.
 
     The length of a line is its text outside links. A window sums `window` lines from its first one; a
     stretch starts where a window with text follows one without, dives where the sum is 0 again, and is
     kept when one of its windows surges. Pages whose largest window is below `surge` take that as limit.
-    Where the page marks an article, all of its lines are kept, and no others.
+    Where the page marks an article, its lines alone are looked at. The mark bounds them, so any window with text in
+    it surges, and only a window of lines that are all links dives.
     """
     lines = lines_of(page or "")
-    article = [text for text, _, inside in lines if inside and text]
+    article = [(text, free) for text, free, inside in lines if inside and text]
     if article:
-        return "\n".join(article)
+        return "\n".join(_between_marks(article, window))
     weight: list[int] = []
     texts: list[str] = []
     for text, free, _ in lines:

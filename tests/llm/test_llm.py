@@ -377,6 +377,43 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+BODY = "word " * 60
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div id="comments">x y</div>', '<ol class="commentlist"><li>x y</ol>', '<ul class="share-buttons"><li>x</ul>', '<table class="ads"><tr><td>x</table>', '<span class="ad">x</span>', '<div class="ad-box">x</div>',
+        '<div class="cookie-notice">x</div>', '<div class="related-links">x</div>', '<div class="widget"><a href=1>x y z</a></div>', "<div hidden>x</div>", "<ul><li><a>x</a><li><a>y</a><li><a>z</a></ul>", "<form>x</form>",
+    ],
+)
+def test_what_goes_from_an_article(part):
+    assert html_text.main_text(f"<article><p>{BODY}</p>{part}<p>end</p></article>") == f"{BODY.strip()}\nend"
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f'<article><section class="recommendations"><h2>Title</h2><p>{BODY}</p></section></article>', f"Title\n{BODY.strip()}"),
+        (f'<article><p>{BODY}</p><p class="search">How search works</p><div class="widget">A widget is</div></article>', f"{BODY.strip()}\nHow search works\nA widget is"),
+        (f"<article><p>{BODY}</p><p><a href=x>source</a></p></article>", f"{BODY.strip()}\nsource"),
+        ("<article><p><a>one</a><p><a>two</a><p><a>three</a></article>", "one\ntwo\nthree"),
+        (f'<main><div class="comments">{BODY}</div></main>', BODY.strip()),
+    ],
+)
+def test_what_stays_of_an_article(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_windows_between_the_marks_by_definition():
+    rng = random.Random(6)
+    for _ in range(500):
+        lines = [(f"l{i}", rng.choice([0, 0, 2])) for i in range(rng.randint(0, 12))]
+        gone = {j for i in range(len(lines) - 2) if not any(w for _, w in lines[i : i + 3]) for j in range(i, i + 3)}
+        want = [t for i, (t, _) in enumerate(lines) if i not in gone] if any(w for _, w in lines) else [t for t, _ in lines]
+        assert html_text._between_marks(lines, 3) == want
+
+
 def test_pages_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE), (2, None, None), (2, None, None)], "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = html_text.extract_main_text(df).collect()
