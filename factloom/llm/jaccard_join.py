@@ -34,6 +34,8 @@ BLOCK, BLOCK_SHINGLES, HUBS = 4_000, 2_000_000, 8
 #: Of every SHARE-th document (fewer, so that there are TELLING at most), shingles in TOLD or more are taken for
 #: so frequent that their rows are dealt over SALTS groups. There are few such shingles, whatever the corpus.
 SHARE, TELLING, TOLD, SALTS = 64, 200_000, 32, 64
+#: Rows that such a group should have at most; where a frequent shingle has more, it is dealt over more groups.
+SALT_ROWS = 1_000_000
 #: Shingles that a task's blocks hold together, about.
 TASK_SHINGLES = 4_000_000
 
@@ -193,7 +195,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         each = rows.mapInArrow(emit(choose), "token long, doc_id long")
         if tell.isEmpty():
             return each.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
-        each = each.join(bounded(tell), "token", "left").withColumn("salt", F.when(F.col("told").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0))
+        salts = F.greatest(F.lit(SALTS), F.ceil(F.col("told") * share / SALT_ROWS))
+        each = each.join(bounded(tell), "token", "left").withColumn("salt", F.when(F.col("told").isNotNull(), F.pmod(F.xxhash64("doc_id"), salts)).otherwise(0))
         there = F.count("*").over(Window.partitionBy("token", "salt"))
         return each.withColumn("df", F.coalesce(F.col("told") * share, there)).where("df > 1").select("token", "doc_id", "df")
 

@@ -31,6 +31,8 @@ SHARD_WORDS, ANCHOR_WORDS = 400_000, 3_000_000
 #: Of every SHARE-th document (fewer, so that there are TELLING at most), anchors of TOLD segments or more are
 #: taken for so frequent that their segments are dealt over SALTS groups.
 SHARE, TELLING, TOLD, SALTS = 64, 200_000, 32, 64
+#: Rows that such a group should have at most; where a frequent anchor has more, it is dealt over more groups.
+SALT_ROWS = 1_000_000
 
 
 def segments(texts: pa.Array, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
@@ -83,7 +85,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     dealt = not tell.isEmpty()
     segs = kept.mapInArrow(cut_up, form)
     if dealt:
-        salt = F.when(F.col("told").isNotNull(), 1 + F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(0)
+        salt = F.when(F.col("told").isNotNull(), 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(SALTS), F.ceil(F.col("told") * share / SALT_ROWS)))).otherwise(0)
         segs = segs.join(bounded(tell), "anchor", "left").withColumn("salt", salt.cast("int")).drop("told")
     else:
         segs = segs.withColumn("salt", F.lit(0))

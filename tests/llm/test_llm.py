@@ -226,6 +226,7 @@ def test_repeated_windows(spark, monkeypatch, limits):
     """Small shards, anchors by single windows, anchors dealt over salts."""
     for name, value in zip(("SHARD_WORDS", "ANCHOR_WORDS", "SHARE", "TOLD"), limits, strict=True):
         monkeypatch.setattr(substring_dedup, name, value)
+    monkeypatch.setattr(substring_dedup, "SALT_ROWS", 1)
     rows = [*corpus(), *[(3000 + i, text(random.Random(i), 20) + " " + corpus()[8][1] + " " + text(random.Random(i), i)) for i in range(12)]]
     got = substring_dedup.remove_repeats(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == brute_repeats(rows)
@@ -538,6 +539,7 @@ def test_jaccard_components(spark, monkeypatch, block, shingled, share, told):
     """Small blocks; shingles that are dealt over salts."""
     for name, value in (("BLOCK", block), ("BLOCK_SHINGLES", shingled), ("SHARE", share), ("TOLD", told), ("SALTS", 3)):
         monkeypatch.setattr(jaccard_join, name, value)
+    monkeypatch.setattr(jaccard_join, "SALT_ROWS", 1)
     rows = near_copies()
     got = jaccard_join.jaccard_components(frame(spark, rows)).collect()
     assert sorted(map(tuple, got)) == brute_jaccard(rows)
