@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import text as T
+from factloom.sources.shared import checkpoint
 
 #: Claims of a subject and predicate up to which pairs are made where only their number is asked for.
 PAIRED = 2_000
@@ -101,15 +102,15 @@ def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None =
     return _pairs(_open(_narrow(claims, aliases)), one_speaker)
 
 
+def _conflicting(narrow: DataFrame) -> DataFrame:
+    """(s, p, n): groups that can hold a conflict, and the number of their claims."""
+    ends = narrow.groupBy("s", "p").agg(F.min("pol").alias("a"), F.max("pol").alias("b"), F.min("o").alias("c"), F.max("o").alias("d"), F.count("*").alias("n"))
+    return ends.where("a <> b or c <> d").select("s", "p", "n")
+
+
 def _open(narrow: DataFrame) -> DataFrame:
     """The claims of groups (s, p) that can hold a conflict, with the claims of their group as n."""
-    open_ = (
-        narrow.groupBy("s", "p")
-        .agg(F.min("pol").alias("a"), F.max("pol").alias("b"), F.min("o").alias("c"), F.max("o").alias("d"), F.count("*").alias("n"))
-        .where("a <> b or c <> d")
-        .select("s", "p", "n")
-    )
-    return narrow.join(open_, ["s", "p"])
+    return narrow.join(_conflicting(narrow), ["s", "p"])
 
 
 def _pairs(side: DataFrame, one_speaker: bool = False) -> DataFrame:
@@ -143,11 +144,14 @@ def contradiction_counts(claims: DataFrame, aliases: DataFrame, most: int = PAIR
     """(subject, predicate, tier, kind, pairs): what contradictions() has of each, for pairs > 0.
 
     Only groups of at most `most` claims are paired. In larger ones the pairs are counted without being made, which
-    takes eight rows a claim; so the work grows with the claims, also where a subject has very many.
+    takes eight rows a claim; so the work grows with the claims, also where a subject has very many. Where no group is
+    larger, nothing is counted so. The groups are found once and written to the shared folder.
     """
-    side = _open(_narrow(claims, aliases))
-    few = _pairs(side.where(F.col("n") <= most)).groupBy("subject", "predicate", "tier", "kind").agg(F.count("*").alias("pairs"))
-    return few.unionByName(_count(side.where(F.col("n") > most)))
+    narrow = _narrow(claims, aliases)
+    groups = checkpoint(_conflicting(narrow))
+    few = _pairs(narrow.join(groups.where(F.col("n") <= most), ["s", "p"])).groupBy("subject", "predicate", "tier", "kind").agg(F.count("*").alias("pairs"))
+    large = groups.where(F.col("n") > most)
+    return few if large.isEmpty() else few.unionByName(_count(narrow.join(large, ["s", "p"])))
 
 
 def _count(narrow: DataFrame) -> DataFrame:

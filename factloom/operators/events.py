@@ -175,3 +175,21 @@ def file_results(changed: DataFrame, manifest: DataFrame, results: DataFrame) ->
     return changed.join(m, changed["path"] == m["raw_path"], "left").join(results.select("sha256", "result"), "sha256", "left").select(
         "commit", "path", "sha256", F.coalesce("result", F.lit("missing")).alias("result")
     )
+
+
+def message_id(stream: Column, sequence: Column, subject: Column, ts: Column, payload: Column) -> Column:
+    """The id of an archived message, the same at each delivery: of its stream and sequence number, or where it has no
+    number of its subject, time and payload. Parts are set apart by NUL, so that none runs into the next."""
+    nul = F.decode(F.unhex(F.lit("00")), "UTF-8")
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    own = F.concat(F.lit("seq"), nul, blank(stream), nul, sequence.cast("string"))
+    content = F.concat(F.lit("msg"), nul, blank(subject), nul, blank(F.unix_micros(ts)), nul, blank(payload))
+    return F.concat(F.lit("msg_"), F.sha2(F.coalesce(own, content), 256))
+
+
+def archived(messages: DataFrame) -> DataFrame:
+    """messages(stream, sequence, subject, ts, payload, ...) -> one row for each message_id, with how often it was delivered.
+    Of deliveries that differ, the one with the largest payload counts."""
+    m = messages.withColumn("message_id", message_id(*(F.col(c) for c in ("stream", "sequence", "subject", "ts", "payload"))))
+    rest = [c for c in messages.columns if c != "payload"]
+    return m.groupBy("message_id").agg(F.max(F.struct("payload", *rest)).alias("m"), F.count("*").alias("deliveries")).select("message_id", "deliveries", "m.*")

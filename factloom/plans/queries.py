@@ -1103,6 +1103,14 @@ def projected_events(spark, sf):
     return P.read_projection(spark, store, e.schema)
 
 
+@query(EV + " SELECT event_id, 'msg_' || sha256(CASE WHEN event_id%3<>0 THEN 'seq' || chr(0) || 'pipeline' || chr(0) || event_id ELSE 'msg' || chr(0) || 'stage.' || stage || chr(0) || epoch_us(ts) || chr(0) || event_id END) AS message_id, CASE WHEN event_id%4=1 THEN 2 ELSE 1 END::BIGINT AS deliveries FROM ev")
+def archived_messages(spark, sf):
+    """Each event as a message, every fourth delivered twice, every third without a sequence number."""
+    e, i = V.events(spark, sf), F.col("event_id")
+    m = e.select(F.lit("pipeline").alias("stream"), F.when(i % 3 != 0, i).alias("sequence"), F.concat(F.lit("stage."), "stage").alias("subject"), "ts", i.cast("string").alias("payload"), "event_id")
+    return E.archived(m.unionByName(m.where("event_id % 4 = 1"))).select("event_id", "message_id", "deliveries")
+
+
 @query("SELECT event_id AS event_id, event_type='error' AS poison FROM events")
 def parsed_triggers(spark, sf):
     """L2: messages without a readable commit are set apart."""

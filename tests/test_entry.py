@@ -41,4 +41,4 @@ def test_every_operator_of_the_list_is_registered():
 
     names = __spark_entry__.queries()
     if any(n.startswith("op") and n[2:3].isdigit() for n in names):
-        assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+        assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
