@@ -20,7 +20,9 @@ from factloom.operators import layers as L
 from factloom.operators import seam as S
 from factloom.operators import search as R
 from factloom.sources import tables as A
+from factloom.streaming import delivery as D
 from factloom.streaming import jobs as J
+from factloom.streaming import projection as P
 
 
 def one(spark, value, fn):
@@ -386,17 +388,17 @@ def test_stream_dedup_and_projection(spark, tmp_path):
     assert sorted(r["sha"] for r in drain(J.dedup_triggers(s), "dedup").collect()) == ["a", "b"]
     store = str(tmp_path / "store")
     for check in ("c1", "c2"):  # the second run delivers everything again
-        assert J.project_idempotently(s, store, "sha", str(tmp_path / check)).awaitTermination(120) is not False
-    assert sorted(r["sha"] for r in spark.read.parquet(store).collect()) == ["a", "b"]
+        assert P.project_idempotently(s, store, "sha", str(tmp_path / check)).awaitTermination(120) is not False
+    assert sorted(r["sha"] for r in P.read_projection(spark, store, "sha string, ts timestamp").collect()) == ["a", "b"]
 
 
 def test_stream_delivery_state(spark, tmp_path):
     ok, bad = ["indexed"], ["indexed", "error"]
     path = feed(tmp_path, [[{"sha": "a", "statuses": bad}, {"sha": "b", "statuses": ok}], [{"sha": "a", "statuses": bad}], *[[{"sha": "a", "statuses": bad}]] * 3])
     s = spark.readStream.schema("sha string, statuses array<string>").option("maxFilesPerTrigger", 1).json(path)
-    got = drain(J.delivery_stream(s), "delivery", "append").collect()
+    got = drain(D.delivery_stream(s), "attempts", "append").collect()
     assert [(r["attempt"], r["action"], r["retry_after"]) for r in sorted(got, key=lambda r: r["attempt"]) if r["sha"] == "a"] == [
-        (1, "retry", 30), (2, "retry", 60), (3, "retry", 120), (4, "retry", 300), (5, "dead_letter", None),
+        (1, "wait", 30), (2, "wait", 60), (3, "wait", 120), (4, "wait", 300), (5, "dead_letter", None),
     ]
     assert [(r["attempt"], r["action"]) for r in got if r["sha"] == "b"] == [(1, "ack")]
 
