@@ -155,7 +155,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") ->
     for n in size["size"].tolist():
         fits.append(n <= room)
         room -= n if fits[-1] else 0
-    size = size[fits]
+    size = size[np.array(fits, bool)]
     some = docs.sparkSession.createDataFrame(size[["doc_id", "y"]].astype("int64").values.tolist(), "doc_id long, y int")
     got = rows.drop("y").join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(F.max("text").alias("text")).toPandas()
     texts = sorted(zip(got["y"].tolist(), (t.encode("utf-8", "surrogatepass") for t in got["text"]), strict=True))
