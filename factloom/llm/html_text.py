@@ -36,6 +36,7 @@ BLOCK = frozenset(
     ol p pre section summary table tbody td tfoot th thead tr ul""".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are no containers, whatever their class.
 INLINE = frozenset("b i a em strong u s small big code font sub sup".split())
 #: Lines in a window, and characters that a window needs for a surge: the values that the method was published with.
@@ -51,13 +52,17 @@ def _marked(attrs: str) -> bool:
     return bool(_HIDDEN.search(attrs))
 
 
-#: Of MARKS, words that an article's own parts may well have: they count only where links make up half of the text.
-WEAK = frozenset("masthead topbar header aside rail widget widgets form search skip contentinfo complementary".split())
+#: Of MARKS, words that an article's own parts may well have: they count where links make up half of the text, or beside
+#: a word for a box of such things. Of these, WHOLE ones also count as a whole class of a div, aside or section.
+WEAK = frozenset("masthead topbar header aside rail widget widgets form search skip contentinfo complementary menu social related".split())
+SHELLS = frozenset("links link box bar list block buttons button posts stories panel container".split())
+WHOLE = frozenset("menu social related".split())
 
 
-def _marks(attrs: str) -> set[str]:
-    """The words of class, id and role that mark surroundings."""
-    return {w.lower() for m in _NAMED.finditer(attrs) for w in _PART.findall(m.group(1) or m.group(2) or m.group(3) or "")} & MARKS
+def _words(attrs: str) -> tuple[set[str], set[str]]:
+    """(the words of class, id and role, the whole classes and names), in lower case."""
+    values = [m.group(1) or m.group(2) or m.group(3) or "" for m in _NAMED.finditer(attrs)]
+    return {w.lower() for v in values for w in _PART.findall(v)}, {w for v in values for w in v.lower().split()}
 
 
 class _Amounts:
@@ -72,17 +77,20 @@ class _Amounts:
             self.text.append(self.text[-1] + n)
             self.linked.append(self.linked[-1] + (n if links else 0))
 
-    def surrounds(self, attrs: str, start: int, end: int, core: tuple[int, int]) -> bool:
-        """Is a container inside an article none of its parts? Hidden ones are; marked ones are unless they hold most of
-        the article's text; by a weak mark only those that are links for the most part."""
+    def surrounds(self, name: str, attrs: str, start: int, end: int, core: tuple[int, int]) -> bool:
+        """Is a container inside an article none of its parts? Hidden ones are; marked ones are unless they are a heading or
+        hold most of the article's text."""
         if not attrs:
             return False
         if _HIDDEN.search(attrs):
             return True
-        words = _marks(attrs)
         own, linked = self.text[end] - self.text[start], self.linked[end] - self.linked[start]
-        most = 2 * own > self.text[core[1]] - self.text[core[0]]
-        return bool(words) and not most and (bool(words - WEAK) or 2 * linked >= own)
+        if name in _HEADINGS or 2 * own > self.text[core[1]] - self.text[core[0]]:
+            return False
+        words, whole = _words(attrs)
+        marks = words & MARKS
+        boxed = bool(words & SHELLS) or (name in ("div", "aside", "section") and bool(whole & WHOLE))
+        return bool(marks - WEAK) or (bool(marks) and (boxed or 2 * linked >= own))
 
 
 def _ends(tokens: list[tuple[str, str, str]]) -> dict[int, int]:
@@ -177,7 +185,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 free += len(t.strip())
         elif kind == "s":
             end = ends.get(i, i)
-            if name in AROUND or (end > i and name not in ("html", "body", "main") and (amounts.surrounds(attrs, i, end, core) if inside else _marked(attrs))):
+            if name in AROUND or (end > i and name not in ("html", "body", "main") and (amounts.surrounds(name, attrs, i, end, core) if inside else _marked(attrs))):
                 # A wrapper that holds the article is no surrounding container.
                 if name == "head" or (name == "header" and inside) or not _holds(cores, i, end):
                     keep_title = name == "header" and inside
