@@ -6,7 +6,10 @@
    shingles stand in another document. Among those that stay, 3/4 of a set must stand elsewhere.
 3. Routing. With the rarest shingles first, linked sets share one of the first n - ceil(3n/4) + 1 of
    each. Documents that meet there are chained to the smallest one; the chains' components part no link.
-4. Each component (cut into blocks when large) gets inverted lists in one task, where documents are
+   Text put together from common passages makes chains of documents that are not alike, so a component of
+   more than one block is routed by its leading shingles themselves: each of them names one place, and a
+   document goes to the places of its own. That parts no link either, and copies don't grow with the component.
+4. Each component or place (cut into blocks when large) gets inverted lists in one task, where documents are
    searched: short lists are merged by a heap, long ones probed by binary search.
 """
 
@@ -28,7 +31,7 @@ from .common import bounded, by_bytes, cut, give_back, mix, ngram_hashes, read,
 from .components import components
 
 WORDS = 5
-#: Documents and shingles in a block of one task, about, and smallest documents of a component that every block
+#: Documents and shingles in a block of one task, about, and smallest documents of a place that every block
 #: is searched for.
 BLOCK, BLOCK_SHINGLES, HUBS = 4_000, 2_000_000, 8
 #: Of every SHARE-th document (fewer, so that there are TELLING at most), shingles in TOLD or more are taken for
@@ -215,21 +218,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .join(may, "doc_id")
         .where("size(own) >= ceil(3 * n / 4)")
         .withColumn("k", F.expr("cast(size(own) - ceil(3 * n / 4) + 1 as int)"))
-        .select("doc_id", F.explode(F.slice("own", F.lit(1), F.col("k"))).alias("x"))
-        .select("doc_id", "x.token")
+        .select("doc_id", F.expr("own[k - 1].token").alias("home"), F.explode(F.slice("own", F.lit(1), F.col("k"))).alias("x"))
+        .select("doc_id", "home", "x.token")
     )
     lead = cut(lead)
     hubs = lead.groupBy("token").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select("token", "hub")
     chains = lead.join(hubs, "token").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     routed = components(chains)  # (node, component)
-    routed = routed.join(may, F.col("node") == F.col("doc_id")).select("node", "component", "n")
-    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    size = routed.groupBy("component").agg(blocks.alias("blocks"))
-    place = (
-        routed.join(size, "component")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .select(F.col("node").alias("doc_id"), "component", "blocks", "block")
-    )
+    routed = routed.join(may, F.col("node") == F.col("doc_id")).select("doc_id", "component", "n")
+    place = cut(_blocks(routed))
+    large = place.where("blocks > 1")
+    if not large.isEmpty():
+        visits = _places(lead.join(large.select("doc_id"), "doc_id", "left_semi"))
+        place = place.where("blocks = 1").unionByName(cut(_blocks(visits.join(may, "doc_id"))))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches, 4):
@@ -240,7 +241,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         give_back()
 
     with_sets = (
-        keyed.join(bounded(cut(place)), "doc_id")
+        keyed.join(bounded(place), "doc_id")
         .select("doc_id", "component", "blocks", "block", "text")
         .mapInArrow(sets, "doc_id long, component long, blocks int, block int, shingles binary")
     )
@@ -259,8 +260,37 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
 
 
+def _blocks(routed: DataFrame) -> DataFrame:
+    """routed(doc_id, component, n) -> (doc_id, component, blocks, block)."""
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    size = routed.groupBy("component").agg(blocks.alias("blocks"))
+    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    return routed.join(size, "component").select("doc_id", "component", "blocks", block.alias("block"))
+
+
+def _usual(lead: DataFrame, name: str) -> DataFrame:
+    """(token, name, n): the value of column name that most of a token's n rows have, ties by value."""
+    each = lead.groupBy("token", name).agg(F.count("*").alias("n"))
+    return each.groupBy("token").agg(F.max_by(name, F.struct("n", name)).alias(name), F.sum("n").alias("n"))
+
+
+def _places(lead: DataFrame) -> DataFrame:
+    """lead(doc_id, home, token) -> (doc_id, component): the places that a document goes to, none twice.
+
+    Two documents that share a leading token meet at its place. Which one that is, is free, and so chosen that a
+    document has few: a home (most frequent leading token of a document) has the usual home of its documents, and
+    a token has what that is for most of its own, so that the tokens of one passage, or of a group of near copies, mostly
+    name one place. Places of one document are left out.
+    """
+    homes = _usual(lead, "home").select(F.col("token").alias("home"), F.col("home").alias("component"))
+    at = _usual(lead.join(homes, "home"), "component").where("n > 1").select("token", "component")
+    visits = cut(lead.select("doc_id", "token").join(at, "token").select("doc_id", "component").distinct())
+    met = visits.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
+    return visits.join(met.select("component"), "component", "left_semi").select("doc_id", "component")
+
+
 def _large(rows: DataFrame, shards: int) -> DataFrame:
-    """Links of components of several blocks: every block with the component's first documents, then
+    """Links of components or places of several blocks: every block with the place's first documents, then
     every block with those documents, a block at a time, that are not yet in the largest part."""
     hubs = (
         rows.withColumn("nth", F.row_number().over(Window.partitionBy("component").orderBy("doc_id")))

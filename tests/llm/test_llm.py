@@ -545,6 +545,33 @@ def test_jaccard_components(spark, monkeypatch, block, shingled, share, told):
     assert sorted(map(tuple, got)) == brute_jaccard(rows)
 
 
+def test_passages_that_chain_unlike_documents(spark, monkeypatch):
+    """Texts of 8 out of 200 shared passages are chained into one component, but hardly one is alike another: the rows
+    that go to the searching tasks grow with the documents, and the few near copies among them are found."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 50)
+    sent, links_of = [], jaccard_join._links_of
+
+    def counting(rows, shards):
+        sent.append(rows.count())
+        return links_of(rows, shards)
+
+    monkeypatch.setattr(jaccard_join, "_links_of", counting)
+    total = {}
+    for n in (500, 1000):
+        rng = random.Random(61)
+        passages = [" ".join(f"p{p}w{i}" for i in range(20)) for p in range(200)]
+        rows = [(i, " ".join(rng.sample(passages, 8))) for i in range(n)]
+        rows += [(n + k, t + " some other end") for k, (_, t) in enumerate(rows[:20])]
+        sent.clear()
+        got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(frame(spark, rows)).collect()}
+        assert all(got[n + k] == got[k] for k in range(20))
+        if n == 500:
+            assert sorted((i, c) for i, c in got.items()) == [(i, c) for i, _, c in brute_jaccard(rows)]
+        total[n] = sum(sent)
+    assert total[1000] <= 3 * total[500]
+    assert total[1000] <= 10 * 1000
+
+
 def test_jaccard_edge_tables(spark):
     assert jaccard_join.jaccard_components(empty(spark)).count() == 0
     t = text(random.Random(9), 40)
