@@ -120,6 +120,12 @@ def _word_part(words: np.ndarray, parts: int) -> np.ndarray:
     return ((words >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
+def _runs(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(part, from, to) for the parts that occur in sorted part numbers."""
+    edge = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)] if len(part) else [0]
+    return ((int(part[a]), a, z) for a, z in zip(edge, edge[1:], strict=False))
+
+
 def _row(part: int, chunk: int, kind: int, *blobs: bytes, stats: np.ndarray | None = None) -> tuple:
     return (part, chunk, kind, *blobs, *([None] * (6 - len(blobs))), None if stats is None else stats.tolist())
 
@@ -180,8 +186,7 @@ def _ask_words(parts: int) -> Callable:
     def make(c: Chunk) -> list[tuple]:
         words, local = np.unique(c.hashes, return_inverse=True)
         counts = np.bincount(local[np.repeat(c.state == 0, c.size)], minlength=len(words))
-        edge = np.searchsorted(_word_part(words, parts), np.arange(parts + 1))
-        rows = [_row(p, c.number, WORD_ASK, pack(np.diff(words[a:z], prepend=np.uint64(0))), pack(counts[a:z])) for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)) if z > a]
+        rows = [_row(p, c.number, WORD_ASK, pack(np.diff(words[a:z], prepend=np.uint64(0))), pack(counts[a:z])) for p, a, z in _runs(_word_part(words, parts))]
         return [*rows, _row(0, c.number, STATS, stats=np.array([(c.state == 0).sum()]))]
 
     return _each_chunk(make)
@@ -310,11 +315,10 @@ def _send_grams(parts: int, words: Words, order: int, part_words: int) -> Callab
         n = np.where(hot, total[gram], n)[keep] if len(gram) else none
         doc = np.where(hot, len(size) + slot[gram], doc)[keep] if len(gram) else none
         history, w, cw, split, part = [h[keep] for h in history], w[keep], cw[keep], split[keep], part[keep]
-        edge, rows, chunk = np.searchsorted(part, np.arange(parts + 1)), [], int(r["chunk"])
-        for p, (a, z) in enumerate(zip(edge, edge[1:], strict=False)):
-            if z > a:
-                rest = np.concatenate((doc[a:z].astype(np.int32), n[a:z].astype(np.int32), split[a:z].astype(np.int32)))
-                rows.append(_row(p, chunk, GRAMS, *_pack_grams([h[a:z] for h in history], w[a:z], cw[a:z]), pack(rest)))
+        rows, chunk = [], int(r["chunk"])
+        for p, a, z in _runs(part):
+            rest = np.concatenate((doc[a:z].astype(np.int32), n[a:z].astype(np.int32), split[a:z].astype(np.int32)))
+            rows.append(_row(p, chunk, GRAMS, *_pack_grams([h[a:z] for h in history], w[a:z], cw[a:z]), pack(rest)))
         meta = [pack(ids), pack(np.concatenate((state.astype(np.int64), size, n_known))), pack(base), pack(score), pack(hot_doc.astype(np.int32)), pack(hot_slot.astype(np.int32))]
         return _frame([*rows, _row(chunk % parts, chunk, META, *meta)])
 
@@ -528,7 +532,7 @@ def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     docs, splits = docs if stored else cut(docs), SameSplits(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, min(1 << 20, math.ceil(size / 6 / part_words)))
+    parts = max(1, math.ceil(size / 6 / part_words))
     with splits:
         got = cut(docs.mapInArrow(_ask_words(parts), _ROW).groupBy("part").applyInPandas(giving_back(_merge_words(parts)), _ROW))
     sums = _sums(got, K + 4)
