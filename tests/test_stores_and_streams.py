@@ -204,6 +204,43 @@ def test_no_task_compares_more_than_a_block(spark):
     assert met.select("l.claim_id", "r.claim_id").distinct().count() == 450 * 450
 
 
+def vectors(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 6))
+    rows = [(base[i % 12] + rng.normal(size=6) * 0.15).tolist() for i in range(150)] + [[0.0] * 6, [1.0, None, 0.0, 0.0, 0.0, 0.0], None, [1.0, 2.0]]
+    rows = [(i, "ab"[i % 2] if i % 9 else None, "s" if i % 3 else "t", "", "", v) for i, v in enumerate(rows)]
+    return spark.createDataFrame(rows, "claim_id int, audience string, canonical_speaker string, subject string, object string, v array<float>")
+
+
+def test_products_of_blocks_find_what_the_expression_finds(spark):
+    claims, score = vectors(spark), S.Cosine("v", 9)
+    for least in (0.6, 0.3):
+        want = {tuple(r) for r in S.candidate_pairs(claims, least, None, lambda a, b: score(a, b), ("v",)).collect()}
+        own = claims.where("audience is not null")
+        for block in (13, 8192):
+            got = [tuple(r) for r in S.vector_pairs(own, None, score, least, block=block).collect()]
+            assert want and len(got) == len(set(got)) and set(got) == want
+    best = sorted(want, key=lambda r: (-r[3], r[0], r[1]))[:7]
+    assert [tuple(r) for r in S.candidate_pairs(claims, 0.3, 7, score, ("v",)).collect()] == best
+
+
+def test_products_of_queries_and_all(spark):
+    claims = vectors(spark)
+    q, a = claims.where("claim_id % 5 = 0"), claims
+    met = q.alias("l").join(a.alias("r"), "canonical_speaker").where("l.claim_id <> r.claim_id").where(S.cosine(F.col("l.v"), F.col("r.v")) >= 0.3)
+    want = {tuple(r) for r in met.select("l.claim_id", "r.claim_id").collect()}
+    got = [tuple(r) for r in S.vector_pairs(q, a, S.Cosine("v"), 0.3, block=13).select("left_id", "right_id").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_registered_scorers_make_no_pair_in_an_expression(spark, sf):
+    from factloom.plans.registry import QUERIES
+
+    for name in ("near_claims", "ranked_pairs", "embedding_scorer"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "zip_with" not in plan and "aggregate(" not in plan
+
+
 # --- files of any size
 
 
