@@ -159,6 +159,24 @@ def test_seam_pairs(spark):
     assert S.candidate_pairs(c, 0.2, max_pairs=1).first()["left_id"] == 0
 
 
+def test_seam_pairs_start_only_where_they_can_be_completed(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(14)]
+    texts = [[w for w in words if rng.random() < rng.choice((0.2, 0.5, 0.9))] for _ in range(140)]
+    texts += texts[:40]
+    c = seam(spark, *((rng.choice(["police", "court"]), rng.choice(["ann", "bob"]), " ".join(t), "") for t in texts))
+    rows = [(r["claim_id"], r["audience"], r["canonical_speaker"], set(r["subject"].split())) for r in c.collect()]
+    for least in (0.2, 0.5, 0.7, 1.0):
+        got = [(r["left_id"], r["right_id"]) for r in S.candidate_pairs(c, least).collect()]
+        want = {(i, j) for i, a, s, t in rows for j, b, z, u in rows if i < j and a != b and s == z and t | u and len(t & u) / len(t | u) >= least}
+        assert want and len(got) == len(set(got)) and set(got) == want
+    # Every claim has the words part and qty, and one of two numbers; only a part's own number can begin a pair of 0.7.
+    c = seam(spark, *(("police" if i % 2 else "court", "ann", f"part {100 + i // 2}", f"qty {i % 2}") for i in range(40)), ("court", "ann", "part 100", "qty 1"))
+    own = c.withColumn("tokens", T.jaccard_tokens(F.col("subject"), F.col("object")))
+    assert {r["token"] for r in S._leads(own, 0.7).collect()} == {str(100 + i) for i in range(20)}
+    assert {(r["left_id"], r["right_id"]) for r in S.candidate_pairs(c, 0.7).collect()} == {(1, 40)}
+
+
 def layer(spark, *rows):
     return spark.createDataFrame([(s, r) for s, r in rows], "source string, raw string")
 
