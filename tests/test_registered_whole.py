@@ -45,3 +45,11 @@ def test_applied_function_of_every_text(spark, monkeypatch):
     monkeypatch.setattr(Q.V, "table", lambda spark, sf, name: spark.createDataFrame(rows, "doc_id long, text string"))
     got = {r["doc_id"]: (r["digest"], r["status"]) for r in Q.QUERIES["applied_function"](spark, "").collect()}
     assert got == {i: (sha(t[::-1]) if t is not None else None, "ok" if t else "empty") for i, t in rows}
+
+
+def test_claims_are_dealt_by_their_number(spark, sf, monkeypatch):
+    n = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    monkeypatch.setattr(Q.V, "TASK_ITEMS", 100)
+    claims = Q.V.claims(spark, sf).select("doc_id", "claim_idx")
+    assert claims.rdd.getNumPartitions() == -(-n // 100)
+    assert claims.distinct().count() == n
