@@ -171,6 +171,10 @@ def expectation(text: Column, error: Column, min_chars: Column, allow_empty: Col
     )
 
 
+#: Mails of which a task holds the parsed fields at once.
+MAILS = 256
+
+
 def parse_emails(raw: DataFrame) -> DataFrame:
     """raw(file, content binary) -> subject, from_addr, to_addrs, cc_addrs, date, body, attachments.
 
@@ -186,12 +190,31 @@ def parse_emails(raw: DataFrame) -> DataFrame:
         import html
         import re
         from email import policy
+        from email.headerregistry import HeaderRegistry
         from email.utils import getaddresses
 
-        for b in batches:
+        class Headers(HeaderRegistry):
+            """One class for each header's name; the library makes one for each header."""
+
+            def __init__(self):
+                super().__init__()
+                self.made = {}
+
+            def __getitem__(self, name):
+                kind = self.registry.get(name.lower(), self.default_class)
+                if kind not in self.made:
+                    self.made[kind] = super().__getitem__(name)
+                return self.made[kind]
+
+        def text(header: str | None) -> str | None:
+            # A header holds its parse; only its text is kept.
+            return None if header is None else str(header)
+
+        rules = policy.default.clone(header_factory=Headers())
+        for b in (whole.iloc[at : at + MAILS] for whole in batches for at in range(0, len(whole), MAILS)):
             rows = []
             for file, content in zip(b["file"], b["content"], strict=True):
-                m = email.message_from_bytes(content or b"", policy=policy.default)
+                m = email.message_from_bytes(content or b"", policy=rules)
                 part = m.get_body(preferencelist=("plain", "html"))
                 try:
                     body = "" if part is None else part.get_content()
@@ -204,7 +227,7 @@ def parse_emails(raw: DataFrame) -> DataFrame:
                     for a in m.iter_attachments()
                 ]
                 names = {h: [x for _, x in getaddresses(m.get_all(h, []))] for h in ("to", "cc")}
-                rows.append((file, m["subject"], m["from"], names["to"], names["cc"], m["date"], body, files))
+                rows.append((file, text(m["subject"]), text(m["from"]), names["to"], names["cc"], text(m["date"]), body, files))
             yield pd.DataFrame(rows, columns=["file", "subject", "from_addr", "to_addrs", "cc_addrs", "date", "body", "attachments"])
 
     return raw.select("file", "content").mapInPandas(run, schema)

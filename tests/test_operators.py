@@ -428,3 +428,23 @@ def test_partitions_and_order_change_nothing(spark, sf):
     a = C.contradictions(c, al).groupBy("tier").count().collect()
     b = C.contradictions(c.repartition(7).orderBy(F.desc("claim_idx")), al).groupBy("tier").count().collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_mails_are_parsed_in_small_parts_and_keep_only_text():
+    import pandas as pd
+
+    class Raw:
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, run, schema):  # noqa: N802
+            return run
+
+    mail = b"Subject: =?utf-8?q?caf=C3=A9?=\r\nFrom: A <a@x.org>\r\nTo: b@x.org\r\nDate: Mon, 1 Jan 2024 10:00:00 +0000\r\n\r\nhello\r\n"
+    n = 2 * N.MAILS + 1
+    parts = list(N.parse_emails(Raw())(iter([pd.DataFrame({"file": [str(i) for i in range(n)], "content": [mail] * (n - 1) + [None]})])))
+    assert [len(p) for p in parts] == [N.MAILS, N.MAILS, 1]
+    for p in parts[:2]:
+        assert {type(x) for c in ("subject", "from_addr", "date") for x in p[c]} == {str}
+        assert set(p["subject"]) == {"café"} and set(p["from_addr"]) == {"A <a@x.org>"}
+    assert parts[2]["subject"].tolist() == [None] and parts[2]["file"].tolist() == [str(n - 1)]
