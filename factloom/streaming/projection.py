@@ -20,12 +20,13 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 #: Bits of a filter for each key, and how many of them a key sets: two of a hundred million other keys seem to be there.
 BITS, PROBES = 40, 16
 PARTS = 8
+#: Keys whose bits are worked out at once.
+KEYS = 100_000
 
 
-def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Bits of each key: its hash mixed anew for each of them (splitmix64), so that no two keys share them all by chance."""
-    h = hashes.astype(np.int64).view(np.uint64)
-    x = h[:, None] + np.arange(1, PROBES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def _place(hashes: np.ndarray, probe: int, bits: int) -> np.ndarray:
+    """A bit of each key: its hash mixed anew for each probe (splitmix64), so that no two keys share all bits by chance."""
+    x = hashes.astype(np.int64).view(np.uint64) + np.uint64(probe * 0x9E3779B97F4A7C15 % (1 << 64))
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return ((x ^ (x >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
@@ -33,14 +34,26 @@ def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def sketch(hashes: np.ndarray) -> bytes:
     bits = np.zeros(-(-max(1, len(hashes)) * BITS // 8) * 8, bool)
-    bits[_places(hashes, len(bits)).ravel()] = True
+    for at in range(0, len(hashes), KEYS):
+        for probe in range(1, PROBES + 1):
+            bits[_place(hashes[at : at + KEYS], probe, len(bits))] = True
     return np.packbits(bits).tobytes()
 
 
 def maybe(filter_: bytes, hashes: np.ndarray) -> np.ndarray:
-    """Which of the keys may be in the filter; those that are always are."""
-    bits = np.unpackbits(np.frombuffer(filter_, np.uint8)).view(bool)
-    return bits[_places(hashes, len(bits))].all(1)
+    """Which of the keys may be in the filter; those that are always are. A probe asks only for keys that the last one left."""
+    packed, out = np.frombuffer(filter_, np.uint8), np.zeros(len(hashes), bool)
+    left = np.arange(len(hashes))
+    for probe in range(1, PROBES + 1):
+        at = _place(hashes[left], probe, 8 * len(packed))
+        left = left[(packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
+    out[left] = True
+    return out
+
+
+def meets(filter_: bytes, hashes: np.ndarray) -> bool:
+    """Whether any of the keys may be in the filter; keys after the first such are hardly looked at."""
+    return any(maybe(filter_, hashes[at : at + KEYS]).any() for at in range(0, len(hashes), KEYS))
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +73,7 @@ def _ready(spark: SparkSession, path: str, schema: StructType) -> None:
         spark.createDataFrame([], "batch string, rows long, keys_read long").write.mode("append").json(f"{path}/log")
 
 
-def _held(spark: SparkSession, path: str, rows: DataFrame, key: str) -> tuple[DataFrame | None, int]:
+def _held(spark: SparkSession, path: str, rows: DataFrame, key: str, parts: int) -> tuple[DataFrame | None, int]:
     """(the stored keys that rows(key, part, h) may meet, how many were read to know).
 
     The filters of all parts are asked for the hashes of the batch; only parts that one of them may be in are read, and of
@@ -71,9 +84,10 @@ def _held(spark: SparkSession, path: str, rows: DataFrame, key: str) -> tuple[Da
 
     def test(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            hit = [bool(maybe(b, np.asarray(h, np.int64)).any()) for b, h in zip(f["bits"], f["hashes"], strict=True)]
+            hit = [meets(b, np.asarray(h, np.int64)) for b, h in zip(f["bits"], f["hashes"], strict=True)]
             yield f.loc[hit, ["batch", "part"]]
 
+    filters = filters.repartition(parts, "batch", "part")  # a file holds the filters of many parts
     meet = filters.join(F.broadcast(asked), "part").select("batch", "part", "bits", "hashes").mapInPandas(test, "batch string, part int").collect()
     if not meet:
         return None, 0
@@ -94,17 +108,17 @@ def project_batch(batch: DataFrame, name: str, path: str, key: str, parts: int =
     h = F.xxhash64(key)
     rows = batch.dropDuplicates([key]).withColumn("h", h).withColumn("part", F.pmod(F.col("h"), F.lit(parts)).cast("int")).persist()
     try:
-        held, read = _held(spark, path, rows, key)
+        held, read = _held(spark, path, rows, key, parts)
         new = rows if held is None else rows.join(held.withColumnRenamed(key, "_held"), F.col(key).eqNullSafe(F.col("_held")), "left_anti")
-        new.drop("h").write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/batch={name}")
+        new.drop("h").repartition(parts, "part").write.mode("overwrite").partitionBy("part").parquet(f"{path}/data/batch={name}")  # a file for each part
         spark_kinds = StructType([*batch.schema.fields, StructField("part", IntegerType())])
         put = spark.read.schema(spark_kinds).parquet(f"{path}/data/batch={name}")
 
         def filters(frame: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"bits": [sketch(frame["h"].to_numpy())], "part": [frame["part"].iloc[0]]})
 
-        made = put.select(h.alias("h"), "part").groupBy("part").applyInPandas(filters, "bits binary, part int")
-        made.coalesce(1).write.mode("overwrite").parquet(f"{path}/sketch/batch={name}")
+        made = put.select(h.alias("h"), "part").repartition(parts, "part").groupBy("part").applyInPandas(filters, "bits binary, part int")
+        made.write.mode("overwrite").parquet(f"{path}/sketch/batch={name}")
         spark.createDataFrame([(name, put.count(), read)], "batch string, rows long, keys_read long").coalesce(1).write.mode("append").json(f"{path}/log")
     finally:
         rows.unpersist()

@@ -442,3 +442,15 @@ def test_counters_of_a_pass(spark):
     r = M.catchup_pass(c, known, results, batch=1).first()
     assert (r["scanned"], r["new"], r["skipped"], r["pending"], r["remaining"], r["ingested"], r["dead_lettered"], r["degraded"]) == (5, 2, 1, 2, 1, 1, 1, True)
     assert M.catchup_pass(c.limit(0), known, results.limit(0)).first()["degraded"] is False
+
+
+def test_a_batch_writes_one_file_for_each_part(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 4000, 1, 7)
+    P.project_batch(rows, "a", path, "id")
+    P.project_batch(spark.range(3000, 5000, 1, 5), "b", path, "id")
+    for batch in ("a", "b"):
+        assert len(list((tmp_path / "t" / "data" / f"batch={batch}").rglob("part-*.parquet"))) == P.PARTS
+    assert sorted(r["id"] for r in P.read_projection(spark, path, "id long").collect()) == list(range(5000))
+    own = np.arange(2000)
+    assert P.meets(P.sketch(own), np.array([10**9, 7])) and not P.meets(P.sketch(own), np.arange(10**9, 10**9 + 500))
