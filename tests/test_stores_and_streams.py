@@ -136,6 +136,22 @@ def test_stored_index_gives_the_scores_of_a_search(spark, tmp_path, block, shard
     assert df == {(f, t): sum(t in r[k].split() for r in corpus()) for f, k, t in (("content", 1, "w1"), ("summary", 2, "w2"))}
 
 
+def test_terms_are_counted_where_their_row_is(spark):
+    texts = [(1, "A a b"), (2, None), (3, "b"), (None, "b b c"), (4, " ".join(f"w{i % 7}" for i in range(300))), (5, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = {(d, w, n) for d, t in texts for w, n in collections.Counter((t or "").lower().split()).items()}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(R, "COUNT_WORDS", 4)
+        postings, lengths = R.build_index(docs, {"text": 1.0})
+        got = [tuple(r) for r in postings.select("doc_id", "term", "tf").collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert {r["doc_id"]: r["dl"] for r in lengths.collect()} == {d: len((t or "").split()) for d, t in texts}
+    assert "Exchange" not in postings._jdf.queryExecution().executedPlan().toString()
+    # Rows of one key are one document, wherever they are.
+    twice, _ = R.build_index(docs.unionByName(docs.where("doc_id = 1")), {"text": 1.0})
+    assert sorted((r["term"], r["tf"]) for r in twice.where("doc_id = 1").collect()) == [("a", 4), ("b", 2)]
+
+
 def test_a_search_reads_its_terms_folders_and_leaves_blocks_out(spark, tmp_path):
     # Frequent words everywhere, a rare one in a few short documents: most blocks of the frequent word can't reach the top.
     rows = [(i, "w1 " + ("w2 " if i % 2 else "") + "pad " * (3 if i % 211 == 0 else 60) + ("rare" if i % 211 == 0 else "")) for i in range(4000)]
