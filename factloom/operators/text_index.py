@@ -8,18 +8,25 @@ Layout under a folder: `postings` partitioned by a hash bucket of (field, term),
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Y
 
-from factloom.operators.search import B, K1, build_index, terms
+from factloom.operators.search import B, COUNT_ROWS, K1, counted, field_terms, terms
 from factloom.sources.shared import checkpoint
 
 #: Postings of a block, documents of a shard, folders that terms are dealt over.
 BLOCK, SHARD_DOCS, BUCKETS = 128, 100_000, 64
+#: Tasks that sort and cut the postings of one shard, about.
+SHARD_TASKS = 8
 #: Different terms of a batch up to which they are also given to the scan as literals; rows of them that are broadcast.
 LITERALS, BROADCAST_TERMS = 200, 1_000_000
 
@@ -32,35 +39,100 @@ def write_index(docs: DataFrame, path: str, fields: list[str], key: str = "doc_i
     """Write the index of docs, one row a key, to a new folder. Null keys are left out.
 
     A block holds up to `block` postings of one term in one shard, in order of key, and the largest value of
-    tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl)) in it. Documents are dealt over shards by a hash of the key, so many that
-    each has about shard_docs; frequent terms thus meet in no single task.
+    tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl)) in it. Documents are dealt over shards in slices of neighbours, over so
+    many that each has about shard_docs; frequent terms thus meet in no single task. A term's postings of a slice move as one row.
     """
-    spark = docs.sparkSession
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), *dict.fromkeys([*fields, *exact]))
-    postings, lengths = build_index(docs, dict.fromkeys(fields, 1.0), "key")
-    lengths.write.partitionBy("field").parquet(f"{path}/lengths")
-    lengths = spark.read.schema(lengths.schema).parquet(f"{path}/lengths").select("field", "key", "dl")
     shards = max(1, -(-docs.count() // shard_docs))
-    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
-    stats = checkpoint(lengths.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl")))
+    stats = docs.agg(*(F.struct(F.lit(f).alias("field"), F.count("*").alias("n_docs"), F.avg(F.size(terms(F.col(f)))).alias("avgdl")).alias(f) for f in fields))
+    stats = checkpoint(stats.select(F.inline(F.array(*fields))).where("n_docs > 0"))  # a row for each field
     stats.select("*", F.lit(buckets).alias("buckets"), F.lit(shards).alias("shards")).coalesce(1).write.parquet(f"{path}/stats")
     docs.select("key").write.parquet(f"{path}/documents")
-    df = postings.groupBy("field", "term").agg(F.count("*").alias("df"))
-    nth = F.row_number().over(Window.partitionBy("field", "term", "shard").orderBy("key"))
-    rows = postings.join(lengths, ["field", "key"]).withColumn("shard", shard).withColumn("block", F.floor((nth - 1) / block).cast("int"))
-    part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    rows = rows.join(F.broadcast(stats.select("field", "avgdl")), "field").withColumn("part", part)  # a row for each field
-    one = F.sort_array(F.collect_list(F.struct("key", "part")))  # a block's postings at most
-    blocks = rows.groupBy("field", "term", "shard", "block").agg(one.alias("p"), F.max("part").alias("most"))
-    blocks = blocks.select("field", "term", "shard", "block", F.col("p.key").alias("keys"), F.col("p.part").alias("parts"), "most").join(df, ["field", "term"])
-    blocks = blocks.withColumn("bucket", _bucket(F.col("field"), F.col("term"), buckets))
-    blocks.repartition("bucket", "shard").sortWithinPartitions("bucket", "field", "term", "shard", "block").write.partitionBy("bucket").parquet(f"{path}/postings")
+    kind = docs.schema["key"].dataType
+    head = Y.StructType().add("field", "string").add("term", "string").add("shard", "integer")
+    lists = Y.StructType([*head, Y.StructField("keys", Y.ArrayType(kind)), Y.StructField("parts", Y.ArrayType(Y.DoubleType()))])
+    avgdl = {r["field"]: r["avgdl"] for r in stats.collect()}
+    rows = field_terms(docs, fields, "key").mapInArrow(_lists(avgdl, shards, shard_docs), lists)
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, shards * min(buckets, SHARD_TASKS))
+    # A term of a shard is in one task, its rows one behind another; the hash tells terms apart fastest.
+    rows = rows.withColumn("h", F.xxhash64("field", "term")).repartition(tasks, F.pmod("h", F.lit(buckets)), "shard").sortWithinPartitions("h", "field", "term", "shard").drop("h")
+    out = Y.StructType([*head, Y.StructField("block", Y.IntegerType()), *lists.fields[3:]]).add("most", "double").add("n", "integer")
+    blocks = rows.mapInArrow(_blocks(block), out).withColumn("bucket", _bucket(F.col("field"), F.col("term"), buckets))
+    blocks.sortWithinPartitions("bucket", "field", "term", "shard", "block").write.partitionBy("bucket").parquet(f"{path}/postings")
     for f in exact:
         values = docs.select(F.lit(f).alias("field"), F.explode(F.array_distinct(f)).alias("value"), "key").where("value is not null")
         values = values.withColumn("bucket", _bucket(F.col("field"), F.col("value"), buckets))
         values.repartition("bucket", "value").sortWithinPartitions("bucket", "value", "key").write.mode("append").partitionBy("bucket").parquet(f"{path}/values")
 
 
+def _lists(avgdl: dict[str, float], shards: int, shard_docs: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function: (field, key, t) -> (field, term, shard, keys, parts), one row for each term of a slice of rows.
+
+    Slices are dealt over the shards in turn, from another one in each task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = zlib.crc32(b"%d" % TaskContext.get().partitionId())
+        for fields, keys, dl, words, row, code, tf in counted(batches, max(1, shard_docs // 8)):
+            names = fields.dictionary_encode()
+            group = names.indices.to_numpy(zero_copy_only=False)[row].astype(np.int64) * max(len(words), 1) + code
+            order = np.argsort(group, kind="stable")
+            group, row, tf = group[order], row[order], tf[order]
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            name, code = np.divmod(group[first], max(len(words), 1))
+            mean = np.array([avgdl[x] for x in names.dictionary.to_pylist()])[names.indices.to_numpy(zero_copy_only=False)]
+            part = tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / np.where(mean > 0, mean, 1.0))[row])
+            edge = pa.array(np.append(first, len(row)).astype(np.int32))
+            cols = [names.dictionary.take(pa.array(name)), words.take(pa.array(code)), pa.array(np.full(len(first), shard % shards, np.int32))]
+            cols += [pa.ListArray.from_arrays(edge, keys.take(pa.array(row))), pa.ListArray.from_arrays(edge, pa.array(part))]
+            out = pa.RecordBatch.from_arrays(cols, ["field", "term", "shard", "keys", "parts"])
+            yield from (out.slice(i, COUNT_ROWS) for i in range(0, out.num_rows, COUNT_ROWS))
+            shard += 1
+
+    return run
+
+
+def _blocks(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A mapInArrow function that merges sorted rows (field, term, shard, keys, parts) and cuts them into blocks of up to size postings.
+
+    The last term of a batch waits for the next one, so what is held is a batch and a term of a shard.
+    """
+
+    def cut(rows: pa.RecordBatch, new: np.ndarray) -> pa.RecordBatch:
+        keys, part = rows.column(3).flatten(), rows.column(4).flatten().to_numpy(zero_copy_only=False)
+        run = np.repeat(np.cumsum(new) - 1, rows.column(3).value_lengths().to_numpy(zero_copy_only=False))
+        if pa.types.is_integer(keys.type):
+            order = np.lexsort((keys.to_numpy(zero_copy_only=False), run))
+        else:
+            order = pc.sort_indices(pa.table({"run": run, "key": keys}), [("run", "ascending"), ("key", "ascending")]).to_numpy()
+        keys, part = keys.take(pa.array(order)), part[order]  # runs stay where they were
+        held = np.bincount(run)
+        begin = np.cumsum(held) - held
+        at = np.arange(len(run)) - begin[run]
+        first = np.flatnonzero(at % size == 0)
+        edge = np.append(first, len(run)).astype(np.int32)
+        head = [rows.column(i).take(pa.array(np.flatnonzero(new)[run[first]])) for i in range(3)]
+        lists = [pa.ListArray.from_arrays(pa.array(edge), x) for x in (keys, pa.array(part))]
+        return pa.RecordBatch.from_arrays([*head, pa.array((at[first] // size).astype(np.int32)), *lists, pa.array(np.maximum.reduceat(part, first)), pa.array(np.diff(edge))], ["field", "term", "shard", "block", "keys", "parts", "most", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = pa.concat_batches([held, b]) if held is not None else b
+            new = np.ones(rows.num_rows, bool)
+            new[1:] = np.logical_or.reduce([pc.not_equal(rows.column(i).slice(1), rows.column(i).slice(0, rows.num_rows - 1)).to_numpy(zero_copy_only=False) for i in range(3)])
+            last = int(np.flatnonzero(new)[-1])
+            held = rows.slice(last)
+            if last:
+                yield cut(rows.slice(0, last), new[:last])
+        if held is not None:
+            yield cut(held, np.arange(held.num_rows) == 0)
+
+    return run
+
+
 def _pruned(rows: DataFrame, wanted: DataFrame, name: str, buckets: int) -> DataFrame:
     """The stored rows of wanted(field, <name>): only the folders of their buckets are read, and of these the rows by join."""
     wanted = checkpoint(wanted.withColumn("bucket", _bucket(F.col("field"), F.col(name), buckets)).distinct())
@@ -134,8 +206,10 @@ def search_index(spark: SparkSession, path: str, queries: DataFrame, fields: dic
     asked = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).crossJoin(F.broadcast(weights)).join(F.broadcast(stats.select("field", "n_docs")), "field")  # a row for each field
     asked = checkpoint(asked)
     rows = _pruned(spark.read.parquet(f"{path}/postings"), asked.select("field", "term"), "term", buckets).drop("bucket")
+    df = checkpoint(rows.groupBy("field", "term").agg(F.sum("n").alias("df")))  # a row for each term asked, at most
+    asked = asked.join(df, ["field", "term"])
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    rows = rows.join(asked if asked.count() > BROADCAST_TERMS else F.broadcast(asked), ["field", "term"]).select("query_id", "field", "shard", "term", "block", "keys", "parts", "most", (idf * F.col("weight")).alias("idf"))
+    rows = rows.join(asked if df.count() > BROADCAST_TERMS else F.broadcast(asked), ["field", "term"]).select("query_id", "field", "shard", "term", "block", "keys", "parts", "most", (idf * F.col("weight")).alias("idf"))
     query_kind = dict(queries.dtypes)["query_id"]
     out = f"query_id {query_kind}, field string, shard int, " + ("blocks long, looked_into long" if counts else f"key {kind}, score double")
 
@@ -171,4 +245,5 @@ def index_terms(spark: SparkSession, path: str, wanted: Iterator[tuple[str, str]
     """(field, term, df) of some (field, term), from their folders alone."""
     buckets = spark.read.parquet(f"{path}/stats").first()["buckets"]
     asked = spark.createDataFrame(list(wanted), "field string, term string")
-    return _pruned(spark.read.parquet(f"{path}/postings").select("bucket", "field", "term", "df"), asked, "term", buckets).select("field", "term", "df").distinct()
+    rows = _pruned(spark.read.parquet(f"{path}/postings").select("bucket", "field", "term", "n"), asked, "term", buckets)
+    return rows.groupBy("field", "term").agg(F.sum("n").alias("df"))

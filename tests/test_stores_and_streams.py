@@ -152,6 +152,26 @@ def test_terms_are_counted_where_their_row_is(spark):
     assert sorted((r["term"], r["tf"]) for r in twice.where("doc_id = 1").collect()) == [("a", 4), ("b", 2)]
 
 
+def test_blocks_go_on_over_batches(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "all " + f"w{i % 3} " * (i % 4)) for i in range(500)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        X.write_index(docs, str(tmp_path / "i"), ["text"], buckets=4, block=10, shard_docs=200)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert not (tmp_path / "i/lengths").exists()  # no table of postings is joined to one of lengths
+    rows = spark.read.parquet(str(tmp_path / "i/postings")).orderBy("term", "shard", "block").collect()
+    for term in ("all", "w0", "w1", "w2"):
+        for shard in range(3):
+            own = [r for r in rows if r["term"] == term and r["shard"] == shard]
+            assert [r["block"] for r in own] == list(range(len(own))) and all(len(r["keys"]) == 10 for r in own[:-1])
+            keys = [k for r in own for k in r["keys"]]
+            assert keys == sorted(set(keys)) and all(r["n"] == len(r["keys"]) and r["most"] == max(r["parts"]) for r in own)
+        found = sorted(k for r in rows if r["term"] == term for k in r["keys"])
+        assert found == [i for i in range(500) if term == "all" or (i % 4 and f"w{i % 3}" == term)]
+
+
 def test_a_search_reads_its_terms_folders_and_leaves_blocks_out(spark, tmp_path):
     # Frequent words everywhere, a rare one in a few short documents: most blocks of the frequent word can't reach the top.
     rows = [(i, "w1 " + ("w2 " if i % 2 else "") + "pad " * (3 if i % 211 == 0 else 60) + ("rare" if i % 211 == 0 else "")) for i in range(4000)]
