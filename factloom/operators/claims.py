@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import text as T
-from factloom.sources.shared import checkpoint
+from factloom.sources.shared import checkpoint, stored
 
 #: Claims of a subject and predicate up to which pairs are made where only their number is asked for.
 PAIRED = 2_000
@@ -76,13 +76,20 @@ def _narrow(claims: DataFrame, aliases: DataFrame) -> DataFrame:
         F.coalesce("polarity", F.lit(True)).alias("pol"),
         "doc_id",
         "claim_idx",
-        F.coalesce(T.doc_stem(F.col("raw_path")), F.lit("")).alias("stem"),
-        T.norm(F.col("source_span")).alias("span"),
+        F.col("raw_path").cast("string").alias("raw_path"),
+        F.col("source_span").cast("string").alias("source_span"),
         F.col("canonical_speaker").alias("who"),
-        "asserted_by",
+        F.col("asserted_by").cast("string").alias("asserted_by"),
     )
 
 
+def _placed(narrow: DataFrame) -> DataFrame:
+    """With what tells representations apart, stem and span, in place of the path and the raw span; neg:
+    the predicate negates, told once a claim and not for each pair."""
+    stem, span = F.coalesce(T.doc_stem(F.col("raw_path")), F.lit("")), T.norm(F.col("source_span"))
+    return narrow.withColumn("stem", stem).withColumn("span", span).withColumn("neg", T.is_negation(F.col("p"))).drop("raw_path", "source_span")
+
+
 def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None = None, max_claims_per_doc: int | None = None, one_speaker: bool = False) -> DataFrame:
     """Pairs of claims of one (subject, predicate) that conflict.
 
@@ -92,14 +99,23 @@ def contradictions(claims: DataFrame, aliases: DataFrame, max_docs: int | None =
     one speaker, contested otherwise (also without a speaker). Groups that can hold no conflict are cut
     before the self-join; both sides keep the partitioning by (subject, predicate), which Spark splits
     where a group is large. Uncapped unless caps are given. one_speaker: only pairs of
-    one speaker, who is then part of the join's key.
+    one speaker, who is then part of the groups and of the join's key. The claims are made once and written to the shared
+    folder; with one_speaker only those whose group can hold a conflict are.
     """
     if max_docs is not None:
         claims = claims.join(claims.select("doc_id").distinct().orderBy("doc_id").limit(max_docs), "doc_id", "left_semi")
     if max_claims_per_doc is not None:
         nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("claim_idx"))
         claims = claims.withColumn("_nth", nth).where(F.col("_nth") <= max_claims_per_doc).drop("_nth")
-    return _pairs(_open(_narrow(claims, aliases)), one_speaker)
+    narrow = _narrow(claims, aliases)
+    if one_speaker:
+        # Most groups of a speaker are one claim: grouping them would combine nothing before its shuffle.
+        own = Window.partitionBy("s", "p", "who")
+        differ = lambda c: F.min(c).over(own) != F.max(c).over(own)
+        held = narrow.where("who is not null").withColumn("_open", differ("pol") | differ("o")).where("_open").drop("_open")
+        return _pairs(stored(_placed(held)), True)
+    narrow = stored(_placed(narrow))
+    return _pairs(narrow.join(_conflicting(narrow), ["s", "p"]))
 
 
 def _conflicting(narrow: DataFrame) -> DataFrame:
@@ -108,11 +124,6 @@ def _conflicting(narrow: DataFrame) -> DataFrame:
     return ends.where("a <> b or c <> d").select("s", "p", "n")
 
 
-def _open(narrow: DataFrame) -> DataFrame:
-    """The claims of groups (s, p) that can hold a conflict, with the claims of their group as n."""
-    return narrow.join(_conflicting(narrow), ["s", "p"])
-
-
 def _pairs(side: DataFrame, one_speaker: bool = False) -> DataFrame:
     left, right = side.alias("l"), side.alias("r")
     lc, rc = (lambda n: F.col(f"l.{n}")), (lambda n: F.col(f"r.{n}"))
@@ -124,7 +135,7 @@ def _pairs(side: DataFrame, one_speaker: bool = False) -> DataFrame:
         & (lc("doc_id") != rc("doc_id"))
         & ~((lc("stem") != "") & (lc("stem") == rc("stem")))
         & ~((lc("span") != "") & (lc("span") == rc("span")))
-        & ~(opposite & (lc("o") != rc("o")) & T.is_negation(lc("p")))
+        & ~(opposite & (lc("o") != rc("o")) & lc("neg"))
     )
     if one_speaker:
         on = on & (lc("who") == rc("who"))
@@ -145,9 +156,9 @@ def contradiction_counts(claims: DataFrame, aliases: DataFrame, most: int = PAIR
 
     Only groups of at most `most` claims are paired. In larger ones the pairs are counted without being made, which
     takes eight rows a claim; so the work grows with the claims, also where a subject has very many. Where no group is
-    larger, nothing is counted so. The groups are found once and written to the shared folder.
+    larger, nothing is counted so. The claims are made once, the groups found once; both are written to the shared folder.
     """
-    narrow = _narrow(claims, aliases)
+    narrow = stored(_placed(_narrow(claims, aliases)))
     groups = checkpoint(_conflicting(narrow))
     few = _pairs(narrow.join(groups.where(F.col("n") <= most), ["s", "p"])).groupBy("subject", "predicate", "tier", "kind").agg(F.count("*").alias("pairs"))
     large = groups.where(F.col("n") > most)

@@ -448,3 +448,28 @@ def test_mails_are_parsed_in_small_parts_and_keep_only_text():
         assert {type(x) for c in ("subject", "from_addr", "date") for x in p[c]} == {str}
         assert set(p["subject"]) == {"café"} and set(p["from_addr"]) == {"A <a@x.org>"}
     assert parts[2]["subject"].tolist() == [None] and parts[2]["file"].tolist() == [str(n - 1)]
+
+
+def test_claims_are_made_once_for_all_steps(spark):
+    """Groups, both sides of the pairs and the counts go on from the written claims; a speaker's groups are cut by speaker."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    rows = [(i, 0, f"r/{i}.md", "S", "is", f"o{i // 4 % 3}", i % 2 == 0, f"who{i % 4}" if i % 5 else None, None) for i in range(40)]
+    kind = "doc_id long, claim_idx int, raw_path string, subject string, predicate string, object string, polarity boolean, asserted_by string, source_span string"
+    claims = spark.createDataFrame(rows, kind).mapInPandas(count, kind)
+    aliases = spark.createDataFrame([("who1", "who0")], "alias string, canonical string")
+    who = {r[0]: r[7] and ("who0" if r[7] == "who1" else r[7]) for r in rows}
+    pairs = {(x[0], y[0]) for x in rows for y in rows if x[0] < y[0] and (x[6] != y[6] or x[5] != y[5])}
+    got = [(r["left_doc"], r["right_doc"]) for r in C.contradictions(claims, aliases, one_speaker=True).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a, b in pairs if who[a] and who[a] == who[b]}
+    assert made.value == len(rows)
+    got = [(r["left_doc"], r["right_doc"]) for r in C.contradictions(claims, aliases).collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs and made.value == 2 * len(rows)
+    for most in (5, 1000):
+        assert C.contradiction_counts(claims, aliases, most).agg(F.sum("pairs")).first()[0] == len(pairs)
+    assert made.value == 4 * len(rows)
