@@ -7,7 +7,9 @@ The corpus is handled in chunks, runs of rows of a task that hold about as many
 2. A chunk sends its n-grams to the part that the last word of their history names. A part so holds every
    n-gram of a history, and of its shorter histories down to one word: it counts them, and backoff needs
    nothing from elsewhere. A word too frequent for one part is split over several by the word before it
-   (histories of two words stay whole); its own counts are then partial sums that a grouping adds up.
+   (histories of two words stay whole); its own counts are then partial sums, which go as compressed blocks to
+   buckets of pairs, are added up there and come back in the order they were sent. Only n-grams of such words wait for
+   that; what else a part holds is scored where it lies.
 3. Each part scores its n-grams, recursively from the shortest history to the longest, and sends a chunk
    one sum for each text. An n-gram that is frequent in a chunk is asked for once, and its answer added to
    each text by the chunk, so a passage that many texts share doesn't fill a part.
@@ -40,13 +42,17 @@ CHUNK_WORDS, PART_WORDS = 1_000_000, 1_250_000
 #: An n-gram that a chunk holds more often is asked for once.
 MANY = 8
 UNKNOWN, END, START, FIRST = 0, 1, 2, 3
+#: A task adds up the sums of its parts for a text until it holds so many.
+HELD_SUMS = 1_000_000
 #: Sums of log probabilities move as multiples of 1 / UNIT.
 UNIT = 2.0**30
-#: In place of a word: the facts of a history as a whole.
-WHOLE = -1
 _NAMES = ["part", "chunk", "kind", "a", "b", "c", "d", "e", "f", "stats"]
 _ROW = "part int, chunk long, kind int, a binary, b binary, c binary, d binary, e binary, f binary, stats array<long>"
 WORD_ASK, WORD_GOT, STATS, TEXTS, GRAMS, META, TABLE, SPLIT_TABLE, PAIRS, SUMS = range(10)
+#: A part's sums of a bucket's pairs; their counts over all parts (in the same order, with the part's histories), or the
+#: facts of a history: its count, the P of words seen after it, the number of words seen 1 to K + 1 times after it.
+_DEALT = "bucket int, part int, v binary, w binary, n binary, cw binary"
+_FACTS = "part int, bucket int, n binary, own array<long>, v long, c long, low double, r array<long>"
 
 
 def pack(x: np.ndarray) -> bytes:
@@ -95,11 +101,6 @@ class Words:
         d = np.where(c <= K, self.d[np.minimum(c, K).astype(int)], 1.0)
         return np.where(c > 0, d * c / max(self.total, 1) * (1.0 if self.exact else 1 - self.unknown), self.unknown)
 
-    def p1(self, count: Column) -> Column:
-        """p as a column expression."""
-        small = F.element_at(F.array(*(F.lit(float(x)) for x in self.p(np.arange(K + 1)))), (count + 1).cast("int"))
-        return F.when(count <= K, small).otherwise(count / float(max(self.total, 1)) * (1.0 if self.exact else 1 - self.unknown))
-
     @property
     def exact(self) -> bool:
         return self.d[1:].min() < 1
@@ -340,7 +341,8 @@ def _levels(history: list[np.ndarray], w: np.ndarray) -> list[tuple[np.ndarray,
 
 
 def _merge_grams(order: int) -> Callable:
-    """One part: its n-grams with their counts and who asks for them, as one row; META goes through."""
+    """One part: its n-grams with their counts and who asks for them, as one row, and one more for n-grams of split
+    words; META goes through."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iloc[0])
@@ -374,18 +376,20 @@ def _merge_grams(order: int) -> Callable:
         asked = np.diff(np.append(first, len(w)))
         c = np.add.reduceat(n.astype(np.int64), first)
         history, w, cw, split = [h[first] for h in history], w[first], cw[first], split[first]
-        stats, rows = [int(split.any())], []
+        stats, rows = [0], []
         for k, (_, pair, at) in enumerate(_levels(history, w)):
             total = np.bincount(pair, c).astype(np.int64)
             if k == 0 and split.any():  # what is split is counted when its sums are known
                 s = split[at]
                 rows.append(_row(part, -1, PAIRS, pack(history[0][at[s]]), pack(w[at[s]]), pack(total[s]), pack(cw[at[s]])))
-                total = total[~s]
+                stats[0], total = int(s.sum()), total[~s]
             stats += np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2].tolist()
-        who = np.concatenate((chunk, doc))
         chunks = pdf["chunk"].to_numpy(np.int64)
-        more = pack(np.concatenate((asked, c, split.astype(np.int64)))), pack(np.concatenate((who, chunks.view(np.int32))))
-        rows.append(_row(part, len(pdf), SPLIT_TABLE if split.any() else TABLE, *_pack_grams(history, w, cw), *more))
+        for kind, own in ((TABLE, ~split), (SPLIT_TABLE, split)):
+            if own.any():
+                by = np.repeat(own, asked)
+                who = pack(np.concatenate((chunk[by], doc[by], chunks.view(np.int32))))
+                rows.append(_row(part, len(pdf), kind, *_pack_grams([h[own] for h in history], w[own], cw[own]), pack(np.concatenate((asked[own], c[own]))), who))
         return _frame([*through, *rows, _row(part, -1, STATS, stats=np.array(stats, np.int64))])
 
     return run
@@ -406,10 +410,61 @@ def history_weights(total: np.ndarray, low: np.ndarray, rare: np.ndarray, d: np.
     return scale, mass / np.maximum(1 - low, 1e-300)
 
 
-def _score_table(r: dict, words: Words, d: list[np.ndarray], split_facts: pd.DataFrame | None) -> list[tuple]:
-    """A part's sums for the texts of each chunk: the probabilities of its n-grams, from short to long."""
+def _bucket(v: np.ndarray, w: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(v.astype(np.uint64) + mix(w.astype(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+
+
+def _deal_pairs(buckets: int) -> Callable:
+    """A part's sums of the pairs of split words, by bucket; they stay in order of history and word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, *blobs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                v, w, n, cw = (unpack(x, np.int64) for x in blobs)
+                of = _bucket(v, w, buckets)
+                order = np.argsort(of, kind="stable")
+                v, w, n, cw = (x[order] for x in (v, w, n, cw))
+                rows = [(k, part, pack(np.diff(v[i:j], prepend=0)), pack(np.diff(w[i:j], prepend=0)), pack(n[i:j]), pack(cw[i:j])) for k, i, j in _runs(of[order])]
+                cols = zip((pa.int32(), pa.int32(), *[pa.binary()] * 4), zip(*rows, strict=True), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for t, c in cols], ["bucket", "part", "v", "w", "n", "cw"])
+
+    return run
+
+
+def _merge_pairs(words: Words) -> Callable:
+    """One bucket: each pair's count over all parts, to every part that holds it, and what it adds to its history's facts."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        vs, ws = ([np.cumsum(unpack(b, np.int64)) for b in pdf[c]] for c in "vw")
+        edge = np.cumsum([0, *map(len, vs)])
+        v, w = np.concatenate(vs), np.concatenate(ws)
+        n, cw = (np.concatenate([unpack(b, np.int64) for b in pdf[c]]) for c in ("n", "cw"))
+        order = np.lexsort((w, v))
+        new = np.concatenate(([True], (np.diff(v[order]) != 0) | (np.diff(w[order]) != 0)))
+        first = np.flatnonzero(new)
+        count = np.add.reduceat(n[order], first)
+        every = np.empty(len(v), np.int64)
+        every[order] = count[np.cumsum(new) - 1]
+        bucket = int(pdf["bucket"].iloc[0])
+        rows = [(int(p), bucket, pack(every[i:j]), np.unique(o), None, None, None, None) for p, o, i, j in zip(pdf["part"], vs, edge, edge[1:], strict=False)]
+        v, cw, count = (x[count > 0] for x in (v[order][first], cw[order][first], count))
+        at = np.flatnonzero(np.diff(v, prepend=-1))
+        if len(at):
+            rare = np.stack([np.add.reduceat((count == t).astype(np.int64), at) for t in range(1, K + 2)], 1)
+            facts = zip(v[at].tolist(), np.add.reduceat(count, at).tolist(), np.add.reduceat(words.p(cw), at).tolist(), rare.tolist(), strict=True)
+            rows += [(None, bucket, None, None, *x) for x in facts]
+        out = pd.DataFrame(rows, columns=["part", "bucket", "n", "own", "v", "c", "low", "r"])
+        return out.astype({"part": "Int32", "v": "Int64", "c": "Int64"})
+
+    return run
+
+
+def _score_table(r: dict, words: Words, d: list[np.ndarray], facts: pd.DataFrame | None, buckets: int = 1) -> list[np.ndarray]:
+    """A part's sums for the texts of each chunk, as (chunk, text, sum): the probabilities of its n-grams, from short to
+    long. facts: with a table of split words, their counts over all parts."""
     history, w, cw = _unpack_grams(*(r[c] for c in "abcd"))
-    asked, c, split = np.split(unpack(r["e"], np.int64), 3)
+    asked, c = np.split(unpack(r["e"], np.int64), 2)
     who, n_chunks = unpack(r["f"], np.int32), int(r["chunk"])
     chunks = who[len(who) - 2 * n_chunks :].view(np.int64)
     chunk, doc = np.split(who[: len(who) - 2 * n_chunks], 2)
@@ -424,57 +479,63 @@ def _score_table(r: dict, words: Words, d: list[np.ndarray], split_facts: pd.Dat
         rare = np.zeros((n, K), np.int64)
         for t in range(1, K + 1):
             rare[:, t - 1] = np.bincount(hist[count == t], minlength=n)
-        if k == 0 and split_facts is not None and len(split_facts):
-            f, whole = split_facts[split_facts["w"] != WHOLE].sort_values(["v", "w"]), split_facts[split_facts["w"] == WHOLE].sort_values("v")
-            s = np.flatnonzero(split[at] > 0)
-            # Both sides are in order of history and word and hold the same pairs.
-            s = s[np.lexsort((w[at[s]], history[0][at[s]]))]
-            count[s] = f["c"].to_numpy(np.int64)
-            own = np.unique(hist[s])
-            known = np.isin(np.unique(history[0][at[s]]), whole["v"].to_numpy(np.int64))
-            own = own[known]
-            total[own], under[own] = whole["c"].to_numpy(np.int64), whole["low"].to_numpy()
+        if k == 0 and facts is not None:
+            # Pairs are in order of history and word here as where they were dealt.
+            of = _bucket(history[0][at], w[at], buckets)
+            for _, f in facts[facts["v"].isna()].iterrows():
+                count[of == f["bucket"]] = unpack(f["n"], np.int64)
+            whole = facts[facts["v"].notna()].sort_values("v")
+            own = np.flatnonzero(np.isin(np.unique(history[0]), whole["v"].to_numpy(np.int64)))
+            total[own], under[own] = whole["c"].to_numpy(np.int64), whole["low"].to_numpy(np.float64)
             rare[own] = np.array(whole["r"].tolist(), np.int64).reshape(-1, K + 1)[:, :K]
         scale, back = history_weights(total, under, rare, d[k])
         own = np.where(count <= K, d[k][np.minimum(count, K)], 1.0) * count * scale[hist]
         p = np.where(count > 0, own, back[hist] * low)[pair]
-    del history, w, cw, c, split
-    logp = np.repeat(np.log10(p), asked)
+    del history, w, cw, c
+    return _added(chunks[chunk], doc, np.repeat(np.log10(p), asked), lambda x: np.rint(x * UNIT).astype(np.int64))
+
+
+def _added(chunk: np.ndarray, doc: np.ndarray, x: np.ndarray, of: Callable = lambda x: x) -> list[np.ndarray]:
+    """x added up by chunk and text, in their order."""
     o = np.lexsort((doc, chunk))
-    logp = logp[o]
+    x = x[o]
     chunk = chunk[o]
     doc = doc[o]
     del o
     first = np.flatnonzero(np.concatenate(([True], (chunk[1:] != chunk[:-1]) | (doc[1:] != doc[:-1]))))
-    sums, chunk, doc = np.rint(np.add.reduceat(logp, first) * UNIT).astype(np.int64), chunk[first], doc[first]
-    edge = np.searchsorted(chunk, np.arange(n_chunks + 1))
-    return [_row(0, int(i), SUMS, pack(doc[a:z]), pack(sums[a:z])) for i, a, z in zip(chunks, edge, edge[1:], strict=False)]
+    return [chunk[first], doc[first], of(np.add.reduceat(x, first))]
+
+
+def _sum_rows(held: list[list[np.ndarray]]) -> list[tuple]:
+    """The sums of several tables as a row for each chunk; empties held."""
+    chunk, doc, sums = _added(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    held.clear()
+    edge = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+    return [_row(0, int(chunk[a]), SUMS, pack(doc[a:z]), pack(sums[a:z])) for a, z in zip(edge, edge[1:], strict=False)]
 
 
 def _answer(words: Words, d: list[np.ndarray]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
         for b in batches:
             for i in range(b.num_rows):
-                yield _batch(_score_table(b.slice(i, 1).to_pylist()[0], words, d, None))
+                held.append(_score_table(b.slice(i, 1).to_pylist()[0], words, d, None))
                 give_back()
+                if sum(len(x[1]) for x in held) >= HELD_SUMS:
+                    yield _batch(_sum_rows(held))
+        if held:
+            yield _batch(_sum_rows(held))
 
     return run
 
 
-def _answer_split(words: Words, d: list[np.ndarray]) -> Callable:
+def _answer_split(words: Words, d: list[np.ndarray], buckets: int) -> Callable:
     def run(table: pd.DataFrame, facts: pd.DataFrame) -> pd.DataFrame:
-        return _frame([row for _, r in table.iterrows() for row in _score_table(r, words, d, facts)])
+        return _frame(_sum_rows([_score_table(r, words, d, facts, buckets) for _, r in table.iterrows()]) if len(table) else [])
 
     return run
 
 
-def _list_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for part, *blobs in zip(b.column(0).to_pylist(), *(b.column(i).to_pylist() for i in range(1, 5)), strict=True):
-            cols = [unpack(x, np.int64) for x in blobs]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cols[0]), part, np.int32)), *map(pa.array, cols)], ["part", "v", "w", "n", "cw"])
-
-
 _OUT = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
 
 
@@ -545,20 +606,21 @@ def katz_scores(docs: DataFrame, stored: bool = False, order: int = ORDER, part_
     rare = sums[1:].reshape(order - 1, K + 1)
     out = table.where(f"kind = {META}")
     if sums[0]:
-        # Histories that are split over parts: their pairs are added up, and each part gets back those it holds.
-        held = table.where(f"kind = {PAIRS}").select("part", "a", "b", "c", "d").mapInArrow(_list_pairs, "part int, v long, w long, n long, cw long")
-        pairs = held.groupBy("v", "w").agg(F.sum("n").alias("c"), F.first("cw").alias("cw"))
-        each = F.array(*(F.count_if(F.col("c") == t) for t in range(1, K + 2))).alias("r")
-        whole = cut(pairs.where("c > 0").groupBy("v").agg(F.sum("c").alias("c"), F.sum(words.p1(F.col("cw"))).alias("low"), each))
+        # Words that are split over parts: their pairs are added up, and each part gets back those it holds.
+        buckets = math.ceil(sums[0] / part_words)
+        dealt = table.where(f"kind = {PAIRS}").select("part", "a", "b", "c", "d").mapInArrow(_deal_pairs(buckets), _DEALT)
+        facts = cut(dealt.groupBy("bucket").applyInPandas(giving_back(_merge_pairs(words)), _FACTS))
+        each = F.array(*(F.sum(F.get("r", F.lit(t))) for t in range(K + 1))).alias("r")
+        whole = cut(facts.where("v is not null").groupBy("v").agg(F.sum("c").alias("c"), F.sum("low").alias("low"), each))
         for r in whole.select(F.posexplode("r").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect():
             rare[0, r["i"]] += r["x"]
-        facts = held.select("part", "v", "w").join(pairs.select("v", "w", "c"), ["v", "w"]).select("part", "v", "w", "c", F.lit(None).cast("double").alias("low"), F.lit(None).cast("array<long>").alias("r"))
-        facts = facts.unionByName(held.select("part", "v").distinct().join(whole, "v").select("part", "v", F.lit(WHOLE).alias("w"), "c", "low", "r"))
+        held = facts.where("v is null").select("part", F.explode("own").alias("v")).distinct().join(whole, "v")
+        facts = facts.where("v is null").drop("own").unionByName(held, allowMissingColumns=True)
     d = [discounts(np.concatenate(([0], n))) for n in rare]
     out = out.unionByName(table.where(f"kind = {TABLE}").mapInArrow(_answer(words, d), _ROW))
     if sums[0]:
         both = table.where(f"kind = {SPLIT_TABLE}").groupBy("part").cogroup(facts.groupBy("part"))
-        out = out.unionByName(both.applyInPandas(_answer_split(words, d), _ROW))
+        out = out.unionByName(both.applyInPandas(_answer_split(words, d, buckets), _ROW))
     scored = out.groupBy("chunk").applyInPandas(_finish, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.total).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -746,3 +747,26 @@ def test_katz_edge_tables(spark, tmp_path):
     frame(spark, [(held, "a b")]).write.parquet(str(tmp_path / "h"))
     r = katz.katz_scores(spark.read.parquet(str(tmp_path / "h"))).first()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) == (3, 0, 0, 0.0)
+
+
+def test_katz_only_split_words_wait():
+    """A part that holds a split word hands on its other n-grams at once, and the sums of split pairs as blocks."""
+    rest = katz.pack(np.array([0, 1, 0, 1, 1, 1, 1, 1, 0], np.int32))  # texts, counts, split
+    grams = katz._pack_grams([np.array([5, 5, 9]), np.array([1, 2, 1])], np.array([7, 7, 8]), np.array([4, 4, 2]))
+    out = katz._merge_grams(3)(katz._frame([katz._row(0, 3, katz.GRAMS, *grams, rest)]))
+    got = {kind: katz._unpack_grams(*out[out["kind"] == kind].iloc[0][list("abcd")]) for kind in (katz.TABLE, katz.SPLIT_TABLE)}
+    assert got[katz.TABLE][0][0].tolist() == [9] and got[katz.SPLIT_TABLE][0][0].tolist() == [5, 5]
+
+
+def test_katz_sums_of_split_pairs():
+    """Two parts hold one pair; each gets its count over both, in its own order, and its history's facts once."""
+    words = katz.word_stats(20, 4, 2, np.array([0, 3, 1, 0, 0, 0, 0]))
+    blob = lambda *x: katz.pack(np.array(x))
+    parts = pa.RecordBatch.from_pydict({"part": [0, 1], "a": [blob(5, 5, 6), blob(5)], "b": [blob(3, 8, 3), blob(8)], "c": [blob(1, 2, 0), blob(4)], "d": [blob(6, 9, 6), blob(9)]})
+    dealt = pa.Table.from_batches(katz._deal_pairs(1)(iter([parts]))).to_pandas()
+    out = katz._merge_pairs(words)(dealt)
+    back = out[out["v"].isna()]
+    assert [katz.unpack(b, np.int64).tolist() for b in back["n"]] == [[1, 6, 0], [6]] and [x.tolist() for x in back["own"]] == [[5, 6], [5]]
+    facts = out[out["v"].notna()]
+    assert facts[["v", "c"]].values.tolist() == [[5, 7]] and facts["r"].tolist() == [[1, 0, 0, 0, 0, 1]]
+    assert abs(facts["low"].iloc[0] - words.p(np.array([6, 9])).sum()) < 1e-12
