@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.sources.shared import checkpoint
+from factloom.sources.shared import checkpoint, stored
 
-#: Words of a gram; characters of a piece of a long word; rows of grams (16 bytes each) up to which they are broadcast.
-GRAM, PIECE, BROADCAST_GRAMS = 3, 12, 1_000_000
+#: Words of a gram; characters of a piece of a long word; rows of grams (16 bytes each) up to which they are broadcast;
+#: names of texts, and quotations without a gram (two words of a few letters), up to which they are.
+GRAM, PIECE, BROADCAST_GRAMS, BROADCAST_NAMES = 3, 12, 1_000_000, 100_000
 
 
 def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
@@ -69,8 +70,9 @@ def contained(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     White space in texts is expected as single blanks. Each quotation is keyed by its grams; one pass over the texts hands on
     only grams that some quotation of the key has. A quotation is then looked for where its rarest gram is, and nowhere if one
     of its grams is in no text; what meets there is compared character by character. Work grows with the length of the texts and
-    with the hits, and a text is moved once for those that may stand in it. Quotations without a gram (two short words at most)
-    are compared with all texts of their key. Null quotes, keys and texts match nothing.
+    with the hits, and a text is moved once for those that may stand in it; up to BROADCAST_NAMES texts, no other text is
+    moved. Quotations without a gram (two short words at most) are compared with all texts of their key, which are moved only
+    where there are more than BROADCAST_NAMES such quotations. Null quotes, keys and texts match nothing.
     """
     size, grams = quote_grams(F.col("quote"))
     asked = checkpoint(quotes.where("key is not null and quote is not null").select("key", "quote", size.alias("size"), grams.alias("grams")).distinct())
@@ -81,7 +83,13 @@ def contained(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     hits = checkpoint(texts.select("key", "path", F.explode(text_grams(F.col("text"), sizes)).alias("gram")).join(wanted, ["key", "gram"], "left_semi"))
     often = hits.groupBy("key", "gram").agg(F.count("*").alias("n"))
     rarest = each.join(often, ["key", "gram"], "left").groupBy("key", "quote").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).where("r.n > 0")
-    meet = rarest.select("key", "quote", "r.gram").join(hits, ["key", "gram"]).select("key", "quote", "path").distinct()
+    meet = stored(rarest.select("key", "quote", "r.gram").join(hits, ["key", "gram"]).select("key", "quote", "path").distinct())
+    names = meet.select("key", "path").distinct()
+    held = texts.join(F.broadcast(names), ["key", "path"], "left_semi") if names.count() <= BROADCAST_NAMES else texts
+    found = held.join(meet, ["key", "path"]).where(F.contains("text", "quote")).select("key", "quote")
     plain = asked.where(F.size("grams") == 0).select("key", "quote")
-    found = texts.join(meet, ["key", "path"]).where(F.contains("text", "quote")).select("key", "quote")
-    return found.unionByName(plain.join(texts, "key").where(F.contains("text", "quote")).select("key", "quote")).distinct()
+    n = plain.count()
+    if n:
+        plain = F.broadcast(plain) if n <= BROADCAST_NAMES else plain
+        found = found.unionByName(texts.join(plain, "key").where(F.contains("text", "quote")).select("key", "quote"))
+    return found.distinct()

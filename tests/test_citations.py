@@ -134,3 +134,26 @@ def test_work_grows_with_hits_only(spark, monkeypatch):
     each = asked.select("key", "quote", F.explode("grams").alias("gram"))
     rare = each.join(hits.groupBy("key", "gram").count(), ["key", "gram"]).groupBy("quote").agg(F.min("count").alias("n"))
     assert {r["n"] for r in rare.where("quote like '%case 1_ %'").collect()} == {1}
+
+
+def test_quotations_move_only_texts_that_may_hold_them(spark, monkeypatch):
+    """Whatever is broadcast, the same is found; where each quotation has a gram, texts are searched once."""
+    texts = spark.createDataFrame([("a", "p", "one two three four five six"), ("a", "q", "zero ab cd"), ("b", "p", "one two three four five")], "key string, path string, text string")
+    long = [("a", "ne two three four fiv"), ("b", "ne two three four five six"), ("b", "two three four five")]
+    want = {("a", "ne two three four fiv"), ("b", "two three four five")}
+    for bound in (W.BROADCAST_NAMES, 0):
+        monkeypatch.setattr(W, "BROADCAST_NAMES", bound)
+        found = W.contained(spark.createDataFrame(long, "key string, quote string"), texts)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("Contains(") == 1
+        assert {tuple(r) for r in found.collect()} == want
+        short = spark.createDataFrame([*long, ("a", "b c"), ("b", "b c"), (None, "b c")], "key string, quote string")
+        assert {tuple(r) for r in W.contained(short, texts).collect()} == {*want, ("a", "b c")}
+
+
+def test_held_texts_are_dealt_and_scanned_once(spark):
+    rows = [(f"authorities_primary_text/2001_x_EWHC_{i % 3}_Admin_{i}.md", f"# X\n\nText  {i}") for i in range(20)]
+    held = G.held_texts(spark.createDataFrame(rows, "path string, text string").coalesce(1))
+    plan = held._jdf.queryExecution()
+    assert "RepartitionByExpression [path" in plan.logical().toString() and "MapInPandas" not in plan.optimizedPlan().toString()
+    got = {r["path"]: (r["subject_keys"], r["normalized"]) for r in held.collect()}
+    assert got == {p: ([f"ncit:2001 ewhc {i % 3} admin"], f"# X Text {i}") for i, (p, _) in enumerate(rows)}
