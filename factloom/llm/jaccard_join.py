@@ -10,15 +10,13 @@
    more than one block is routed by its leading shingles themselves: each of them names one place, and a
    document goes to the places of its own. That parts no link either, and copies don't grow with the component.
 4. Each component or place (cut into blocks when large) gets inverted lists in one task, where documents are
-   searched: short lists are merged by a heap, long ones probed by binary search.
+   searched: short lists are counted, long ones probed by binary search.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Callable, Iterator
-from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -58,48 +56,57 @@ def first_third(s: np.ndarray) -> np.ndarray:
 
 
 class Lists:
-    """Inverted lists of the sets of one task."""
+    """Inverted lists of the sets of one task; a shingle of one document only has none."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.size = np.array([len(s) for s in sets], np.int64)
-        flat = np.concatenate(sets)
         doc = np.repeat(np.arange(len(sets)), self.size)
-        values, inverse = np.unique(flat, return_inverse=True)
-        order = np.argsort(inverse, kind="stable")  # by list, then by document
+        _, inverse, length = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        several = length > 1
+        keep = several[inverse]
+        doc, own = doc[keep], (np.cumsum(several) - 1)[inverse[keep]]
+        order = np.argsort(own, kind="stable")  # by list, then by document
         self.doc = doc[order]
-        self.start = np.concatenate(([0], np.cumsum(np.bincount(inverse, minlength=len(values)))))
-        self.length = np.diff(self.start)
-        self.key = inverse[order] * len(sets) + self.doc
-        self.of = np.split(inverse, np.cumsum(self.size)[:-1])
+        self.length = length[several]
+        self.start = np.concatenate(([0], np.cumsum(self.length)))
+        self.key = own[order] * len(sets) + self.doc
+        self.of = np.split(own, np.cumsum(np.bincount(doc, minlength=len(sets)))[:-1])
+
+    def _counts(self, ids: np.ndarray) -> np.ndarray:
+        """By document, how many of the lists ids it is in."""
+        length = self.length[ids]
+        if len(ids) and length.mean() > 64:
+            docs = np.concatenate([self.doc[a:z] for a, z in zip(self.start[ids].tolist(), self.start[ids + 1].tolist(), strict=True)])
+        else:
+            docs = self.doc[np.arange(length.sum()) + np.repeat(self.start[ids] - (np.cumsum(length) - length), length)]
+        return np.bincount(docs, minlength=len(self.size))
 
     def search(self, q: int, skip: np.ndarray | None = None) -> list[int]:
         """All y with 7 * overlap >= 3 * (n_q + n_y); documents marked in skip need no answer."""
-        ids = self.of[q]
-        n = len(ids)
+        ids, n = self.of[q], int(self.size[q])
         least = -(-3 * n // 4)
-        length = self.length[ids]
-        ids, length = ids[length > 1], length[length > 1]
         if len(ids) < least:
             return []
         # DivideSkip: the longest lists are set apart; T - L occurrences must then fall in the others.
+        length = self.length[ids]
         apart = min(least - 1, int(least / (0.0085 * math.log2(length.max()) + 1)))
         order = np.argsort(length, kind="stable")
         short, far = ids[order[: len(ids) - apart]], ids[order[len(ids) - apart :]]
-        merged = heapq.merge(*(self.doc[self.start[i] : self.start[i + 1]].tolist() for i in short))
-        out, docs = [], len(self.size)
-        for y, same in groupby(merged):
-            if y == q or (skip is not None and skip[y]):
-                continue
-            c, total = sum(1 for _ in same), n + int(self.size[y])
-            if c < least - apart or 7 * min(n, int(self.size[y])) < 3 * total:
-                continue
-            if 7 * c < 3 * total and len(far):
-                want = far * docs + y
+        count, total = self._counts(short), n + self.size
+        may = (count >= least - apart) & (7 * np.minimum(n, self.size) >= 3 * total)
+        may[q] = False
+        if skip is not None:
+            may &= ~skip
+        ask = np.flatnonzero(may & (7 * count < 3 * total))
+        if len(far) and len(ask):
+            # Few documents are looked up in the long lists; for many it costs less to count these too.
+            if len(ask) * len(far) * math.log2(len(self.key)) < self.length[far].sum():
+                want = far * len(self.size) + ask[:, None]
                 at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
-                c += int((self.key[at] == want).sum())
-            if 7 * c >= 3 * total:
-                out.append(y)
-        return out
+                count[ask] += (self.key[at] == want).sum(axis=1)
+            else:
+                count += self._counts(far)
+        return np.flatnonzero(may & (7 * count >= 3 * total)).tolist()
 
 
 def link_group(ids: np.ndarray, sets: list[np.ndarray], known: np.ndarray, ask: np.ndarray) -> list[tuple[int, int]]:
@@ -136,11 +143,15 @@ def _links_of(rows: DataFrame, shards: int) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
-        for _, g in pdf.groupby("task", sort=False):
-            g = g.groupby("doc_id", sort=True).agg(known=("known", "min"), ask=("ask", "max"), shingles=("shingles", "first")).reset_index()
-            if len(g) > 1:
-                sets = [np.frombuffer(s, np.uint64) for s in g["shingles"]]
-                out += link_group(g["doc_id"].to_numpy(), sets, g["known"].to_numpy(), g["ask"].to_numpy(bool))
+        # Most tasks have a few documents: what pandas does is done for all of them at once.
+        each = pdf[["task", "doc_id", "known", "ask"]].assign(at=np.arange(len(pdf)), task=pd.factorize(pdf["task"])[0])
+        each = each.groupby(["task", "doc_id"], sort=True).agg({"known": "min", "ask": "max", "at": "min"}).reset_index()
+        ids, known, ask, at = (each[c].to_numpy() for c in ("doc_id", "known", "ask", "at"))
+        shingles, edge = pdf["shingles"].to_numpy(), np.flatnonzero(np.diff(each["task"].to_numpy(), prepend=-1, append=-1))
+        for a, z in zip(edge.tolist(), edge[1:].tolist(), strict=False):
+            if z - a > 1:
+                sets = [np.frombuffer(shingles[i], np.uint64) for i in at[a:z]]
+                out += link_group(ids[a:z], sets, known[a:z], ask[a:z].astype(bool))
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy(F.pmod(F.xxhash64("task"), F.lit(shards)).alias("shard")).applyInPandas(run, "a long, b long")

@@ -7,9 +7,11 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -591,6 +593,61 @@ def test_divide_skip_equals_counting():
         assert sorted(lists.search(q)) == want
 
 
+def test_search_of_a_large_group_of_mixed_passages():
+    """A thousand documents put together from 40 passages, some words of them changed: each shares a part with most others."""
+    rng = np.random.default_rng(12)
+    passages = rng.integers(0, 2**63, (40, 30)).astype(np.uint64)
+    sets = []
+    for _ in range(700):
+        s = passages[rng.choice(40, 10, replace=False)].ravel()
+        s[rng.choice(300, 20, replace=False)] = rng.integers(0, 2**63, 20).astype(np.uint64)
+        sets.append(np.unique(s))
+    for k in range(300):
+        s = sets[k].copy()
+        s[rng.choice(len(s), 15, replace=False)] = rng.integers(0, 2**63, 15).astype(np.uint64)
+        sets.append(np.unique(s))
+    ids = np.arange(len(sets))
+    began = time.process_time()
+    links = jaccard_join.link_group(ids, sets, ids, np.ones(len(sets), bool))
+    assert time.process_time() - began < 6
+    _, at = np.unique(np.concatenate(sets), return_inverse=True)
+    there = np.zeros((len(sets), at.max() + 1), np.float32)
+    size = np.array([len(s) for s in sets])
+    there[np.repeat(ids, size), at] = 1
+    shared = (there @ there.T).astype(int)
+    want = 4 * shared >= 3 * (size[:, None] + size - shared)
+
+    def parts(pairs):
+        part = ids.copy()
+        for a, b in pairs:
+            part[part == part[b]] = part[a]
+        return [np.flatnonzero(part == p).tolist() for p in dict.fromkeys(part.tolist())]
+
+    assert all(want[a, b] for a, b in links)
+    assert parts(links) == parts(np.argwhere(want).tolist())
+
+
+def test_many_small_groups_in_one_task(spark, monkeypatch):
+    """Most groups that come to the searching tasks hold two documents; there, no group costs a pass of its own in pandas."""
+    calls, real = [], jaccard_join.link_group
+    rows = [(str(t), d, d, True, np.arange(d, 40, dtype=np.uint64).tobytes()) for d in range(2) for t in range(3000)]
+    frame_of = pd.DataFrame(rows, columns=["task", "doc_id", "known", "ask", "shingles"])
+
+    class Rows:
+        def groupBy(self, *_):
+            return self
+
+        def applyInPandas(self, run, _):
+            return run
+
+    monkeypatch.setattr(jaccard_join, "link_group", lambda *a: calls.append(1) or real(*a))
+    run = jaccard_join._links_of(Rows(), 1)
+    began = time.process_time()
+    out = run(frame_of)
+    assert time.process_time() - began < 5
+    assert len(calls) == len(out) == 3000 and {tuple(sorted(r)) for r in out.itertuples(index=False)} == {(0, 1)}
+
+
 # --- 8 secrets
 
 
