@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import random
+import time
 import zlib
 
 import numpy as np
@@ -90,3 +91,21 @@ def test_stages_of_an_empty_table(spark, tmp_path):
     docs = spark.read.parquet(f"{d}/documents.parquet").limit(0)
     for _, f in corpus_pipeline.STAGES:
         assert f(spark, docs, d).count() == 0
+
+
+def test_near_duplicates_among_mixed_passages(spark):
+    """Documents of 10 out of 40 passages meet in one group; its search takes no time that the stage would notice."""
+    rng = random.Random(63)
+    passages = [[f"p{p}w{i}" for i in range(34)] for p in range(40)]
+    rows = []
+    for i in range(1300):
+        w = [x for p in rng.sample(passages, 10) for x in p]
+        for _ in range(3):
+            w[rng.randrange(len(w))] = f"z{i}x{rng.randrange(99)}"
+        rows.append((i, " ".join(w)))
+    rows += [(2000 + k, rows[k][1] + " some other end") for k in range(20)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    began = time.monotonic()
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").select("doc_id").collect()}
+    assert time.monotonic() - began < 60
+    assert got == set(range(1300))
